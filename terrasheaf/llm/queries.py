@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from terrasheaf.llm import packing, tokens
+from terrasheaf.runtime import ship
 
 
 def tokenizer_path(name: str) -> str:
@@ -16,6 +17,7 @@ def tokenizer_path(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
