@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrasheaf.llm import decontam, kneser_ney, packing, repetition, simhash, tokens
+from terrasheaf.llm import decontam, kneser_ney, packing, pii, repetition, simhash, tokens
 from terrasheaf.runtime import ship
 
 
@@ -21,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.lm_scores(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES = [op2_lm_scores, op3_quality_rules, op4_pack, op5_decontaminate, op7_simhash_groups, op9_token_counts]
+QUERIES = [op1_personal_data, op2_lm_scores, op3_quality_rules, op4_pack, op5_decontaminate, op7_simhash_groups, op9_token_counts]
 ORACLES: dict[str, str] = {}
 
 
