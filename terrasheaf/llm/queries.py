@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrasheaf.llm import decontam, kneser_ney, packing, pii, repetition, simhash, tokens
+from terrasheaf.llm import decontam, kneser_ney, packing, pii, repetition, secrets, simhash, tokens
 from terrasheaf.runtime import ship
 
 
@@ -49,7 +49,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES = [op1_personal_data, op2_lm_scores, op3_quality_rules, op4_pack, op5_decontaminate, op7_simhash_groups, op9_token_counts]
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+QUERIES = [op1_personal_data, op2_lm_scores, op3_quality_rules, op4_pack, op5_decontaminate, op7_simhash_groups, op9_token_counts, op10_secrets]
 ORACLES: dict[str, str] = {}
 
 
