@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -90,8 +92,8 @@ def measures(texts: list[bytes]) -> dict[str, np.ndarray]:
     """The measures of some texts: word and character counts and what the suffix array finds."""
     words = [t.split() for t in texts]
     n_words = np.array([len(w) for w in words], np.int64)
-    number: dict[bytes, int] = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for ws in words for w in ws), np.int64, int(n_words.sum()))
+    number: dict[bytes, int] = defaultdict(count().__next__)
+    ids = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(n_words.sum()))
     doc = np.repeat(np.arange(len(texts)), n_words)
     bounds = np.cumsum(n_words)
     longest = longest_repeats(ids, doc, np.repeat(bounds, n_words))
