@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrasheaf.llm import decontam, kneser_ney, packing, pii, repetition, secrets, simhash, tokens, toxicity
+from terrasheaf.llm import chat, decontam, kneser_ney, packing, pii, repetition, secrets, simhash, tokens, toxicity
 from terrasheaf.runtime import ship
 
 
@@ -49,6 +49,10 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -57,7 +61,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op1_personal_data, op2_lm_scores, op3_quality_rules, op4_pack, op5_decontaminate, op6_toxicity, op7_simhash_groups, op9_token_counts, op10_secrets]
+QUERIES = [op1_personal_data, op2_lm_scores, op3_quality_rules, op4_pack, op5_decontaminate, op6_toxicity, op7_simhash_groups, op8_chat_format, op9_token_counts, op10_secrets]
 ORACLES: dict[str, str] = {}
 
 
