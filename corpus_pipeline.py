@@ -1,18 +1,68 @@
-"""A corpus pipeline of the training-data operators, stage by stage."""
+"""A corpus pipeline of the training-data operators: what is kept of documents, stage by stage, down to packed sequences.
+
+Each stage takes (spark, docs, sf_dir); all but the last return the columns of documents, whatever further columns ``docs`` has. A row
+with a null id can't be told from others and stays in the near-duplicate stage; null text counts as empty; no rows give no rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from terrasheaf.llm import decontam, packing, pii, queries, repetition, simhash
+from terrasheaf.llm.common import materialize
 from terrasheaf.runtime import ship
 
-STAGES: list = []
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    ship(spark)
+    return repetition.verdict(repetition.text_measures(docs, COLUMNS)).where("kept").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id; of rows that share that id, one."""
+    ship(spark)
+    docs = docs.select(*COLUMNS)
+    groups = simhash.near_duplicates(docs)
+    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    one_each = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one_each.select(*COLUMNS).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    ship(spark)
+    items = queries.table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    return decontam.contamination(docs.select(*COLUMNS), items, COLUMNS).where(~F.col("contaminated")).select(*COLUMNS)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind and n_chars counted anew."""
+    ship(spark)
+    found = pii.find_personal_data(docs.select(*COLUMNS), COLUMNS, redacted=True)
+    text = F.col("__redacted")
+    return found.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("spans") == "", F.col("n_chars")).otherwise(F.char_length(text).cast("long")).alias("n_chars"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences, with their token ids."""
+    ship(spark)
+    return packing.pack(docs, queries.tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES = [("quality rules", quality), ("near-duplicates", near_duplicates), ("decontamination", decontaminate), ("personal data", redact), ("packing", pack)]
+#: SQL can't express the suffix array, the fingerprints or the tokens; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """The rows of the last stage, with each stage's result written to the shared folder and read again."""
+    docs = queries.table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = materialize(docs, f"stage{k + 1}")
     return docs

@@ -283,15 +283,16 @@ def find_personal_data(docs: DataFrame, keep: list[str] | None = None, id_col: s
     if keep is None:
         rows, keep = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("__text")), ["doc_id"]
     else:
-        rows = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
+        rows = docs.select(*keep, *([] if text_col in keep else [F.col(text_col).cast("string").alias("__text")]))
+    name = text_col if text_col in keep else "__text"
     added = [(f"n_{k}", pa.int64()) for k in KINDS] + [("base_sha256", pa.string()), ("spans", pa.string()), ("n_added", pa.int64())] + [("__redacted", pa.string())] * redacted
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields] + [f"`{n}` {'long' if t == pa.int64() else 'string'}" for n, t in added])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: dict[str, list] = {n: [] for n, _ in added}
-            nulls = batch.column(batch.schema.get_field_index("__text")).is_null().to_pylist()
-            for data, null in zip(texts_of(batch, "__text"), nulls, strict=True):
+            nulls = batch.column(batch.schema.get_field_index(name)).is_null().to_pylist()
+            for data, null in zip(texts_of(batch, name), nulls, strict=True):
                 text = data.decode()
                 base, spans = all_spans(text)
                 for k in KINDS:

@@ -124,13 +124,14 @@ COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 def text_measures(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` of ``docs`` and the measures of each whole text; one pass without a shuffle."""
-    rows = docs.select(*(F.col(c) for c in keep), F.col(text_col).cast("string").alias("__text"))
+    name = text_col if text_col in keep else "__text"
+    rows = docs.select(*keep) if text_col in keep else docs.select(*keep, F.col(text_col).cast("string").alias(name))
     kept = docs.select(*keep).schema
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields] + [f"{c} long" for c in COLUMNS])
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch, "__text")
+            texts = texts_of(batch, name)
             schema = pa.schema([batch.schema.field(c) for c in keep] + [(c, pa.int64()) for c in COLUMNS])
             for start, end in runs(texts):
                 yield with_columns(batch, keep, schema, start, end, **measures(texts[start:end]))
