@@ -34,7 +34,7 @@ def share_of_field(counts: DataFrame) -> DataFrame:
 
 def crop_units(df: DataFrame, cell_area: float, crop_codes: DataFrame) -> DataFrame:
     """Adds area in square metres and acres, and the crop's name where its code is known."""
-    return df.join(F.broadcast(crop_codes), "crop_id", "left").withColumns({"area_m2": F.col("pixel_count") * cell_area, "acres": F.col("pixel_count") * cell_area / ACRE_M2})
+    return df.join(crop_codes, "crop_id", "left").withColumns({"area_m2": F.col("pixel_count") * cell_area, "acres": F.col("pixel_count") * cell_area / ACRE_M2})
 
 
 def validate_crop_year(summary: DataFrame, year: int | None = None, max_id: int = 65_535) -> DataFrame:

@@ -3,12 +3,23 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+_own_dirs: dict[str, str] = {}
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (local use)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
+    if not base and app not in _own_dirs:
+        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+    return f"{(base or _own_dirs[app]).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
 def ship(spark: SparkSession) -> None:
