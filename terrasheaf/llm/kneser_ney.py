@@ -52,11 +52,16 @@ def unpacked_counts(data: bytes, n: int) -> np.ndarray:
     return out
 
 
+def group_starts(keys: np.ndarray) -> np.ndarray:
+    """Where each distinct value of sorted keys begins."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
 def tally(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """The distinct keys in order and the sums of values for each."""
     order = np.argsort(keys)
     keys = keys[order]
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    starts = group_starts(keys)
     return keys[starts], *(np.add.reduceat(v[order], starts) if len(keys) else v for v in values)
 
 
@@ -256,8 +261,8 @@ def train(texts: DataFrame, shards: int | None = None) -> KneserNey:
         keys = paired(first, second)
         order = np.argsort(keys)
         keys = keys[order]
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        sums = np.add.reduceat(count[order], starts)
+        starts = group_starts(keys)
+        sums = np.add.reduceat(count[order], starts) if len(keys) else count
         keys, first, second = keys[starts], first[order][starts], second[order][starts]
         folder = Folder(uri)
         folder.write(f"bigrams-{shard}", keys.tobytes())
