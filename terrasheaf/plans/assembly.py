@@ -251,6 +251,11 @@ def E37_neighborhood_ols(t: Tables) -> DataFrame:
     return N.neighborhood_ols(N.design_matrix(hood(t), COVARIATES), "unscaled_yield", ["z_annual_tillage", "z_NCCPI", "z_vpdmax_7", "year_c"])
 
 
+@query()
+def J2_solve_normal(t: Tables) -> DataFrame:
+    return N.neighborhood_ols(hood(t), "unscaled_yield", ["annual_tillage", "NCCPI"])
+
+
 @query("SELECT fit, variable, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd, round(quantile_cont(value, 0.05), 6) AS q5, round(quantile_cont(value, 0.95), 6) AS q95 FROM {draws} GROUP BY 1, 2")
 def E30_draws_summary(t: Tables) -> DataFrame:
     return rounded(N.draws_summary(t.draws))

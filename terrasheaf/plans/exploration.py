@@ -18,7 +18,9 @@ PREDICTORS = VARIABLES[1:]
 
 
 def shares(t: Tables) -> DataFrame:
-    return S.with_shares(joined(t))
+    """The joined table with its shares, rounded so that equal ones are equal in any engine."""
+    df = S.with_shares(joined(t))
+    return df.withColumns({c: F.round(c, 9) for c in ("tillage_na_prop", "classified_share", "high_share_among_classified", "low_share_among_classified")})
 
 
 def long_sql(columns: list[str], names: list[str], table: str = "{shares}") -> str:

@@ -29,14 +29,14 @@ STANDINS = {
     "model": "SELECT * FROM {joined} WHERE annual_tillage IS NOT NULL AND vpdmax_7 IS NOT NULL AND vpdmax_8 IS NOT NULL",
     "focal": "SELECT DISTINCT m.FIPS AS focal_fips FROM {model} m JOIN {edges} e ON m.FIPS = e.focal_fips",
     "hood": "SELECT e.focal_fips, m.* FROM {model} m JOIN {edges} e ON m.FIPS = e.neighbor_fips JOIN {focal} f ON e.focal_fips = f.focal_fips",
-    "shares": "SELECT *, greatest(0.0, 1 - coalesce(tillage_0_prop, 0.0) - coalesce(tillage_1_prop, 0.0)) AS tillage_na_prop, coalesce(tillage_0_prop, 0.0) + coalesce(tillage_1_prop, 0.0) AS classified_share FROM {joined}",
+    "shares": "SELECT *, round(greatest(0.0, 1 - coalesce(tillage_0_prop, 0.0) - coalesce(tillage_1_prop, 0.0)), 9) AS tillage_na_prop, round(coalesce(tillage_0_prop, 0.0) + coalesce(tillage_1_prop, 0.0), 9) AS classified_share FROM {joined}",
     "cells": "SELECT concat('h00v0', CAST(l_suppkey % 3 AS STRING)) AS tile, CAST(l_partkey % 2000 AS INT) AS row, CAST(l_orderkey % 1000 AS INT) AS col, min(l_linenumber) AS crop, max(l_quantity) AS qty FROM {lineitem} GROUP BY l_suppkey % 3, l_partkey % 2000, l_orderkey % 1000",
     "field_pixels": "SELECT tile, row, col, CASE WHEN qty > 45 THEN 0 ELSE CAST(floor(row / 100.0) * 100 + floor(col / 50.0) + 1 AS BIGINT) END AS value FROM {cells}",
     "crop_pixels": "SELECT tile, row, col, CASE WHEN crop = 7 THEN 0 ELSE CAST(crop AS BIGINT) END AS value FROM {cells}",
     "value_pixels": "SELECT tile, row, col, qty AS value FROM {cells}",
     "grids": "SELECT DISTINCT tile, CAST(0 AS DOUBLE) AS x0, CAST(0 AS DOUBLE) AS y0, CAST(30 AS DOUBLE) AS dx, CAST(30 AS DOUBLE) AS dy, CAST(1000 AS INT) AS ncols, CAST(2000 AS INT) AS nrows, 'EPSG:5070' AS crs, CAST(0 AS BIGINT) AS nodata FROM {cells}",
     "blocks": "SELECT DISTINCT tile, CAST(floor(row / 100.0) AS INT) AS br, CAST(floor(col / 50.0) AS INT) AS bc FROM {cells}",
-    "ring_boxes": "SELECT tile, br * 100 + bc + 1 AS field_id, bc * 1500.0 + 10 AS minx, br * 3000.0 + 10 AS miny, bc * 1500.0 + 700 AS maxx, br * 3000.0 + 910 AS maxy, (br + bc) % 3 AS shape FROM {blocks}",
+    "ring_boxes": "SELECT tile, CAST(br * 100 + bc + 1 AS BIGINT) AS field_id, bc * 1500.0 + 10 AS minx, br * 3000.0 + 10 AS miny, bc * 1500.0 + 700 AS maxx, br * 3000.0 + 910 AS maxy, (br + bc) % 3 AS shape FROM {blocks}",
     "county_boxes": "SELECT DISTINCT tile, lpad(CAST(1001 + 2 * (CAST(floor(br / 4.0) AS INT) * 10 + CAST(floor(bc / 3.0) AS INT)) AS STRING), 5, '0') AS fips, CAST(floor(bc / 3.0) AS INT) * 4500.0 + 300 AS minx, CAST(floor(br / 4.0) AS INT) * 12000.0 + 300 AS miny, CAST(floor(bc / 3.0) AS INT) * 4500.0 + 4800 AS maxx, CAST(floor(br / 4.0) AS INT) * 12000.0 + 12300 AS maxy FROM {blocks}",
     "messy": "SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN concat(CAST(c_custkey AS STRING), '.0') WHEN 1 THEN concat('  ', CAST(c_custkey AS STRING), ' ') WHEN 2 THEN '' WHEN 3 THEN concat('H01V0', CAST(c_custkey % 4 AS STRING), '_', CAST(c_custkey AS STRING), '.00') ELSE concat('x', CAST(c_custkey AS STRING)) END AS raw_id, CASE c_custkey % 4 WHEN 0 THEN concat('Tile_H0', CAST(c_custkey % 3 AS STRING), 'V07.tif') WHEN 1 THEN 'none' WHEN 2 THEN concat('h1', CAST(c_custkey % 7 AS STRING), 'v02') ELSE concat('dir/h03v1', CAST(c_custkey % 9 AS STRING), ' x') END AS raw_tile, CASE c_custkey % 6 WHEN 0 THEN '200507' WHEN 1 THEN '20057' WHEN 2 THEN '199908' WHEN 3 THEN 'abcdef' WHEN 4 THEN '' ELSE concat('20', lpad(CAST(c_custkey % 100 AS STRING), 2, '0'), '12') END AS raw_month, CASE c_custkey % 5 WHEN 0 THEN '1.5' WHEN 1 THEN 'x' WHEN 2 THEN NULL WHEN 3 THEN '7' ELSE '-2e2' END AS raw_number FROM {customer}",
     "draws": "SELECT concat('f', CAST(user_id % 4 AS STRING)) AS fit, event_type AS variable, user_id % 3 AS chain, event_id AS iteration, value FROM {events}",
