@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from terrasheaf.functions.keys import tillage_shares
+from terrasheaf.runtime import stored
 
 #: Ranges of values that are summed on their own.
 RANGES = 64
@@ -79,7 +80,7 @@ PROFILE = {"p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 
 def numeric_profile(df: DataFrame, variables: list[str]) -> DataFrame:
     """Per variable: rows, non-null and missing rows, distinct values, mean, deviation (0 for one value), extremes and quantiles."""
-    long = unpivot(df, [], variables)
+    long = stored(unpivot(df, [], variables), "profile")
     v = F.col("value")
     base = long.groupBy("variable").agg(F.count(F.lit(1)).alias("rows"), F.count(v).alias("non_null"), F.count_if(v.isNull()).alias("missing"), F.avg(v).alias("mean"), F.coalesce(F.stddev_samp(v), F.when(F.count(v) == 1, 0.0)).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
     distinct = long.where(v.isNotNull()).groupBy("variable", "value").agg(F.lit(1)).groupBy("variable").agg(F.count(F.lit(1)).alias("distinct_values"))
@@ -142,6 +143,7 @@ def corr_p_value(r: Column, n: Column) -> Column:
 def yield_bivariate(df: DataFrame, predictors: list[str], y: str = "unscaled_yield") -> DataFrame:
     """Per predictor: correlations with p-values, the line of least squares, and mean yield in the lowest and highest quarter of it."""
     pairs = unpivot(df, [y], predictors).select(F.col("variable").alias("predictor"), F.col("value").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    pairs = stored(pairs, "pairs")
     base = correlations(pairs, ["predictor"])
     cuts = quantiles(pairs, ["predictor"], "x", {"q25": 0.25, "q75": 0.75})
     ends = pairs.join(F.broadcast(cuts), "predictor").groupBy("predictor").agg(F.avg(F.when(F.col("x") <= F.col("q25"), F.col("y"))).alias("low_mean"), F.avg(F.when(F.col("x") >= F.col("q75"), F.col("y"))).alias("high_mean"))
@@ -153,12 +155,14 @@ def pairwise_corr(df: DataFrame, variables: list[str]) -> DataFrame:
     """Both correlations of every two variables over the rows that have both."""
     value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
     entries = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value(a).alias("x"), value(b).alias("y")) for a, b in combinations(variables, 2)))
-    return correlations(df.select(F.explode(entries).alias("e")).select("e.*"), ["a", "b"]).select("a", "b", "n", "pearson_r", "spearman_r")
+    pairs = stored(df.select(F.explode(entries).alias("e")).select("e.*").dropna(), "pairs")
+    return correlations(pairs, ["a", "b"]).select("a", "b", "n", "pearson_r", "spearman_r")
 
 
 def binned_yield(df: DataFrame, predictor: str, bins: int = 10, y: str = "unscaled_yield") -> DataFrame:
     """Yield by quantile bins of a predictor (right-closed, equal edges joined), or by its values if there are two at most."""
     pairs = df.select(F.col(predictor).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    pairs = stored(pairs, "pairs")
     few = pairs.select("x").distinct().limit(bins + 1).count()
     if few <= 2:
         binned = pairs.withColumn("bin", F.col("x"))
@@ -174,13 +178,14 @@ def binned_yield(df: DataFrame, predictor: str, bins: int = 10, y: str = "unscal
 
 def group_summary(df: DataFrame, group: str, value: str) -> DataFrame:
     """Per group: number, mean, median and deviation (0 for one row) of a value."""
-    base = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(group).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("std"))
-    return base.join(quantiles(df.where(F.col(group).isNotNull()), [group], value, {"median": 0.5}), group)
+    rows = stored(df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(group, value), "groups")
+    base = rows.groupBy(group).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("std"))
+    return base.join(quantiles(rows, [group], value, {"median": 0.5}), group)
 
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles and whisker ends (within one and a half interquartile ranges) of a value per group."""
-    rows = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+    rows = stored(df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(group, value), "groups")
     q = quantiles(rows, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     ends = rows.join(q, group).groupBy(group).agg(F.min(F.when(F.col(value) >= F.col("q1") - reach, F.col(value))).alias("whisker_low"), F.max(F.when(F.col(value) <= F.col("q3") + reach, F.col(value))).alias("whisker_high"))

@@ -12,6 +12,7 @@ from terrasheaf.operators import quality as Q
 from terrasheaf.operators import soil as S
 from terrasheaf.plans.registry import query
 from terrasheaf.plans.standins import Tables
+from terrasheaf.runtime import stored
 
 REQUIRED = ["unscaled_yield", "annual_tillage", "NCCPI", "vpdmax_7", "vpdmax_8"]
 COVARIATES = ["annual_tillage", "NCCPI", "vpdmax_7", "vpdmax_8"]
@@ -23,7 +24,10 @@ def joined(t: Tables) -> DataFrame:
 
 
 def model(t: Tables) -> DataFrame:
-    return C.required_values(joined(t), REQUIRED)
+    """The joined rows that have all required values; stored, as neighbourhoods use them several times."""
+    if "__model" not in t._made:
+        t._made["__model"] = stored(C.required_values(joined(t), REQUIRED), "model")
+    return t._made["__model"]
 
 
 def edges(t: Tables) -> DataFrame:
@@ -121,7 +125,7 @@ def C2_na_coverage(t: Tables) -> DataFrame:
 
 @query("SELECT * FROM {model}")
 def C3_required_values(t: Tables) -> DataFrame:
-    return model(t)
+    return C.required_values(joined(t), REQUIRED)
 
 
 @query("SELECT count(*) AS rows, count(*) FILTER (WHERE annual_tillage IS NULL OR vpdmax_7 IS NULL OR vpdmax_8 IS NULL OR NCCPI IS NULL OR unscaled_yield IS NULL) AS dropped FROM {joined}")

@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 _own_dirs: dict[str, str] = {}
@@ -22,6 +22,13 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{(base or _own_dirs[app]).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """The table written to the shared folder and read back: what uses it several times computes it once, and a lost executor costs a read."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Lets Python workers import this package, once for each application; a cluster that has it installed loses nothing."""
     app = spark.sparkContext.applicationId
