@@ -62,7 +62,24 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_personal_data, op2_lm_scores, op3_quality_rules, op4_pack, op5_decontaminate, op6_toxicity, op7_simhash_groups, op8_chat_format, op9_token_counts, op10_secrets]
-ORACLES: dict[str, str] = {}
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: SQL for what DuckDB can express; suffix arrays, tokenizers, trained models, fingerprints, transducers and look-arounds are not among it.
+ORACLES: dict[str, str] = {
+    "op5_decontaminate": f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS t
+    FROM items, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS u(i) WHERE len(w) > 0),
+placed AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS t
+    FROM docs, (SELECT DISTINCT n FROM windows), unnest(generate_series(1, len(w) - n + 1)) AS u(i) WHERE len(w) >= n),
+hits AS (SELECT p.doc_id, p.i, p.n, x.item_id FROM placed p JOIN windows x ON p.n = x.n AND p.t = x.t),
+counts AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT doc_id, i, n FROM hits), unnest(generate_series(0, n - 1)) AS u(k) GROUP BY doc_id),
+found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN counts c ON d.doc_id = c.doc_id LEFT JOIN found f ON d.doc_id = f.doc_id""",
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
