@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -132,26 +134,49 @@ def recover_roles(segments: DataFrame, model: RoleModel) -> DataFrame:
     step, start = model.step, model.start
     order = ["turn", "row_id"]
 
-    def matrix(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        m = block_matrix(pdf.sort_values(order)[["e0", "e1", "e2"]].to_numpy(), step)
-        return pd.DataFrame([[key[0], key[1], m.ravel().tolist()]], columns=["conv_id", "block", "m"])
+    def matrices_of(pdf: pd.DataFrame, starts: list[int], stops: list[int]) -> pd.DataFrame:
+        e = pdf[["e0", "e1", "e2"]].to_numpy()
+        firsts = pdf.iloc[starts]
+        return pd.DataFrame({"conv_id": firsts["conv_id"].to_numpy(), "block": firsts["block"].to_numpy(), "m": [block_matrix(e[a:b], step).ravel().tolist() for a, b in zip(starts, stops, strict=True)]})
 
-    def ends(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block")
-        found = block_ends([np.array(m).reshape(3, 3) for m in pdf["m"]], start, step)
+    def ends_of(pdf: pd.DataFrame, starts: list[int], stops: list[int]) -> pd.DataFrame:
+        m = [np.array(x).reshape(3, 3) for x in pdf["m"]]
+        found = [x for a, b in zip(starts, stops, strict=True) for x in block_ends(m[a:b], start, step)]
         return pd.DataFrame({"conv_id": pdf["conv_id"].to_numpy(), "block": pdf["block"].to_numpy(), "first": [a for a, _ in found], "last": [b for _, b in found]})
 
-    def path(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values(order)
-        found = best_path(left[["e0", "e1", "e2"]].to_numpy(), step, int(right["first"].iloc[0]), int(right["last"].iloc[0]))
-        return pd.DataFrame({"row_id": left["row_id"].to_numpy(), "found": found})
+    def paths_of(pdf: pd.DataFrame, starts: list[int], stops: list[int]) -> pd.DataFrame:
+        e, first, last = pdf[["e0", "e1", "e2"]].to_numpy(), pdf["first"].tolist(), pdf["last"].tolist()
+        return pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "found": [x for a, b in zip(starts, stops, strict=True) for x in best_path(e[a:b], step, first[a], last[a])]})
 
-    matrices = rows.groupBy("conv_id", "block").applyInPandas(matrix, "conv_id string, block long, m array<double>")
-    bounds = materialize(matrices.groupBy("conv_id").applyInPandas(ends, "conv_id string, block long, first int, last int"), "block-ends")
-    decoded = rows.groupBy("conv_id", "block").cogroup(bounds.groupBy("conv_id", "block")).applyInPandas(path, "row_id string, found int")
+    matrices = in_groups(rows, ["conv_id", "block"], order, matrices_of, "conv_id string, block long, m array<double>")
+    bounds = materialize(in_groups(matrices, ["conv_id"], ["block"], ends_of, "conv_id string, block long, first int, last int"), "block-ends")
+    decoded = in_groups(rows.join(bounds, ["conv_id", "block"]), ["conv_id", "block"], order, paths_of, "row_id string, found int")
     return segments.join(decoded, "row_id")
 
 
+def in_groups(df: DataFrame, keys: list[str], order: list[str], work: Callable[[pd.DataFrame, list[int], list[int]], pd.DataFrame], schema: str) -> DataFrame:
+    """Runs ``work`` on many whole groups at a time: rows are dealt and sorted by key, and ``work`` gets a batch with where its groups start
+    and stop. The last group of a batch waits for the next one."""
+    placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for pdf in batches:
+            if held and pdf[keys].iloc[-1].equals(held[0][keys].iloc[0]) and pdf[keys].drop_duplicates().shape[0] == 1:
+                held.append(pdf)  # all of it continues the waiting group
+                continue
+            pdf = pd.concat([*held, pdf], ignore_index=True) if held else pdf
+            starts = np.flatnonzero((pdf[keys] != pdf[keys].shift()).any(axis=1))
+            if len(starts) > 1:
+                yield work(pdf.iloc[: starts[-1]], starts[:-1].tolist(), starts[1:].tolist())
+            held = [pdf.iloc[starts[-1] :]] if len(starts) else []
+        if held:
+            last = pd.concat(held, ignore_index=True)
+            yield work(last, [0], [len(last)])
+
+    return placed.mapInPandas(run, schema)
+
+
 def format_chats(conversations: DataFrame, parts: int = 5, part: int = 0) -> DataFrame:
     """conv_id, turn, held_out, role (recovered), given_role, had_marker and rendered, for every segment of every transcript.
 
