@@ -99,12 +99,18 @@ SPELLED = {name: str(d) for names in DIGIT_NAMES for d, name in enumerate(names.
 # One transducer: a run of spelled digits becomes digits. Separators between them are single spaces, hyphens, commas, dots or slashes.
 NAMES = "|".join(sorted(SPELLED, key=len, reverse=True))
 DIGIT_WORD = re.compile(rf"(?<![^\W_])(?:{NAMES})(?![^\W_])", re.IGNORECASE)
+# How markup and addresses spell the two signs.
+ENTITY_AT, ENTITY_DOT = r"&#0*64;|&#x0*40;|&commat;|%40", r"&#0*46;|&#x0*2e;|&period;|%2e"
 # Another: bracketed at and dot signs in any case, with the spaces around them, and bare words where both occur together.
 AT = r"[ ]{0,3}[\[({<][ ]{0,2}(?:at|@|arroba|arobase)[ ]{0,2}[\])}>][ ]{0,3}"
 DOT = r"[ ]{0,3}[\[({<][ ]{0,2}(?:dot|\.|punkt|punto|point)[ ]{0,2}[\])}>][ ]{0,3}"
 BRACKETED = re.compile(rf"(?P<at>{AT})|(?P<dot>{DOT})", re.IGNORECASE)
-BARE = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>[ ]+(?:at|arroba|arobase)[ ]+)[A-Za-z0-9-]+(?:[ ]+(?:dot|punkt|punto|point)[ ]+[A-Za-z0-9-]+)+(?![A-Za-z0-9-])", re.IGNORECASE)
-BARE_DOT = re.compile(r"[ ]+(?:dot|punkt|punto|point)[ ]+", re.IGNORECASE)
+ENTITIES = re.compile(rf"(?P<at>{ENTITY_AT})|(?P<dot>{ENTITY_DOT})", re.IGNORECASE)
+WORD_AT, WORD_DOT = r"(?:[ ]+(?:at|arroba|arobase)[ ]+|[-_](?:at|arroba|arobase)[-_])", r"(?:[ ]+(?:dot|punkt|punto|point)[ ]+|[-_](?:dot|punkt|punto|point)[-_])"
+BARE = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>{WORD_AT})[A-Za-z0-9-]+(?:{WORD_DOT}[A-Za-z0-9-]+)+(?![A-Za-z0-9-])", re.IGNORECASE)
+BARE_DOT = re.compile(WORD_DOT, re.IGNORECASE)
+SPACED = re.compile(r"(?<=[A-Za-z0-9._%+-])(?:[ ]{1,3}@[ ]{0,3}|@[ ]{1,3})(?=[A-Za-z0-9-]+(?:\.|[ ]\.[ ])[A-Za-z0-9-])")
+SPACED_DOT = re.compile(r"(?:\.|[ ]\.[ ])[A-Za-z0-9-]+")
 NUMBER_DOT = re.compile(r"(?<=[0-9])[ ]+(?:dot|punkt|punto|point)[ ]+(?=[0-9])", re.IGNORECASE)
 SPELLED_SIGN = re.compile(r"[ ]*(?<![^\W_])(?P<sign>plus|dot|point|punto|punkt|dash|hyphen)(?![^\W_])[ ]*", re.IGNORECASE)
 SIGNS = {"plus": "+", "dot": ".", "point": ".", "punto": ".", "punkt": ".", "dash": "-", "hyphen": "-"}
@@ -157,8 +163,8 @@ def fold_characters(text: Rewritten) -> Rewritten:
                 edits.append((k, k + 1, str(unicodedata.decimal(c))))
             elif mixed and c in LOOKALIKES:
                 edits.append((k, k + 1, LOOKALIKES[c]))
-            elif mixed and "！" <= c <= "～":
-                edits.append((k, k + 1, chr(ord(c) - 0xFEE0)))
+            elif mixed and len(same := unicodedata.normalize("NFKC", c)) == 1 and same.isascii():
+                edits.append((k, k + 1, same))
     for k, c in enumerate(text.text):
         if c in "    　":
             edits.append((k, k + 1, " "))
@@ -166,15 +172,42 @@ def fold_characters(text: Rewritten) -> Rewritten:
 
 
 def fold_signs(text: Rewritten) -> Rewritten:
-    """Disguised at and dot signs: bracketed ones by themselves, bare words only between numbers or as a whole address."""
-    edits = [(m.start(), m.end(), ".") for m in NUMBER_DOT.finditer(text.text)]
-    text = text.replace(edits)
-    edits = [(m.start(), m.end(), "@" if m["at"] else ".") for m in BRACKETED.finditer(text.text)]
-    text = text.replace(edits)
+    """Disguised at and dot signs: entities and bracketed ones by themselves, bare words only between numbers or as a whole address, and
+    spaces around an @ where a dotted name follows."""
+    text = text.replace([(m.start(), m.end(), "@" if m["at"] else ".") for m in ENTITIES.finditer(text.text)])
+    text = text.replace([(m.start(), m.end(), ".") for m in NUMBER_DOT.finditer(text.text)])
+    text = text.replace([(m.start(), m.end(), "@" if m["at"] else ".") for m in BRACKETED.finditer(text.text)])
     edits = []
     for m in BARE.finditer(text.text):
         edits.append((*m.span("at"), "@"))
         edits += [(d.start(), d.end(), ".") for d in BARE_DOT.finditer(text.text, m.end("at"), m.end())]
+    text = text.replace(edits)
+    edits = []
+    for m in SPACED.finditer(text.text):
+        edits.append((m.start(), m.end(), "@"))
+        at = m.end()
+        while at < len(text.text) and (text.text[at].isascii() and text.text[at].isalnum() or text.text[at] == "-"):
+            at += 1
+        while d := SPACED_DOT.match(text.text, at):
+            if text.text[at] == " ":
+                edits.append((at, at + 3, "."))
+            at = d.end()
+    return text.replace(edits)
+
+
+#: Runs of digits and of letters that stand for digits, and what the letters stand for.
+DIGIT_LIKE = re.compile(r"[0-9OolI](?:[ .()-]{0,2}[0-9OolI]){6,}")
+LIKE = {"O": "0", "o": "0", "l": "1", "I": "1"}
+
+
+def fold_digit_letters(text: Rewritten) -> Rewritten:
+    """Letters that look like digits, in runs of which two thirds at least are digits."""
+    edits = []
+    for m in DIGIT_LIKE.finditer(text.text):
+        letters = [k for k in range(m.start(), m.end()) if text.text[k] in LIKE]
+        digits = sum("0" <= c <= "9" for c in m[0])
+        if letters and digits >= 2 * len(letters):
+            edits += [(k, k + 1, LIKE[text.text[k]]) for k in letters]
     return text.replace(edits)
 
 
@@ -211,8 +244,9 @@ def fold_digits(text: Rewritten) -> Rewritten:
 
 
 #: Characters that may be part of a disguise; other non-ASCII letters, such as accented ones, are not worth a second look.
-ODD = re.compile("[" + re.escape("".join([*LOOKALIKES, *MARKS, *INVISIBLE])) + "！-～٠-٩۰-۹०-९\U0001d7ce-\U0001d7ff]")
-DISGUISES = re.compile(rf"[\[({{<][ ]{{0,2}}(?:at|@|arroba|arobase|dot|\.|punkt|punto|point)[ ]{{0,2}}[\])}}>]|[ ](?:dot|punkt|punto|point)[ ]", re.IGNORECASE)
+ODD = re.compile("[" + re.escape("".join([*LOOKALIKES, *MARKS, *INVISIBLE])) + "！-～٠-٩۰-۹०-९\U0001d400-\U0001d7ff\u2100-\u214f]")
+DISGUISES = re.compile(rf"{ENTITY_AT}|{ENTITY_DOT}|[ ]@|@[ ]|[-_ ](?:dot|punkt|punto|point)[-_ ]|[\[({{<][ ]{{0,2}}(?:at|@|arroba|arobase|dot|\.|punkt|punto|point)[ ]{{0,2}}[\])}}>]", re.IGNORECASE)
+LETTER_DIGITS = re.compile(r"[0-9][ .()-]?[OolI](?![A-HJ-NP-Za-km-np-z])|(?<![A-Za-z])[OolI][ .()-]?[0-9]")
 TWO_DIGITS = re.compile(rf"(?<![^\W_])(?:{NAMES})[ ,./-]{{1,3}}(?:{NAMES})(?![^\W_])", re.IGNORECASE)
 
 
@@ -221,16 +255,18 @@ def disguised(text: str) -> list[Span]:
 
     The transducers run one after the other, and each keeps the source span of every character it writes. Long texts are normalised whole.
     """
-    odd, signs, digits = ODD.search(text), DISGUISES.search(text), TWO_DIGITS.search(text)
-    if not (odd or signs or digits):
+    odd, signs, digits, letters = ODD.search(text), DISGUISES.search(text), TWO_DIGITS.search(text), LETTER_DIGITS.search(text)
+    if not (odd or signs or digits or letters):
         return []
     folded = Rewritten.of(text)
     if odd:
         folded = fold_characters(folded)
-        signs, digits = DISGUISES.search(folded.text), TWO_DIGITS.search(folded.text)
+        signs, digits, letters = DISGUISES.search(folded.text), TWO_DIGITS.search(folded.text), LETTER_DIGITS.search(folded.text)
     versions = [folded]
     if digits:
         versions.append(fold_digits(folded))
+    if letters:
+        versions.append(fold_digit_letters(versions[-1]))
     if signs:
         versions.append(fold_signs(versions[-1]))
     out: dict[tuple[int, int, str], None] = {}

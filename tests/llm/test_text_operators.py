@@ -105,6 +105,12 @@ def test_base_identifiers_equal_the_patterns(parts):
         ("jоhn@mаil.com hi", "email", "jоhn@mаil.com"),
         ("call plus one two one two five five five zero one two three", "phone", "plus one two one two five five five zero one two three"),
         ("vier eins eins eins eins eins eins eins eins eins eins eins eins eins eins eins", "card", None),
+        ("john&#64;mail&#46;com", "email", None),
+        ("john @ mail . com now", "email", "john @ mail . com"),
+        ("john_at_mail_dot_com", "email", None),
+        ("+1 (555) O12-3l45 x", "phone", "+1 (555) O12-3l45"),
+        ("l92.168.O.l7 y", "ip", "l92.168.O.l7"),
+        ("𝐣𝐨𝐡𝐧@𝐦𝐚𝐢𝐥.𝐜𝐨𝐦", "email", None),
         ("192 dot 168 dot 1 dot 17", "ip", "192 dot 168 dot 1 dot 17"),
         ("one nine two dot one six eight dot one dot seven!", "ip", "one nine two dot one six eight dot one dot seven"),
     ],
@@ -116,7 +122,7 @@ def test_disguised_identifiers_map_back_to_the_source(text, kind, part):
     assert f"[{kind.upper()}]" in pii.redact(text, spans)
 
 
-@pytest.mark.parametrize("text", ["we met at noon. The dot is at the end of it", "un des deux trois at the end", "der. in [at] dem", "Привет мир один", "one two three"])
+@pytest.mark.parametrize("text", ["we met at noon. The dot is at the end of it", "un des deux trois at the end", "der. in [at] dem", "Привет мир один", "one two three", "see foo @ bar. Next", "state-of-the-art dot product at noon"])
 def test_plain_text_is_left_alone(text):
     assert pii.all_spans(text)[1] == []
 
