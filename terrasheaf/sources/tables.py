@@ -7,9 +7,9 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from terrasheaf.functions.keys import blank_to_null, tile_from_text
+from terrasheaf.operators.stats import cumulative
 
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 
@@ -159,13 +159,9 @@ def unpack_soil_payload(payloads: DataFrame, column: str = "payload") -> DataFra
 
 
 def mukey_worklist(pairs: DataFrame, chunk: int = 500) -> DataFrame:
-    """Distinct keys in batches of ``chunk``. The number of a key is its rank within its range partition plus the sizes of those before."""
+    """Distinct (numeric) keys in batches of ``chunk``, in their order; a key's number is how many smaller ones there are."""
     keys = pairs.select("mukey").where("mukey IS NOT NULL").distinct()
-    parts = keys.repartitionByRange("mukey").sortWithinPartitions("mukey").withColumn("part", F.spark_partition_id())
-    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ranked = parts.withColumn("rank", F.row_number().over(Window.partitionBy("part").orderBy("mukey")))
-    return ranked.join(F.broadcast(before), "part").select("mukey", F.floor((F.col("before") + F.col("rank") - 1) / chunk).cast("long").alias("batch"))
+    return cumulative(keys, [], "mukey").select("mukey", F.floor(F.col("before") / chunk).cast("long").alias("batch"))
 
 
 def read_tiles(lines: DataFrame, columns: list[str] | None = None) -> DataFrame:
