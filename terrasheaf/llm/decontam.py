@@ -164,7 +164,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_c
     blocks = max(1, -(-windows.count() // block_windows))
     kept = docs.select(*keep).schema
     texts = docs.select(*keep, F.col(text_col).cast("string").alias("text")) if text_col != "text" or "text" not in keep else docs.select(*keep)
-    carried = texts.select("*", F.lit(None).cast("array<long>").alias("__hits"), F.lit(None).cast("array<long>").alias("__items"), F.lit(0).cast("long").alias("__words"))
+    carried = texts.select("*", F.lit(None).cast("array<long>").alias("__hits"), F.lit(None).cast("array<long>").alias("__items"))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields)
     final = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields] + ["n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"])
     for k in range(blocks):
@@ -191,13 +191,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_c
                         all_spans.append(flat + [x for span in spans for x in span])
                         all_items.append(set(items_before[start + i].as_py() or ()) | items)
                         low = high
-                    n_words = np.diff(np.concatenate([[0], ends]))
                     if last:
+                        n_words = np.diff(np.concatenate([[0], ends]))
                         hit = [covered_words(s) for s in all_spans]
                         schema = pa.schema([batch.schema.field(batch.schema.get_field_index(c)) for c in keep] + [("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
                         yield with_columns(batch, keep, schema, start, end, n_words=n_words, n_hit=hit, n_items=[len(s) for s in all_items], items_sha256=[sha256_of(s) for s in all_items], contaminated=[h > 0 for h in hit])
                     else:
-                        yield with_columns(batch, [c for c in batch.schema.names if not c.startswith("__")], batch.schema, start, end, __hits=all_spans, __items=[sorted(s) for s in all_items], __words=n_words)
+                        yield with_columns(batch, [c for c in batch.schema.names if not c.startswith("__")], batch.schema, start, end, __hits=all_spans, __items=[sorted(s) for s in all_items])
 
         carried = carried.mapInArrow(match, final if last else ddl)
     return carried
