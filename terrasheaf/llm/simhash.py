@@ -116,14 +116,19 @@ def meet(fps: np.ndarray, bucket: int, rows: list[int], radius: int) -> tuple[np
     odd = (np.bitwise_count(fps) & 1).astype(bool)
     low, high = np.searchsorted(mask_bucket, wanted, "left"), np.searchsorted(mask_bucket, wanted, "right")
     width = high - low
-    who = np.repeat(np.arange(len(fps)), width)
-    at = np.arange(len(who)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(low, width)
+    # 32-bit positions, and no more than a few arrays of the variants' number at a time
+    who = np.repeat(np.arange(len(fps), dtype=np.int32), width)
+    at = np.arange(len(who), dtype=np.int32)
+    at -= np.repeat((np.cumsum(width) - width - low).astype(np.int32), width)
     near = weight[at] <= small
     keep = near | odd[who]
     who, at, near = who[keep], at[keep], near[keep]
-    variants = fps[who] ^ masks[at]
+    variants = fps[who]
+    variants ^= masks[at]
+    del at, keep
     order = np.argsort(variants)
     variants, who, near = variants[order], who[order], near[order]
+    del order
     if not len(variants):
         return who, who
     new = np.concatenate([[True], variants[1:] != variants[:-1]])

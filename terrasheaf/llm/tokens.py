@@ -34,7 +34,7 @@ def load_tokenizer(path: str):
 PLAIN = re.compile("[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 PIECES = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 #: Pieces of words that a Python worker keeps; only speed depends on it.
-KEPT = 700_000
+KEPT = 400_000
 
 
 def byte_characters() -> dict[int, str]:
