@@ -43,6 +43,16 @@ def inside(ring: Column, x: Column, y: Column) -> Column:
     return F.aggregate(F.transform(ring, crosses), F.lit(0), lambda acc, k: acc + k) % 2 == 1
 
 
+def crossings(ring: Column, y: Column) -> Column:
+    """Where a ring's sides cross a horizontal line, in order; a side counts as in ``inside``."""
+
+    def cross(p: Column, i: Column) -> Column:
+        q = F.element_at(ring, F.least(i + 2, F.size(ring)))
+        return F.when((p["y"] > y) != (q["y"] > y), (q["x"] - p["x"]) * (y - p["y"]) / (q["y"] - p["y"]) + p["x"])
+
+    return F.array_sort(F.filter(F.transform(ring, cross), lambda x: x.isNotNull()))
+
+
 def ring_bbox(ring: Column) -> Column:
     xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
     return F.struct(F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"), F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"))

@@ -24,15 +24,26 @@ def rasterize(rings: DataFrame, grids: DataFrame, keep: list[str], overlay: str
     """(tile, row, col and ``keep``): the cells whose centre lies in a ring. In ``mask`` form a cell may belong to several rings; in ``burn``
     form the ring that is last in ``order`` takes it.
 
-    A ring is exploded to the rows of its bounding box and then to the columns there, so no ring meets cells far from it."""
+    A ring is exploded to the rows of its bounding box, a row to the stretches between the ring's crossings with the row's centre line, and
+    only the cells of those stretches become rows: no cell is tested one by one, and no ring meets cells far from it."""
     box = rings.join(grids, "tile").withColumn("box", G.ring_bbox(F.col("ring")))
     index = lambda v, zero, step, n: F.greatest(F.lit(0), F.least(n - 1, F.floor((v - zero) / step).cast("int")))
     r0, r1 = (index(F.col(f"box.{a}"), F.col("y0"), F.col("dy"), F.col("nrows")) for a in ("miny", "maxy"))
-    c0, c1 = (index(F.col(f"box.{a}"), F.col("x0"), F.col("dx"), F.col("ncols")) for a in ("minx", "maxx"))
     rows = box.withColumn("row", F.explode(F.sequence(F.least(r0, r1), F.greatest(r0, r1))))
-    cells = rows.withColumn("col", F.explode(F.sequence(F.least(c0, c1), F.greatest(c0, c1))))
-    x, y = cell_centre(F.col("row"), F.col("col"))
-    hit = cells.where(G.inside(F.col("ring"), x, y))
+    rows = rows.withColumn("cross", G.crossings(F.col("ring"), F.col("y0") + (F.col("row") + 0.5) * F.col("dy")))
+    place = lambda x: (x - F.col("x0")) / F.col("dx") - 0.5
+    rising = F.col("dx") > 0
+
+    def stretch(k: Column) -> Column:
+        """The columns whose centre lies between crossings 2 k + 1 and 2 k + 2, the first included."""
+        a, b = place(F.element_at("cross", 2 * k + 1)), place(F.element_at("cross", 2 * k + 2))
+        low = F.when(rising, F.ceil(a)).otherwise(F.floor(b) + 1).cast("int")
+        high = F.when(rising, F.ceil(b) - 1).otherwise(F.floor(a)).cast("int")
+        return F.struct(F.greatest(F.lit(0), low).alias("low"), F.least(F.col("ncols") - 1, high).alias("high"))
+
+    pairs = F.when(F.size("cross") >= 2, F.transform(F.sequence(F.lit(0), F.floor(F.size("cross") / 2).cast("int") - 1), stretch))
+    spans = rows.withColumn("span", F.explode(pairs)).where("span.low <= span.high")
+    hit = spans.withColumn("col", F.explode(F.sequence("span.low", "span.high")))
     if overlay == "mask":
         return hit.select(*CELL, *keep)
     top = hit.groupBy(*CELL).agg(F.max_by(F.struct(*keep), F.col(order)).alias("k"))
