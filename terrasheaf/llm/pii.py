@@ -107,10 +107,29 @@ DOT = r"[ ]{0,3}[\[({<][ ]{0,2}(?:dot|\.|punkt|punto|point)[ ]{0,2}[\])}>][ ]{0,
 BRACKETED = re.compile(rf"(?P<at>{AT})|(?P<dot>{DOT})", re.IGNORECASE)
 ENTITIES = re.compile(rf"(?P<at>{ENTITY_AT})|(?P<dot>{ENTITY_DOT})", re.IGNORECASE)
 WORD_AT, WORD_DOT = r"(?:[ ]+(?:at|arroba|arobase)[ ]+|[-_](?:at|arroba|arobase)[-_])", r"(?:[ ]+(?:dot|punkt|punto|point)[ ]+|[-_](?:dot|punkt|punto|point)[-_])"
-BARE = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>{WORD_AT})[A-Za-z0-9-]+(?:{WORD_DOT}[A-Za-z0-9-]+)+(?![A-Za-z0-9-])", re.IGNORECASE)
-BARE_DOT = re.compile(WORD_DOT, re.IGNORECASE)
-SPACED = re.compile(r"(?<=[A-Za-z0-9._%+-])(?:[ ]{1,3}@[ ]{0,3}|@[ ]{1,3})(?=[A-Za-z0-9-]+(?:\.|[ ]\.[ ])[A-Za-z0-9-])")
-SPACED_DOT = re.compile(r"(?:\.|[ ]\.[ ])[A-Za-z0-9-]+")
+# Signs as they stand after the folding of entities and brackets: each at and each dot is literal, spaced or spelled, whatever the others are.
+AT_SIGN = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?:(?P<spelled>{WORD_AT})|(?P<literal>[ ]{{0,3}}@[ ]{{0,3}}))(?=[A-Za-z0-9-])", re.IGNORECASE)
+DOT_SIGN = re.compile(rf"(?:(?P<spelled>{WORD_DOT})|\.|[ ]\.[ ])(?=[A-Za-z0-9-])", re.IGNORECASE)
+LABEL = re.compile(r"(?:[A-Za-z0-9]|-(?!(?:dot|punkt|punto|point)[-_]))+", re.IGNORECASE)
+PATH = re.compile(r"/|[:?#]\S")
+LOCAL_DOT = re.compile(rf"(?<=[A-Za-z0-9%+]){WORD_DOT}\Z", re.IGNORECASE)
+# The top-level domains that make a mixed disguise an address, country codes and the usual generic ones.
+TOP_LEVEL = frozenset(
+    "ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd cf cg ch ci ck cl cm cn co cr cu cv cw cx cy cz "
+    "de dj dk dm do dz ec ee eg er es et eu fi fj fk fm fo fr ga gb gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it "
+    "je jm jo jp ke kg kh ki km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na nc ne nf ng ni "
+    "nl no np nr nu nz om pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh si sk sl sm sn so sr ss st su sv sx sy sz tc td tf tg th tj "
+    "tk tl tm tn to tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw aero app arpa asia bank biz blog cat cloud club com coop dev edu email "
+    "example gmail gov gob info int internal jobs live local mail mil mobi museum name net news online org post pro shop site space store studio tech tel today top travel "
+    "web website wiki work world xyz zone".split()
+)
+# Words that stand before 'at' and a site's name in prose, where nothing else is disguised.
+BEFORE_SITE = frozenset(
+    "a about all also am and any are arrive arrived as available be been buy call check click code come contact data details do docs documentation download downloaded downloads find first "
+    "follow for found free friends go got guys have her here him home hosted i info information is it join just keep latest live located look looked looking looks made me meet met more "
+    "news not now of on online only or order out page people posted project published read register see seen sell shop sign site so sold source stay store team that the them there "
+    "these this those up updates us version visit was watch we website were work worked working works written you".split()
+)
 NUMBER_DOT = re.compile(r"(?<=[0-9])[ ]+(?:dot|punkt|punto|point)[ ]+(?=[0-9])", re.IGNORECASE)
 SPELLED_SIGN = re.compile(r"[ ]*(?<![^\W_])(?P<sign>plus|dot|point|punto|punkt|dash|hyphen)(?![^\W_])[ ]*", re.IGNORECASE)
 SIGNS = {"plus": "+", "dot": ".", "point": ".", "punto": ".", "punkt": ".", "dash": "-", "hyphen": "-"}
@@ -171,28 +190,61 @@ def fold_characters(text: Rewritten) -> Rewritten:
     return text.replace(sorted(set(edits)))
 
 
+def plausible(label: str) -> bool:
+    """Whether a name may end in this label. A capital alone begins a sentence."""
+    return (label.islower() or label.isupper()) and (label.lower() in TOP_LEVEL or label.lower().startswith("xn--"))
+
+
+def address_signs(text: str) -> list[tuple[int, int, str]]:
+    """Edits that make signs of what stands for them in addresses, found from each at sign so that time stays linear.
+
+    An at and dots that are all spelled, or a spaced @ before literal or spaced dots, are signs before any label; a mixture is only up to the
+    last plausible top-level domain, and a spelled at with no other disguise only after a word that isn't one of prose, outside of paths."""
+    edits: list[tuple[int, int, str]] = []
+    free = 0
+    for m in AT_SIGN.finditer(text):
+        start = m.start()
+        if start < free:
+            continue
+        while start > free and text[start - 1] in LOCAL:
+            start -= 1
+        first = LABEL.match(text, m.end())
+        if start == m.start() or not first:
+            continue
+        spelled, dots, kinds, n, end = m["spelled"] is not None, [], [], 0, first.end()
+        alike = spelled or m[0] != "@"
+        while dot := DOT_SIGN.match(text, end):
+            label = LABEL.match(text, dot.end())
+            if not label:
+                break
+            dots.append(dot)
+            kinds.append(dot["spelled"] is not None)
+            end = label.end()
+            alike = alike and kinds[-1] == spelled
+            if alike or plausible(label[0]):
+                n, stop = len(dots), end
+        if not n:
+            continue
+        if spelled and all(d[0] == "." for d in dots[:n]) and (text[start : m.start()].lower() in BEFORE_SITE or text[start - 1 : start] == "/" or PATH.match(text, stop)):
+            continue
+        while before := LOCAL_DOT.search(text, max(free, start - 16), start):
+            edits.append((before.start(), start, "."))
+            start = before.start()
+            while start > free and text[start - 1] in LOCAL:
+                start -= 1
+        edits.append((m.start(), m.end(), "@"))
+        edits += [(d.start(), d.end(), ".") for d in dots[:n]]
+        free = stop
+    return sorted((a, b, new) for a, b, new in edits if text[a:b] != new)
+
+
 def fold_signs(text: Rewritten) -> Rewritten:
-    """Disguised at and dot signs: entities and bracketed ones by themselves, bare words only between numbers or as a whole address, and
-    spaces around an @ where a dotted name follows."""
+    """Disguised at and dot signs: entities and bracketed ones by themselves, bare words only between numbers or as part of a whole address,
+    in which each sign may be disguised in its own way."""
     text = text.replace([(m.start(), m.end(), "@" if m["at"] else ".") for m in ENTITIES.finditer(text.text)])
     text = text.replace([(m.start(), m.end(), ".") for m in NUMBER_DOT.finditer(text.text)])
     text = text.replace([(m.start(), m.end(), "@" if m["at"] else ".") for m in BRACKETED.finditer(text.text)])
-    edits = []
-    for m in BARE.finditer(text.text):
-        edits.append((*m.span("at"), "@"))
-        edits += [(d.start(), d.end(), ".") for d in BARE_DOT.finditer(text.text, m.end("at"), m.end())]
-    text = text.replace(edits)
-    edits = []
-    for m in SPACED.finditer(text.text):
-        edits.append((m.start(), m.end(), "@"))
-        at = m.end()
-        while at < len(text.text) and (text.text[at].isascii() and text.text[at].isalnum() or text.text[at] == "-"):
-            at += 1
-        while d := SPACED_DOT.match(text.text, at):
-            if text.text[at] == " ":
-                edits.append((at, at + 3, "."))
-            at = d.end()
-    return text.replace(edits)
+    return text.replace(address_signs(text.text))
 
 
 #: Runs of digits and of letters that stand for digits, and what the letters stand for.
@@ -245,7 +297,11 @@ def fold_digits(text: Rewritten) -> Rewritten:
 
 #: Characters that may be part of a disguise; other non-ASCII letters, such as accented ones, are not worth a second look.
 ODD = re.compile("[" + re.escape("".join([*LOOKALIKES, *MARKS, *INVISIBLE])) + "！-～٠-٩۰-۹०-९\U0001d400-\U0001d7ff\u2100-\u214f]")
-DISGUISES = re.compile(rf"{ENTITY_AT}|{ENTITY_DOT}|[ ]@|@[ ]|[-_ ](?:dot|punkt|punto|point)[-_ ]|[\[({{<][ ]{{0,2}}(?:at|@|arroba|arobase|dot|\.|punkt|punto|point)[ ]{{0,2}}[\])}}>]", re.IGNORECASE)
+DISGUISES = re.compile(
+    rf"{ENTITY_AT}|{ENTITY_DOT}|[ ]@|@[ ]|@[A-Za-z0-9.-]+[ ]\.[ ]|[-_ ](?:dot|punkt|punto|point)[-_ ]|[-_ ](?:at|arroba|arobase)[-_ ]+[A-Za-z0-9-]+(?:\.|[ ]\.[ ])[A-Za-z0-9-]"
+    rf"|[\[({{<][ ]{{0,2}}(?:at|@|arroba|arobase|dot|\.|punkt|punto|point)[ ]{{0,2}}[\])}}>]",
+    re.IGNORECASE,
+)
 LETTER_DIGITS = re.compile(r"[0-9][ .()-]?[OolI](?![A-HJ-NP-Za-km-np-z])|(?<![A-Za-z])[OolI][ .()-]?[0-9]")
 TWO_DIGITS = re.compile(rf"(?<![^\W_])(?:{NAMES})[ ,./-]{{1,3}}(?:{NAMES})(?![^\W_])", re.IGNORECASE)
 

@@ -127,6 +127,30 @@ def test_plain_text_is_left_alone(text):
     assert pii.all_spans(text)[1] == []
 
 
+AT_SIGNS = {"literal": "@", "bracketed": " [at] ", "spelled": " at ", "hyphened": "_at_", "entity": "&#64;", "spaced": " @ "}
+DOT_SIGNS = {"literal": ".", "bracketed": " (dot) ", "spelled": " dot ", "hyphened": "_dot_", "entity": "&#46;", "spaced": " . "}
+
+
+@pytest.mark.parametrize("at", AT_SIGNS)
+@pytest.mark.parametrize("first", DOT_SIGNS)
+@pytest.mark.parametrize("second", DOT_SIGNS)
+def test_every_mixture_of_signs_is_an_address(at, first, second):
+    for part in (f"jane.doe{AT_SIGNS[at]}mail{DOT_SIGNS[first]}com", f"jane{AT_SIGNS[at]}mail{DOT_SIGNS[first]}co{DOT_SIGNS[second]}uk"):
+        text = f"Write, {part}, or call"
+        assert part in [text[a:b] for a, b, kind in pii.all_spans(text)[1] if kind == "email"]
+        assert pii.redact(text, pii.all_spans(text)[1]) == "Write, [EMAIL], or call"
+
+
+def test_spelled_dots_of_the_local_part_belong_to_the_address():
+    text = "to jane dot van dot doe at mail.com"
+    assert [text[a:b] for a, b, _ in pii.all_spans(text)[1]] == [text[3:]]
+
+
+@pytest.mark.parametrize("text", ["look at example.com for more", "we met at noon.It was late", "foo@bar dot product", "see docs at https://look-at-me.com/x", "a talk at github.com/x/y", "ratio at 3.14 per cent", "list [at] top dot product"])
+def test_mixed_signs_need_a_plausible_address(text):
+    assert pii.all_spans(text)[1] == []
+
+
 def test_kneser_ney_against_direct_sums(spark):
     rnd = random.Random(4)
     texts = [prose(rnd, rnd.randint(0, 60), "abc") for _ in range(80)]
