@@ -15,7 +15,7 @@ from terrasheaf.llm.common import runs, texts_of, with_columns
 
 #: A repeated substring counts from this many words on.
 MIN_REPEAT_WORDS = 10
-#: A document is rejected if repeated substrings cover a larger share of its words, or one of them is longer than both limits.
+#: A document is rejected if repeated substrings cover a larger share of its words, or if one of them is longer than either limit.
 MAX_COVERED = 0.3
 MAX_REPEAT_SHARE = 0.2
 MAX_REPEAT_WORDS = 100
@@ -143,7 +143,7 @@ def verdict(measured: DataFrame) -> DataFrame:
     """Adds base_failed (under 50 words, or over half of them in repeated three-word windows) and kept."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     share = F.col("n_covered_words") / F.greatest(F.col("n_words"), F.lit(1))
-    long = (F.col("longest_repeat") > MAX_REPEAT_WORDS) & (F.col("longest_repeat") > MAX_REPEAT_SHARE * F.col("n_words"))
+    long = (F.col("longest_repeat") > MAX_REPEAT_WORDS) | (F.col("longest_repeat") > MAX_REPEAT_SHARE * F.col("n_words"))
     return measured.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (share <= MAX_COVERED) & ~long)
 
 

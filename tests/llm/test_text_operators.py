@@ -224,6 +224,16 @@ def test_repeated_passages_are_rejected_and_clean_text_is_kept(spark):
     assert [r["kept"] for r in rows] == [True, False]
 
 
+def test_one_long_repeat_rejects_a_long_text_of_low_coverage(spark):
+    rnd = random.Random(13)
+    passages = [prose(rnd, n, "abcdefghijkl") for n in (2900, 120, 90)]
+    texts = [f"{prose(rnd, 7000, 'abcdefghijkl')} {p} {prose(rnd, 7000, 'abcdefghijkl')} {p}" for p in passages]
+    rows = repetition.quality_rules(docs(spark, texts)).orderBy("doc_id").collect()
+    assert all(r["n_covered_words"] < repetition.MAX_COVERED * r["n_words"] and not r["base_failed"] for r in rows)
+    assert [r["longest_repeat"] >= n for r, n in zip(rows, (2900, 120, 90), strict=True)] == [True] * 3
+    assert [r["kept"] for r in rows] == [False, False, True]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab c.\n'sé1́<|endoftext|> Σİß", max_size=200), st.integers(8, 60), st.integers(2, 8))
 def test_token_ids_equal_the_library(text, chunk, overlap):
