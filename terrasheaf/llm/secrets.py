@@ -25,8 +25,9 @@ FURTHER = {
     "url": r"(?<=://)[A-Za-z0-9._%+-]{1,64}:[^\s:/@]{6,128}(?=@)",
     "opaque": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,64}[0-9])(?=[A-Z0-9+/_-]{0,64}[a-z])(?=[a-z0-9+/_-]{0,64}[A-Z])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])",
 }
-#: A candidate with more owners than this is an example that people copy.
-MAX_OWNERS = 1
+#: A candidate is an example that people copy if it has more independent owners or repositories, stands in more distinct texts, or its copies
+#: reach more owners than this.
+MAX_OWNERS, MAX_REPOS, MAX_TEXTS, MAX_COPY_OWNERS = 3, 5, 20, 5
 
 # A private-use character marks where matches begin and end; one in the text itself is exchanged for its neighbour, of the same length.
 MARK, STAND_IN = "\ue000", "\ue001"
@@ -61,21 +62,31 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """(digest, n_repos, n_owners): by how many distinct repositories and owners each candidate is held, counted in two steps so that a
-    credential copied everywhere is one row per repository before it meets itself."""
-    return spans.select("digest", "repo", "owner").distinct().groupBy("digest").agg(F.count_distinct("repo").alias("n_repos"), F.count_distinct("owner").alias("n_owners"))
+    """(digest, n_repos, n_owners, n_texts, n_copy_owners): by how many repositories and owners each candidate is held, and in how many texts.
 
+    Copies of a text count once in the first three: each distinct text is its first repository's and owner's. n_copy_owners counts the owners
+    of all copies. All are counted in steps, so that a credential copied everywhere is few rows before it meets itself."""
+    texts = spans.groupBy("digest", F.substring_index("row_key", ":", -2).alias("text_key")).agg(F.min("repo").alias("repo"), F.min("owner").alias("owner"))
+    independent = texts.groupBy("digest").agg(F.count_distinct("repo").alias("n_repos"), F.count_distinct("owner").alias("n_owners"), F.count(F.lit(1)).alias("n_texts"))
+    copies = spans.select("digest", "owner").distinct().groupBy("digest").agg(F.count("owner").alias("n_copy_owners"))
+    return independent.join(copies, "digest")
 
-def joined(spans: Column) -> Column:
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+def looks_live() -> Column:
+    return (F.col("n_owners") <= MAX_OWNERS) & (F.col("n_repos") <= MAX_REPOS) & (F.col("n_texts") <= MAX_TEXTS) & (F.col("n_copy_owners") <= MAX_COPY_OWNERS)
+
+
+def joined(spans: Column, *more: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], *(s[n].cast("string") for n in ("start", "end", *more)))), ",")
 
 
 def find_secrets(docs: DataFrame, repo: Column | None = None, owner: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example and live_spans.
+    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, live_spans and holders.
 
     ``repo`` and ``owner`` say where a document comes from (by default its source, and the source's name up to the first slash). Base matches
-    are spans always. Further candidates (provider tokens, JWTs, credentials in addresses, opaque strings) are added if at most ``MAX_OWNERS``
-    owners hold the same secret. n_live and n_example count distinct spans of either sort, live_spans lists those that look live.
+    are spans always. Further candidates (provider tokens, JWTs, credentials in addresses, opaque strings) are added unless the same secret is
+    widely copied, by its repositories, owners and distinct texts together. n_live and n_example count distinct spans of either sort,
+    live_spans lists those that look live, and holders every candidate, dropped ones too, as kind:start:end:repositories:owners:texts.
 
     Rows are told apart by id and text, so repeated rows give the same result each; null or empty text has no spans; a null id, repository
     or owner is a value like any other (a null owner counts as none); no rows give no rows; other columns are ignored.
@@ -90,13 +101,13 @@ def find_secrets(docs: DataFrame, repo: Column | None = None, owner: Column | No
     owned = ownership(spans)
     order = F.when(F.col("kind") == "assign", 0).when(F.col("kind") == "access", 1).when(F.col("kind") == "hex", 2).otherwise(3)
     held = spans.select("row_key", "kind", "start", "end", "digest").distinct().join(owned, "digest", "left")
-    judged = held.select("row_key", "start", order.alias("rank"), "kind", "end", (F.coalesce("n_owners", F.lit(0)) <= MAX_OWNERS).alias("live"))
-    wanted = judged.where((F.col("rank") < 3) | F.col("live"))
-    grouped = wanted.groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end", "live"))).alias("all"))
+    judged = held.select("row_key", "start", order.alias("rank"), "kind", "end", looks_live().alias("live"), "n_repos", "n_owners", "n_texts")
+    grouped = judged.groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end", "live", "n_repos", "n_owners", "n_texts"))).alias("found"))
+    grouped = grouped.withColumn("all", F.filter("found", lambda s: (s["rank"] < 3) | s["live"]))
     grouped = grouped.withColumn("base", F.filter("all", lambda s: s["rank"] < 3))
     none = F.array().cast(T.ArrayType(grouped.schema["all"].dataType.elementType))
     full = rows.select("doc_id", "row_key").join(grouped, "row_key", "left")
-    full = full.withColumn("all", F.coalesce("all", none)).withColumn("base", F.coalesce("base", none))
+    full = full.withColumn("found", F.coalesce("found", none)).withColumn("all", F.coalesce("all", none)).withColumn("base", F.coalesce("base", none))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return full.select(
         "doc_id",
@@ -106,4 +117,5 @@ def find_secrets(docs: DataFrame, repo: Column | None = None, owner: Column | No
         F.size(F.filter("all", lambda s: s["live"])).cast("long").alias("n_live"),
         F.size(F.filter("all", lambda s: ~s["live"])).cast("long").alias("n_example"),
         joined(F.filter("all", lambda s: s["live"])).alias("live_spans"),
+        joined(F.col("found"), "n_repos", "n_owners", "n_texts").alias("holders"),
     )

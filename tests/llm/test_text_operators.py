@@ -384,6 +384,16 @@ def test_ownership_separates_copied_examples_from_live_secrets(spark):
     assert rows[7]["n_assign"] == 1 and rows[7]["n_live"] == 1
 
 
+def test_wide_copying_is_judged_by_holders_and_distinct_texts(spark):
+    copied, hot, common = "ghp_" + "a1B2" * 10, "ghp_" + "Z9y8" * 10, "ghp_" + "Q7w6" * 10
+    texts = [f"use {copied} here"] * 2 + [f"case {k} of {hot}" for k in range(30)] + [f"see {common} in {k}" for k in range(5)]
+    sources = ["alpha", "beta"] + ["big"] * 30 + [f"s{k}" for k in range(5)]
+    rows = {r["doc_id"]: r for r in secrets.find_secrets(docs(spark, texts, source=lambda k: sources[k])).collect()}
+    assert rows[0]["live_spans"] == rows[1]["live_spans"] == "opaque:4:48,provider:4:48" and "provider:4:48:1:1:1" in rows[0]["holders"].split(",")
+    assert all(rows[k]["spans"] == "" and rows[k]["holders"].endswith(":1:1:30") for k in range(2, 32))
+    assert all(rows[k]["spans"] == "" and rows[k]["holders"].endswith(":5:5:5") for k in range(32, 37))
+
+
 def test_toxicity_learns_words_and_prefixes(spark):
     rnd = random.Random(12)
     texts, labels = [], []
