@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from terrasheaf.llm.common import materialize
 
@@ -20,8 +21,9 @@ MARKERS = {
 }
 #: How often, before any counting, a marker is taken to have been seen with its role, and any value with any role.
 MARKER_PRIOR, PRIOR = 1000.0, 0.5
-#: Turn numbers of one conversation that a task decodes together.
-BLOCK_TURNS = 1024
+#: Turn numbers of one conversation whose segments are counted together, and about how many segments a task decodes together.
+BLOCK_TURNS, BLOCK_ROWS = 1024, 1024
+BLOCK = ["block", "sub", "chunk"]
 
 
 def features(text: Column) -> dict[str, tuple[Column, int]]:
@@ -61,7 +63,7 @@ def learn(segments: DataFrame) -> RoleModel:
     names = [n for n, _ in known.select("f.*").dtypes]
     pairs = known.select("role", F.explode(F.array(*(F.struct(F.lit(n).alias("name"), F.col(f"f.{n}").alias("value")) for n in names))).alias("x"))
     values = {(r["role"], r["name"], r["value"]): r["n"] for r in pairs.groupBy("role", "x.name", "x.value").agg(F.count(F.lit(1)).alias("n")).collect()}
-    turns = known.where("turn >= 0").groupBy("conv_id", "turn").agg(F.min("role").alias("role"))
+    turns = known.where("turn >= 0 AND conv_id <> 'null'").groupBy("conv_id", "turn").agg(F.min("role").alias("role"))
     after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next"))
     steps = {(r["role"], r["next"]): r["n"] for r in turns.join(after, ["conv_id", "turn"]).groupBy("role", "next").agg(F.count(F.lit(1)).alias("n")).collect()}
     starts = {r["role"]: r["n"] for r in turns.where("turn = 0").groupBy("role").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -121,36 +123,53 @@ def block_ends(matrices: list[np.ndarray], start: np.ndarray, step: np.ndarray)
     return ends[::-1]
 
 
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """Adds ``BLOCK``, which cut each conversation in order of (turn, row_id) into blocks of about ``BLOCK_ROWS`` rows, twice that at most.
+
+    Turn numbers that go together by number do so if they are few rows; else turns are dealt by how many rows come before them among those
+    numbers, and a turn of more rows than a block is cut by the hash that ends row_id, whose order is row_id's."""
+    block = F.floor(F.col("turn") / BLOCK_TURNS).cast("long")
+    counts = rows.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("__n")).withColumn("block", block)
+    whole = Window.partitionBy("conv_id", "block")
+    before = F.coalesce(F.sum("__n").over(whole.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    large = counts.select("conv_id", "turn", "__n", F.sum("__n").over(whole).alias("__all"), before.alias("__before")).where(F.col("__all") > 2 * BLOCK_ROWS).drop("__all")
+    hashed = F.conv(F.substring(F.substring_index("row_id", ":", -1), 1, 8), 16, 10).cast("long")
+    chunk = F.when(F.col("__n") > BLOCK_ROWS, 1 + F.shiftright(hashed * F.ceil(F.col("__n") / BLOCK_ROWS), 32))
+    placed = rows.join(large, ["conv_id", "turn"], "left")
+    keys = {"block": block, "sub": F.coalesce(F.floor(F.col("__before") / BLOCK_ROWS), F.lit(0)).cast("long"), "chunk": F.coalesce(chunk, F.lit(0)).cast("long")}
+    return placed.withColumns(keys).drop("__n", "__before")
+
+
 def recover_roles(segments: DataFrame, model: RoleModel) -> DataFrame:
     """Adds ``found``, the index of each segment's role on the best path through its whole conversation.
 
-    Conversations are decoded in blocks of ``BLOCK_TURNS`` turn numbers, in three steps: each block's max-plus matrix, one small row for a
-    block; each conversation's best way through its blocks' matrices; and each block's path between the roles found for its ends. The result
-    is the same as that of one pass, and no task holds the segments of a conversation of any length.
+    Conversations are decoded in blocks (``in_blocks``), in three steps: each block's max-plus matrix, one small row for a block; each
+    conversation's best way through its blocks' matrices; and each block's path between the roles found for its ends. The result is the same
+    as that of one pass, and no task holds the segments of a conversation of any length, whatever its turn numbers are.
     """
     columns = [emission(model, k).alias(f"e{k}") for k in range(3)]
-    block = F.floor(F.col("turn") / BLOCK_TURNS).cast("long").alias("block")
-    rows = materialize(segments.select("row_id", "conv_id", block, "turn", *columns), "segments")
+    rows = in_blocks(materialize(segments.select("row_id", "conv_id", "turn", *columns), "segments"))
     step, start = model.step, model.start
     order = ["turn", "row_id"]
 
     def matrices_of(pdf: pd.DataFrame, starts: list[int], stops: list[int]) -> pd.DataFrame:
         e = pdf[["e0", "e1", "e2"]].to_numpy()
         firsts = pdf.iloc[starts]
-        return pd.DataFrame({"conv_id": firsts["conv_id"].to_numpy(), "block": firsts["block"].to_numpy(), "m": [block_matrix(e[a:b], step).ravel().tolist() for a, b in zip(starts, stops, strict=True)]})
+        return pd.DataFrame({"conv_id": firsts["conv_id"].to_numpy(), **{k: firsts[k].to_numpy() for k in BLOCK}, "m": [block_matrix(e[a:b], step).ravel().tolist() for a, b in zip(starts, stops, strict=True)]})
 
     def ends_of(pdf: pd.DataFrame, starts: list[int], stops: list[int]) -> pd.DataFrame:
         m = [np.array(x).reshape(3, 3) for x in pdf["m"]]
         found = [x for a, b in zip(starts, stops, strict=True) for x in block_ends(m[a:b], start, step)]
-        return pd.DataFrame({"conv_id": pdf["conv_id"].to_numpy(), "block": pdf["block"].to_numpy(), "first": [a for a, _ in found], "last": [b for _, b in found]})
+        return pd.DataFrame({"conv_id": pdf["conv_id"].to_numpy(), **{k: pdf[k].to_numpy() for k in BLOCK}, "first": [a for a, _ in found], "last": [b for _, b in found]})
 
     def paths_of(pdf: pd.DataFrame, starts: list[int], stops: list[int]) -> pd.DataFrame:
         e, first, last = pdf[["e0", "e1", "e2"]].to_numpy(), pdf["first"].tolist(), pdf["last"].tolist()
         return pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "found": [x for a, b in zip(starts, stops, strict=True) for x in best_path(e[a:b], step, first[a], last[a])]})
 
-    matrices = in_groups(rows, ["conv_id", "block"], order, matrices_of, "conv_id string, block long, m array<double>")
-    bounds = materialize(in_groups(matrices, ["conv_id"], ["block"], ends_of, "conv_id string, block long, first int, last int"), "block-ends")
-    decoded = in_groups(rows.join(bounds, ["conv_id", "block"]), ["conv_id", "block"], order, paths_of, "row_id string, found int")
+    keys, ddl = ["conv_id", *BLOCK], "conv_id string, block long, sub long, chunk long"
+    matrices = in_groups(rows, keys, order, matrices_of, f"{ddl}, m array<double>")
+    bounds = materialize(in_groups(matrices, ["conv_id"], BLOCK, ends_of, f"{ddl}, first int, last int"), "block-ends")
+    decoded = in_groups(rows.join(bounds, keys), keys, order, paths_of, "row_id string, found int")
     return segments.join(decoded, "row_id")
 
 
@@ -181,8 +200,8 @@ def format_chats(conversations: DataFrame, parts: int = 5, part: int = 0) -> Dat
     """conv_id, turn, held_out, role (recovered), given_role, had_marker and rendered, for every segment of every transcript.
 
     Learns from segments whose crc32 of conv_id is not ``part`` modulo ``parts``; decoding never sees given roles. A segment's speaker marker
-    is stripped and its text rendered as <|role|>, newline, text, <|end|>, newline. Null text is empty; a null turn comes before all others; a null
-    conv_id is one conversation; equal turn numbers are ordered by text and copies of a row share one role; unknown given roles teach nothing;
+    is stripped and its text rendered as <|role|>, newline, text, <|end|>, newline. Null text is empty; a null turn comes before all others; a segment
+    with a null conv_id is decoded by itself; equal turn numbers are ordered by text and copies of a row share one role; unknown given roles teach nothing;
     no rows give no rows; other columns are ignored.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -193,6 +212,7 @@ def format_chats(conversations: DataFrame, parts: int = 5, part: int = 0) -> Dat
     rows = rows.select("*", traits.alias("f"), row_id.alias("row_id"), held.alias("held_out"))
     model = learn(rows.where(~F.col("held_out")))
     single = rows.groupBy("row_id").agg(*(F.min(c).alias(c) for c in ("conv_id", "turn")), F.first("f").alias("f"))
+    single = single.withColumn("conv_id", F.when(F.col("conv_id") == "null", F.col("row_id")).otherwise(F.col("conv_id")))
     found = recover_roles(single, model).select("row_id", "found")
     stripped = F.col("text")
     for pattern in MARKERS.values():

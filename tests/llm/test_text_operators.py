@@ -427,6 +427,26 @@ def test_chat_roles_markers_and_blocks(spark):
     assert chat.format_chats(df.limit(0)).collect() == []
 
 
+def test_blocks_are_bounded_by_rows_and_keep_the_order(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK_ROWS", 20)
+    turns = [0] * 500 + [1, 2, 3] * 15 + list(range(4, 60)) + [60] * 90 + [2000] * 3
+    rows = [("7", t, f"7:{t}:{hashlib.sha256(str(k).encode()).hexdigest()}") for k, t in enumerate(turns)] + [("8", t, f"8:{t}:ab") for t in range(30)]
+    got = chat.in_blocks(spark.createDataFrame(rows, "conv_id string, turn long, row_id string")).collect()
+    key = lambda r: (r["conv_id"], r["block"], r["sub"], r["chunk"])
+    assert sorted((r["conv_id"], r["turn"], r["row_id"]) for r in got) == sorted(rows)
+    assert max(Counter(map(key, got)).values()) <= 2 * chat.BLOCK_ROWS
+    keys = [key(r) for r in sorted(got, key=lambda r: (r["conv_id"], r["turn"], r["row_id"]))]
+    assert keys == sorted(keys)
+
+
+def test_segments_without_a_conversation_do_not_change_each_other(spark):
+    talk = [(c, t, ["user", "assistant"][t % 2], f"Turn {t} of {c}") for c in range(10) for t in range(6)]
+    loose = [(None, None, None, f"Something {k}") for k in range(7)]
+    df = spark.createDataFrame(talk + loose, "conv_id long, turn long, role string, text string")
+    got = [r["role"] for r in chat.format_chats(df).collect() if r["conv_id"] is None]
+    assert len(got) == 7 and len(set(got)) == 1
+
+
 def test_viterbi_in_blocks_equals_one_pass():
     rng = np.random.default_rng(3)
     step, start = np.log(rng.dirichlet(np.ones(3), 3)), np.log(rng.dirichlet(np.ones(3)))
