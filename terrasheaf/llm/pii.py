@@ -303,7 +303,14 @@ DISGUISES = re.compile(
     re.IGNORECASE,
 )
 LETTER_DIGITS = re.compile(r"[0-9][ .()-]?[OolI](?![A-HJ-NP-Za-km-np-z])|(?<![A-Za-z])[OolI][ .()-]?[0-9]")
-TWO_DIGITS = re.compile(rf"(?<![^\W_])(?:{NAMES})[ ,./-]{{1,3}}(?:{NAMES})(?![^\W_])", re.IGNORECASE)
+# A digit's name next to another, a numeral or a spelled sign, with the separators of fold_digits: each group that it folds has one such pair.
+BETWEEN = r"(?:[ ,/-]{1,3}|[ ]?[.()][ ]?|[ ]{1,20}(?:plus|dot|point|punto|punkt|dash|hyphen)[ ]{1,20})"
+NAME_FIRST = re.compile(rf"(?<![^\W_])(?:{NAMES}){BETWEEN}(?:[0-9]|(?:{NAMES})(?![^\W_]))", re.IGNORECASE)
+NUMERAL_FIRST = re.compile(rf"[0-9]{BETWEEN}(?:{NAMES})(?![^\W_])", re.IGNORECASE)
+
+
+def spelled_digits(text: str) -> bool:
+    return bool(NAME_FIRST.search(text) or NUMERAL_FIRST.search(text))
 
 
 def disguised(text: str) -> list[Span]:
@@ -311,13 +318,13 @@ def disguised(text: str) -> list[Span]:
 
     The transducers run one after the other, and each keeps the source span of every character it writes. Long texts are normalised whole.
     """
-    odd, signs, digits, letters = ODD.search(text), DISGUISES.search(text), TWO_DIGITS.search(text), LETTER_DIGITS.search(text)
+    odd, signs, digits, letters = ODD.search(text), DISGUISES.search(text), spelled_digits(text), LETTER_DIGITS.search(text)
     if not (odd or signs or digits or letters):
         return []
     folded = Rewritten.of(text)
     if odd:
         folded = fold_characters(folded)
-        signs, digits, letters = DISGUISES.search(folded.text), TWO_DIGITS.search(folded.text), LETTER_DIGITS.search(folded.text)
+        signs, digits, letters = DISGUISES.search(folded.text), spelled_digits(folded.text), LETTER_DIGITS.search(folded.text)
     versions = [folded]
     if digits:
         versions.append(fold_digits(folded))

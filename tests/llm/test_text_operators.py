@@ -127,6 +127,22 @@ def test_plain_text_is_left_alone(text):
     assert pii.all_spans(text)[1] == []
 
 
+@pytest.mark.parametrize(
+    ("kind", "part"),
+    [
+        ("phone", "plus 1 two 1 two 5 five 5 five 0 one 2 three"),
+        ("phone", "plus 1 (two 1 two) 5 dash five 5 five dash 0 one 2 three"),
+        ("phone", "+1 two 1.two 5-five 5, five 0/one 2 three"),
+        ("ip", "one dot 2 dot three dot 4"),
+        ("ip", "one dot two dot three dot four"),
+        ("card", "four 1 one 1 one 1 one 1 one 1 one 1 one 1 one 1"),
+    ],
+)
+def test_names_and_numerals_may_alternate(kind, part):
+    text = f"Note {part}; end"
+    assert (kind, part) in [(k, text[a:b]) for a, b, k in pii.all_spans(text)[1]]
+
+
 AT_SIGNS = {"literal": "@", "bracketed": " [at] ", "spelled": " at ", "hyphened": "_at_", "entity": "&#64;", "spaced": " @ "}
 DOT_SIGNS = {"literal": ".", "bracketed": " (dot) ", "spelled": " dot ", "hyphened": "_dot_", "entity": "&#46;", "spaced": " . "}
 
