@@ -272,7 +272,10 @@ def fold_digits(text: Rewritten) -> Rewritten:
     group: list[tuple[int, int, str]] = []
 
     def flush() -> None:
-        if sum(1 for _, _, d in group if d[0] != "\0") >= 4:
+        items = [k for k, (_, _, d) in enumerate(group) if d[0] != "\0"]
+        names = [k for k in items if not text.text[group[k][0]].isdecimal()]
+        prose = len(items) > 1 and names == items[-1:] and group[names[0] - 1][2] == "\0"  # such as 'un' after a number
+        if len(items) >= 4 and not prose:
             edits.extend((a, b, d.strip("\0")) for a, b, d in group)
 
     last = None

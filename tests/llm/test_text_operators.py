@@ -143,6 +143,11 @@ def test_names_and_numerals_may_alternate(kind, part):
     assert (kind, part) in [(k, text[a:b]) for a, b, k in pii.all_spans(text)[1]]
 
 
+def test_a_word_of_prose_after_a_number_is_not_its_digit():
+    base, spans = pii.all_spans("appelez +1 (848) 555-1373 Un an")
+    assert base == spans
+
+
 AT_SIGNS = {"literal": "@", "bracketed": " [at] ", "spelled": " at ", "hyphened": "_at_", "entity": "&#64;", "spaced": " @ "}
 DOT_SIGNS = {"literal": ".", "bracketed": " (dot) ", "spelled": " dot ", "hyphened": "_dot_", "entity": "&#46;", "spaced": " . "}
 
