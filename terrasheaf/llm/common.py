@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into Python words at a time.
 SLICE_BYTES = 1 << 20
@@ -41,6 +42,23 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key that more than this share of all rows hold is heavy; so there are fewer heavy keys than its inverse.
+HEAVY_SHARE = 1 / 1000
+
+
+def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row for every key in ``rows`` and says in ``count`` how many rows hold it.
+
+    Heavy keys, a thousand at most whatever the data, are broadcast and joined where their rows are; only the others are shuffled, so no
+    task gets more than a thousandth of all rows for one key. Both are read twice and should be stored tables."""
+    total = table.agg(F.sum(count)).first()[0] or 0
+    heavy = table.where(F.col(count) > total * HEAVY_SHARE)
+    light = table.where(F.col(count) <= total * HEAVY_SHARE)
+    there = rows.join(F.broadcast(heavy), key)
+    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key)
+    return there.unionByName(rest)
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The UTF-8 bytes of a string column; null is empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -17,6 +17,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from terrasheaf.llm import chat, decontam, kneser_ney, packing, pii, repetition, secrets, simhash, tokens, toxicity
+from terrasheaf.llm.common import join_counted
 from terrasheaf.llm.components import components
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -483,3 +484,58 @@ def test_viterbi_in_blocks_equals_one_pass():
     parts = [e[:20], e[20:21], e[21:50]]
     ends = chat.block_ends([chat.block_matrix(p, step) for p in parts], start, step)
     assert [s for p, (a, b) in zip(parts, ends, strict=True) for s in chat.best_path(p, step, a, b)] == path[::-1]
+
+
+def brute_secrets(rows):
+    """find_secrets by nested loops: rows of (text, source) to (spans, live spans, holders)."""
+    found = []
+    for text, _ in rows:
+        mine = [(m.start(), 0, "assign", m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+        mine += [(m.start(), 1, "access", m.end(), m[0]) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        mine += [(m.start(), 2, "hex", m.end(), m[0]) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        mine += [(m.start(), 3, kind, m.end(), m[0]) for kind, pattern in secrets.FURTHER.items() for m in re.finditer(pattern, text)]
+        found.append(sorted(mine))
+    places = defaultdict(list)
+    for (text, source), mine in zip(rows, found, strict=True):
+        for *_, value in mine:
+            places[value].append((text, source))
+    out = []
+    for mine in found:
+        spans, live, holders = [], [], []
+        for start, rank, kind, end, value in mine:
+            first = {}
+            for text, source in places[value]:
+                first[text] = min(first.get(text, source), source)
+            repos, owners = set(first.values()), {s.split("/")[0] for s in first.values()}
+            alive = len(owners) <= secrets.MAX_OWNERS and len(repos) <= secrets.MAX_REPOS and len(first) <= secrets.MAX_TEXTS and len({s.split("/")[0] for _, s in places[value]}) <= secrets.MAX_COPY_OWNERS
+            holders.append(f"{kind}:{start}:{end}:{len(repos)}:{len(owners)}:{len(first)}")
+            spans += [f"{kind}:{start}:{end}"] * (rank < 3 or alive)
+            live += [f"{kind}:{start}:{end}"] * alive
+        out.append((",".join(spans), ",".join(live), ",".join(holders)))
+    return out
+
+
+def test_secrets_of_repeated_rows_and_every_kind_against_brute_force(spark):
+    rnd = random.Random(14)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    some = lambda n: "".join(rnd.choice(letters) for _ in range(n))
+    pool = ["token = abcdef123", "password: hunter22x", "ghp_" + some(36), "glpat-" + some(20), f"eyJ{some(9)}.eyJ{some(9)}.{some(9)}", f"db://{some(3)}:{some(8)}@h", f"db://{some(90)}:{some(150)}@h", "z" * 71 + "1" + some(40) + "aB", some(33) + "==", "0123456789abcdef" * 2, "AKIA" + "Q" * 16]
+    texts = [" then ".join(rnd.choice([*pool, some(40), "plain words"]) for _ in range(rnd.randint(0, 5))) for _ in range(120)]
+    rows = [(t, rnd.choice(["a/x", "a/y", "b/x", "c/x", "d/z", "e/e", "f/f"])) for t in texts]
+    rows += [("my text then token = abcdef123 and password: hunter22x end", s) for s in ("a/x", "a/x", "b/x")] + rows[:20] + [(t, "zz/1") for t, _ in rows[:20]]
+    rows += [(f"hot example {pool[2]}", "hot/repo")] * 60
+    given = spark.createDataFrame([(k // 2 if k < 40 else None if k % 9 == 0 else 7, t, s) for k, (t, s) in enumerate(rows)], "doc_id long, text string, source string")
+    got = Counter((r["doc_id"], r["spans"], r["live_spans"], r["holders"], r["n_assign"]) for r in secrets.find_secrets(given).collect())
+    want = Counter()
+    for k, (spans, live, holders) in enumerate(brute_secrets(rows)):
+        want[k // 2 if k < 40 else None if k % 9 == 0 else 7, spans, live, holders, spans.count("assign:")] += 1
+    assert got == want
+
+
+def test_join_counted_splits_heavy_keys(spark):
+    rows = [(k % 3000 if k % 2 else 5, k) for k in range(9000)] + [(None, -1)]
+    counts = Counter(k for k, _ in rows if k is not None)
+    left = spark.createDataFrame(rows, "k long, v long")
+    right = spark.createDataFrame([(k, n, k * k) for k, n in counts.items()], "k long, n long, s long")
+    got = sorted(tuple(r) for r in join_counted(left, right, "k", "n").select("k", "v", "s").collect())
+    assert got == sorted((k, v, k * k) for k, v in rows if k is not None)
