@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrasheaf.llm.common import materialize
+from terrasheaf.llm.common import join_counted, materialize
 
 
 def stars(edges: DataFrame, large: bool) -> DataFrame:
     """One step: each node's neighbours are linked to its smallest neighbour instead, or itself if that is smaller (large: the neighbours
-    above the node; small: those below, and the node)."""
+    above the node; small: those below, and the node). Nodes with a large share of all links are joined without a shuffle."""
     if large:
         near = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    linked = near.join(least, "a")
+    least = near.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+    linked = join_counted(near, materialize(least, "least"), "a", "n")
     if large:
         moved = linked.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:

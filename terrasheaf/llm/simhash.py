@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrasheaf.llm.common import materialize, runs, texts_of, with_columns
+from terrasheaf.llm.common import join_counted, materialize, texts_of, with_columns
 from terrasheaf.llm.components import components
 
 BITS = 64
@@ -39,16 +39,16 @@ def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the signed 64-bit fingerprint of every whole text; 0 for null or wordless text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
+    """The columns ``keys`` (of numbers) and fp, the signed 64-bit fingerprint of every whole text; 0 for null or wordless text."""
+    schema = pa.schema([(k, pa.int64()) for k in [*keys, "fp"]])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield with_columns(batch, ["doc_id"], schema, 0, batch.num_rows, fp=[fingerprint(t) for t in texts_of(batch, "text")])
+            yield with_columns(batch, keys, schema, 0, batch.num_rows, fp=[fingerprint(t) for t in texts_of(batch, "__text")])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(hashed, "doc_id long, fp long")
+    rows = docs.select(*(F.col(k).cast("long").alias(k) for k in keys), F.col(text_col).cast("string").alias("__text"))
+    return rows.mapInArrow(hashed, ", ".join(f"`{k}` long" for k in [*keys, "fp"]))
 
 
 def ball(radius: int) -> np.ndarray:
@@ -170,19 +170,40 @@ def links(classes: DataFrame, radius: int = 3) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(in_bucket, "a long, b long")
 
 
+def near_classes(classes: DataFrame, radius: int) -> DataFrame:
+    """Adds ``root``, the same for all fingerprints ``fp`` of a component, to a stored table of distinct fingerprints."""
+    roots = materialize(components(links(classes.select("fp"), radius)).select(F.col("node").alias("fp"), "root"), "roots")
+    return classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id that links of ``radius`` or fewer bits reach.
 
     Equal fingerprints form one class first, so copies cost one group-by; only classes are compared. Null or wordless text has fingerprint
     zero and is linked like any other; rows with a null id belong to their component but never name it (a component of such rows alone has
-    a null id); repeated rows stay; no rows give no rows; other columns are ignored.
+    a null id); repeated rows stay; no rows give no rows; other columns are ignored. Fingerprints and components that a large share of
+    all rows have are joined without a shuffle.
     """
-    printed = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
-    classes = materialize(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = materialize(components(links(classes.select("fp"), radius)).select(F.col("node").alias("fp"), "root"), "roots")
-    linked = classes.join(roots, "fp")
-    names = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    renamed = materialize(linked.join(names, "root").select("fp", "component_id"), "names")
-    least = classes.join(renamed, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    named = materialize(least, "components")
-    return printed.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    printed = materialize(fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), ["doc_id"]), "fingerprints")
+    classes = materialize(printed.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "classes")
+    rooted = materialize(near_classes(classes, radius), "rooted")
+    names = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n_classes")), "names")
+    named = materialize(join_counted(rooted.select("fp", "n", "root"), names, "root", "n_classes").select("fp", "n", "component_id"), "components")
+    return join_counted(printed, named, "fp", "n").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near-duplicates, with all columns of ``docs``: the one with the smallest id, a null id last, and of those
+    with that id the one with the smallest hash of all its columns.
+
+    Rows are told apart by all their columns and not by their ids, so equal or null ids lose no text that has no near-duplicate, and the
+    outcome does not depend on the order of rows. Null or wordless texts are one group; of rows that are alike in all columns one is
+    left; no rows give no rows.
+    """
+    whole = F.concat(*(F.concat(F.coalesce(F.length(c).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(c, F.lit(""))) for c in (F.col(f"`{n}`").cast("string") for n in docs.columns)))
+    keyed = docs.withColumns({"__k1": F.xxhash64(F.lit(1), whole), "__k2": F.xxhash64(F.lit(2), whole)})
+    printed = fingerprints(keyed.select(F.col(id_col).alias("doc_id"), "__k1", "__k2", F.col(text_col).alias("text")), ["doc_id", "__k1", "__k2"])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__k1", "__k2")).alias("first")
+    classes = materialize(printed.groupBy("fp").agg(first), "classes")
+    chosen = near_classes(classes, radius).groupBy("root").agg(F.min("first").alias("first")).select("first.__k1", "first.__k2")
+    return keyed.dropDuplicates(["__k1", "__k2"]).join(materialize(chosen, "chosen"), ["__k1", "__k2"], "left_semi").select(*docs.columns)

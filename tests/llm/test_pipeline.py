@@ -50,3 +50,15 @@ def test_stages_take_empty_tables(spark, tmp_path):
 def test_every_operator_has_a_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.queries())
     assert numbers == list(range(1, 11))
+
+
+def test_near_duplicates_lose_no_text_with_equal_or_null_ids(spark, tmp_path):
+    rnd = random.Random(2)
+    v, w, x, y = (prose(rnd, 150) for _ in range(4))
+    rows = [(3, v), (5, w), (5, v), (None, x), (None, x), (None, y), (9, y), (9, y), (9, None), (None, "")]
+    want = [(None, x), (3, v), (5, w), (9, None), (9, y)]
+    stage = dict(corpus_pipeline.STAGES)["near-duplicates"]
+    order = lambda r: (r[0] or 0, r[1] or "")
+    for given in (rows, rows[::-1], rows[5:] + rows[:5]):
+        got = stage(spark, frame(spark, given), str(tmp_path)).collect()
+        assert sorted([(r["doc_id"], r["text"]) for r in got], key=order) == sorted(want, key=order)
