@@ -1,7 +1,7 @@
 """A corpus pipeline of the training-data operators: what is kept of documents, stage by stage, down to packed sequences.
 
-Each stage takes (spark, docs, sf_dir); all but the last return the columns of documents, whatever further columns ``docs`` has. A row
-with a null id can't be told from others and stays in the near-duplicate stage; null text counts as empty; no rows give no rows.
+Each stage takes (spark, docs, sf_dir); all but the last return the columns of documents, whatever further columns ``docs`` has; each reads
+whole texts of any length; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -17,30 +17,31 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep. Null or empty text fails them; ids play no part; repeated rows are judged alike."""
     ship(spark)
     return repetition.verdict(repetition.text_measures(docs, COLUMNS)).where("kept").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id; of rows that share that id, one."""
+    """One row of each group of near-duplicates: the smallest id, a null id last, then the smallest hash of the row.
+
+    Rows are told apart by all their columns: different texts with equal or null ids stay unless they are near-duplicates. Null and wordless
+    texts are one group; of rows alike in all columns one stays."""
     ship(spark)
-    docs = docs.select(*COLUMNS)
-    groups = simhash.near_duplicates(docs)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    one_each = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one_each.select(*COLUMNS).unionByName(docs.where(F.col("doc_id").isNull()))
+    return simhash.representatives(docs.select(*COLUMNS))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
+    """Documents in which no window of a benchmark item occurs. Null text has no words and stays; ids play no part; repeated rows are judged
+    alike; items with a null id or text are left out."""
     ship(spark)
     items = queries.table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     return decontam.contamination(docs.select(*COLUMNS), items, COLUMNS).where(~F.col("contaminated")).select(*COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind and n_chars counted anew."""
+    """All documents, with personal data replaced by its kind and n_chars counted anew where something was replaced. Null or empty text stays
+    what it is; repeated rows are redacted alike."""
     ship(spark)
     found = pii.find_personal_data(docs.select(*COLUMNS), COLUMNS, redacted=True)
     text = F.col("__redacted")
@@ -48,7 +49,8 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences, with their token ids."""
+    """Pieces of all documents in sequences, with their token ids. Null or empty text is its end id alone; a text longer than a sequence is cut;
+    repeated rows are packed once each; a null id stays."""
     ship(spark)
     return packing.pack(docs, queries.tokenizer_path("word_bpe_49k.json"))
 
