@@ -223,6 +223,46 @@ def longest_brute(ws):
     return out
 
 
+def maximal_brute(ws, least):
+    """Every maximal repeated substring of ``least`` words or more, with where it starts: no word can be added on either side of all."""
+    places = defaultdict(list)
+    for i in range(len(ws)):
+        for j in range(i + least, len(ws) + 1):
+            places[tuple(ws[i:j])].append(i)
+    out = {}
+    for part, at in places.items():
+        left = {ws[i - 1] if i else ("start", i) for i in at}
+        right = {ws[i + len(part)] if i + len(part) < len(ws) else ("end", i) for i in at}
+        if len(at) > 1 and len(left) > 1 and len(right) > 1:
+            out[part] = at
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=30), min_size=1, max_size=4), st.integers(1, 4))
+def test_intervals_are_the_maximal_repeated_substrings(texts, least):
+    ids = np.array([ord(w) for t in texts for w in t], np.int64)
+    sizes = np.array([len(t) for t in texts])
+    doc, ends = np.repeat(np.arange(len(texts)), sizes), np.repeat(np.cumsum(sizes), sizes)
+    order = repetition.suffix_array(ids, doc, ends)
+    lcp = repetition.common_prefixes(ids, ends, order, least)
+    first, last, shared, parent, _ = repetition.lcp_intervals(lcp, least)
+    top = repetition.maximal(ids, ends, order, first, last) if len(first) else []
+    got, want = [], []
+    for a, b, n, yes in zip(first, last, shared, top, strict=True):
+        at = np.sort(order[a : b + 1])
+        if yes:
+            got.append((int(doc[at[0]]), "".join(map(chr, ids[at[0] : at[0] + n])), at.tolist()))
+    for k, t in enumerate(texts):
+        low = int(sizes[:k].sum())
+        want += [(k, "".join(part), [low + i for i in at]) for part, at in maximal_brute(t, least).items()]
+    assert sorted(got) == sorted(want)
+    assert all(p == -1 or (first[p] <= a and b <= last[p] and shared[p] < n and p > k) for k, (a, b, n, p) in enumerate(zip(first, last, shared, parent, strict=True)))
+    _, _, longest = repetition.repeats(ids, doc, ends, least)
+    mark = repetition.covered(order, longest, len(ids)) if len(ids) else np.zeros(0, bool)
+    assert set(np.flatnonzero(mark).tolist()) == {p for _, part, at in want for i in at for p in range(i, i + len(part))}
+
+
 def test_repetition_against_brute_force(spark):
     rnd = random.Random(5)
     texts = [prose(rnd, rnd.randint(0, 50), "ab"[: rnd.randint(1, 2)]) + "\n#x\n#x\n" * rnd.randint(0, 2) for _ in range(60)]
@@ -233,7 +273,8 @@ def test_repetition_against_brute_force(spark):
         trio = {p for i, k in enumerate(longest) if k >= 3 for p in range(i, i + 3)}
         far = {p for i, k in enumerate(longest) if k >= repetition.MIN_REPEAT_WORDS for p in range(i, i + k)}
         lines = [x for x in text.split("\n") if words(x)]
-        assert (r["n_words"], r["n_repeat_words"], r["n_covered_words"]) == (len(ws), len(trio), len(far))
+        top = max([0, *(len(x) for x in maximal_brute(ws, repetition.MIN_REPEAT_WORDS))])
+        assert (r["n_words"], r["n_repeat_words"], r["n_covered_words"], r["longest_repeat"]) == (len(ws), len(trio), len(far), top)
         assert (r["word_chars"], r["n_symbols"], r["n_dup_lines"]) == (sum(map(len, ws)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)))
         assert r["base_failed"] == (len(ws) < 50 or 100 * len(trio) > 50 * len(ws))
         assert not (r["kept"] and r["base_failed"])
