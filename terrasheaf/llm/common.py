@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,15 @@ def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str) -> Dat
     return there.unionByName(rest)
 
 
+def kept_and_text(docs: DataFrame, keep: list[str], text_col: str, own: Iterable[str]) -> tuple[DataFrame, list[str], str]:
+    """The columns of ``keep`` whose names are not among ``own`` and the text as a string, which is sent once: (rows, kept columns, name of
+    the text's column)."""
+    keep = [c for c in keep if c not in own and c != "__text"]
+    if text_col in keep and dict(docs.dtypes)[text_col] == "string":
+        return docs.select(*keep), keep, text_col
+    return docs.select(*keep, F.col(text_col).cast("string").alias("__text")), keep, "__text"
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The UTF-8 bytes of a string column; null is empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrasheaf.llm.common import Memo, hash_memo, materialize, paired, runs, texts_of, with_columns, word_hashes
+from terrasheaf.llm.common import Memo, hash_memo, kept_and_text, materialize, paired, runs, texts_of, with_columns, word_hashes
 
 #: Words of a window, and of a shingle (shorter windows have shingles of their own length).
 WINDOW_WORDS = 10
@@ -132,8 +132,8 @@ def document_shingles(memo: Memo, texts: list[bytes], sieves: dict[int, Sieve])
     return words, ends, {k: s.find(shingles(hashes, k)) for k, s in sieves.items() if len(words) >= k}
 
 
-def shingle_frequency(docs: DataFrame, sieves) -> DataFrame:
-    """(token, n): how often each shingle of a (broadcast) block occurs in all documents, summed per task first."""
+def shingle_frequency(texts: DataFrame, sieves) -> DataFrame:
+    """(token, n): how often each shingle of a (broadcast) block occurs in all texts (the only column), summed per task first."""
     schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +141,7 @@ def shingle_frequency(docs: DataFrame, sieves) -> DataFrame:
         totals = {k: np.zeros(len(s.tokens), np.int64) for k, s in given.items()}
         memo = hash_memo()
         for batch in batches:
-            texts = texts_of(batch, "text")
+            texts = texts_of(batch, batch.schema.names[0])
             for start, end in runs(texts):
                 for k, (_, place) in document_shingles(memo, texts[start:end], given)[2].items():
                     totals[k] += np.bincount(place, minlength=len(totals[k]))
@@ -149,7 +149,7 @@ def shingle_frequency(docs: DataFrame, sieves) -> DataFrame:
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(given[k].tokens[some].view(np.int64)), pa.array(total[some])], schema=schema)
 
-    return docs.select(F.col("text")).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def sha256_of(items: set[int]) -> str:
@@ -157,27 +157,28 @@ def sha256_of(items: set[int]) -> str:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", width: int = WINDOW_WORDS, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with n_words, n_hit, n_items, items_sha256 and contaminated; see ``decontaminate``."""
+    """The columns ``keep`` of ``docs`` (but those with the name of a result) with n_words, n_hit, n_items, items_sha256 and contaminated; see
+    ``decontaminate``."""
     spark = docs.sparkSession
     windows = item_windows(benchmark, width).groupBy("window").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     windows = materialize(windows.withColumn("digest", F.xxhash64("window")), "windows")
     blocks = max(1, -(-windows.count() // block_windows))
+    texts, keep, name = kept_and_text(docs, keep, text_col, ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "__hits", "__items"])
     kept = docs.select(*keep).schema
-    texts = docs.select(*keep, F.col(text_col).cast("string").alias("text")) if text_col != "text" or "text" not in keep else docs.select(*keep)
     carried = texts.select("*", F.lit(None).cast("array<long>").alias("__hits"), F.lit(None).cast("array<long>").alias("__items"))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields)
     final = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields] + ["n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"])
     for k in range(blocks):
         rows = windows.where(F.pmod("digest", F.lit(blocks)) == k).collect()  # about block_windows rows
         block = Block([tuple(map(bytes, r["window"])) for r in rows], [r["items"] for r in rows])
-        counts = shingle_frequency(texts, spark.sparkContext.broadcast(block.sieves())).collect()  # one row for a shingle of the block
+        counts = shingle_frequency(texts.select(name), spark.sparkContext.broadcast(block.sieves())).collect()  # one row for a shingle of the block
         block.choose({r["token"] & (2**64 - 1): r["n"] for r in counts})
         sent, last = spark.sparkContext.broadcast(block), k == blocks - 1
 
         def match(batches: Iterator[pa.RecordBatch], sent=sent, last=last) -> Iterator[pa.RecordBatch]:
             block, memo = sent.value, hash_memo()
             for batch in batches:
-                texts = texts_of(batch, "text")
+                texts = texts_of(batch, name)
                 before = batch.column(batch.schema.get_field_index("__hits"))
                 items_before = batch.column(batch.schema.get_field_index("__items"))
                 for start, end in runs(texts):
@@ -197,7 +198,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_c
                         schema = pa.schema([batch.schema.field(batch.schema.get_field_index(c)) for c in keep] + [("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
                         yield with_columns(batch, keep, schema, start, end, n_words=n_words, n_hit=hit, n_items=[len(s) for s in all_items], items_sha256=[sha256_of(s) for s in all_items], contaminated=[h > 0 for h in hit])
                     else:
-                        yield with_columns(batch, [c for c in batch.schema.names if not c.startswith("__")], batch.schema, start, end, __hits=all_spans, __items=[sorted(s) for s in all_items])
+                        yield with_columns(batch, [c for c in batch.schema.names if c not in ("__hits", "__items")], batch.schema, start, end, __hits=all_spans, __items=[sorted(s) for s in all_items])
 
         carried = carried.mapInArrow(match, final if last else ddl)
     return carried

@@ -5,8 +5,11 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from array import array
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from heapq import merge
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -102,13 +105,13 @@ DIGIT_WORD = re.compile(rf"(?<![^\W_])(?:{NAMES})(?![^\W_])", re.IGNORECASE)
 # How markup and addresses spell the two signs.
 ENTITY_AT, ENTITY_DOT = r"&#0*64;|&#x0*40;|&commat;|%40", r"&#0*46;|&#x0*2e;|&period;|%2e"
 # Another: bracketed at and dot signs in any case, with the spaces around them, and bare words where both occur together.
-AT = r"[ ]{0,3}[\[({<][ ]{0,2}(?:at|@|arroba|arobase)[ ]{0,2}[\])}>][ ]{0,3}"
-DOT = r"[ ]{0,3}[\[({<][ ]{0,2}(?:dot|\.|punkt|punto|point)[ ]{0,2}[\])}>][ ]{0,3}"
+AT = r"(?:(?<![ ])[ ]++)?+[\[({<][ ]*+(?:at|@|arroba|arobase)[ ]*+[\])}>][ ]*+"
+DOT = r"(?:(?<![ ])[ ]++)?+[\[({<][ ]*+(?:dot|\.|punkt|punto|point)[ ]*+[\])}>][ ]*+"
 BRACKETED = re.compile(rf"(?P<at>{AT})|(?P<dot>{DOT})", re.IGNORECASE)
 ENTITIES = re.compile(rf"(?P<at>{ENTITY_AT})|(?P<dot>{ENTITY_DOT})", re.IGNORECASE)
 WORD_AT, WORD_DOT = r"(?:[ ]+(?:at|arroba|arobase)[ ]+|[-_](?:at|arroba|arobase)[-_])", r"(?:[ ]+(?:dot|punkt|punto|point)[ ]+|[-_](?:dot|punkt|punto|point)[-_])"
 # Signs as they stand after the folding of entities and brackets: each at and each dot is literal, spaced or spelled, whatever the others are.
-AT_SIGN = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?:(?P<spelled>{WORD_AT})|(?P<literal>[ ]{{0,3}}@[ ]{{0,3}}))(?=[A-Za-z0-9-])", re.IGNORECASE)
+AT_SIGN = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?:(?P<spelled>{WORD_AT})|(?P<literal>[ ]*+@[ ]*+))(?=[A-Za-z0-9-])", re.IGNORECASE)
 DOT_SIGN = re.compile(rf"(?:(?P<spelled>{WORD_DOT})|\.|[ ]\.[ ])(?=[A-Za-z0-9-])", re.IGNORECASE)
 LABEL = re.compile(r"(?:[A-Za-z0-9]|-(?!(?:dot|punkt|punto|point)[-_]))+", re.IGNORECASE)
 PATH = re.compile(r"/|[:?#]\S")
@@ -130,64 +133,93 @@ BEFORE_SITE = frozenset(
     "news not now of on online only or order out page people posted project published read register see seen sell shop sign site so sold source stay store team that the them there "
     "these this those up updates us version visit was watch we website were work worked working works written you".split()
 )
+# Those that stand before a site's name even where its dots are spelled too.
+LOOKING = frozenset("are available be check find found go hosted is live located look looked looking looks read register see seen sign visit was watch were".split())
+LONGEST_BEFORE_SITE = max(map(len, BEFORE_SITE))
 NUMBER_DOT = re.compile(r"(?<=[0-9])[ ]+(?:dot|punkt|punto|point)[ ]+(?=[0-9])", re.IGNORECASE)
 SPELLED_SIGN = re.compile(r"[ ]*(?<![^\W_])(?P<sign>plus|dot|point|punto|punkt|dash|hyphen)(?![^\W_])[ ]*", re.IGNORECASE)
 SIGNS = {"plus": "+", "dot": ".", "point": ".", "punto": ".", "punkt": ".", "dash": "-", "hyphen": "-"}
 
 
 class Rewritten:
-    """A text after some rewriting, with the source span of each of its characters."""
+    """A text after some rewriting, with the source span of each of its characters: edits are kept, and spans found among them by bisection.
 
-    def __init__(self, text: str, starts: list[int], ends: list[int]):
-        self.text, self.starts, self.ends = text, starts, ends
+    One character that takes the place of another moves nothing and costs nothing; other edits are four numbers each."""
 
-    @classmethod
-    def of(cls, text: str) -> Rewritten:
-        return cls(text, list(range(len(text))), list(range(1, len(text) + 1)))
+    def __init__(self, text: str, before: Rewritten | None = None, edits: tuple[array, ...] = ()):
+        self.text, self.before, self.edits = text, before, edits
 
-    def replace(self, edits: list[tuple[int, int, str]]) -> Rewritten:
-        """Each (start, end, new) edit of this text; a new character covers the source of all it replaces."""
-        if not edits:
-            return self
-        text, starts, ends, last = [], [], [], 0
+    def replace(self, edits: Iterable[tuple[int, int, str]]) -> Rewritten:
+        """Each (start, end, new) edit of this text, in order; a new character covers the source of all it replaces."""
+        text, last, size = [], 0, 0
+        places, ends, lows, highs = array("q"), array("q"), array("q"), array("q")
         for start, end, new in edits:
-            text += [self.text[last:start], new]
-            starts += self.starts[last:start] + [self.starts[start]] * len(new)
-            ends += self.ends[last:start] + [self.ends[end - 1]] * len(new)
+            text += [self.text[last:start], new] if last < start else [new]
+            size += start - last
+            if end - start != 1 or len(new) != 1:
+                places.append(size)
+                ends.append(size + len(new))
+                lows.append(start)
+                highs.append(end)
+            size += len(new)
             last = end
-        return Rewritten("".join([*text, self.text[last:]]), starts + self.starts[last:], ends + self.ends[last:])
+        if not text:
+            return self
+        return Rewritten("".join([*text, self.text[last:]]), self, (places, ends, lows, highs))
+
+    def earlier(self, at: int) -> tuple[int, int]:
+        """The span of the text before this rewriting that the character at ``at`` comes from."""
+        places, ends, lows, highs = self.edits
+        k = bisect_right(places, at) - 1
+        if k < 0:
+            return at, at + 1
+        if at < ends[k]:
+            return lows[k], highs[k]
+        return highs[k] + at - ends[k], highs[k] + at - ends[k] + 1
 
     def source(self, start: int, end: int) -> tuple[int, int]:
-        return self.starts[start], self.ends[end - 1]
+        step = self
+        while step.before is not None:
+            start, end = step.earlier(start)[0], step.earlier(end - 1)[1]
+            step = step.before
+        return start, end
 
 
-def fold_characters(text: Rewritten) -> Rewritten:
-    """Look-alike letters, wide and other digits, look-alike punctuation and invisible characters.
+# Spaces of other widths.
+WIDE_SPACES = "    　"
+WORD = re.compile(rf"\S+|[{WIDE_SPACES}]")
 
-    A look-alike letter is folded only in a word that has Latin letters, digits or signs of an identifier as well, so that plain Cyrillic or
-    Greek text stays what it is."""
-    edits = []
-    for m in re.finditer(r"\S+", text.text):
-        if m[0].isascii():
+
+def character_edits(text: str) -> Iterator[tuple[int, int, str]]:
+    for m in WORD.finditer(text):
+        word = m[0]
+        if word.isascii():
             continue
-        mixed = any(c.isascii() and (c.isalnum() or c in "@.+") for c in m[0]) or any(c in MARKS or unicodedata.normalize("NFKC", c).isascii() for c in m[0])
-        for k, c in enumerate(m[0], m.start()):
+        if word in WIDE_SPACES:
+            yield m.start(), m.end(), " "
+            continue
+        mixed = any(c.isascii() and (c.isalnum() or c in "@.+") for c in word) or any(c in MARKS or unicodedata.normalize("NFKC", c).isascii() for c in word)
+        for k, c in enumerate(word, m.start()):
             if c.isascii():
                 continue
             if c in INVISIBLE:
-                edits.append((k, k + 1, ""))
+                yield k, k + 1, ""
             elif c in MARKS:
-                edits.append((k, k + 1, MARKS[c]))
+                yield k, k + 1, MARKS[c]
             elif c.isdecimal():
-                edits.append((k, k + 1, str(unicodedata.decimal(c))))
+                yield k, k + 1, str(unicodedata.decimal(c))
             elif mixed and c in LOOKALIKES:
-                edits.append((k, k + 1, LOOKALIKES[c]))
+                yield k, k + 1, LOOKALIKES[c]
             elif mixed and len(same := unicodedata.normalize("NFKC", c)) == 1 and same.isascii():
-                edits.append((k, k + 1, same))
-    for k, c in enumerate(text.text):
-        if c in "    　":
-            edits.append((k, k + 1, " "))
-    return text.replace(sorted(set(edits)))
+                yield k, k + 1, same
+
+
+def fold_characters(text: Rewritten) -> Rewritten:
+    """Look-alike letters, wide and other digits, look-alike punctuation and invisible characters.
+
+    A look-alike letter is folded only in a word that has Latin letters, digits or signs of an identifier as well, so that plain Cyrillic or
+    Greek text stays what it is."""
+    return text.replace(character_edits(text.text))
 
 
 def plausible(label: str) -> bool:
@@ -195,119 +227,160 @@ def plausible(label: str) -> bool:
     return (label.islower() or label.isupper()) and (label.lower() in TOP_LEVEL or label.lower().startswith("xn--"))
 
 
+def domain_signs(text: str, end: int, spelled: bool, alike: bool) -> tuple[list[re.Match], int]:
+    """The dots of a domain name whose first label ends at ``end``, and where the name ends: at its last label if all dots are disguised as
+    the at sign is (``alike``: and that is neither a bare @ nor a word between spaces), else at its last plausible top-level domain."""
+    dots, n, stop = [], 0, end
+    while dot := DOT_SIGN.match(text, end):
+        label = LABEL.match(text, dot.end())
+        if not label:
+            break
+        dots.append(dot)
+        end = label.end()
+        alike = alike and (dot["spelled"] is not None) == spelled
+        if alike or plausible(label[0]):
+            n, stop = len(dots), end
+    return dots[:n], stop
+
+
 def address_signs(text: str) -> list[tuple[int, int, str]]:
-    """Edits that make signs of what stands for them in addresses, found from each at sign so that time stays linear.
+    """Edits that make signs of what stands for them in addresses, found from each at sign.
 
-    An at and dots that are all spelled, or a spaced @ before literal or spaced dots, are signs before any label; a mixture is only up to the
-    last plausible top-level domain, and a spelled at with no other disguise only after a word that isn't one of prose, outside of paths."""
+    An at and dots that all stand between hyphens, or a spaced @ before literal or spaced dots, are signs before any label; words between
+    spaces and mixtures only up to the last plausible top-level domain. A spelled at isn't a sign after a word that sends readers to a site,
+    nor, with no other disguise, after other words of prose or in paths.
+    What several at signs in a row have in common, the run of characters before and the name after them, is looked at once: linear time."""
     edits: list[tuple[int, int, str]] = []
-    free = 0
+    free = run_start = label_start = 0
+    run_end = label_end = -1
+    names: dict[tuple[bool, bool], tuple[list[re.Match], int]] = {}
     for m in AT_SIGN.finditer(text):
-        start = m.start()
-        if start < free:
+        if m.start() < free:
             continue
+        start = m.start()
         while start > free and text[start - 1] in LOCAL:
             start -= 1
-        first = LABEL.match(text, m.end())
-        if start == m.start() or not first:
-            continue
-        spelled, dots, kinds, n, end = m["spelled"] is not None, [], [], 0, first.end()
-        alike = spelled or m[0] != "@"
-        while dot := DOT_SIGN.match(text, end):
-            label = LABEL.match(text, dot.end())
-            if not label:
+            if start == run_end:
+                start = max(run_start, free)
                 break
-            dots.append(dot)
-            kinds.append(dot["spelled"] is not None)
-            end = label.end()
-            alike = alike and kinds[-1] == spelled
-            if alike or plausible(label[0]):
-                n, stop = len(dots), end
-        if not n:
+        run_start, run_end = start, m.start()
+        if not label_start <= m.end() < label_end:
+            label = LABEL.match(text, m.end())
+            label_start, label_end, names = m.end(), label.end() if label else -1, {}
+        if start == m.start() or label_end < 0:
             continue
-        if spelled and all(d[0] == "." for d in dots[:n]) and (text[start : m.start()].lower() in BEFORE_SITE or text[start - 1 : start] == "/" or PATH.match(text, stop)):
+        spelled = m["spelled"] is not None
+        sort = spelled, m[0] != "@" and not (spelled and m[0][0] == " ")
+        if sort not in names:
+            names[sort] = domain_signs(text, label_end, *sort)
+        dots, stop = names[sort]
+        if not dots:
             continue
+        if spelled:
+            bare = all(d[0] == "." for d in dots)
+            before = text[start : m.start()].lower() if m.start() - start <= LONGEST_BEFORE_SITE else ""
+            if before in (BEFORE_SITE if bare else LOOKING if m[0][0] == " " else ()) or bare and (text[start - 1 : start] == "/" or PATH.match(text, stop)):
+                continue
         while before := LOCAL_DOT.search(text, max(free, start - 16), start):
             edits.append((before.start(), start, "."))
             start = before.start()
             while start > free and text[start - 1] in LOCAL:
                 start -= 1
         edits.append((m.start(), m.end(), "@"))
-        edits += [(d.start(), d.end(), ".") for d in dots[:n]]
-        free = stop
+        edits += [(d.start(), d.end(), ".") for d in dots]
+        free, names = stop, {}
     return sorted((a, b, new) for a, b, new in edits if text[a:b] != new)
 
 
+def sign_edits(pattern: re.Pattern, text: str) -> Iterator[tuple[int, int, str]]:
+    return ((m.start(), m.end(), "@" if m.groupdict().get("at") else ".") for m in pattern.finditer(text))
+
+
 def fold_signs(text: Rewritten) -> Rewritten:
     """Disguised at and dot signs: entities and bracketed ones by themselves, bare words only between numbers or as part of a whole address,
     in which each sign may be disguised in its own way."""
-    text = text.replace([(m.start(), m.end(), "@" if m["at"] else ".") for m in ENTITIES.finditer(text.text)])
-    text = text.replace([(m.start(), m.end(), ".") for m in NUMBER_DOT.finditer(text.text)])
-    text = text.replace([(m.start(), m.end(), "@" if m["at"] else ".") for m in BRACKETED.finditer(text.text)])
+    for pattern in (ENTITIES, NUMBER_DOT, BRACKETED):
+        text = text.replace(sign_edits(pattern, text.text))
     return text.replace(address_signs(text.text))
 
 
-#: Runs of digits and of letters that stand for digits, and what the letters stand for.
+#: Runs of digits and of letters that stand for digits, as long as the shortest identifier of digits, and what the letters stand for. Up to
+#: two characters may separate them, as in (555) 123.
 DIGIT_LIKE = re.compile(r"[0-9OolI](?:[ .()-]{0,2}[0-9OolI]){6,}")
 LIKE = {"O": "0", "o": "0", "l": "1", "I": "1"}
 
 
-def fold_digit_letters(text: Rewritten) -> Rewritten:
-    """Letters that look like digits, in runs of which two thirds at least are digits."""
-    edits = []
-    for m in DIGIT_LIKE.finditer(text.text):
-        letters = [k for k in range(m.start(), m.end()) if text.text[k] in LIKE]
+def letter_edits(text: str) -> Iterator[tuple[int, int, str]]:
+    for m in DIGIT_LIKE.finditer(text):
+        letters = sum(c in LIKE for c in m[0])
         digits = sum("0" <= c <= "9" for c in m[0])
-        if letters and digits >= 2 * len(letters):
-            edits += [(k, k + 1, LIKE[text.text[k]]) for k in letters]
-    return text.replace(edits)
+        if letters and digits >= 2 * letters:
+            yield from ((k, k + 1, LIKE[c]) for k, c in enumerate(m[0], m.start()) if c in LIKE)
 
 
-def fold_digits(text: Rewritten) -> Rewritten:
-    """Spelled digits next to each other: their names become digits, signs between them become signs, and what separates them goes."""
-    found = [(m.start(), m.end(), SPELLED[m[0].lower()]) for m in DIGIT_WORD.finditer(text.text)]
-    found += [(m.start(), m.end(), m[0]) for m in re.finditer(r"[0-9]+", text.text)] if found else []
-    found.sort()
-    edits: list[tuple[int, int, str]] = []
-    group: list[tuple[int, int, str]] = []
+def fold_digit_letters(text: Rewritten) -> Rewritten:
+    """Letters that look like digits, in runs of which two thirds at least are digits: in fewer, words such as 'Ill' would be numbers."""
+    return text.replace(letter_edits(text.text))
+
+
+NUMERAL = re.compile(r"[0-9]+")
+PLUS = re.compile(r"(?:\+|(?<![^\W_])plus)[ ]?\Z", re.IGNORECASE)
+SEPARATOR = re.compile(r"[ ,/-]{0,3}|[ ]?[.()][ ]?")
+
 
-    def flush() -> None:
-        items = [k for k, (_, _, d) in enumerate(group) if d[0] != "\0"]
-        names = [k for k in items if not text.text[group[k][0]].isdecimal()]
-        prose = len(items) > 1 and names == items[-1:] and group[names[0] - 1][2] == "\0"  # such as 'un' after a number
-        if len(items) >= 4 and not prose:
-            edits.extend((a, b, d.strip("\0")) for a, b, d in group)
+def digit_edits(text: str) -> Iterator[tuple[int, int, str]]:
+    """Edits of each group of digits' names and numerals that signs or separators join."""
+    starts, ends, news = array("q"), array("q"), []
+    items = names = 0
+    prose = False
+
+    def edit(start: int, end: int, new: str) -> None:
+        starts.append(start)
+        ends.append(end)
+        news.append(new)
 
     last = None
-    for start, end, digits in found:
-        between = text.text[last:start] if last is not None else None
-        sign = SPELLED_SIGN.fullmatch(between) if between is not None and len(between) < 24 else None
-        if between is not None and (sign or re.fullmatch(r"[ ,/-]{0,3}|[ ]?[.()][ ]?", between)):
-            if between:
-                new = SIGNS[sign["sign"].lower()] if sign else between.strip() if between.strip() in (".", "-", "(", ")") else ""
-                group.append((last, start, "\0" + new))
-        else:
-            flush()
-            group = []
-            plus = re.search(r"(?:\+|(?<![^\W_])plus)[ ]?\Z", text.text[max(0, start - 8) : start], re.IGNORECASE)
-            if plus:
-                group.append((start - len(plus[0]), start, "\0+"))
-        group.append((start, end, digits))
+    both = merge(((m.start(), m.end(), True) for m in DIGIT_WORD.finditer(text)), ((m.start(), m.end(), False) for m in NUMERAL.finditer(text)))
+    for start, end, named in chain(both, [(len(text) + 1, len(text) + 1, False)]):
+        between = text[last:start] if last is not None and start <= len(text) else None
+        sign = SPELLED_SIGN.fullmatch(between) if between else None
+        joins = sign or between is not None and SEPARATOR.fullmatch(between)
+        new = None
+        if joins and between:
+            stripped = between.strip()
+            new = SIGNS[sign["sign"].lower()] if sign else stripped if stripped in (".", "-", "(", ")") else ""
+            edit(last, start, new)
+        elif not joins:
+            if items >= 4 and not prose:
+                yield from zip(starts, ends, news, strict=True)
+            starts, ends, news, items, names = array("q"), array("q"), [], 0, 0
+            if plus := PLUS.search(text, max(0, start - 8), min(start, len(text))):
+                edit(plus.start(), start, "+")
+        prose = named and names == 0 and items > 0 and new == ""  # such as 'un' after a number
+        items += 1
+        names += named
+        if named:
+            edit(start, end, SPELLED[text[start:end].lower()])
         last = end
-    flush()
-    return text.replace(edits)
+
+
+def fold_digits(text: Rewritten) -> Rewritten:
+    """Spelled digits next to each other: their names become digits, signs between them become signs, and what separates them goes. Fewer
+    than four digits are no identifier, and a lone name at the end of a number is a word of the text."""
+    return text.replace(digit_edits(text.text))
 
 
 #: Characters that may be part of a disguise; other non-ASCII letters, such as accented ones, are not worth a second look.
 ODD = re.compile("[" + re.escape("".join([*LOOKALIKES, *MARKS, *INVISIBLE])) + "！-～٠-٩۰-۹०-९\U0001d400-\U0001d7ff\u2100-\u214f]")
 DISGUISES = re.compile(
-    rf"{ENTITY_AT}|{ENTITY_DOT}|[ ]@|@[ ]|@[A-Za-z0-9.-]+[ ]\.[ ]|[-_ ](?:dot|punkt|punto|point)[-_ ]|[-_ ](?:at|arroba|arobase)[-_ ]+[A-Za-z0-9-]+(?:\.|[ ]\.[ ])[A-Za-z0-9-]"
-    rf"|[\[({{<][ ]{{0,2}}(?:at|@|arroba|arobase|dot|\.|punkt|punto|point)[ ]{{0,2}}[\])}}>]",
+    rf"{ENTITY_AT}|{ENTITY_DOT}|[ ]@|@[ ]|@[A-Za-z0-9.-]+[ ]\.[ ]|[-_ ](?:dot|punkt|punto|point)[-_ ]"
+    r"|[-_ ](?:at|arroba|arobase)[-_ ]+(?:(?![-_](?:at|arroba|arobase)[-_])[A-Za-z0-9-])++(?:\.|[ ]\.[ ])[A-Za-z0-9-]"
+    r"|[\[({<][ ]*+(?:at|@|arroba|arobase|dot|\.|punkt|punto|point)[ ]*+[\])}>]",
     re.IGNORECASE,
 )
 LETTER_DIGITS = re.compile(r"[0-9][ .()-]?[OolI](?![A-HJ-NP-Za-km-np-z])|(?<![A-Za-z])[OolI][ .()-]?[0-9]")
 # A digit's name next to another, a numeral or a spelled sign, with the separators of fold_digits: each group that it folds has one such pair.
-BETWEEN = r"(?:[ ,/-]{1,3}|[ ]?[.()][ ]?|[ ]{1,20}(?:plus|dot|point|punto|punkt|dash|hyphen)[ ]{1,20})"
+BETWEEN = r"(?:[ ,/-]{1,3}|[ ]?[.()][ ]?|[ ]++(?:plus|dot|point|punto|punkt|dash|hyphen)[ ]++)"
 NAME_FIRST = re.compile(rf"(?<![^\W_])(?:{NAMES}){BETWEEN}(?:[0-9]|(?:{NAMES})(?![^\W_]))", re.IGNORECASE)
 NUMERAL_FIRST = re.compile(rf"[0-9]{BETWEEN}(?:{NAMES})(?![^\W_])", re.IGNORECASE)
 
@@ -324,7 +397,7 @@ def disguised(text: str) -> list[Span]:
     odd, signs, digits, letters = ODD.search(text), DISGUISES.search(text), spelled_digits(text), LETTER_DIGITS.search(text)
     if not (odd or signs or digits or letters):
         return []
-    folded = Rewritten.of(text)
+    folded = Rewritten(text)
     if odd:
         folded = fold_characters(folded)
         signs, digits, letters = DISGUISES.search(folded.text), spelled_digits(folded.text), LETTER_DIGITS.search(folded.text)
@@ -380,21 +453,21 @@ def find_personal_data(docs: DataFrame, keep: list[str] | None = None, id_col: s
     n_added and, if asked for, the text with all spans redacted.
 
     One pass without a shuffle over whole texts. Null or empty text has no spans (redacted: stays null or empty); a null id stays; each row
-    gives one row, repeated or not; no rows give no rows; other columns are ignored.
+    gives one row, repeated or not; no rows give no rows; other columns are ignored, and a column of ``keep`` with the name of a result
+    gives way to it.
     """
-    if keep is None:
-        rows, keep = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("__text")), ["doc_id"]
-    else:
-        rows = docs.select(*keep, *([] if text_col in keep else [F.col(text_col).cast("string").alias("__text")]))
-    name = text_col if text_col in keep else "__text"
     added = [(f"n_{k}", pa.int64()) for k in KINDS] + [("base_sha256", pa.string()), ("spans", pa.string()), ("n_added", pa.int64())] + [("__redacted", pa.string())] * redacted
+    own = {n for n, _ in added} | {"__text"}
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text")) if keep is None else docs.select(*(c for c in keep if c not in own), F.col(text_col).alias("__text"))
+    keep = [c for c in given.columns if c != "__text"]
+    rows = given.withColumn("__text", F.col("__text").cast("string"))
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields] + [f"`{n}` {'long' if t == pa.int64() else 'string'}" for n, t in added])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: dict[str, list] = {n: [] for n, _ in added}
-            nulls = batch.column(batch.schema.get_field_index(name)).is_null().to_pylist()
-            for data, null in zip(texts_of(batch, name), nulls, strict=True):
+            nulls = batch.column(batch.schema.get_field_index("__text")).is_null().to_pylist()
+            for data, null in zip(texts_of(batch, "__text"), nulls, strict=True):
                 text = data.decode()
                 base, spans = all_spans(text)
                 for k in KINDS:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrasheaf.llm.common import runs, texts_of, with_columns
+from terrasheaf.llm.common import kept_and_text, runs, texts_of, with_columns
 
 #: A repeated substring counts from this many words on.
 MIN_REPEAT_WORDS = 10
@@ -206,9 +206,8 @@ COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def text_measures(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` of ``docs`` and the measures of each whole text; one pass without a shuffle."""
-    name = text_col if text_col in keep else "__text"
-    rows = docs.select(*keep) if text_col in keep else docs.select(*keep, F.col(text_col).cast("string").alias(name))
+    """The columns ``keep`` of ``docs`` (but those with the name of a measure) and the measures of each whole text; one pass without a shuffle."""
+    rows, keep, name = kept_and_text(docs, keep, text_col, COLUMNS)
     kept = docs.select(*keep).schema
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields] + [f"{c} long" for c in COLUMNS])
 
