@@ -492,18 +492,107 @@ def test_chat_roles_markers_and_blocks(spark):
     assert chat.format_chats(df.limit(0)).collect() == []
 
 
-def test_blocks_are_bounded_by_rows_and_keep_the_order(spark, monkeypatch):
+def test_blocks_are_bounded_by_segments_and_keep_the_order(spark, monkeypatch):
     monkeypatch.setattr(chat, "BLOCK_ROWS", 20)
     turns = [0] * 500 + [1, 2, 3] * 15 + list(range(4, 60)) + [60] * 90 + [2000] * 3
-    rows = [("7", t, f"7:{t}:{hashlib.sha256(str(k).encode()).hexdigest()}") for k, t in enumerate(turns)] + [("8", t, f"8:{t}:ab") for t in range(30)]
-    got = chat.in_blocks(spark.createDataFrame(rows, "conv_id string, turn long, row_id string")).collect()
-    key = lambda r: (r["conv_id"], r["block"], r["sub"], r["chunk"])
-    assert sorted((r["conv_id"], r["turn"], r["row_id"]) for r in got) == sorted(rows)
+    rows = [("7", t, f"7:{t}:{hashlib.sha256(str(k).encode()).hexdigest()}", 0, 1) for k, t in enumerate(turns)] + [("8", t, f"8:{t}:ab", 0, 1) for t in range(30)]
+    giants = [("7", t, f"7:{t}:{hashlib.sha256(x.encode()).hexdigest()}", k, 130) for t, x in ((2, "x"), (2, "y"), (70, "z"), (-1, "v")) for k in range(130)]
+    got = chat.in_blocks(spark.createDataFrame(rows + giants, "conv_id string, turn long, row_id string, part int, parts int")).collect()
+    key = lambda r: (r["conv_id"], *(r[k] for k in chat.BLOCK))
+    assert sorted((r["conv_id"], r["turn"], r["row_id"], r["part"], r["parts"]) for r in got) == sorted(rows + giants)
     assert max(Counter(map(key, got)).values()) <= 2 * chat.BLOCK_ROWS
-    keys = [key(r) for r in sorted(got, key=lambda r: (r["conv_id"], r["turn"], r["row_id"]))]
+    keys = [key(r) for r in sorted(got, key=lambda r: (r["conv_id"], r["turn"], r["parts"] > 40, r["row_id"], r["part"]))]
     assert keys == sorted(keys)
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Human: Answer: 42 is mine", [("user", True, "Answer: 42 is mine")]),
+        ("Human: first question\nAssistant: first answer\nwith a line\n\nHuman: second question", [("user", True, "first question"), ("assistant", True, "first answer\nwith a line"), ("user", True, "second question")]),
+        ("\n  \n### System:\nBe kind.\n<|user|>\nHi\n", [("system", True, "Be kind."), ("user", True, "Hi\n")]),
+        ("User: see\n```\nbot: x\n```\ndone\nBot: ok", [("user", True, "see\n```\nbot: x\n```\ndone"), ("assistant", True, "ok")]),
+        ("[INST] one [/INST] two\n[/INST] three", [("user", True, "one [/INST] two"), ("assistant", True, "three")]),
+    ],
+)
+def test_transcripts_in_one_text_are_split_into_turns(spark, text, want):
+    talk = [(c, t, ["user", "assistant"][t % 2], f"Turn {t} of {c}?" if t % 2 == 0 else f"It is {t}. " * 9) for c in range(12) for t in range(4)]
+    df = spark.createDataFrame([*((str(c), t, r, x) for c, t, r, x in talk), ("chat-x", 0, None, text)], "conv_id string, turn long, role string, text string")
+    got = sorted((r for r in chat.format_chats(df).collect() if r["conv_id"] == "chat-x"), key=lambda r: r["part"])
+    assert [(r["role"], r["had_marker"], r["rendered"]) for r in got] == [(role, marked, f"<|{role}|>\n{said}<|end|>\n") for role, marked, said in want]
+
+
+def test_parsing_against_every_path(spark):
+    """Random transcripts: segments from a plain reading of lines, roles from trying all paths, turns put together by hand."""
+    rnd = random.Random(21)
+    marks = {"User: ": 1, "### Assistant: ": 2, "System: ": 0, "Answer: ": 2, "": None, "- ": None}
+    line = lambda: rnd.choice(list(marks)) + rnd.choice(["how so?", "yes", "it is. " * 12, "Bot: quoted", "    code"])
+    rows = [(c, rnd.choice([0, 1, 2, None]), rnd.choice([*chat.ROLES, None]), "\n".join(line() for _ in range(rnd.randint(1, 3)))) for c in range(40) for _ in range(2)]
+    rows += [(200 + c, t, chat.ROLES[t and 1 + t % 2], ["Be kind", "why?", "it is. " * 12][t and 1 + t % 2]) for c in range(20) for t in range(5)]
+    df = spark.createDataFrame([*rows, rows[0], (None, 3, None, "User: alone\nBot: hi")], "conv_id long, turn long, role string, text string")
+    models = []
+    known = chat.learn
+
+    def without_ties(rows):
+        models.append(known(rows))
+        for table in [*models[-1].show.values(), models[-1].first]:
+            table += np.random.default_rng(4).normal(0, 1e-3, table.shape)
+        return models[-1]
+
+    chat.learn = without_ties
+    try:
+        got = chat.format_chats(df).collect()
+    finally:
+        chat.learn = known
+    model = models[0]
+
+    def parse(text):
+        out = []
+        for n, x in enumerate(text.split("\n")):
+            mark = next((m for m in marks if m.strip() and marks[m] is not None and x.startswith(m)), None)
+            if mark is None and x.startswith("Bot: "):
+                mark = "Bot: "
+            if n and mark is None:
+                out[-1][1] += "\n" + x
+            else:
+                role = 2 if mark == "Bot: " else marks[mark] if mark else None
+                out.append([role, x, x[len(mark or "") :].lstrip()if mark else x])
+        return [(role, whole, whole[len(whole.split("\n")[0]) - len(first) :] if role is not None else whole) for role, whole, first in out]
+
+    def score(seg, k, state):
+        role, _, said = seg
+        e = sum(table[state % 3][v] for (_, table), v in zip(model.show.items(), chat.features(said), strict=True))
+        if k == 0:
+            return chat.IMPOSSIBLE if state > 2 else e + model.first[state][0 if role is None else role + 1]
+        return e + (model.inner[state][role] if state < 3 else -math.log(3))
+
+    talks = defaultdict(list)
+    for c, t, _, x in {(c, t, None, x) for c, t, _, x in rows}:
+        talks[c].append((-1 if t is None else t, hashlib.sha256(x.encode()).hexdigest(), x))
+    checked = 0
+    for c, mine in talks.items():
+        segs = [(t, x, k, seg) for t, _, x in sorted(mine) for k, seg in enumerate(parse(x))]
+        best = {s: (model.start[s] + score(segs[0][3], 0, s), [s]) for s in range(6)}
+        for _, _, k, seg in segs[1:]:
+            best = {s: max(((v + model.step[p, s] + score(seg, k, s), [*path, s]) for p, (v, path) in best.items()), key=lambda x: x[0]) for s in range(6)}
+        path = max(best.values(), key=lambda x: x[0])[1]
+        turns = []
+        for (t, x, k, seg), state in zip(segs, path, strict=True):
+            if state < 3:
+                turns.append([t, x, state, seg[2], k + 1 < len(parse(x))])
+            else:
+                turns[-1][3] = x[x.rindex(turns[-1][3]) :][: len(turns[-1][3]) + 1 + len(seg[1])]
+        want = Counter()
+        for n, (t, x, role, said, _) in enumerate(turns):
+            more = n + 1 < len(turns) and turns[n + 1][:2] == [t, x]
+            want[t, f"<|{chat.ROLES[role]}|>\n{said.rstrip() if more else said}<|end|>\n"] += 1
+        have = {(-1 if r["turn"] is None else r["turn"], r["rendered"]) for r in got if r["conv_id"] == c}
+        assert have == set(want), (c, have ^ set(want))
+        checked += 1
+    assert checked == 60
+    assert [r["role"] for r in got if r["conv_id"] is None] == ["user", "assistant"]
+
+
 def test_segments_without_a_conversation_do_not_change_each_other(spark):
     talk = [(c, t, ["user", "assistant"][t % 2], f"Turn {t} of {c}") for c in range(10) for t in range(6)]
     loose = [(None, None, None, f"Something {k}") for k in range(7)]
@@ -514,8 +603,8 @@ def test_segments_without_a_conversation_do_not_change_each_other(spark):
 
 def test_viterbi_in_blocks_equals_one_pass():
     rng = np.random.default_rng(3)
-    step, start = np.log(rng.dirichlet(np.ones(3), 3)), np.log(rng.dirichlet(np.ones(3)))
-    e = np.log(rng.dirichlet(np.ones(3), 50))
+    step, start = np.log(rng.dirichlet(np.ones(6), 6)), np.log(rng.dirichlet(np.ones(6)))
+    e = np.log(rng.dirichlet(np.ones(6), 50))
     score, back = start + e[0], []
     for x in e[1:]:
         options = score[:, None] + step
