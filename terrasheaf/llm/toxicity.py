@@ -12,6 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from terrasheaf.llm.common import Memo, runs, texts_of
 from terrasheaf.llm.decontam import words_of
@@ -26,9 +27,11 @@ POOLED = 3
 #: Lengths of the prefixes that are hashed beside the whole word.
 PREFIXES = (4, 5, 6, 7)
 IDS = 1 + len(PREFIXES)
-#: Labelled rows of each label that training uses at most, taken by a hash of the id.
+#: Labelled rows of each label that training uses at most, taken by a hash of the id, and the bytes of text that these have at most.
 MAX_TRAIN_ROWS = 2000
-EPOCHS = 5
+MAX_TRAIN_BYTES = 64 << 20
+#: Passes over the rows, the share of a text's distinct words that each pass leaves out, and the size of steps.
+EPOCHS, DROPPED, RATE, TABLE_RATE = 6, 0.3, 0.15, 1.5
 THRESHOLD = 0.7
 
 
@@ -109,82 +112,104 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def start(samples: list[tuple], labels: np.ndarray) -> Model:
-    """Weights to start from: the first dimension of a bucket is how much more often toxic training texts hold it, and a filter of width one
-    reads it; all else is small noise."""
-    rng = np.random.default_rng(11)
-    counts = np.zeros((2, BUCKETS))
-    for (rows, _), y in zip(samples, labels, strict=True):
-        counts[y, np.unique(rows)] += 1
-    n = np.bincount(labels, minlength=2)
-    odds = np.log((counts[1] + 0.3) / (n[1] + 0.6)) - np.log((counts[0] + 0.3) / (n[0] + 0.6))
-    odds[counts.sum(axis=0) < 2] = 0
-    table = (0.02 * rng.standard_normal((BUCKETS, DIM))).astype(np.float32)
-    table[:, 0] += np.clip(odds, -3, 3) / 6
+def noise(rng: np.random.Generator) -> Model:
+    """Weights to start from."""
+    table = (0.05 * rng.standard_normal((BUCKETS, DIM))).astype(np.float32)
     table[0] = 0
-    filters = [(0.1 * rng.standard_normal((w, DIM, FILTERS))).astype(np.float32) for w in WIDTHS]
-    for f in filters:
-        f[:, 0, : FILTERS // 2] += 1.0 / len(f)
-    out = np.zeros((len(WIDTHS), POOLED, FILTERS), np.float32)
-    out[:, :, : FILTERS // 2] = 0.1
-    return Model(table, filters, [np.zeros(FILTERS, np.float32) for _ in WIDTHS], out, -0.5)
+    filters = [(rng.standard_normal((w, DIM, FILTERS)) / np.sqrt(w * DIM)).astype(np.float32) for w in WIDTHS]
+    out = (0.3 * rng.standard_normal((len(WIDTHS), POOLED, FILTERS))).astype(np.float32)
+    return Model(table, filters, [np.zeros(FILTERS, np.float32) for _ in WIDTHS], out)
+
+
+@dataclass
+class Gradient:
+    """What the loss of one text changes by: for the weights after pooling, the filters and their biases, the constant, and the embeddings of
+    the text's distinct words."""
+
+    out: np.ndarray
+    filters: list[np.ndarray]
+    bias: list[np.ndarray]
+    constant: float
+    words: np.ndarray
+
+
+def gradient(model: Model, embedded: np.ndarray, place: np.ndarray, label: int, weight: float) -> Gradient | None:
+    """Of ``weight`` times the log loss of a text, whose distinct words' embeddings and their places are given; None if it has hardly any."""
+    responses = [np.stack([embedded @ f[o] for o in range(w)]) for w, f in zip(WIDTHS, model.filters, strict=True)]
+    features, at = model.pooled(responses, place)
+    error = weight * (1 / (1 + np.exp(-np.clip(model.logit(features), -30, 30))) - label)
+    if abs(error) < 1e-3:
+        return None
+    back, words, filters, bias = error * model.out, np.zeros_like(embedded), [], []
+    for k, w in enumerate(WIDTHS):
+        pool, filt = np.nonzero(at[k] >= 0)
+        g, p = back[k][pool, filt], at[k][pool, filt]
+        own = np.zeros_like(model.filters[k])
+        for o in range(w):
+            word = place[p + o]
+            np.add.at(own[o].T, filt, g[:, None] * embedded[word])
+            np.add.at(words, word, g[:, None] * model.filters[k][o].T[filt])
+        filters.append(own)
+        bias.append(np.bincount(filt, g, FILTERS))
+    return Gradient(error * features, filters, bias, error, words)
+
+
+class Trainer:
+    """AdaGrad: every weight's step is scaled by its past gradients, those of an embedding by all of its row's."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.table = np.full(BUCKETS, 1e-3)
+        self.out = np.full(model.out.shape, 1e-3)
+        self.filters = [np.full(f.shape, 1e-3) for f in model.filters]
+        self.bias = [np.full(b.shape, 1e-3) for b in model.bias]
+
+    @staticmethod
+    def move(value: np.ndarray, grad: np.ndarray, seen: np.ndarray, rate: float) -> None:
+        seen += grad * grad
+        value -= (rate * grad / np.sqrt(seen)).astype(value.dtype)
+
+    def step(self, g: Gradient, rows: np.ndarray, rate: float) -> None:
+        model = self.model
+        self.move(model.out, g.out + 1e-4 * model.out, self.out, rate)
+        model.constant -= 0.1 * rate * g.constant
+        for k in range(len(WIDTHS)):
+            self.move(model.filters[k], g.filters[k], self.filters[k], rate)
+            self.move(model.bias[k], g.bias[k], self.bias[k], rate)
+        touched = np.flatnonzero(np.abs(g.words).sum(axis=1))
+        mine, grad = rows[touched], g.words[touched]
+        np.add.at(self.table, mine, (grad * grad).sum(axis=1)[:, None])
+        np.subtract.at(model.table, mine, ((TABLE_RATE * rate / np.sqrt(self.table[mine]))[:, :, None] * grad[:, None, :]).astype(np.float32))
+        model.table[0] = 0
 
 
 def fit(texts: list[bytes], labels: np.ndarray, langs: list[str | None]) -> Model:
-    """Trains by stochastic gradients with a step per row scaled by its past gradients (AdaGrad), then calibrates on the rows it left out."""
-    memo = Memo(bucket_ids)
-    samples = [word_rows(memo, [t])[:2] for t in texts]
-    model = start(samples, labels)
+    """Trains by stochastic gradients on four fifths of the rows; cut, slope and thresholds by language come from the others, whose labels
+    nothing has seen before."""
+    rng, memo = np.random.default_rng(5), Memo(bucket_ids)
+    model = noise(rng)
     if len(set(labels.tolist())) < 2:
         model.constant = -20.0 if not labels.any() else 20.0
         return model
-    rng = np.random.default_rng(5)
-    order = rng.permutation(len(samples))
-    n_test = max(1, len(samples) // 5)
+    order = rng.permutation(len(texts))
+    n_test = max(1, len(texts) // 5)
     test, train = order[:n_test], order[n_test:]
     if len(set(labels[test].tolist())) < 2 or len(set(labels[train].tolist())) < 2:
-        test = train = order
+        test = train = order  # too few rows to keep some back
+    samples = [word_rows(memo, [t])[:2] for t in texts]
     share = labels[train].mean()
     weight = {1: 0.5 / share, 0: 0.5 / (1 - share)}
-    past = {"table": np.full(BUCKETS, 1e-3), "out": np.full(model.out.shape, 1e-3), "filters": [np.full(f.shape, 1e-3) for f in model.filters], "bias": [np.full(b.shape, 1e-3) for b in model.bias]}
-
-    def step(value: np.ndarray, grad: np.ndarray, seen: np.ndarray, rate: float) -> None:
-        seen += grad * grad
-        value -= rate * grad / np.sqrt(seen)
-
+    trainer = Trainer(model)
     for epoch in range(EPOCHS):
-        rate = 0.05 / (1 + epoch)
+        rate = RATE * (1 - epoch / EPOCHS)
         for i in rng.permutation(train):
             rows, place = samples[i]
-            if not len(place):
-                continue
-            y = int(labels[i])
-            embedded = model.embed(rows)
-            features, at = model.pooled([np.stack([embedded @ f[o] for o in range(w)]) for w, f in zip(WIDTHS, model.filters, strict=True)], place)
-            error = weight[y] * (1 / (1 + np.exp(-np.clip(model.logit(features), -30, 30))) - y)
-            if abs(error) < 1e-3:
-                continue
-            back = error * model.out
-            step(model.out, error * features + 1e-4 * model.out, past["out"], rate)
-            model.constant -= 0.1 * rate * error
-            moved = np.zeros_like(embedded)
-            for k, w in enumerate(WIDTHS):
-                pool, filt = np.nonzero(at[k] >= 0)
-                if not len(pool):
-                    continue
-                g, p = back[k][pool, filt], at[k][pool, filt]
-                grad = np.zeros(model.filters[k].shape, np.float32)
-                for o in range(w):
-                    word = place[p + o]
-                    np.add.at(grad[o].T, filt, g[:, None] * embedded[word])
-                    np.add.at(moved, word, g[:, None] * model.filters[k][o].T[filt])
-                step(model.filters[k], grad, past["filters"][k], rate)
-                step(model.bias[k], np.bincount(filt, g, FILTERS), past["bias"][k], rate)
-            touched = np.flatnonzero(np.abs(moved).sum(axis=1))
-            for row, grad in zip(rows[touched], moved[touched], strict=True):
-                own = row[row > 0]
-                past["table"][own] += float(grad @ grad)
-                model.table[own] -= (rate * grad / np.sqrt(past["table"][own])[:, None]).astype(np.float32)
+            if len(place):
+                embedded = model.embed(rows)
+                embedded[rng.random(len(embedded)) < DROPPED] = 0
+                g = gradient(model, embedded, place, int(labels[i]), weight[int(labels[i])])
+                if g is not None:
+                    trainer.step(g, rows, rate)
     logits = np.array([model.logit(model.pooled(model.responses(r), p)[0]) if len(p) else model.constant for r, p in (samples[i] for i in test)])
     model.centre = best_cut(logits, labels[test])
     spread = np.median(np.abs(logits - model.centre))
@@ -212,15 +237,19 @@ def held_out_rows(id_col: str = "doc_id", parts: int = 3, part: int = 1) -> Colu
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN_ROWS, parts: int = 3, part: int = 1) -> list:
-    """At most ``bound`` labelled rows of each label outside the held-out part, the first by a hash of their id."""
+def training_rows(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN_ROWS, parts: int = 3, part: int = 1, max_bytes: int = MAX_TRAIN_BYTES) -> list:
+    """At most ``bound`` labelled rows of each label outside the held-out part, the first by a hash of their id, one row for each id, and of
+    these as many as have ``max_bytes`` of text. The sum of bytes runs over those few rows only."""
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     marks = marks.where(~held_out_rows("doc_id", parts, part)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     first = lambda y: marks.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     chosen = first(0).unionByName(first(1))
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), lang.alias("lang"))
-    return rows.join(F.broadcast(chosen), "doc_id").collect()  # 2 * bound rows of the ids broadcast
+    found = rows.join(F.broadcast(chosen), "doc_id")  # 2 * bound ids are broadcast
+    single = found.groupBy("doc_id").agg(F.min_by(F.struct("text", "lang", "toxic"), F.struct(F.xxhash64("text"), "lang")).alias("r"), F.lit(0)).select("doc_id", "r.*")
+    so_far = F.sum(F.octet_length("text").cast("long")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return single.withColumn("__bytes", so_far).where(F.col("__bytes") <= max_bytes).collect()  # one row an id
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN_ROWS, parts: int = 3, part: int = 1) -> DataFrame:

@@ -737,3 +737,54 @@ def test_kept_columns_with_the_names_of_results_give_way(spark):
     rows = repetition.text_measures(given, ["text", "doc_id", "n_words", "__text"]).orderBy("doc_id").collect()
     assert [(r["doc_id"], r["text"], r["n_words"]) for r in rows] == [(0, "some text here", 3), (1, None, 0)]
     assert [r["n_email"] for r in pii.find_personal_data(given, ["doc_id", "n_email", "words"]).collect()] == [0, 0]
+
+
+def small_network(seed):
+    rng = np.random.default_rng(seed)
+    model = toxicity.noise(rng)
+    model.table, model.out = model.table.astype(np.float64), model.out.astype(np.float64)
+    model.filters, model.bias = [f.astype(np.float64) for f in model.filters], [rng.normal(0, 0.1, b.shape) for b in model.bias]
+    return model, rng
+
+
+def logit_brute(model, embedded, place):
+    """The network word by word, window by window and filter by filter."""
+    total = model.constant
+    for k, w in enumerate(toxicity.WIDTHS):
+        for f in range(toxicity.FILTERS):
+            values = [sum(float(embedded[place[p + o]] @ model.filters[k][o][:, f]) for o in range(w)) + model.bias[k][f] for p in range(len(place) - w + 1)]
+            for n, v in enumerate(sorted(values, reverse=True)[: toxicity.POOLED]):
+                total += max(v, 0) * model.out[k, n, f]
+    return total
+
+
+@pytest.mark.parametrize("n_words", [1, 2, 5, 30])
+def test_forward_pass_and_gradients_against_brute_force(n_words):
+    model, rng = small_network(n_words)
+    embedded = rng.normal(0, 1, (max(1, n_words // 2), toxicity.DIM))
+    place = rng.integers(0, len(embedded), n_words) if n_words > 1 else np.zeros(1, np.int64)
+    responses = [np.stack([embedded @ f[o] for o in range(w)]) for w, f in zip(toxicity.WIDTHS, model.filters, strict=True)]
+    assert model.logit(model.pooled(responses, place)[0]) == pytest.approx(logit_brute(model, embedded, place))
+    loss = lambda label: 1.7 * -math.log(1 / (1 + math.exp(-logit_brute(model, embedded, place) * (1 if label else -1))))
+    for label in (0, 1):
+        g = toxicity.gradient(model, embedded, place, label, 1.7)
+        pairs = [(model.out, g.out), (embedded, g.words), *zip(model.filters, g.filters, strict=True), *zip(model.bias, g.bias, strict=True)]
+        for value, grad in pairs:
+            for spot in rng.integers(0, value.size, 6):
+                at = np.unravel_index(spot, value.shape)
+                old, h = value[at], 1e-6
+                value[at] = old + h
+                up = loss(label)
+                value[at] = old - h
+                down = loss(label)
+                value[at] = old
+                assert grad[at] == pytest.approx((up - down) / (2 * h), abs=2e-5)
+
+
+def test_training_rows_are_bounded_and_single(spark):
+    given = docs(spark, ["x" * 100] * 30 + ["first", "second", "first"], [*range(30), 3, 3, 3])
+    marks = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(given, marks, bound=5)
+    assert len(rows) <= 10 and len({r["doc_id"] for r in rows}) == len(rows)
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1 for r in rows)
+    assert sum(len(r["text"]) for r in toxicity.training_rows(given, marks, max_bytes=450)) <= 450
