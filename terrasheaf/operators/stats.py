@@ -1,6 +1,6 @@
 """Exploratory statistics: exact, and spread over the cluster even where one group holds most rows.
 
-Ranks and quantiles come from one primitive: distinct values are counted, dealt to ranges of values, and summed up range by range.
+Ranks and quantiles come from one primitive: distinct values are counted, dealt to ranges, and summed up range by range.
 """
 
 from __future__ import annotations
@@ -14,20 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from terrasheaf.functions.keys import tillage_shares
-from terrasheaf.runtime import stored
-
-#: Ranges of values that are summed on their own.
-RANGES = 64
+from terrasheaf.runtime import join_counted, stored
 
 
 def cumulative(df: DataFrame, keys: list[str], x: str) -> DataFrame:
     """(keys, x, n, before): each distinct non-null value of ``x``, how often it occurs in its group and how many smaller ones there are.
 
-    The ranges' bounds are quantiles of all values, one small row on the driver; they decide who works where, never what comes out."""
+    The distinct values are dealt to ranges of (keys, x) by Spark's range partitioning, as many as the session has shuffle partitions for
+    them: a group with many values gets many ranges and small groups share one. The ranges are stored, so they stay what they are when a
+    task runs again, and summed up one by one."""
     counts = df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count(F.lit(1)).alias("n"))
-    found = df.agg(F.percentile_approx(F.col(x).cast("double"), [k / RANGES for k in range(1, RANGES)], 1000).alias("b")).first()["b"] or []
-    cuts = F.array(*(F.lit(float(b)) for b in sorted(set(found)))) if found else F.array().cast("array<double>")
-    dealt = counts.withColumn("__range", F.size(F.filter(cuts, lambda b: b < F.col(x).cast("double"))))
+    dealt = stored(counts.repartitionByRange(*keys, x).withColumn("__range", F.spark_partition_id()), "ranges")
     totals = dealt.groupBy(*keys, "__range").agg(F.sum("n").alias("__n"))
     earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.withColumn("__start", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
@@ -37,28 +34,35 @@ def cumulative(df: DataFrame, keys: list[str], x: str) -> DataFrame:
     return joined.select(*keys, x, "n", (F.col("__start") + F.col("__inside")).alias("before"))
 
 
+def average_rank() -> Column:
+    """The rank of a row of ``cumulative``, ties sharing their average."""
+    return F.col("before") + (F.col("n") + 1) / 2
+
+
 def avg_rank(df: DataFrame, x: str, keys: list[str], name: str = "rank") -> DataFrame:
-    """(keys, x, rank): the rank of each distinct value within its group, ties sharing their average."""
-    return cumulative(df, keys, x).select(*keys, x, (F.col("before") + (F.col("n") + 1) / 2).alias(name))
+    """(keys, x, rank, n): the rank of each distinct value within its group, ties sharing their average, and how many share it."""
+    return cumulative(df, keys, x).select(*keys, x, average_rank().alias(name), "n")
 
 
-def quantiles(df: DataFrame, keys: list[str], x: str, probs: dict[str, float]) -> DataFrame:
-    """Exact quantiles per group by linear interpolation between the two values nearest to (n - 1) * p."""
-    ranked = cumulative(df, keys, x)
-    totals = df.where(F.col(x).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"))
-    rows = ranked.join(F.broadcast(totals) if not keys else totals, keys) if keys else ranked.crossJoin(F.broadcast(totals))
-
-    def at(p: float, side) -> Column:
-        spot = side((F.col("__total") - 1) * p)
-        return F.max(F.when((F.col("before") <= spot) & (spot < F.col("before") + F.col("n")), F.col(x).cast("double")))
-
-    sums = []
-    for name, p in probs.items():
-        sums += [at(p, F.floor).alias(f"{name}__lo"), at(p, F.ceil).alias(f"{name}__hi"), F.max((F.col("__total") - 1) * p - F.floor((F.col("__total") - 1) * p)).alias(f"{name}__part")]
+def quantiles_of(ranked: DataFrame, keys: list[str], x: str, probs: dict[str, float | Column]) -> DataFrame:
+    """Exact quantiles per group of a table made by ``cumulative``, by linear interpolation between the two values nearest to (n - 1) * p;
+    a probability may be a column that is the same in all rows of a group, and a null one gives null."""
+    totals = ranked.groupBy(*keys).agg(F.sum("n").alias("__total"))
+    rows = ranked.join(totals, keys) if keys else ranked.crossJoin(F.broadcast(totals))
+    spot = {name: (F.col("__total") - 1) * p for name, p in probs.items()}
+
+    def at(where: Column) -> Column:
+        return F.max(F.when((F.col("before") <= where) & (where < F.col("before") + F.col("n")), F.col(x).cast("double")))
+
+    sums = [c for name, p in spot.items() for c in (at(F.floor(p)).alias(f"{name}__lo"), at(F.ceil(p)).alias(f"{name}__hi"), F.max(p - F.floor(p)).alias(f"{name}__part"))]
     done = rows.groupBy(*keys).agg(*sums)
     return done.select(*keys, *((F.col(f"{n}__lo") + (F.col(f"{n}__hi") - F.col(f"{n}__lo")) * F.col(f"{n}__part")).alias(n) for n in probs))
 
 
+def quantiles(df: DataFrame, keys: list[str], x: str, probs: dict[str, float]) -> DataFrame:
+    return quantiles_of(stored(cumulative(df, keys, x), "ranked"), keys, x, probs)
+
+
 def unpivot(df: DataFrame, keep: list[str], variables: list[str]) -> DataFrame:
     """(keep, variable, value): one row per variable; NaN is null."""
     entries = F.array(*(F.struct(F.lit(v).alias("variable"), F.nanvl(F.col(v).cast("double"), F.lit(None).cast("double")).alias("value")) for v in variables))
@@ -82,16 +86,21 @@ def numeric_profile(df: DataFrame, variables: list[str]) -> DataFrame:
     """Per variable: rows, non-null and missing rows, distinct values, mean, deviation (0 for one value), extremes and quantiles."""
     long = stored(unpivot(df, [], variables), "profile")
     v = F.col("value")
+    ranked = stored(cumulative(long, ["variable"], "value"), "ranked")
     base = long.groupBy("variable").agg(F.count(F.lit(1)).alias("rows"), F.count(v).alias("non_null"), F.count_if(v.isNull()).alias("missing"), F.avg(v).alias("mean"), F.coalesce(F.stddev_samp(v), F.when(F.count(v) == 1, 0.0)).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
-    distinct = long.where(v.isNotNull()).groupBy("variable", "value").agg(F.lit(1)).groupBy("variable").agg(F.count(F.lit(1)).alias("distinct_values"))
-    done = base.join(distinct, "variable", "left").join(quantiles(long, ["variable"], "value", PROFILE), "variable", "left")
+    distinct = ranked.groupBy("variable").agg(F.count(F.lit(1)).alias("distinct_values"))
+    done = base.join(distinct, "variable", "left").join(quantiles_of(ranked, ["variable"], "value", PROFILE), "variable", "left")
     return done.withColumn("missing_rate", F.col("missing") / F.col("rows")).fillna({"distinct_values": 0})
 
 
-def correlations(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, n, pearson_r, spearman_r, slope, intercept, r2) of complete pairs (keys, x, y)."""
-    full = pairs.dropna(subset=["x", "y"])
-    ranked = full.join(avg_rank(full, "x", keys, "rx"), [*keys, "x"]).join(avg_rank(full, "y", keys, "ry"), [*keys, "y"])
+def correlations(full: DataFrame, keys: list[str], ranks: DataFrame | None = None) -> DataFrame:
+    """(keys, n, pearson_r, spearman_r, slope, intercept, r2) of a stored table of complete pairs (keys, x, y).
+
+    ``ranks`` is ``cumulative`` of x, if it is known. A value that a large share of the rows have meets its rank without a shuffle."""
+    ranks = stored(cumulative(full, keys, "x"), "ranks") if ranks is None else ranks
+    of_y = stored(cumulative(full, keys, "y"), "ranks")
+    ranked = join_counted(full, ranks.select(*keys, "x", "n", average_rank().alias("rx")), [*keys, "x"], "n").drop("n")
+    ranked = join_counted(ranked, of_y.select(*keys, "y", "n", average_rank().alias("ry")), [*keys, "y"], "n").drop("n")
     n, varies = F.count(F.lit(1)), (F.min("x") < F.max("x")) & (F.min("y") < F.max("y"))
     ok = (n >= 3) & varies
     r = lambda a, b: F.when(ok, F.try_divide(F.covar_samp(a, b), F.nullif(F.stddev_samp(a) * F.stddev_samp(b), F.lit(0.0))))
@@ -144,8 +153,9 @@ def yield_bivariate(df: DataFrame, predictors: list[str], y: str = "unscaled_yie
     """Per predictor: correlations with p-values, the line of least squares, and mean yield in the lowest and highest quarter of it."""
     pairs = unpivot(df, [y], predictors).select(F.col("variable").alias("predictor"), F.col("value").alias("x"), F.col(y).cast("double").alias("y")).dropna()
     pairs = stored(pairs, "pairs")
-    base = correlations(pairs, ["predictor"])
-    cuts = quantiles(pairs, ["predictor"], "x", {"q25": 0.25, "q75": 0.75})
+    ranks = stored(cumulative(pairs, ["predictor"], "x"), "ranks")
+    base = correlations(pairs, ["predictor"], ranks)
+    cuts = quantiles_of(ranks, ["predictor"], "x", {"q25": 0.25, "q75": 0.75})
     ends = pairs.join(F.broadcast(cuts), "predictor").groupBy("predictor").agg(F.avg(F.when(F.col("x") <= F.col("q25"), F.col("y"))).alias("low_mean"), F.avg(F.when(F.col("x") >= F.col("q75"), F.col("y"))).alias("high_mean"))
     done = base.join(ends, "predictor")
     return done.withColumns({"pearson_p": corr_p_value(F.col("pearson_r"), F.col("n")), "spearman_p": corr_p_value(F.col("spearman_r"), F.col("n"))})
@@ -159,21 +169,29 @@ def pairwise_corr(df: DataFrame, variables: list[str]) -> DataFrame:
     return correlations(pairs, ["a", "b"]).select("a", "b", "n", "pearson_r", "spearman_r")
 
 
-def binned_yield(df: DataFrame, predictor: str, bins: int = 10, y: str = "unscaled_yield") -> DataFrame:
-    """Yield by quantile bins of a predictor (right-closed, equal edges joined), or by its values if there are two at most."""
-    pairs = df.select(F.col(predictor).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    pairs = stored(pairs, "pairs")
-    few = pairs.select("x").distinct().limit(bins + 1).count()
-    if few <= 2:
-        binned = pairs.withColumn("bin", F.col("x"))
-    else:
-        names = {f"e{k}": k / min(bins, few) for k in range(min(bins, few) + 1)}
-        row = quantiles(pairs, [], "x", names).first()
-        edges = sorted(set(row.asDict().values()))
-        number = F.size(F.filter(F.array(*map(F.lit, edges[1:-1])), lambda e: e < F.col("x")))
-        binned = pairs.withColumn("bin", number.cast("double"))
-    base = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x_min"), F.max("x").alias("x_max"), F.avg("x").alias("x_mean"), F.avg("y").alias("y_mean"))
-    return base.join(quantiles(binned, ["bin"], "y", {"y_median": 0.5}), "bin").withColumn("predictor", F.lit(predictor))
+def binned_yield(df: DataFrame, predictors: list[str], bins: int = 10, y: str = "unscaled_yield", by_value: tuple[str, ...] = ("annual_tillage",)) -> DataFrame:
+    """Yield by quantile bins of each predictor: (predictor, bin_order, bin_low, bin_high, n, x_min, x_max, x_mean, y_mean, y_median).
+
+    Bins are ``bins`` or as many as there are distinct values, right-closed, the lowest value included, equal edges joined, and numbered from
+    1 in order where they have rows. A predictor of ``by_value`` or with two values at most has a bin for each value, which is its order and
+    edges too. A predictor without complete pairs has no rows."""
+    keys = ["predictor"]
+    pairs = unpivot(df.withColumn("y", F.nanvl(F.col(y).cast("double"), F.lit(None).cast("double"))), ["y"], predictors)
+    pairs = stored(pairs.select(F.col("variable").alias("predictor"), F.col("value").alias("x"), "y").dropna(), "pairs")
+    ranked = stored(cumulative(pairs, keys, "x"), "ranked")
+    few = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("__few"))
+    cut = F.least(F.lit(bins), F.col("__few"))
+    probs = {f"e{k}": F.when(F.lit(k) <= cut, F.lit(k) / cut) for k in range(bins + 1)}
+    edges = quantiles_of(ranked.join(few, keys), keys, "x", probs).select(*keys, F.array_sort(F.array_distinct(F.array_compact(F.array(*probs)))).alias("edges"))
+    single = (F.col("__few") <= 2) | F.col("predictor").isin(*by_value)
+    made = few.join(edges, keys).select("predictor", single.alias("single"), "edges")  # one row a predictor
+    number = F.size(F.filter(F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0))), lambda e: e < F.col("x"))) + 1
+    binned = stored(pairs.join(F.broadcast(made), keys).select("predictor", "x", "y", F.when(F.col("single"), F.col("x")).otherwise(number).alias("bin")), "binned")
+    base = binned.groupBy("predictor", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x_min"), F.max("x").alias("x_max"), F.avg("x").alias("x_mean"), F.avg("y").alias("y_mean"))
+    done = base.join(quantiles(binned, ["predictor", "bin"], "y", {"y_median": 0.5}), ["predictor", "bin"]).join(F.broadcast(made), keys)
+    order = F.when(F.col("single"), F.col("bin")).otherwise(F.dense_rank().over(Window.partitionBy("predictor").orderBy("bin")).cast("double"))
+    edge = lambda k: F.when(F.col("single"), F.col("bin")).otherwise(F.coalesce(F.try_element_at("edges", (F.col("bin") + k).cast("int")), F.try_element_at("edges", F.lit(1))))
+    return done.select("predictor", order.alias("bin_order"), edge(0).alias("bin_low"), edge(1).alias("bin_high"), "n", "x_min", "x_max", "x_mean", "y_mean", "y_median")
 
 
 def group_summary(df: DataFrame, group: str, value: str) -> DataFrame:

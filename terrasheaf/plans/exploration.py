@@ -12,6 +12,7 @@ from terrasheaf.operators import stats as S
 from terrasheaf.plans.assembly import hood, joined, rounded
 from terrasheaf.plans.registry import query
 from terrasheaf.plans.standins import Tables
+from terrasheaf.runtime import join_counted, stored
 
 VARIABLES = ["unscaled_yield", "annual_tillage", "NCCPI", "nccpi3corn", "vpdmax_7", "vpdmax_8", "tillage_0_prop", "tillage_1_prop", "tillage_na_prop", "classified_share", "year"]
 PREDICTORS = VARIABLES[1:]
@@ -64,20 +65,33 @@ def J1_corr_p_value(t: Tables) -> DataFrame:
     return S.yield_bivariate(shares(t), PREDICTORS[:3]).select("predictor", "n", "pearson_r", "pearson_p", "spearman_r", "spearman_p")
 
 
-FEW = VARIABLES[:6]
-PAIRWISE = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y FROM {{shares}}" for a, b in combinations(FEW, 2))
+PAIRWISE = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y FROM {{shares}}" for a, b in combinations(VARIABLES, 2))
 
 
 @query(f"SELECT ka AS a, kb AS b, n, round(r, 6) AS pearson_r, round(s, 6) AS spearman_r FROM ({corr_sql(PAIRWISE.replace('AS a,', 'AS ka,').replace('AS b,', 'AS kb,'), 'ka, kb')})")
 def E16_pairwise_corr(t: Tables) -> DataFrame:
-    return rounded(S.pairwise_corr(shares(t), FEW))
+    return rounded(S.pairwise_corr(shares(t), VARIABLES))
 
 
-@query("""SELECT 'vpdmax_7' AS predictor, CAST(bin AS DOUBLE) AS bin, count(*) AS n, min(x) AS x_min, max(x) AS x_max, round(avg(x), 4) AS x_mean, round(avg(y), 4) AS y_mean, round(quantile_cont(y, 0.5), 4) AS y_median
-FROM (SELECT x, y, (SELECT count(DISTINCT e) FROM (SELECT unnest(edges[2:-2]) AS e, edges[1] AS first) WHERE e < x AND e > first) AS bin FROM (SELECT vpdmax_7 AS x, unscaled_yield AS y FROM {shares} WHERE vpdmax_7 IS NOT NULL) CROSS JOIN (SELECT quantile_cont(vpdmax_7, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]) AS edges FROM {shares})) GROUP BY bin""")
+BINNED = f"""WITH p AS (SELECT variable AS predictor, value AS x, unscaled_yield AS y
+    FROM ({long_sql(['unscaled_yield'], PREDICTORS)}) WHERE value IS NOT NULL AND unscaled_yield IS NOT NULL),
+d AS (SELECT predictor, count(DISTINCT x) AS k, list_sort(list(x)) AS s FROM p GROUP BY 1),
+cuts AS (SELECT predictor, k, s, least(10, k) AS q, unnest(range(0, least(10, k) + 1)) AS i FROM d),
+spots AS (SELECT predictor, k, s, (len(s) - 1) * (i / q) AS spot FROM cuts),
+e AS (SELECT predictor, k <= 2 OR predictor = 'annual_tillage' AS single,
+    list_sort(list(DISTINCT s[CAST(floor(spot) AS INT) + 1] + (s[CAST(ceil(spot) AS INT) + 1] - s[CAST(floor(spot) AS INT) + 1]) * (spot - floor(spot)))) AS edges
+    FROM spots GROUP BY predictor, k),
+b AS (SELECT p.predictor, single, x, y, CASE WHEN single THEN x ELSE 1 + len(list_filter(edges[2:-2], lambda v: v < x)) END AS bin
+    FROM p JOIN e ON p.predictor = e.predictor)
+SELECT predictor, CASE WHEN single THEN bin ELSE dense_rank() OVER (PARTITION BY predictor ORDER BY bin) END AS bin_order, count(*) AS n,
+    round(min(x), 6) AS x_min, round(max(x), 6) AS x_max, round(avg(x), 4) AS x_mean, round(avg(y), 4) AS y_mean, round(quantile_cont(y, 0.5), 4) AS y_median
+FROM b GROUP BY predictor, single, bin"""
+
+
+@query(f"SELECT * FROM ({BINNED})")
 def E17_binned_yield(t: Tables) -> DataFrame:
-    df = S.binned_yield(shares(t), "vpdmax_7")
-    return df.select("predictor", "bin", "n", "x_min", "x_max", *(F.round(c, 4).alias(c) for c in ("x_mean", "y_mean", "y_median")))
+    df = S.binned_yield(shares(t), PREDICTORS)
+    return df.select("predictor", "bin_order", "n", F.round("x_min", 6).alias("x_min"), F.round("x_max", 6).alias("x_max"), *(F.round(c, 4).alias(c) for c in ("x_mean", "y_mean", "y_median")))
 
 
 @query("SELECT annual_tillage, count(*) AS n, round(avg(unscaled_yield), 4) AS mean, round(coalesce(stddev_samp(unscaled_yield), 0), 4) AS std, round(quantile_cont(unscaled_yield, 0.5), 4) AS median FROM {joined} WHERE annual_tillage IS NOT NULL GROUP BY 1")
@@ -121,8 +135,8 @@ def E38_eda_summary(t: Tables) -> DataFrame:
 
 @query("SELECT state, vpdmax_7, rank() OVER (PARTITION BY state ORDER BY vpdmax_7) + (count(*) OVER (PARTITION BY state, vpdmax_7) - 1) / 2.0 AS rank, tile_field_ID, year FROM {joined} WHERE vpdmax_7 IS NOT NULL")
 def F5_avg_rank(t: Tables) -> DataFrame:
-    rows = joined(t).select("state", "vpdmax_7", "tile_field_ID", "year").where("vpdmax_7 IS NOT NULL")
-    return rows.join(S.avg_rank(rows, "vpdmax_7", ["state"]), ["state", "vpdmax_7"])
+    rows = stored(joined(t).select("state", "vpdmax_7", "tile_field_ID", "year").where("vpdmax_7 IS NOT NULL"), "rows")
+    return join_counted(rows, stored(S.avg_rank(rows, "vpdmax_7", ["state"]), "ranks"), ["state", "vpdmax_7"], "n").drop("n")
 
 
 @query(f"SELECT predictor, round(r, 6) AS pearson_r FROM ({corr_sql(PAIRS, 'predictor')}) WHERE r IS NOT NULL ORDER BY abs(r) DESC, predictor LIMIT 5")
@@ -140,10 +154,10 @@ def E34_box_stats(t: Tables) -> DataFrame:
     return rounded(S.box_stats(joined(t), "annual_tillage", "unscaled_yield"), 4)
 
 
-@query("SELECT 'vpdmax_7' AS predictor, round(avg(vpdmax_7), 4) AS mean FROM {joined} UNION ALL SELECT 'NCCPI', round(avg(NCCPI), 4) FROM {joined}")
+@query(" UNION ALL ".join(f"SELECT '{v}' AS predictor, round(avg({v}), 4) AS mean FROM {{shares}}" for v in PREDICTORS))
 def S1_union_predictors(t: Tables) -> DataFrame:
-    one = lambda c: joined(t).agg(F.round(F.avg(c), 4).alias("mean")).select(F.lit(c).alias("predictor"), "mean")
-    return S.union_predictors([one("vpdmax_7"), one("NCCPI")])
+    rows = stored(shares(t), "shares")
+    return S.union_predictors([rows.agg(F.round(F.avg(v), 4).alias("mean")).select(F.lit(v).alias("predictor"), "mean") for v in PREDICTORS])
 
 
 @query("SELECT c_custkey, trim(raw_number) IN ('1.5', '7', '-2e2') AS numeric FROM {messy} WHERE raw_number IS NOT NULL")

@@ -8,18 +8,32 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 _own_dirs: dict[str, str] = {}
 
 
-def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A new path in the folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (local use)."""
+#: A key that more than this share of all rows hold is heavy; so there are fewer heavy keys than its inverse.
+HEAVY_SHARE = 1 / 1000
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset and all run on one machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
-    if not base and app not in _own_dirs:
+    if app not in _own_dirs:
         _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-    return f"{(base or _own_dirs[app]).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    return _own_dirs[app]
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
@@ -29,6 +43,21 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_counted(rows: DataFrame, table: DataFrame, keys: str | list[str], count: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row for every key in ``rows`` and says in ``count`` how many rows hold it.
+
+    Heavy keys, a thousand at most whatever the data, are broadcast and joined where their rows are; only the others are shuffled, so no
+    task gets more than a thousandth of all rows for one key. Rows with a null in a key are left out. Both are read twice and should be
+    stored tables."""
+    keys = [keys] if isinstance(keys, str) else keys
+    total = table.agg(F.sum(count)).first()[0] or 0
+    heavy = table.where(F.col(count) > total * HEAVY_SHARE)
+    light = table.where(F.col(count) <= total * HEAVY_SHARE)
+    there = rows.join(F.broadcast(heavy), keys)
+    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys)
+    return there.unionByName(rest)
+
+
 def ship(spark: SparkSession) -> None:
     """Lets Python workers import this package, once for each application; a cluster that has it installed loses nothing."""
     app = spark.sparkContext.applicationId
