@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# How tiles are written, and the namespaces of field and boundary ids.
 TILE = r"(?i)(h\d{2}v\d{2})"
-#: Namespaces of field and boundary ids.
 FIELD_NAMESPACE = "9e6c1b5a-84d9-49c6-89df-cf8f1ca0af31"
+BOUNDARY_NAMESPACE = "8a0f82f6-e540-4fc8-8f46-b6ce1c0df723"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -60,14 +61,20 @@ def split_tile_field_id(c: Column) -> tuple[Column, Column]:
     return F.when(c.contains("_"), parts[0]).otherwise(""), F.when(c.contains("_"), F.element_at(parts, -1)).otherwise("")
 
 
-def alias_columns(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
-    """One column for each target, from the first of its aliases that the table has, in any case; a target without one is an error."""
+def alias_map(df: DataFrame, aliases: dict[str, list[str]]) -> dict[str, str]:
+    """For each target the first of its aliases that the table has, in any case; a target without one is an error."""
     have = {c.lower(): c for c in df.columns}
     chosen = {t: next((have[n.lower()] for n in names if n.lower() in have), None) for t, names in aliases.items()}
     missing = [t for t, c in chosen.items() if c is None]
     if missing:
         raise ValueError(f"no column for {', '.join(missing)}")
-    return df.select(*(F.col(c).alias(t) for t, c in chosen.items()))
+    return chosen
+
+
+def alias_columns(df: DataFrame, aliases: dict[str, list[str]], report: bool = False) -> DataFrame:
+    """One column for each target, by ``alias_map``; with ``report`` also the name of the column that it is from, as <target>_from."""
+    chosen = alias_map(df, aliases)
+    return df.select(*(F.col(c).alias(t) for t, c in chosen.items()), *(F.lit(c).alias(f"{t}_from") for t, c in chosen.items() if report))
 
 
 def year_month(c: Column) -> tuple[Column, Column]:
@@ -131,6 +138,12 @@ def field_uuid(source: Column, tile: Column, field: Column) -> Column:
     return uuid5(FIELD_NAMESPACE, F.concat_ws("|", source, tile, field))
 
 
+def boundary_uuid(source: Column, resolution: Column, valid_start: Column, valid_end: Column, tile: Column, field: Column, geometry_hash: Column) -> Column:
+    """The id of a field's boundary; an unknown start or end is blank."""
+    blank = F.lit("")
+    return uuid5(BOUNDARY_NAMESPACE, F.concat_ws("|", source, resolution, F.coalesce(valid_start, blank), F.coalesce(valid_end, blank), tile, field, geometry_hash))
+
+
 def ring_text(ring: Column) -> Column:
     """One spelling of a ring, for hashing."""
     point = lambda p: F.concat(F.round(p["x"], 6).cast("string"), F.lit(" "), F.round(p["y"], 6).cast("string"))

@@ -37,11 +37,14 @@ def crop_units(df: DataFrame, cell_area: float, crop_codes: DataFrame) -> DataFr
     return df.join(crop_codes, "crop_id", "left").withColumns({"area_m2": F.col("pixel_count") * cell_area, "acres": F.col("pixel_count") * cell_area / ACRE_M2})
 
 
-def validate_crop_year(summary: DataFrame, year: int | None = None, max_id: int = 65_535) -> DataFrame:
-    """One row of checks, each true if it holds."""
+def validate_crop_year(counts: DataFrame, summary: DataFrame, year: int | None = None, max_id: int = 65_535) -> DataFrame:
+    """One row of ten checks, each true if it holds; rows_match: the summary has the rows of the counts, with the same numbers, and no other."""
+    keys = ["field_id", "year", "crop_id", "pixel_count"]
+    both = counts.select(*keys, F.lit(1).alias("n")).unionByName(summary.select(*keys, F.lit(-1).alias("n")))
+    match = both.groupBy(*keys).agg(F.sum("n").alias("n")).agg((F.count_if(F.col("n") != 0) == 0).alias("rows_match"))
     fields = summary.groupBy("field_id", "year").agg(F.sum("share").alias("s"), F.count_if("is_dominant").alias("d"), F.count(F.lit(1)).alias("n"), F.count_distinct("crop_id").alias("k"), F.min("year").alias("y0"), F.max("year").alias("y1"), F.min("pixel_count").alias("low"), F.min("share").alias("s0"), F.max("share").alias("s1"), F.min("crop_id").alias("c0"), F.max("crop_id").alias("c1"), F.min("field_id").alias("f0"))
     every = lambda c: F.coalesce(F.bool_and(c), F.lit(True))
-    return fields.agg(
+    checks = fields.agg(
         (F.count(F.lit(1)) > 0).alias("non_empty"),
         every((F.col("y0") == F.lit(year)) & (F.col("y1") == F.lit(year)) if year is not None else F.col("y0").isNotNull()).alias("year_ok"),
         every(F.col("low") > 0).alias("counts_positive"),
@@ -52,6 +55,7 @@ def validate_crop_year(summary: DataFrame, year: int | None = None, max_id: int
         every((F.col("c0") >= 0) & (F.col("c1") <= max_id)).alias("crop_ids_in_range"),
         every(F.col("f0") > 0).alias("field_ids_positive"),
     )
+    return checks.crossJoin(F.broadcast(match))
 
 
 def merge_checks(parts: list[DataFrame], units: DataFrame, key: list[str]) -> DataFrame:
@@ -65,6 +69,12 @@ def merge_checks(parts: list[DataFrame], units: DataFrame, key: list[str]) -> Da
     return rows.crossJoin(F.broadcast(missing)).crossJoin(F.broadcast(outside))
 
 
-def delivery_manifest(files: DataFrame) -> DataFrame:
-    """Path, bytes and SHA-256 of each delivered file (a binaryFile table)."""
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+def delivery_manifest(files: DataFrame, rows: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """Path, rows, bytes and SHA-256 of each delivered file (a binaryFile table; ``rows`` has one row, with the file's path, for each of a
+    file's rows). Against an ``expected`` manifest also whether the hash is the expected one, with missing and unexpected files as false."""
+    counted = rows.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
+    found = files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).join(counted, "path", "left").fillna(0, ["rows"])
+    if expected is None:
+        return found.select("path", "rows", "bytes", "sha256")
+    both = found.join(expected.select("path", F.col("sha256").alias("__expected")), "path", "full")
+    return both.select("path", "rows", "bytes", "sha256", F.coalesce(F.col("sha256") == F.col("__expected"), F.lit(False)).alias("hash_matches"))

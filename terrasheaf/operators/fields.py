@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrasheaf.functions.keys import blank_to_null, field_uuid, geometry_hash, uuid5, FIELD_NAMESPACE
+from terrasheaf.functions.keys import blank_to_null, boundary_uuid, field_uuid, geometry_hash
 
 
 def non_missing_id(features: DataFrame) -> DataFrame:
@@ -13,12 +13,21 @@ def non_missing_id(features: DataFrame) -> DataFrame:
     return features.where(blank_to_null(F.col("field_id").cast("string")).isNotNull() & blank_to_null(F.col("tile_coord")).isNotNull())
 
 
-def field_boundaries(features: DataFrame, source: str) -> DataFrame:
+def field_boundaries(features: DataFrame, source: str, resolution: str) -> DataFrame:
     """Boundaries with deterministic ids of field and boundary and a hash of the geometry."""
     rows = non_missing_id(features).withColumn("geometry_hash", geometry_hash(F.col("ring")))
     field = field_uuid(F.lit(source), F.col("tile_coord"), F.col("field_id"))
-    name = F.concat_ws("|", F.lit(source), "tile_coord", "field_id", "source_name", F.coalesce("valid_start", F.lit("")), F.coalesce("valid_end", F.lit("")), "geometry_hash")
-    return rows.select(uuid5(FIELD_NAMESPACE, name).alias("field_boundary_id"), field.alias("field_id"), F.lit(source).alias("source"), "tile_coord", F.col("field_id").alias("source_field_id"), "source_name", "geometry_hash", "ring")
+    boundary = boundary_uuid(F.lit(source), F.lit(resolution), F.col("valid_start"), F.col("valid_end"), F.col("tile_coord"), F.col("field_id"), F.col("geometry_hash"))
+    return rows.select(
+        boundary.alias("field_boundary_id"),
+        field.alias("field_id"),
+        F.lit(source).alias("source"),
+        "tile_coord",
+        F.col("field_id").alias("source_field_id"),
+        "source_name",
+        "geometry_hash",
+        "ring",
+    )
 
 
 def field_index(boundaries: DataFrame) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from terrasheaf.operators.stats import quantiles
+from terrasheaf.runtime import stored
 
 
 def distinct_edges(edges: DataFrame) -> DataFrame:
@@ -40,12 +42,15 @@ def manifest_join(rows: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def neighborhood_manifest(rows: DataFrame, edges: DataFrame, counts: DataFrame) -> DataFrame:
-    """Per focal county: neighbours, rows of the neighbourhood, year span, its own joined rows, and the sources' row counts."""
-    focal = focal_set(rows, edges)
+    """Per focal county: neighbours, rows of the neighbourhood, year span, its own joined rows, and the sources' row counts.
+
+    Rows are counted by county first, and the counts are expanded to neighbourhoods."""
+    own = stored(rows.groupBy("FIPS").agg(F.count(F.lit(1)).alias("joined_row_count"), F.min("year").alias("y0"), F.max("year").alias("y1")), "counts")
+    focal = focal_set(own, edges)
     many = edges.groupBy("focal_fips").agg(F.count(F.lit(1)).alias("neighbor_count"))
-    size = neighborhood_expand(rows, edges).groupBy("focal_fips").agg(F.count(F.lit(1)).alias("row_count"), F.min("year").alias("year_min"), F.max("year").alias("year_max"))
-    own = rows.groupBy(F.col("FIPS").alias("focal_fips")).agg(F.count(F.lit(1)).alias("joined_row_count"))
-    done = focal.join(many, "focal_fips", "left").join(size, "focal_fips", "left").join(own, "focal_fips", "left")
+    size = neighborhood_expand(own, edges).groupBy("focal_fips").agg(F.sum("joined_row_count").alias("row_count"), F.min("y0").alias("year_min"), F.max("y1").alias("year_max"))
+    mine = own.select(F.col("FIPS").alias("focal_fips"), "joined_row_count")
+    done = focal.join(many, "focal_fips", "left").join(size, "focal_fips", "left").join(mine, "focal_fips", "left")
     return done.fillna({"neighbor_count": 1, "row_count": 0, "joined_row_count": 0}).crossJoin(F.broadcast(counts))
 
 
@@ -114,7 +119,14 @@ def neighborhood_ols(design: DataFrame, y: str, xs: list[str]) -> DataFrame:
 
 def draws_summary(draws: DataFrame, probs: tuple[float, float] = (0.05, 0.95)) -> DataFrame:
     """Mean, deviation and two quantiles of each variable of each fit."""
-    return draws.groupBy("fit", "variable").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"), *(F.percentile("value", F.lit(q)).alias(f"q{round(100 * q)}") for q in probs))
+    keys, rows = ["fit", "variable"], stored(draws.select("fit", "variable", "value"), "draws")
+    base = rows.groupBy(*keys).agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
+    return base.join(quantiles(rows, keys, "value", {f"q{round(100 * q)}": q for q in probs}), keys, "left")
+
+
+def read_states(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Fit summaries and checkpoints of counties, JSON files of one object a line; a summary that was not written yet has no counts."""
+    return spark.read.schema("fips string, completed_iter long, target_iter long").json(paths)
 
 
 def fit_manifest(states: DataFrame) -> DataFrame:
@@ -122,7 +134,3 @@ def fit_manifest(states: DataFrame) -> DataFrame:
     rows = states.groupBy("fips").agg(F.max("completed_iter").alias("completed_iter"), F.max("target_iter").alias("target_iter"))
     done, want = F.coalesce("completed_iter", F.lit(0)), F.col("target_iter")
     return rows.select("fips", done.alias("completed_iter"), "target_iter", F.when(done == 0, "pending").when(done < want, "needs_more").otherwise("complete").alias("status"))
-
-
-def rank_in(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,11 @@ def job_summary(df: DataFrame, metrics: dict[str, Column]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), *(F.count_if(c).alias(n) for n, c in metrics.items()))
 
 
+def read_summaries(spark: SparkSession, paths: str | list[str], counters: list[str]) -> DataFrame:
+    """Summary files of tiles, JSON of one object a line: tile and counters."""
+    return spark.read.schema(", ".join(["tile string", *(f"`{c}` long" for c in counters)])).json(paths)
+
+
 def rollup_summaries(summaries: DataFrame, counters: list[str]) -> DataFrame:
     """Sums of the counters of many summaries, and the sorted tiles they are for."""
     return summaries.agg(*(F.sum(c).alias(c) for c in counters), F.array_join(F.array_sort(F.collect_set("tile")), ";").alias("tiles"))

@@ -247,7 +247,7 @@ def strongest_signals(stats: DataFrame, k: int, r: str, keys: list[str]) -> Data
 
 def plot_sample(df: DataFrame, columns: list[str], keys: list[str], n: int = 50_000, seed: int = 42) -> DataFrame:
     """At most ``n`` complete rows, the first by a hash of their key."""
-    return df.dropna(subset=columns).orderBy(F.crc32(F.concat_ws("|", *(F.col(k).cast("string") for k in keys), F.lit(str(seed))).cast("binary")), *keys).limit(n)
+    return df.dropna(subset=columns).orderBy(F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys), F.lit(str(seed))).cast("binary")), *keys).limit(n)
 
 
 def union_predictors(frames: list[DataFrame]) -> DataFrame:

@@ -12,7 +12,7 @@ from terrasheaf.operators import quality as Q
 from terrasheaf.operators import soil as S
 from terrasheaf.plans.registry import query
 from terrasheaf.plans.standins import Tables
-from terrasheaf.runtime import stored
+from terrasheaf.runtime import scratch_path, stored
 
 REQUIRED = ["unscaled_yield", "annual_tillage", "NCCPI", "vpdmax_7", "vpdmax_8"]
 COVARIATES = ["annual_tillage", "NCCPI", "vpdmax_7", "vpdmax_8"]
@@ -20,6 +20,7 @@ COVARIATES = ["annual_tillage", "NCCPI", "vpdmax_7", "vpdmax_8"]
 
 def joined(t: Tables) -> DataFrame:
     corn = t.corn.select("tile_field_ID", "year", "unscaled_yield")
+    t.keep("lines")  # tillage, climate and soil all read them
     return C.covariate_join(corn, t.tillage, t.vpd, t.soil, t.county)
 
 
@@ -144,9 +145,9 @@ def C9_positive_weight(t: Tables) -> DataFrame:
     return S.positive_weight(rows, "overlap_area", ["nccpi3all", "nccpi3corn"])
 
 
-@query("SELECT focal_fips, count(*) AS rows FROM {hood} WHERE vpdmax_7 > 30000 AND annual_tillage IS NOT NULL GROUP BY 1")
+@query("SELECT tile_field_ID, year, annual_tillage, NCCPI, vpdmax_7, vpdmax_8 FROM {joined} WHERE annual_tillage IS NOT NULL AND NCCPI IS NOT NULL AND vpdmax_7 IS NOT NULL AND vpdmax_8 IS NOT NULL")
 def C11_drop_na_model(t: Tables) -> DataFrame:
-    return N.complete_cases(hood(t).where("vpdmax_7 > 30000"), COVARIATES).groupBy("focal_fips").agg(F.count(F.lit(1)).alias("rows"))
+    return N.complete_cases(joined(t), COVARIATES).select("tile_field_ID", "year", *COVARIATES)
 
 
 SOIL = ", ".join(f"round(sum(CASE WHEN {v} IS NOT NULL THEN overlap_area * {v} END) / sum(CASE WHEN {v} IS NOT NULL THEN overlap_area END), 6) AS {v}" for v in ("nccpi3all", "nccpi3corn", "nccpi3soy"))
@@ -169,9 +170,9 @@ def F10_dominant_mukey(t: Tables) -> DataFrame:
     return S.dominant_mukey(t.field_mukey, "tile_field_id")
 
 
-@query("SELECT 'IA' AS state_code, count(*) AS rows, count(DISTINCT mukey) AS mukeys FROM {valu1} WHERE state_code = 'IA'")
+@query("SELECT 'IA' AS state_code, mukey, nccpi3all, nccpi3corn, nccpi3soy FROM {valu1} WHERE state_code = 'IA'")
 def E36_valu1_extract(t: Tables) -> DataFrame:
-    return S.valu1_extract(t.valu1.where("state_code = 'IA'"), "IA").groupBy("state_code").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("mukey").alias("mukeys"))
+    return S.valu1_extract(t.valu1.where("state_code = 'IA'"), "IA").select("state_code", "mukey", "nccpi3all", "nccpi3corn", "nccpi3soy")
 
 
 @query("SELECT mukey, nccpi3soy, 2 AS repeats FROM {valu1}")
@@ -250,14 +251,36 @@ def F8_design_matrix(t: Tables) -> DataFrame:
     return rounded(N.design_matrix(hood(t), COVARIATES).select("focal_fips", "tile_field_ID", "year", "year_c", "z_NCCPI", "z_annual_tillage_x_vpdmax_7"))
 
 
-@query()
+def ols_sql(rows: str, xs: list[str], digits: int) -> str:
+    """Least squares by orthogonal steps: each variable, less its group's mean, is freed of those before it and taken out of those after it;
+    the estimates follow from the last variable back to the first."""
+    names = [*xs, "y"]
+    steps = [f"s0 AS (SELECT *, " + ", ".join(f"{c} - avg({c}) OVER g AS c0_{c}" for c in names) + ", " + ", ".join(f"avg({c}) OVER g AS m_{c}" for c in names) + f" FROM ({rows}) WINDOW g AS (PARTITION BY focal_fips))"]
+    for k, x in enumerate(xs):
+        later = names[k + 1 :]
+        steps.append(f"a{k} AS (SELECT *, " + ", ".join(f"sum(c{k}_{c} * c{k}_{x}) OVER g / nullif(sum(c{k}_{x} * c{k}_{x}) OVER g, 0) AS b{k}_{c}" for c in later) + f" FROM s{k} WINDOW g AS (PARTITION BY focal_fips))")
+        steps.append(f"s{k + 1} AS (SELECT *, " + ", ".join(f"c{k}_{c} - b{k}_{c} * c{k}_{x} AS c{k + 1}_{c}" for c in later) + f" FROM a{k})")
+    p = len(xs)
+    beta: dict[str, str] = {}
+    for k in range(p - 1, -1, -1):
+        beta[xs[k]] = "(" + " - ".join([f"max(b{k}_y)", *(f"{beta[xs[j]]} * max(b{k}_{xs[j]})" for j in range(k + 1, p))]) + ")"
+    start = " - ".join(["max(m_y)", *(f"{beta[x]} * max(m_{x})" for x in xs)])
+    terms = [("1", start), *beta.items()]
+    return f"WITH {', '.join(steps)} SELECT focal_fips, n, unnest([{', '.join(repr(t) for t, _ in terms)}]) AS term, unnest([{', '.join(f'round(e{i}, {digits})' for i in range(len(terms)))}]) AS estimate FROM (SELECT focal_fips, count(*) AS n, {', '.join(f'{e} AS e{i}' for i, (_, e) in enumerate(terms))} FROM s{p} GROUP BY 1)"
+
+
+SCALED = ["z_annual_tillage", "z_NCCPI", "z_vpdmax_7", "year_c"]
+DESIGN = f"SELECT h.focal_fips, unscaled_yield AS y, {', '.join(f'{z(c)} AS z_{c}' for c in ('annual_tillage', 'NCCPI', 'vpdmax_7'))}, CAST(h.year - 2010 AS DOUBLE) AS year_c FROM {{hood}} h JOIN (SELECT focal_fips, {STATS} FROM {{hood}} GROUP BY 1) s ON h.focal_fips = s.focal_fips"
+
+
+@query("SELECT * FROM (" + ols_sql(f"SELECT * FROM ({DESIGN}) WHERE z_annual_tillage IS NOT NULL AND z_NCCPI IS NOT NULL AND z_vpdmax_7 IS NOT NULL", SCALED, 3) + ")")
 def E37_neighborhood_ols(t: Tables) -> DataFrame:
-    return N.neighborhood_ols(N.design_matrix(hood(t), COVARIATES), "unscaled_yield", ["z_annual_tillage", "z_NCCPI", "z_vpdmax_7", "year_c"])
+    return rounded(N.neighborhood_ols(N.design_matrix(hood(t), COVARIATES), "unscaled_yield", SCALED), 3)
 
 
-@query()
+@query("SELECT * FROM (" + ols_sql("SELECT focal_fips, unscaled_yield AS y, CAST(annual_tillage AS DOUBLE) AS annual_tillage, NCCPI FROM {hood}", ["annual_tillage", "NCCPI"], 0) + ")")
 def J2_solve_normal(t: Tables) -> DataFrame:
-    return N.neighborhood_ols(hood(t), "unscaled_yield", ["annual_tillage", "NCCPI"])
+    return rounded(N.neighborhood_ols(hood(t), "unscaled_yield", ["annual_tillage", "NCCPI"]), 0)
 
 
 @query("SELECT fit, variable, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd, round(quantile_cont(value, 0.05), 6) AS q5, round(quantile_cont(value, 0.95), 6) AS q95 FROM {draws} GROUP BY 1, 2")
@@ -269,7 +292,9 @@ def E30_draws_summary(t: Tables) -> DataFrame:
 def E31_fit_manifest(t: Tables) -> DataFrame:
     name = F.concat_ws("-", "fit", "variable", F.col("chain").cast("string"))
     last = t.draws.groupBy(name.alias("fips"), "chain").agg(F.max("iteration").alias("completed_iter"))
-    return N.fit_manifest(last.select("fips", "completed_iter", (F.col("completed_iter") + F.col("chain")).alias("target_iter")))
+    path = scratch_path(t.spark, "fit-states")
+    last.select("fips", "completed_iter", (F.col("completed_iter") + F.col("chain")).alias("target_iter")).write.json(path)
+    return N.fit_manifest(N.read_states(t.spark, path))
 
 
 @query("SELECT count(*) AS rows, count(*) FILTER (WHERE annual_tillage IS NULL) AS tie_or_missing, count(*) FILTER (WHERE tillage_0_prop > 0.5) AS mostly_0 FROM {tillage}")
@@ -280,7 +305,9 @@ def E24_job_summary(t: Tables) -> DataFrame:
 @query("SELECT CAST(sum(n0) AS BIGINT) AS n0, CAST(sum(n1) AS BIGINT) AS n1, string_agg(DISTINCT tile_coord, ';' ORDER BY tile_coord) AS tiles FROM {tillage_counts}")
 def E25_rollup_summaries(t: Tables) -> DataFrame:
     per_tile = t.tillage_counts.groupBy(F.col("tile_coord").alias("tile")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    return Q.rollup_summaries(per_tile, ["n0", "n1"])
+    path = scratch_path(t.spark, "tile-summaries")
+    per_tile.write.json(path)
+    return Q.rollup_summaries(Q.read_summaries(t.spark, path, ["n0", "n1"]), ["n0", "n1"])
 
 
 @query("SELECT count(*) AS rows, CAST(count(*) - count(DISTINCT (tile_field_ID, year)) AS BIGINT) AS duplicate_rows FROM {hood}")
@@ -293,9 +320,9 @@ def I9_optional_missing(t: Tables) -> DataFrame:
     return Q.optional_missing(joined(t), ["annual_tillage", "vpdmax_7", "vpdmax_8", "county"])
 
 
-@query("SELECT count(*) AS rows FROM {corn}")
+@query("SELECT tile_field_ID, year, unscaled_yield FROM {corn}")
 def I2_assert_unique(t: Tables) -> DataFrame:
-    return Q.assert_unique(t.corn, ["tile_field_ID", "year"]).agg(F.count(F.lit(1)).alias("rows"))
+    return Q.assert_unique(t.corn, ["tile_field_ID", "year"]).select("tile_field_ID", "year", "unscaled_yield")
 
 
 @query("""SELECT e.year, coalesce(rows, 0) AS rows, coalesce(duplicate_keys, 0) AS duplicate_keys, coalesce(missing, 0) AS missing, coalesce(out_of_range, 0) AS out_of_range, coalesce(rows, 0) > 0 AS present FROM (SELECT CAST(y AS INT) AS year FROM range(1994, 2003) r(y)) e

@@ -14,6 +14,7 @@ from terrasheaf.operators import zonal as Z
 from terrasheaf.plans.assembly import rounded
 from terrasheaf.plans.registry import query
 from terrasheaf.plans.standins import Tables
+from terrasheaf.runtime import stored
 
 
 def ring(kind: str = "shape") -> F.Column:
@@ -93,9 +94,18 @@ def B26_crop_units(t: Tables) -> DataFrame:
     return rounded(Y.crop_units(counts(t), 900.0, codes)).select("field_id", "crop_id", "year", "pixel_count", "crop_name", "area_m2", "acres")
 
 
-@query("SELECT TRUE AS non_empty, TRUE AS year_ok, TRUE AS counts_positive, TRUE AS shares_in_range, TRUE AS shares_sum_to_one, TRUE AS one_dominant, TRUE AS rows_unique, max(crop_id) <= 65535 AS crop_ids_in_range, min(field_id) > 0 AS field_ids_positive FROM (" + PAIR_COUNTS + ")")
+CHECKS = f"""WITH s AS (SELECT *, pixel_count / total AS share, crop_id = top AS dominant FROM ({SUMMARY})),
+f AS (SELECT field_id, year, sum(share) AS shares, count(*) FILTER (WHERE dominant) AS dominants, count(*) AS n, count(DISTINCT crop_id) AS crops FROM s GROUP BY 1, 2)
+SELECT a.*, b.* FROM (SELECT count(*) > 0 AS non_empty, bool_and(year = 2010) AS year_ok, bool_and(pixel_count > 0) AS counts_positive,
+    bool_and(share >= 0 AND share <= 1) AS shares_in_range, bool_and(crop_id >= 0 AND crop_id <= 65535) AS crop_ids_in_range, bool_and(field_id > 0) AS field_ids_positive,
+    count(*) = (SELECT count(*) FROM ({PAIR_COUNTS})) AS rows_match FROM s) a
+CROSS JOIN (SELECT bool_and(abs(shares - 1) < 1e-6) AS shares_sum_to_one, bool_and(dominants = 1) AS one_dominant, bool_and(n = crops) AS rows_unique FROM f) b"""
+
+
+@query(f"SELECT * FROM ({CHECKS})")
 def I4_validate_crop_year(t: Tables) -> DataFrame:
-    return Y.validate_crop_year(Y.crop_year_summary(counts(t)), 2010)
+    found = stored(counts(t), "counts")
+    return Y.validate_crop_year(found, Y.crop_year_summary(found), 2010)
 
 
 @query("""SELECT (SELECT count(*) FROM {corn} WHERE year <> 1997) + (SELECT count(*) FROM {corn} WHERE year = 1999) AS rows, (SELECT count(*) FROM {corn} WHERE year = 1999) AS duplicate_keys,
@@ -188,22 +198,27 @@ def D12_select_intersecting(t: Tables) -> DataFrame:
     return P.select_intersecting(a, b.where(F.element_at(F.split("feature_id", "_"), 2) < "01021"), 6000.0).select("box_id")
 
 
-@query("SELECT tile, field_id FROM {ring_boxes} b WHERE minx <= 9000 AND maxx >= 300 AND miny <= 30000 AND maxy >= 300")
+@query("SELECT b.tile, b.field_id FROM {ring_boxes} b, (SELECT min(minx) AS x0, min(miny) AS y0, max(maxx) AS x1, max(maxy) AS y1 FROM {county_boxes} WHERE fips BETWEEN '01021' AND '01045') e WHERE b.minx <= x1 AND b.maxx >= x0 AND b.miny <= y1 AND b.maxy >= y0")
 def C10_bounds_prefilter(t: Tables) -> DataFrame:
-    other = t.county_boxes.select(F.lit(300.0).alias("minx"), F.lit(300.0).alias("miny"), F.lit(9000.0).alias("maxx"), F.lit(30000.0).alias("maxy"))
-    return P.bounds_prefilter(t.ring_boxes, other).select("tile", "field_id")
+    some = t.county_boxes.where("fips BETWEEN '01021' AND '01045'")  # the other side of the operation, a region of counties
+    return P.bounds_prefilter(t.ring_boxes, some).select("tile", "field_id")
+
 
+def cells_sql(boxes: str, keys: str, inside: str) -> str:
+    """The cells of the grids (2000 rows of 1000 cells of 30 metres) whose centres lie in boxes."""
+    rows = f"SELECT *, unnest(range(CAST(floor(miny / 30) AS BIGINT), CAST(ceil(maxy / 30) AS BIGINT) + 1)) AS row FROM {boxes}"
+    both = f"SELECT *, unnest(range(CAST(floor(minx / 30) AS BIGINT), CAST(ceil(maxx / 30) AS BIGINT) + 1)) AS col FROM ({rows})"
+    return f"SELECT tile, {keys}, row, col FROM ({both}) WHERE row BETWEEN 0 AND 1999 AND col BETWEEN 0 AND 999 AND {inside}"
 
-CELLS = "SELECT g.tile, CAST(r AS INT) AS row, CAST(c AS INT) AS col FROM {grids} g CROSS JOIN range(0, 400) a(r) CROSS JOIN range(0, 300) b(c)"
-MINE = f"SELECT p.tile, b.field_id, p.row, p.col FROM ({CELLS}) p JOIN {{ring_boxes}} b ON p.tile = b.tile AND b.br < 4 AND b.bc < 6 AND {IN_RING}".replace("{ring_boxes}", "(SELECT *, CAST(floor(miny / 3000) AS INT) AS br, CAST(floor(minx / 1500) AS INT) AS bc FROM {ring_boxes})")
-THEIRS = f"SELECT p.tile, k.fips, p.row, p.col FROM ({CELLS}) p JOIN {{county_boxes}} k ON p.tile = k.tile AND (col + 0.5) * 30 > k.minx AND (col + 0.5) * 30 < k.maxx AND (row + 0.5) * 30 > k.miny AND (row + 0.5) * 30 < k.maxy"
+
+MINE = cells_sql("{ring_boxes}", "field_id", IN_RING)
+THEIRS = cells_sql("{county_boxes}", "fips", IN_RING.split(" AND (shape")[0])
 OVERLAY = f"SELECT s.tile, s.field_id, s.fips, s.n * 900e0 AS overlap_area, 100e0 * s.n / a.n AS pct FROM (SELECT m.tile, m.field_id, c.fips, count(*) AS n FROM ({MINE}) m JOIN ({THEIRS}) c ON m.tile = c.tile AND m.row = c.row AND m.col = c.col GROUP BY 1, 2, 3) s JOIN (SELECT tile, field_id, count(*) AS n FROM ({MINE}) GROUP BY 1, 2) a ON s.tile = a.tile AND s.field_id = a.field_id"
 
 
 def overlay(t: Tables) -> DataFrame:
-    near = rings(t).where("miny < 12000 AND minx < 9000")
     counties = t.county_boxes.select("tile", "fips", ring("").alias("ring"))
-    return P.overlay_area(near, counties, t.grids, "field_id", "fips")
+    return P.overlay_area(rings(t), counties, t.grids, "field_id", "fips")
 
 
 @query(f"SELECT tile, field_id, fips, overlap_area, round(pct, 6) AS pct FROM ({OVERLAY})")
@@ -237,9 +252,9 @@ def D15_key_allowlist(t: Tables) -> DataFrame:
     return R.key_allowlist(t.field_pixels, keys).select("tile", "row", "col", "value")
 
 
-@query("SELECT tile, tile <> 'h00v01' AS aligned, TRUE AS overlapping FROM {grids}")
+@query("SELECT tile, moved = x0 AS aligned, x0 < moved + ncols * dx AND moved < x0 + ncols * dx AS overlapping FROM (SELECT *, CASE tile WHEN 'h00v01' THEN 15.0 WHEN 'h00v02' THEN 60000.0 ELSE x0 END AS moved FROM {grids})")
 def I8_grid_check(t: Tables) -> DataFrame:
-    moved = t.grids.withColumn("x0", F.when(F.col("tile") == "h00v01", 15.0).otherwise(F.col("x0")))
+    moved = t.grids.withColumn("x0", F.when(F.col("tile") == "h00v01", 15.0).when(F.col("tile") == "h00v02", 60000.0).otherwise(F.col("x0")))
     return R.grid_check(t.grids, moved)
 
 
@@ -283,9 +298,9 @@ def B21_xyz_tile(t: Tables) -> DataFrame:
     return t.cells.select("tile", "row", "col", x.alias("x"), y.alias("y"))
 
 
-@query("SELECT tile_coord, field_id, day, round(vpdmax_mean, 5) AS corn_mean, 'EPSG:5070' AS crs FROM {monthly} WHERE line = 1")
+@query("SELECT tile_coord, field_id, day, round(vpdmax_mean, 5) AS corn_mean, 'EPSG:5070' AS crs FROM {monthly}")
 def B24_zonal_columns(t: Tables) -> DataFrame:
-    return Z.zonal_columns(t.monthly.where("line = 1"), [("tile_coord", "attribute", "tile_coord"), ("field_id", "attribute", "field_id"), ("day", "attribute", "day"), ("corn_mean", "statistic", ("vpdmax_mean", 5)), ("crs", "literal", "EPSG:5070")])
+    return Z.zonal_columns(t.monthly, [("tile_coord", "attribute", "tile_coord"), ("field_id", "attribute", "field_id"), ("day", "attribute", "day"), ("corn_mean", "statistic", ("vpdmax_mean", 5)), ("crs", "literal", "EPSG:5070")])
 
 
 @query("SELECT tile_field_ID, year, month, l_quantity FROM {lines} WHERE month IN (7, 8)")
@@ -320,15 +335,18 @@ def C12_non_missing_id(t: Tables) -> DataFrame:
 
 @query(f"SELECT tile_coord, field_id AS source_field_id, count(*) AS boundary_count, string_agg(DISTINCT source_name, ';' ORDER BY source_name) AS source_names FROM ({FEATURES}) WHERE field_id <> '' GROUP BY 1, 2")
 def E13_field_index(t: Tables) -> DataFrame:
-    return B.field_index(B.field_boundaries(features(t), "src")).select("tile_coord", "source_field_id", "boundary_count", "source_names")
+    return B.field_index(B.field_boundaries(features(t), "src", "30m")).select("tile_coord", "source_field_id", "boundary_count", "source_names")
 
 
-@query(f"SELECT count(*) AS rows, CAST(0 AS BIGINT) AS missing_tile, count(*) FILTER (WHERE field_id = '') AS missing_field, CAST(0 AS BIGINT) AS missing_id, count(DISTINCT tile_coord) AS tiles, count(DISTINCT (tile_coord, field_id)) AS ids FROM ({FEATURES})")
+@query(f"SELECT count(*) AS rows, count(*) FILTER (WHERE nullif(trim(tile_coord), '') IS NULL) AS missing_tile, count(*) FILTER (WHERE nullif(trim(field_id), '') IS NULL) AS missing_field, count(*) FILTER (WHERE nullif(trim(concat(tile_coord, '_', field_id)), '') IS NULL) AS missing_id, count(DISTINCT tile_coord) AS tiles, count(DISTINCT (tile_coord, field_id)) AS ids FROM ({FEATURES})")
 def E35_field_rollup_checks(t: Tables) -> DataFrame:
     return B.field_rollup_checks(features(t))
 
 
-@query("SELECT tile, field_id, sha256(array_to_string(list_transform(pts, lambda p: concat(CAST(CAST(p[1] AS DOUBLE) AS VARCHAR), ' ', CAST(CAST(p[2] AS DOUBLE) AS VARCHAR))), ',')) AS geometry_hash FROM (SELECT tile, field_id, CASE WHEN shape = 2 THEN [[minx, miny], [maxx, miny], [minx, maxy], [minx, miny]] ELSE [[minx, miny], [maxx, miny], [maxx, maxy], [minx, maxy], [minx, miny]] END AS pts FROM {ring_boxes})")
+RING_HASHES = "SELECT tile, field_id, sha256(array_to_string(list_transform(pts, lambda p: concat(CAST(CAST(p[1] AS DOUBLE) AS VARCHAR), ' ', CAST(CAST(p[2] AS DOUBLE) AS VARCHAR))), ',')) AS geometry_hash FROM (SELECT tile, field_id, CASE WHEN shape = 2 THEN [[minx, miny], [maxx, miny], [minx, maxy], [minx, miny]] ELSE [[minx, miny], [maxx, miny], [maxx, maxy], [minx, maxy], [minx, miny]] END AS pts FROM {ring_boxes})"
+
+
+@query(RING_HASHES)
 def B15_geometry_hash(t: Tables) -> DataFrame:
     from terrasheaf.functions.keys import geometry_hash
 

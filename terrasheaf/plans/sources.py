@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrasheaf.functions import keys as K
+from terrasheaf.functions.keys import tile_from_text
 from terrasheaf.operators import cropyear as Y
+from terrasheaf.operators import fields as B
 from terrasheaf.plans.assembly import hood
-from terrasheaf.plans.grids import features, rings
+from terrasheaf.plans.grids import RING_HASHES, features, rings
 from terrasheaf.plans.registry import query
 from terrasheaf.plans.standins import Tables
-from terrasheaf.runtime import scratch_path
+from terrasheaf.runtime import scratch_path, stored
 from terrasheaf.sources import tables as R
 
 
@@ -27,7 +29,8 @@ def A1_read_text_table(t: Tables) -> DataFrame:
 def A2_expand_globs(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "corn-years")
     t.corn.select("tile_field_ID", "year", F.col("year").alias("y")).write.partitionBy("y").parquet(path)
-    return t.spark.read.parquet(*R.expand_globs(f"{path}/y=199*; {path}/y=20*, {path}/y=199*")).select("tile_field_ID", "year")
+    files = R.expand_globs(t.spark, f"{path}/y=199*; {path}/y=1995, {path}/y=20*,{path}/y=18*, {path}", "*.parquet")  # they overlap, and one has none
+    return t.spark.read.parquet(*files).select("tile_field_ID", "year")
 
 
 @query("SELECT tile_field_ID, year, unscaled_yield, CAST(NULL AS INT) AS annual_tillage FROM {corn} UNION ALL SELECT tile_field_ID, year, NULL, annual_tillage FROM {tillage}")
@@ -50,17 +53,17 @@ def A5_read_features(t: Tables) -> DataFrame:
     return R.read_features(t.spark, exported(t), PROPERTIES).select("tile_id", "field_id", "tile_field_id", F.size("ring").alias("points"))
 
 
-@query("SELECT tile AS tile_id, CAST(count(*) AS BIGINT) AS features, TRUE AS named FROM {ring_boxes} GROUP BY 1")
+@query("SELECT tile AS tile_id, field_id, 'part' AS source_kind FROM {ring_boxes}")
 def A6_combine_features(t: Tables) -> DataFrame:
     rows = R.combine_features(t.spark, exported(t), PROPERTIES)
-    return rows.groupBy("tile_id").agg(F.count(F.lit(1)).alias("features"), F.bool_and(F.length("source_name") > 0).alias("named"))
+    return rows.select("tile_id", "field_id", F.substring_index("source_name", "-", 1).alias("source_kind"))
 
 
-@query("SELECT focal_fips, count(*) AS rows FROM {hood} GROUP BY 1")
+@query("SELECT focal_fips, tile_field_ID, year, unscaled_yield FROM {hood}")
 def A7_focal_from_path(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "neighborhoods")
     R.write_neighborhoods(hood(t), path)
-    return R.focal_from_path(t.spark, path).groupBy("focal_fips").agg(F.count(F.lit(1)).alias("rows"))
+    return R.focal_from_path(t.spark, path).select("focal_fips", "tile_field_ID", "year", "unscaled_yield")
 
 
 @query("SELECT focal_fips, tile_field_ID, year FROM {hood}")
@@ -71,38 +74,38 @@ def A8_write_neighborhoods(t: Tables) -> DataFrame:
     return t.spark.read.schema(schema).parquet(path).select("focal_fips", "tile_field_ID", "year")
 
 
-@query("SELECT CAST(count(*) AS BIGINT) AS boundaries, count(DISTINCT (tile, field_id)) AS fields FROM (SELECT tile, field_id FROM {ring_boxes} WHERE field_id % 13 <> 0 UNION ALL SELECT tile, field_id FROM {ring_boxes} WHERE field_id % 4 = 0 AND field_id % 13 <> 0)")
+@query("SELECT tile AS tile_coord, CAST(field_id AS VARCHAR) AS source_field_id, CASE WHEN field_id % 4 = 0 THEN 2 ELSE 1 END AS boundaries, CASE WHEN field_id % 4 = 0 THEN '2' ELSE '1' END AS boundary_count FROM {ring_boxes} WHERE field_id % 13 <> 0")
 def A9_write_field_tables(t: Tables) -> DataFrame:
-    from terrasheaf.operators import fields as B
-
     path = scratch_path(t.spark, "field-tables")
-    boundary = B.field_boundaries(features(t), "src")
+    boundary = B.field_boundaries(features(t), "src", "30m")
     R.write_field_tables(B.field_index(boundary), boundary, path)
-    rows = t.spark.read.parquet(f"{path}/field_boundary.parquet").agg(F.count(F.lit(1)).alias("boundaries"))
-    return rows.crossJoin(t.spark.read.csv(f"{path}/field.csv", header=True).agg(F.count(F.lit(1)).alias("fields")))
+    keys = ["tile_coord", "source_field_id"]
+    rows = t.spark.read.parquet(f"{path}/field_boundary.parquet").groupBy(*keys).agg(F.count(F.lit(1)).alias("boundaries"))
+    return t.spark.read.csv(f"{path}/field.csv", header=True).select(*keys, "boundary_count").join(rows, keys)
 
 
-@query("SELECT tile AS tile_id, count(*) AS lines FROM {ring_boxes} GROUP BY 1")
+@query("SELECT tile AS tile_id, CAST(field_id AS VARCHAR) AS field_id, concat(tile, '_', CAST(field_id AS VARCHAR)) AS primary_key, 'Feature' AS type, CASE WHEN shape = 2 THEN 4 ELSE 5 END AS points FROM {ring_boxes}")
 def A10_export_features_ndjson(t: Tables) -> DataFrame:
     lines = t.spark.read.text(exported(t))
-    return lines.groupBy(F.get_json_object("value", "$.properties.tile_id").alias("tile_id")).agg(F.count(F.lit(1)).alias("lines"))
+    of = lambda path: F.get_json_object("value", f"$.{path}")
+    points = F.size(F.from_json(of("geometry.coordinates"), "array<array<array<double>>>")[0])
+    return lines.select(*(of(f"properties.{c}").alias(c) for c in ("tile_id", "field_id", "primary_key")), of("type").alias("type"), points.alias("points"))
 
 
-@query("SELECT tile AS tile_id, count(*) AS lines FROM {ring_boxes} GROUP BY 1")
+@query("SELECT tile AS tile_id, CAST(field_id AS VARCHAR) AS field_id, 's' AS source_name FROM {ring_boxes}")
 def A11_export_tile_features(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "tile-features")
     R.export_tile_features(rings(t).select(F.col("tile").alias("tile_id"), "field_id", F.lit("s").alias("source_name"), "ring", F.lit("EPSG:5070").alias("crs")), path, ["field_id"])
-    return t.spark.read.text(path).groupBy("tile_id").agg(F.count(F.lit(1)).alias("lines"))
+    return t.spark.read.text(path).select("tile_id", *(F.get_json_object("value", f"$.properties.{c}").alias(c) for c in ("field_id", "source_name")))
 
 
-@query("SELECT count(*) AS fields, (SELECT count(*) FROM {corn}) AS rows FROM {keys}")
+@query("SELECT tile_field_ID, year, CAST(NULL AS VARCHAR) AS FIPS FROM {corn} UNION ALL SELECT tile_field_ID, NULL, FIPS FROM {keys}")
 def A12_register_parquet_view(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "view")
-    t.corn.select("tile_field_ID", "year").write.parquet(f"{path}/a")
-    t.keys.select("tile_field_ID", "FIPS").write.parquet(f"{path}/b")
-    rows = R.register_parquet_view(t.spark, "terrasheaf_view", f"{path}/a").agg(F.count(F.lit(1)).alias("rows"))
-    both = t.spark.read.option("mergeSchema", "true").parquet(f"{path}/a", f"{path}/b")
-    return both.agg(F.count("FIPS").alias("fields")).crossJoin(rows)
+    t.corn.select("tile_field_ID", "year").write.parquet(f"{path}/part=a")
+    t.keys.select("tile_field_ID", "FIPS").write.parquet(f"{path}/part=b")
+    R.register_parquet_view(t.spark, "terrasheaf_view", path)
+    return t.spark.sql("SELECT tile_field_ID, year, FIPS FROM terrasheaf_view")
 
 
 PATHS = "concat('/r/', tile_coord, '/vpd_', CAST(year AS STRING), lpad(CAST(month AS STRING), 2, '0'), CASE WHEN l_linenumber = 1 THEN '.tif' ELSE '.tif.aux.xml' END)"
@@ -112,9 +115,13 @@ def paths(t: Tables) -> DataFrame:
     return t.lines.select(F.expr(PATHS).alias("path")).distinct()
 
 
-@query(f"SELECT DISTINCT {PATHS} AS path, year, month FROM {{lines}} WHERE year BETWEEN 1997 AND 1999 AND month IN (7, 8)")
+@query("SELECT DISTINCT year, month FROM {lines} WHERE year BETWEEN 1997 AND 1999 AND month IN (7, 8)")
 def A13_file_catalog(t: Tables) -> DataFrame:
-    return R.raster_catalog(paths(t), 1997, 1999, [7, 8])
+    root = scratch_path(t.spark, "rasters")
+    cells = t.lines.select(F.expr("concat('vpd_', CAST(year AS STRING), lpad(CAST(month AS STRING), 2, '0'))").alias("name"), "l_quantity")
+    cells.repartition("name").write.partitionBy("name").csv(root)
+    files = R.file_catalog(t.spark, root, "*.csv").select(F.regexp_extract("path", "(name=[^/]*)/[^/]*$", 1).alias("path"))
+    return R.raster_catalog(files, 1997, 1999, [7, 8]).select("year", "month")
 
 
 @query("SELECT tile_coord, arg_max(field_ID, (l_shipdate, field_ID)) AS path FROM {lines} GROUP BY 1")
@@ -125,9 +132,9 @@ def A14_latest_snapshot(t: Tables) -> DataFrame:
 
 @query("SELECT p_brand AS payload_id, CAST(count(*) AS BIGINT) AS rows, CAST(sum(p_size) AS BIGINT) AS size FROM {part} GROUP BY 1")
 def A15_unpack_soil_payload(t: Tables) -> DataFrame:
-    rows = F.collect_list(F.array(F.col("p_partkey").cast("string"), F.col("p_size").cast("string")))
+    rows = F.collect_list(F.array(F.col("p_partkey").cast("string"), F.col("p_size").cast("string")))  # of 500 keys, as a service answers
     table = F.to_json(F.struct(F.concat(F.array(F.array(F.lit("mukey"), F.lit("NCCPI"))), rows).alias("Table")))
-    payloads = t.part.groupBy(F.col("p_brand").alias("payload_id")).agg(table.alias("payload"))
+    payloads = t.part.groupBy(F.col("p_brand").alias("payload_id"), F.floor(F.col("p_partkey") / 500)).agg(table.alias("payload"))
     found = R.unpack_soil_payload(payloads)
     return found.groupBy("payload_id").agg(F.count("values.mukey").alias("rows"), F.sum(F.col("values.nccpi").cast("long")).alias("size"))
 
@@ -157,17 +164,21 @@ def G5_first_raster(t: Tables) -> DataFrame:
     return R.first_raster(paths(t))
 
 
-@query("SELECT count(*) AS rows FROM {corn}")
+@query("SELECT tile_field_ID, year, unscaled_yield FROM {corn}")
 def I1_require_columns(t: Tables) -> DataFrame:
-    return R.require_columns(t.corn, ["tile_field_ID", "YEAR"]).agg(F.count(F.lit(1)).alias("rows"))
+    return R.require_columns(t.corn, ["tile_field_ID", "YEAR"]).select("tile_field_ID", "year", "unscaled_yield")
 
 
-@query()
+@query("SELECT tile_coord AS tile, year, count(*) AS rows, CAST(octet_length(encode(string_agg(line, '' ORDER BY line))) AS BIGINT) AS bytes, sha256(string_agg(line, '' ORDER BY line)) AS sha256, TRUE AS hash_matches FROM (SELECT tile_coord, year, concat(tile_field_ID, ',', CAST(pixel_count AS VARCHAR), chr(10)) AS line FROM {corn}) GROUP BY 1, 2")
 def I6_delivery_manifest(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "delivery")
-    t.corn.repartitionByRange(4, "tile_field_ID").write.parquet(path)
-    files = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    return Y.delivery_manifest(files).select(F.regexp_extract("path", r"[^/]*$", 0).alias("path"), "bytes", "sha256")
+    lines = t.corn.select("tile_coord", "year", F.concat_ws(",", "tile_field_ID", "pixel_count").alias("value"))
+    lines.repartition("tile_coord", "year").sortWithinPartitions("tile_coord", "year", "value").write.partitionBy("tile_coord", "year").text(path)
+    files = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").load(path)
+    rows = t.spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("path"))
+    sent = stored(Y.delivery_manifest(files, rows), "manifest")
+    found = Y.delivery_manifest(files, rows, sent)
+    return found.select(tile_from_text(F.col("path")).alias("tile"), F.regexp_extract("path", "year=([0-9]+)/", 1).cast("int").alias("year"), "rows", "bytes", "sha256", "hash_matches")
 
 
 @query("SELECT c_custkey, nullif(trim(raw_id), '') AS id FROM {messy}")
@@ -200,9 +211,9 @@ def B5_pick(t: Tables) -> DataFrame:
     return t.messy.select("c_custkey", K.pick(F.col("raw_id"), F.col("raw_month"), F.col("raw_tile")).alias("picked"))
 
 
-@query("SELECT c_custkey AS field, raw_tile AS tile FROM {messy}")
+@query("SELECT c_custkey AS field, raw_tile AS tile, 'c_custkey' AS field_from, 'raw_tile' AS tile_from FROM {messy}")
 def B6_alias_columns(t: Tables) -> DataFrame:
-    return K.alias_columns(t.messy, {"field": ["field_id", "C_CUSTKEY"], "tile": ["tile_coord", "RAW_TILE", "raw_id"]})
+    return K.alias_columns(t.messy, {"field": ["field_id", "C_CUSTKEY"], "tile": ["tile_coord", "RAW_TILE", "raw_id"]}, report=True)
 
 
 @query("SELECT c_custkey, regexp_replace(nullif(trim(raw_id), ''), '\\.0$', '') AS text, regexp_replace(nullif(trim(raw_id), ''), '^([+-]?\\d+)\\.0+$', '\\1') AS strict FROM {messy}")
@@ -227,14 +238,28 @@ def B10_annual_tillage(t: Tables) -> DataFrame:
     return t.tillage.select("tile_field_ID", "year", K.annual_tillage(F.coalesce(F.col("annual_tillage").cast("string"), F.lit(" "))).alias("annual_tillage"))
 
 
-NAMED = "sha1(unhex('9e6c1b5a84d949c689dfcf8f1ca0af31') || encode(concat('src|', tile_coord, '|', field_ID)))"
+def uuid_sql(namespace: str, name: str, columns: str, rows: str, alias: str) -> str:
+    """``columns`` of ``rows`` and the version 5 UUID of ``name``."""
+    digest = f"sha1(unhex('{namespace.replace('-', '')}') || encode({name}))"
+    variant = "substr('89ab', CAST(('0x' || d[17:17]) AS INT) % 4 + 1, 1)"
+    return f"SELECT {columns}, concat(d[1:8], '-', d[9:12], '-5', d[14:16], '-', {variant}, d[18:20], '-', d[21:32]) AS {alias} FROM (SELECT *, {digest} AS d FROM {rows})"
 
 
-@query(f"SELECT tile_field_ID, concat(d[1:8], '-', d[9:12], '-5', d[14:16], '-', substr('89ab', CAST(('0x' || d[17:17]) AS INT) % 4 + 1, 1), d[18:20], '-', d[21:32]) AS field_uuid FROM (SELECT tile_field_ID, {NAMED} AS d FROM {{keys}})")
+@query(uuid_sql(K.FIELD_NAMESPACE, "concat('src|', tile_coord, '|', field_ID)", "tile_field_ID", "{keys}", "field_uuid"))
 def B14_uuid5(t: Tables) -> DataFrame:
     return t.keys.select("tile_field_ID", K.field_uuid(F.lit("src"), F.col("tile_coord"), F.col("field_ID")).alias("field_uuid"))
 
 
+BOUNDARY_ROWS = f"(SELECT b.tile AS tile_coord, b.field_id AS source_field_id, s.source_name, h.geometry_hash FROM {{ring_boxes}} b JOIN ({RING_HASHES}) h ON b.tile = h.tile AND b.field_id = h.field_id JOIN (SELECT 'a' AS source_name UNION ALL SELECT 'b') s ON s.source_name = 'a' OR b.field_id % 4 = 0 WHERE b.field_id % 13 <> 0)"
+BOUNDARY_NAME = "concat('src|30m|2008||', tile_coord, '|', CAST(source_field_id AS VARCHAR), '|', geometry_hash)"
+
+
+@query(uuid_sql(K.BOUNDARY_NAMESPACE, BOUNDARY_NAME, "tile_coord, source_field_id, source_name", BOUNDARY_ROWS, "field_boundary_id"))
+def B14_boundary_uuid(t: Tables) -> DataFrame:
+    rows = B.field_boundaries(features(t), "src", "30m")
+    return rows.select("tile_coord", F.col("source_field_id").cast("long").alias("source_field_id"), "source_name", "field_boundary_id")
+
+
 @query("SELECT c_custkey, nullif(substr(regexp_replace(upper(raw_tile), '[^A-Z0-9]', '', 'g'), 1, 2), '') AS symbol, nullif(regexp_replace(upper(raw_tile), '[^A-Z0-9]', '', 'g'), '') AS code FROM {messy}")
 def B16_state_code(t: Tables) -> DataFrame:
     return t.messy.select("c_custkey", K.state_code(F.col("raw_tile"), "areasymbol").alias("symbol"), K.state_code(F.col("raw_tile")).alias("code"))

@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terrasheaf.runtime import stored
+
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 TILE = "concat('h', lpad(CAST({0} % 5 AS STRING), 2, '0'), 'v', lpad(CAST(CAST(floor({0} / 5) AS BIGINT) % 4 AS STRING), 2, '0'))"
@@ -47,7 +49,7 @@ class Tables:
     """The derived tables of one data folder, built when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self._made = spark, sf_dir, {}
+        self.spark, self.sf_dir, self._made, self._kept = spark, sf_dir, {}, set()
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -56,6 +58,12 @@ class Tables:
             self._made[name] = self.sql(STANDINS[name]) if name in STANDINS else self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._made[name]
 
+    def keep(self, name: str) -> None:
+        """Stores a derived table that a query reads several times."""
+        if name not in self._kept:
+            self._kept.add(name)
+            self._made[name] = stored(getattr(self, name), name)
+
     def sql(self, text: str) -> DataFrame:
         names = sorted(set(re.findall(r"\{(\w+)\}", text)))
         return self.spark.sql(text, **{n: getattr(self, n) for n in names})

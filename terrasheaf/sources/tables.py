@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,9 +32,20 @@ def read_text_table(spark: SparkSession, paths: str | list[str], required: list[
     return require_columns(df.select(*(blank_to_null(F.col(f"`{c}`")).alias(c.lstrip("﻿").strip()) for c in df.columns)), list(required))
 
 
-def expand_globs(patterns: str) -> list[str]:
-    """Comma- or semicolon-separated patterns, in order and once each; readers resolve them."""
-    return list(dict.fromkeys(p for p in (x.strip() for x in re.split("[,;]", patterns)) if p))
+def expand_globs(spark: SparkSession, patterns: str, name: str = "*") -> list[str]:
+    """The files that comma- or semicolon-separated patterns match, below folders too: by pattern in the given order and then by path, once
+    each in any case. ``name`` is a pattern for file names; a pattern without files adds none. Only the listing is read."""
+    found: dict[str, str] = {}
+    for pattern in filter(None, map(str.strip, re.split("[,;]", patterns))):
+        try:
+            files = file_catalog(spark, pattern, name).select("path").orderBy("path").collect()  # a reader's list of paths is on the driver
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            files = []
+        for r in files:
+            found.setdefault(r["path"].lower(), r["path"])
+    return list(found.values())
 
 
 def union_parts(parts: list[DataFrame]) -> DataFrame:
@@ -79,8 +91,8 @@ def focal_from_path(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_neighborhoods(df: DataFrame, path: str) -> None:
-    """One folder for each focal county that has rows. A hot county is spread over several files."""
-    df.repartition("focal_fips", F.pmod(F.xxhash64("tile_field_ID"), F.lit(8))).write.partitionBy("focal_fips").mode("overwrite").parquet(path)
+    """One folder for each focal county that has rows. Partitions are evened out before, so a hot county is spread over several files."""
+    df.hint("rebalance", "focal_fips").write.partitionBy("focal_fips").mode("overwrite").parquet(path)
 
 
 def write_field_tables(field: DataFrame, boundary: DataFrame, path: str) -> None:
@@ -112,10 +124,10 @@ def export_features_ndjson(features: DataFrame, path: str) -> None:
 
 
 def export_tile_features(features: DataFrame, path: str, preferred: list[str]) -> None:
-    """Features in a folder for each tile, preferred columns first and all others after."""
+    """Features in a folder for each tile, preferred columns first and all others after; a hot tile is spread over several files."""
     rest = [c for c in features.columns if c not in (*preferred, "ring", "crs", "tile_id")]
     names = [c for c in preferred if c in features.columns] + rest
-    features.select("tile_id", feature_json(features, names).alias("value")).repartition("tile_id").write.mode("overwrite").partitionBy("tile_id").text(path)
+    features.select("tile_id", feature_json(features, names).alias("value")).hint("rebalance", "tile_id").write.mode("overwrite").partitionBy("tile_id").text(path)
 
 
 def register_parquet_view(spark: SparkSession, name: str, uri: str) -> DataFrame:

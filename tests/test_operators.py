@@ -49,7 +49,10 @@ def test_golden_pair_counts_and_summary(spark):
     assert sorted((r["field_id"], r["crop_id"], r["pixel_count"]) for r in counts.collect()) == [(1, 5, 3), (2, 1, 3), (3, 2, 2), (3, 4, 1)]
     rows = {(r["field_id"], r["crop_id"]): r for r in Y.crop_year_summary(counts).collect()}
     assert rows[3, 4]["share"] == pytest.approx(1 / 3) and not rows[3, 4]["is_dominant"] and rows[3, 4]["dominant_crop_id"] == 2
-    assert all(Y.validate_crop_year(Y.crop_year_summary(counts), 2010).first().asDict().values())
+    summary = Y.crop_year_summary(counts)
+    checks = Y.validate_crop_year(counts, summary, 2010).first().asDict()
+    assert len(checks) == 10 and all(checks.values())
+    assert [k for k, ok in Y.validate_crop_year(counts, summary.where("crop_id <> 4"), 2010).first().asDict().items() if not ok] == ["shares_sum_to_one", "rows_match"]
     tie = spark.createDataFrame([(1, 2010, 9, 5), (1, 2010, 4, 5)], "field_id long, year int, crop_id long, pixel_count long")
     assert {r["dominant_crop_id"] for r in Y.crop_year_summary(tie).collect()} == {4}
 
@@ -174,10 +177,18 @@ def test_correlations_and_p_values(spark):
 
 def test_binned_yield_equals_pandas(spark):
     pdf = frame(2).rename(columns={"y": "unscaled_yield"})
-    got = T.binned_yield(spark.createDataFrame(pdf), "x", 10).orderBy("x_min").collect()
+    got = T.binned_yield(spark.createDataFrame(pdf), ["x"], 10).orderBy("bin_order").collect()
     want = pdf.groupby(pd.qcut(pdf["x"], 10, duplicates="drop"), observed=True)["unscaled_yield"].agg(["size", "mean"])
     assert [r["n"] for r in got] == want["size"].tolist() and [r["y_mean"] for r in got] == pytest.approx(want["mean"].tolist())
-    assert T.binned_yield(spark.createDataFrame(pdf.assign(x=pdf["g"] % 2)), "x").count() == 2
+    cut = pd.qcut(pdf["x"], 10, duplicates="drop")
+    assert [r["bin_order"] for r in got] == list(range(1, len(want) + 1)) and [r["bin_high"] for r in got] == pytest.approx([i.right for i in want.index], abs=1e-3)
+    assert cut.notna().all()
+    several = pdf.assign(two=pdf["g"] % 2, annual_tillage=pdf["g"], few=np.arange(len(pdf)) % 4 * (np.arange(len(pdf)) % 3 > 0), none=np.nan)
+    rows = T.binned_yield(spark.createDataFrame(several), ["x", "two", "annual_tillage", "few", "none"], 10).collect()
+    orders = {p: sorted(r["bin_order"] for r in rows if r["predictor"] == p) for p in ("x", "two", "annual_tillage", "few", "none")}
+    assert orders["two"] == [0, 1] and orders["annual_tillage"] == [0, 1, 2] and orders["x"] == [r["bin_order"] for r in got] and orders["none"] == []
+    want = several.groupby(pd.qcut(several["few"], 4, duplicates="drop"), observed=True).size()
+    assert sorted(r["n"] for r in rows if r["predictor"] == "few") == sorted(want.tolist()) and len(orders["few"]) == len(want)
 
 
 def test_least_squares_equals_numpy(spark):
@@ -211,3 +222,39 @@ def test_box_join_equals_all_pairs(spark):
     got = P.bbox_intersect_join(spark.createDataFrame(a, f"box_id int, {box}"), spark.createDataFrame(b, f"feature_id int, {box}"), 7.0).collect()
     want = {(p[0], q[0]) for p in a for q in b if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]}
     assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_overlapping_globs_give_each_file_once(spark, tmp_path):
+    for name in ("b.csv", "a.csv", "sub/c.csv", "sub/d.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("x\n1\n")
+    found = R2.expand_globs(spark, f" {tmp_path}/b*; {tmp_path}, {tmp_path}/no*,{tmp_path}/*.csv;", "*.csv")
+    assert [p.rsplit("/", 1)[1] for p in found] == ["b.csv", "a.csv", "c.csv"]
+
+
+def test_boundary_ids_are_version_5_uuids_of_seven_parts(spark):
+
+
+    names = ["src", "30m", "2008", "", "h01v02", "7", "abc"]
+    df = spark.createDataFrame([tuple(n or None for n in names)], "a string, b string, c string, d string, e string, f string, g string")
+    got = df.select(K.boundary_uuid(*(F.col(c) for c in "abcdefg")).alias("id")).first()["id"]
+    assert got == str(uuid.uuid5(uuid.UUID(K.BOUNDARY_NAMESPACE), "|".join(names)))
+
+
+def test_manifest_finds_changed_missing_and_unexpected_files(spark):
+    files = spark.createDataFrame([("a", 3, bytearray(b"abc")), ("b", 1, bytearray(b"x")), ("d", 0, bytearray(b""))], "path string, length long, content binary")
+    rows = spark.createDataFrame([("a",), ("a",), ("b",)], "path string")
+    sent = Y.delivery_manifest(files, rows)
+    assert {r["path"]: (r["rows"], r["bytes"]) for r in sent.collect()} == {"a": (2, 3), "b": (1, 1), "d": (0, 0)}
+    changed = files.where("path <> 'd'").withColumn("content", F.when(F.col("path") == "b", F.lit("y").cast("binary")).otherwise(F.col("content"))).unionByName(files.where("path = 'd'").withColumn("path", F.lit("e")))
+    assert {r["path"]: r["hash_matches"] for r in Y.delivery_manifest(changed, rows, sent).collect()} == {"a": True, "b": False, "d": False, "e": False}
+
+
+def test_summaries_and_states_are_read_from_json(spark, tmp_path):
+    (tmp_path / "s1.json").write_text('{"tile": "h01", "n": 3}\n')
+    (tmp_path / "s2.json").write_text('{"tile": "h00", "n": 4}\n')
+    assert tuple(Q.rollup_summaries(Q.read_summaries(spark, f"{tmp_path}/s*.json", ["n"]), ["n"]).first()) == (7, "h00;h01")
+    for k, done in enumerate((None, 5, 9)):
+        (tmp_path / f"f{k}.json").write_text(f'{{"fips": "0{k}", {f""""completed_iter": {done}, """ if done is not None else ""}"target_iter": 9}}\n')
+    got = {r["fips"]: r["status"] for r in N.fit_manifest(N.read_states(spark, f"{tmp_path}/f*.json")).collect()}
+    assert got == {"00": "pending", "01": "needs_more", "02": "complete"}
