@@ -1,64 +1,23 @@
-"""Shared helpers: text batches inside tasks, and tables written to the cluster's shared folder."""
+"""Shared helpers for text batches inside tasks."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrasheaf.runtime import join_counted, scratch_path  # noqa: F401
+from terrasheaf.runtime import stored as materialize  # noqa: F401
+
 #: Bytes of text that a task turns into Python words at a time.
 SLICE_BYTES = 1 << 20
 #: Entries that a memo of words holds before it starts anew; only speed depends on it.
 MEMO_WORDS = 400_000
 
-_own_dirs: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (local tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-    return _own_dirs[app]
-
-
-def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, and what reads it twice computes it once."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-#: A key that more than this share of all rows hold is heavy; so there are fewer heavy keys than its inverse.
-HEAVY_SHARE = 1 / 1000
-
-
-def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
-    """``rows`` with the columns of ``table``, which has one row for every key in ``rows`` and says in ``count`` how many rows hold it.
-
-    Heavy keys, a thousand at most whatever the data, are broadcast and joined where their rows are; only the others are shuffled, so no
-    task gets more than a thousandth of all rows for one key. Both are read twice and should be stored tables."""
-    total = table.agg(F.sum(count)).first()[0] or 0
-    heavy = table.where(F.col(count) > total * HEAVY_SHARE)
-    light = table.where(F.col(count) <= total * HEAVY_SHARE)
-    there = rows.join(F.broadcast(heavy), key)
-    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key)
-    return there.unionByName(rest)
-
-
 def kept_and_text(docs: DataFrame, keep: list[str], text_col: str, own: Iterable[str]) -> tuple[DataFrame, list[str], str]:
     """The columns of ``keep`` whose names are not among ``own`` and the text as a string, which is sent once: (rows, kept columns, name of
     the text's column)."""

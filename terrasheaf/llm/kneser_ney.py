@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import mmap
-import os
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasheaf.llm.common import hash_memo, mixed, paired, runs, scratch_path, segments, texts_of, with_columns, word_hashes
@@ -24,6 +23,8 @@ END = np.uint64(xxhash.xxh64_intdigest(b" end"))
 #: Bigrams that a task holds before it sends their counts on, and tokens that are scored at a time.
 FLUSH = 4_000_000
 SCORE_TOKENS = 1_000_000
+#: Bytes of training text for each shard of the model; a task holds what one shard's bigrams are in all blocks.
+SHARD_BYTES = 32 << 20
 
 BLOCK_SCHEMA = "shard int, kind string, a binary, b binary, c binary"
 #: Columns of the words' table beside its sorted hashes: occurrences, followers' occurrences, distinct followers seen once, twice and
@@ -72,30 +73,40 @@ def shard_bounds(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 class Folder:
-    """Files in the shared folder, by any address that Arrow's file systems know; local ones are mapped where they are."""
+    """Files of several arrays in the shared folder, by any address that Arrow's file systems know. Where all machines mount the folder, files
+    are mapped where they are; else Spark brings each file to each executor once (``send``), and its workers map that copy."""
 
     def __init__(self, uri: str):
+        self.uri = uri
         self.fs, self.path = pafs.FileSystem.from_uri(uri)
+        self.mounted = isinstance(self.fs, pafs.LocalFileSystem)
 
-    def write(self, name: str, data: bytes) -> None:
-        """Whole or not at all, so a task that runs twice does no harm."""
-        draft = f"{self.path}/.{name}-{uuid.uuid4().hex}"
+    def name(self, file: str) -> str:
+        return f"{self.path.rsplit('/', 1)[-1]}-{file}"
+
+    def write(self, file: str, arrays: list[np.ndarray]) -> None:
+        """Whole or not at all, so a task that runs twice does no harm. The lengths come first; every array begins at a multiple of 8 bytes."""
+        draft = f"{self.path}/.{file}-{uuid.uuid4().hex}"
         self.fs.create_dir(self.path, recursive=True)
         with self.fs.open_output_stream(draft) as out:
-            out.write(data)
-        self.fs.move(draft, f"{self.path}/{name}")
-
-    def mapped(self, name: str):
-        path = f"{self.path}/{name}"
-        if not isinstance(self.fs, pafs.LocalFileSystem):  # a copy without a name: it goes when the worker does
-            handle, path = tempfile.mkstemp()
-            with os.fdopen(handle, "wb") as out, self.fs.open_input_stream(f"{self.path}/{name}") as source:
-                shutil.copyfileobj(source, out)
+            out.write(np.array([a.nbytes for a in arrays], "<u8").tobytes())
+            for a in arrays:
+                out.write(a.tobytes() + bytes(-a.nbytes % 8))
+        self.fs.move(draft, f"{self.path}/{self.name(file)}")
+
+    def send(self, spark: SparkSession, files: list[str]) -> None:
+        if not self.mounted:
+            for file in files:
+                spark.sparkContext.addFile(f"{self.uri}/{self.name(file)}")
+
+    def mapped(self, file: str, kinds: list[str]) -> list[np.ndarray]:
+        path = f"{self.path}/{self.name(file)}" if self.mounted else SparkFiles.get(self.name(file))
         with open(path, "rb") as f:
-            size = os.fstat(f.fileno()).st_size
-            out = mmap.mmap(f.fileno(), size, access=mmap.ACCESS_READ) if size else b""
-        if not isinstance(self.fs, pafs.LocalFileSystem):
-            os.unlink(path)
+            data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+        sizes, at, out = np.frombuffer(data, "<u8", len(kinds)).tolist(), 8 * len(kinds), []
+        for kind, size in zip(kinds, sizes, strict=True):
+            out.append(np.frombuffer(data, kind, size // np.dtype(kind).itemsize, at))
+            at += size + -size % 8
         return out
 
 
@@ -134,19 +145,17 @@ def count_bigrams(texts: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for text in texts_of(batch, "text"):
                 last = np.array([BEGIN], np.uint64)
-                for part in segments(text.lower()):
-                    words = word_hashes(memo, part.split())
+                for part in chain(segments(text.lower()), [None]):
+                    words = np.array([END], np.uint64) if part is None else word_hashes(memo, part.split())
                     both = np.concatenate([last, words])
                     firsts.append(both[:-1])
                     seconds.append(both[1:])
                     last = both[-1:]
                     held += len(words)
-                firsts.append(last)
-                seconds.append(np.array([END], np.uint64))
-                held += 1
-                if held >= FLUSH:
-                    yield bigram_blocks(np.concatenate(firsts), np.concatenate(seconds), shards)
-                    firsts, seconds, held = [], [], 0
+                    if held >= FLUSH:
+                        yield bigram_blocks(np.concatenate(firsts), np.concatenate(seconds), shards)
+                        firsts, seconds, held = [], [], 0
+                        memo.trim()
             memo.trim()
         if held:
             yield bigram_blocks(np.concatenate(firsts), np.concatenate(seconds), shards)
@@ -189,13 +198,9 @@ class KneserNey:
             folder = Folder(self.uri)
             self.arrays = []
             for shard in range(self.shards):
-                keys = np.frombuffer(folder.mapped(f"bigrams-{shard}"), np.uint64)
-                counts = folder.mapped(f"counts-{shard}")
-                words = np.frombuffer(folder.mapped(f"words-{shard}"), np.uint64)
-                columns = {name: np.frombuffer(folder.mapped(f"{name}-{shard}"), kind) for name, kind in WORD_COLUMNS}
-                small = np.frombuffer(counts, np.uint8, len(keys)) if len(keys) else np.zeros(0, np.uint8)
-                large = np.frombuffer(folder.mapped(f"large-{shard}"), "<u8").reshape(-1, 2)
-                self.arrays.append((keys, small, large, words, columns))
+                keys, small, large = folder.mapped(f"bigrams-{shard}", ["<u8", "u1", "<u8"])
+                words, *columns = folder.mapped(f"words-{shard}", ["<u8", *(kind for _, kind in WORD_COLUMNS)])
+                self.arrays.append((keys, small, large.reshape(-1, 2), words, dict(zip([n for n, _ in WORD_COLUMNS], columns, strict=True))))
 
     def bigram_counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts of sorted bigram hashes."""
@@ -245,10 +250,11 @@ def train(texts: DataFrame, shards: int | None = None) -> KneserNey:
     """Counts ``texts`` (column text) and stores the model in the shared folder.
 
     Bigrams are counted per task and summed by ranges of their hash, so that a frequent word's bigrams spread over all shards; what a shard
-    knows of each word is then summed by ranges of the words' hashes. The shards are as many as the session's shuffle partitions.
+    knows of each word is then summed by ranges of the words' hashes. There is a shard for every ``SHARD_BYTES`` of text.
     """
     spark = texts.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = 0 if shards else texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = shards or 1 + size // SHARD_BYTES
     uri = scratch_path(spark, "kneser-ney")
 
     def bigram_shard(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
@@ -264,11 +270,9 @@ def train(texts: DataFrame, shards: int | None = None) -> KneserNey:
         starts = group_starts(keys)
         sums = np.add.reduceat(count[order], starts) if len(keys) else count
         keys, first, second = keys[starts], first[order][starts], second[order][starts]
-        folder = Folder(uri)
-        folder.write(f"bigrams-{shard}", keys.tobytes())
-        folder.write(f"counts-{shard}", np.minimum(sums, 255).astype(np.uint8).tobytes())
         over = np.flatnonzero(sums >= 255)
-        folder.write(f"large-{shard}", np.stack([over.astype(np.uint64), sums[over]], 1).astype("<u8").tobytes())
+        large = np.stack([over.astype(np.uint64), sums[over]], 1).astype("<u8")
+        Folder(uri).write(f"bigrams-{shard}", [keys.astype("<u8"), np.minimum(sums, 255).astype(np.uint8), large])
         rows = []
         for kind, word, values in (("first", first, (sums, sums == 1, sums == 2, sums >= 3)), ("second", second, (sums, np.ones(len(sums))))):
             words, *totals = tally(word, *(v.astype(np.uint64) for v in values))
@@ -312,10 +316,7 @@ def train(texts: DataFrame, shards: int | None = None) -> KneserNey:
             at = np.searchsorted(words, sums[kind][0])
             for name, values in zip(names, sums[kind][1:], strict=True):
                 table[name][at] = values
-        folder = Folder(uri)
-        folder.write(f"words-{shard}", words.tobytes())
-        for name, kind in WORD_COLUMNS:
-            folder.write(f"{name}-{shard}", table[name].astype(kind).tobytes())
+        Folder(uri).write(f"words-{shard}", [words.astype("<u8"), *(table[name].astype(kind) for name, kind in WORD_COLUMNS)])
         out["tokens"], out["types"] = int(table["count"].sum()), int((table["count"] > 0).sum())
         out["texts"] = int(table["count"][words == END].sum())
         for k, x in enumerate(histogram(table["before"][table["before"] > 0]), 1):
@@ -326,6 +327,7 @@ def train(texts: DataFrame, shards: int | None = None) -> KneserNey:
     counted = count_bigrams(texts, shards).unionByName(empty).groupBy("shard").applyInArrow(bigram_shard, BLOCK_SCHEMA)
     stats = counted.groupBy("shard").applyInArrow(word_shard, ", ".join(f"{n} long" for n in stats_schema.names))
     total = stats.agg(*(F.sum(n).alias(n) for n in stats_schema.names)).first().asDict()
+    Folder(uri).send(spark, [f"{kind}-{shard}" for shard in range(shards) for kind in ("bigrams", "words")])
     pick = lambda x: np.array([total[f"{x}{k}"] for k in range(1, 5)], np.int64)
     return KneserNey(uri, shards, total["tokens"], total["types"], total["texts"], pick("p"), pick("b"), total["bigrams"])
 
@@ -358,8 +360,7 @@ def score(docs: DataFrame, model: KneserNey, held_out: Column, id_col: str = "do
                 firsts, seconds, lengths, owner, held = [], [], [], [], 0
                 for k in range(start, end):
                     last = np.array([BEGIN], np.uint64)
-                    parts = [p.split() for p in [texts[k].lower()]] if len(texts[k]) < 8 * SCORE_TOKENS else (p.split() for p in segments(texts[k].lower(), 8 * SCORE_TOKENS))
-                    for words in (*parts, None):
+                    for words in chain((p.split() for p in segments(texts[k].lower())), [None]):
                         hashes = np.array([END], np.uint64) if words is None else word_hashes(memo, words)
                         if len(hashes):
                             both = np.concatenate([last, hashes])
@@ -373,6 +374,7 @@ def score(docs: DataFrame, model: KneserNey, held_out: Column, id_col: str = "do
                         if held >= SCORE_TOKENS:
                             np.add.at(total, (slice(None), owner), sums(firsts, seconds, lengths))
                             firsts, seconds, lengths, owner, held = [], [], [], [], 0
+                            memo.trim()
                 if held:
                     np.add.at(total, (slice(None), owner), sums(firsts, seconds, lengths))
                 yield with_columns(batch, ["doc_id", "held_out"], schema, start, end, n_tokens=sizes, n_known=total[2].astype(np.int64), train_tokens=np.full(end - start, model.tokens), base_score=total[0], score=total[1], perplexity=10 ** np.minimum(-total[1] / sizes, 300))

@@ -788,3 +788,14 @@ def test_training_rows_are_bounded_and_single(spark):
     assert len(rows) <= 10 and len({r["doc_id"] for r in rows}) == len(rows)
     assert all(zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1 for r in rows)
     assert sum(len(r["text"]) for r in toxicity.training_rows(given, marks, max_bytes=450)) <= 450
+
+
+def test_long_texts_are_counted_and_scored_in_parts(spark, monkeypatch):
+    rnd = random.Random(22)
+    texts = [prose(rnd, 400_000, "abcdefgh"), prose(rnd, 300, "abcdefgh"), "one two"]
+    want = {r["doc_id"]: r for r in kneser_ney.lm_scores(docs(spark, texts), shards=2).collect()}
+    assert sum(len(t) for t in texts) > 1 << 20
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 100_000)
+    for r in kneser_ney.lm_scores(docs(spark, texts)).collect():
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == tuple(want[r["doc_id"]][k] for k in ("n_tokens", "n_known", "train_tokens"))
+        assert r["score"] == pytest.approx(want[r["doc_id"]]["score"]) and r["n_tokens"] == len(words(texts[r["doc_id"]])) + 1
