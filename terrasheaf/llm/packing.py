@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from terrasheaf.llm.common import texts_of
 from terrasheaf.llm.tokens import word_ids
 
-#: Windows that are balanced against each other, and the tokens of them that a group leaves free.
+#: Windows that are balanced against each other, and the share of them that a group leaves free, so that the first try has room to succeed.
 GROUP_WINDOWS = 64
-GROUP_SLACK = 0
+FREE_SHARE = 1 / 64
+
 
 def difference(sizes: list[int], k: int) -> list[list[int]]:
     """Items dealt into ``k`` windows by the largest differencing method: the two partial partitions with the largest spread are merged, the
@@ -56,7 +57,7 @@ class Packer:
 
     def __init__(self, capacity: int, first_sequence: int):
         self.capacity, self.next_sequence = capacity, first_sequence
-        self.target = GROUP_WINDOWS * capacity - GROUP_SLACK
+        self.target = GROUP_WINDOWS * (capacity - int(capacity * FREE_SHARE))
         self.open: list[tuple[int | None, int, np.ndarray, int]] = []
         self.filled = 0
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -44,8 +45,25 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+# The normaliser and the splitting pattern of tokenizer files that texts may be split for as below.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_alike(path: str) -> bool:
+    """Whether a tokenizer file normalises and splits texts in the way that ``WordIds`` relies on, and has no strings of its own but those
+    between <| and |>."""
+    with open(path, encoding="utf-8") as f:
+        known = json.load(f)
+    normal, split = known.get("normalizer") or {}, (known.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    alike = normal.get("normalizers") == NORMALIZERS and len(split) == 2 and split[0].get("pattern") == {"Regex": SPLIT} and split[0].get("invert") is True
+    alike = alike and split[0].get("behavior") == "Removed" and split[1].get("type") == "ByteLevel" and not split[1].get("add_prefix_space") and not split[1].get("use_regex")
+    plain = all(t["content"].startswith("<|") and " " not in t["content"] and not (t["normalized"] or t["lstrip"] or t["rstrip"]) for t in known.get("added_tokens", []))
+    return alike and plain and known["model"]["type"] == "BPE" and not known.get("post_processor")
+
+
 class WordIds:
-    """Token ids of texts, from a memo of the ids of their pieces.
+    """Token ids of texts, from a memo of the ids of their pieces where the file's rules allow it (``splits_alike``), else from the library.
 
     The tokenizer splits lower-cased text into runs of letters, digits, contractions and other runs, and merges within each piece alone, so
     the ids of a text are its pieces' ids in a row. Where ASCII white space separates two words nothing carries over either: not
@@ -53,7 +71,7 @@ class WordIds:
     """
 
     def __init__(self, path: str):
-        self.tokenizer = load_tokenizer(path)
+        self.tokenizer, self.alike = load_tokenizer(path), splits_alike(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits are not supported")
         merge, shown = self.tokenizer.model.tokenize, byte_characters()
@@ -62,6 +80,8 @@ class WordIds:
 
     def ids(self, text: bytes) -> np.ndarray:
         """All ids of a text, as 16-bit numbers; long texts a part at a time."""
+        if not self.alike:
+            return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint16)
         self.pieces.trim(KEPT)
         self.words.trim(KEPT)
         return np.frombuffer(b"".join(map(self.part, segments(text))), np.uint16)
@@ -146,7 +166,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
     """n_bytes, n_tokens and over_limit (more than ``limit`` tokens) of every whole text.
 
     One pass without a shuffle. Texts of more than ``chunk`` code points are encoded in overlapping chunks (``count_in_chunks``), others
-    word by word. Null or empty text has 0 tokens; a null id stays; each row gives one row, repeated or not; other columns are ignored.
+    word by word; a tokenizer file with other rules of splitting than these rely on is left to the library, whole texts at a time. Null or empty text has 0 tokens; a null id stays; each row gives one row, repeated or not; other columns are ignored.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
@@ -156,7 +176,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
             texts = texts_of(batch, "text")
             for start, end in runs(texts):
                 part = texts[start:end]
-                huge = {k: text for k, t in enumerate(part) if len(t) > chunk and len(text := t.decode()) > chunk}
+                huge = {k: text for k, t in enumerate(part) if known.alike and len(t) > chunk and len(text := t.decode()) > chunk}
                 counts = [len(ids) for ids in (known.ids(b"" if k in huge else t) for k, t in enumerate(part))]
                 for k, text in huge.items():
                     counts[k] = count_in_chunks(known.tokenizer, text, chunk, overlap)

@@ -18,6 +18,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from terrasheaf import runtime
 from terrasheaf.llm import chat, decontam, kneser_ney, packing, pii, repetition, secrets, simhash, tokens, toxicity
 from terrasheaf.llm.common import join_counted
 from terrasheaf.llm.components import components
@@ -664,6 +665,20 @@ def test_secrets_of_repeated_rows_and_every_kind_against_brute_force(spark):
     assert got == want
 
 
+@pytest.fixture
+def heavy_from_the_first_row(monkeypatch):
+    monkeypatch.setattr(runtime, "HEAVY_ROWS", 0)
+    monkeypatch.setattr(runtime, "HEAVY_SHARE", 1 / 20)
+
+
+@pytest.mark.usefixtures("heavy_from_the_first_row")
+def test_operators_with_heavy_keys_against_brute_force(spark):
+    test_simhash_against_all_pairs(spark)
+    test_components_of_long_chains_and_stars(spark)
+    test_secrets_of_repeated_rows_and_every_kind_against_brute_force(spark)
+
+
+@pytest.mark.usefixtures("heavy_from_the_first_row")
 def test_join_counted_splits_heavy_keys(spark):
     rows = [(k % 3000 if k % 2 else 5, k) for k in range(9000)] + [(None, -1)]
     counts = Counter(k for k, _ in rows if k is not None)
@@ -799,3 +814,13 @@ def test_long_texts_are_counted_and_scored_in_parts(spark, monkeypatch):
     for r in kneser_ney.lm_scores(docs(spark, texts)).collect():
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == tuple(want[r["doc_id"]][k] for k in ("n_tokens", "n_known", "train_tokens"))
         assert r["score"] == pytest.approx(want[r["doc_id"]]["score"]) and r["n_tokens"] == len(words(texts[r["doc_id"]])) + 1
+
+
+def test_other_tokenizer_files_are_left_to_the_library(spark):
+    rnd = random.Random(23)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [prose(rnd, 3000, "abc'dé 1."), "Don't <|endoftext|> stop", "", "  two  spaces\n"]
+    plain = tokens.load_tokenizer(path)
+    for r in tokens.token_counts(docs(spark, texts), path, chunk=500, overlap=16).collect():
+        assert r["n_tokens"] == len(plain.encode(texts[r["doc_id"]], add_special_tokens=False).ids)
+    assert tokens.splits_alike(TOKENIZER) and not tokens.splits_alike(path)
