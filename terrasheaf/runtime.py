@@ -14,8 +14,9 @@ _shipped: set[str] = set()
 _own_dirs: dict[str, str] = {}
 
 
-#: A key that more than this share of all rows hold is heavy; so there are fewer heavy keys than its inverse.
-HEAVY_SHARE = 1 / 1000
+#: A key that more than this share of all rows hold is heavy, so there are fewer heavy keys than its inverse; one of fewer rows than the other
+#: number never is.
+HEAVY_SHARE, HEAVY_ROWS = 1 / 1000, 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,12 +48,14 @@ def join_counted(rows: DataFrame, table: DataFrame, keys: str | list[str], count
     """``rows`` with the columns of ``table``, which has one row for every key in ``rows`` and says in ``count`` how many rows hold it.
 
     Heavy keys, a thousand at most whatever the data, are broadcast and joined where their rows are; only the others are shuffled, so no
-    task gets more than a thousandth of all rows for one key. Rows with a null in a key are left out. Both are read twice and should be
-    stored tables."""
+    task gets more than a thousandth of all rows for one key. Rows with a null in a key are left out. Both are read twice if there are heavy
+    keys, and should be stored tables."""
     keys = [keys] if isinstance(keys, str) else keys
-    total = table.agg(F.sum(count)).first()[0] or 0
-    heavy = table.where(F.col(count) > total * HEAVY_SHARE)
-    light = table.where(F.col(count) <= total * HEAVY_SHARE)
+    total, largest = table.agg(F.sum(count), F.max(count)).first()
+    bound = max((total or 0) * HEAVY_SHARE, HEAVY_ROWS)
+    if (largest or 0) <= bound:
+        return rows.join(table, keys)
+    heavy, light = table.where(F.col(count) > bound), table.where(F.col(count) <= bound)
     there = rows.join(F.broadcast(heavy), keys)
     rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys)
     return there.unionByName(rest)
