@@ -33,18 +33,8 @@ def polygon_area(ring: Column) -> Column:
     return F.abs(F.aggregate(F.transform(ring, side), F.lit(0.0), lambda acc, x: acc + x)) / 2
 
 
-def inside(ring: Column, x: Column, y: Column) -> Column:
-    """Whether a point lies in a ring: a ray to the right crosses an odd number of sides."""
-
-    def crosses(p: Column, i: Column) -> Column:
-        q = F.element_at(ring, F.least(i + 2, F.size(ring)))
-        return F.when((p["y"] > y) != (q["y"] > y), (x < (q["x"] - p["x"]) * (y - p["y"]) / (q["y"] - p["y"]) + p["x"]).cast("int")).otherwise(0)
-
-    return F.aggregate(F.transform(ring, crosses), F.lit(0), lambda acc, k: acc + k) % 2 == 1
-
-
 def crossings(ring: Column, y: Column) -> Column:
-    """Where a ring's sides cross a horizontal line, in order; a side counts as in ``inside``."""
+    """Where a ring's sides cross a horizontal line, in order; a side counts if it has one end above the line and one not above it."""
 
     def cross(p: Column, i: Column) -> Column:
         q = F.element_at(ring, F.least(i + 2, F.size(ring)))
@@ -113,13 +103,6 @@ def xyz_tile(lon: Column, lat: Column, zoom: Column) -> tuple[Column, Column]:
     return fit((lon + 180) / 360 * n), fit((1 - F.ln(F.tan(r) + 1 / F.cos(r)) / math.pi) / 2 * n)
 
 
-def xyz_bounds(x: Column, y: Column, zoom: Column) -> Column:
-    """The degrees that a tile covers."""
-    n = F.pow(F.lit(2.0), zoom)
-    lat = lambda t: F.degrees(F.atan(F.sinh((1 - t * 2 / n) * math.pi)))
-    return F.struct((x / n * 360 - 180).alias("west"), lat(y + 1).alias("south"), ((x + 1) / n * 360 - 180).alias("east"), lat(y).alias("north"))
-
-
 def value_mask(value: Column, values: list[int], nodata: Column, invert: bool = False) -> Column:
     """255 for cells whose value is in (or, inverted, not in) the set, else 0; cells without data stay so."""
     hit = value.isin(values)

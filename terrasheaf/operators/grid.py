@@ -111,7 +111,8 @@ def mosaic(pixels: DataFrame, order: str = "source_order") -> DataFrame:
 def xyz_pyramid(points: DataFrame, zmin: int = 6, zmax: int = 14) -> DataFrame:
     """(z, x, y, cells): how many cells with data each Web-Mercator tile covers, for all zoom levels; ``points`` has lon, lat and value.
 
-    Cells are counted at the finest level first, and each level is summed from the one below it, so the table is read once."""
+    Cells are counted at the finest level first, and all levels are summed from those counts, so the table is read once and only its tiles,
+    once for each level, are shuffled again."""
     x, y = G.xyz_tile(F.col("lon"), F.col("lat"), F.lit(zmax))
     finest = points.where("value IS NOT NULL").groupBy(x.alias("x"), y.alias("y")).agg(F.count(F.lit(1)).alias("cells"))
     levels = finest.withColumn("z", F.explode(F.sequence(F.lit(zmin), F.lit(zmax))))

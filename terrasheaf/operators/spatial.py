@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terrasheaf.functions.geometry import ring_bbox
 from terrasheaf.functions.keys import state_code
 from terrasheaf.operators.grid import CELL, rasterize
+from terrasheaf.runtime import stored
 
 BOX = ["minx", "miny", "maxx", "maxy"]
 
@@ -17,24 +18,54 @@ def overlaps(a: str, b: str) -> Column:
     return (c(a, "minx") <= c(b, "maxx")) & (c(b, "minx") <= c(a, "maxx")) & (c(a, "miny") <= c(b, "maxy")) & (c(b, "miny") <= c(a, "maxy"))
 
 
-def bbox_intersect_join(boxes: DataFrame, features: DataFrame, cell: float, keys: tuple[str, str] = ("box_id", "feature_id")) -> DataFrame:
-    """Distinct pairs of boxes that touch. Both sides are dealt to cells of a coarse grid and meet by cell; a pair counts in the one cell that
-    holds the lower left corner of what both share, so nothing needs to be made distinct afterwards."""
+#: A cell is crowded if it holds more than this share of all boxes, so there are fewer such cells than its inverse; one of fewer boxes than the
+#: other number never is.
+CROWDED_SHARE, CROWDED_BOXES = 1 / 1000, 100_000
 
-    def dealt(df: DataFrame, name: str) -> DataFrame:
-        index = lambda c: F.floor(F.col(c) / cell).cast("long")
-        rows = df.withColumn("bx", F.explode(F.sequence(index("minx"), index("maxx"))))
-        return rows.withColumn("by", F.explode(F.sequence(index("miny"), index("maxy")))).alias(name)
 
-    a, b = dealt(boxes, "a"), dealt(features, "b")
-    own = (F.col("a.bx") == F.floor(F.greatest("a.minx", "b.minx") / cell)) & (F.col("a.by") == F.floor(F.greatest("a.miny", "b.miny") / cell))
-    pairs = a.join(b, (F.col("a.bx") == F.col("b.bx")) & (F.col("a.by") == F.col("b.by")))
-    return pairs.where(overlaps("a", "b") & own).select(F.col(f"a.{keys[0]}"), F.col(f"b.{keys[1]}"))
+def bbox_intersect_join(boxes: DataFrame, features: DataFrame, cell: float, keys: tuple[str, str] = ("box_id", "feature_id")) -> DataFrame:
+    """Distinct pairs of boxes that touch; a box with a null side touches nothing.
+
+    Both sides are dealt to the cells of a pyramid of grids, the finest of ``cell``: a box to those it meets on the level of its own size, four
+    at most, and to those of larger levels that the other side has. Two boxes meet on the larger one's level, in the one cell that holds the
+    lower left corner of what both share, so nothing needs to be made distinct afterwards. The boxes of a crowded cell are split between tasks,
+    and the features there go to all of these."""
+    size = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")) / cell
+    level = F.when(size > 1, F.ceil(F.log2(size))).otherwise(0).cast("int")
+    sides = [stored(df.where(" AND ".join(f"{c} IS NOT NULL" for c in BOX)).withColumn("level", level), "boxes") for df in (boxes, features)]
+    known = [sorted(r["level"] for r in df.select("level").distinct().collect()) for df in sides]  # as many as powers of two between box sizes
+
+    def dealt(df: DataFrame, others: list[int]) -> DataFrame:
+        on = F.array_distinct(F.concat(F.array("level"), F.filter(F.array(*map(F.lit, others)).cast("array<int>"), lambda x: x > F.col("level"))))
+        rows = df.withColumn("on", F.explode(on)).withColumn("side", F.pow(F.lit(2.0), F.col("on")) * cell)
+        index = lambda c: F.floor(F.col(c) / F.col("side")).cast("long")
+        rows = rows.withColumn("bx", F.explode(F.sequence(index("minx"), index("maxx"))))
+        return rows.withColumn("by", F.explode(F.sequence(index("miny"), index("maxy")))).drop("side")
+
+    spot = ["on", "bx", "by"]
+    a, b = dealt(sides[0], known[1]), dealt(sides[1], known[0])
+    counts = stored(a.groupBy(*spot).agg(F.count(F.lit(1)).alias("n")), "cells")
+    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
+    bound = max((total or 0) * CROWDED_SHARE, CROWDED_BOXES)
+    if (largest or 0) > bound:
+        crowded = F.broadcast(counts.where(F.col("n") > bound).select(*spot, F.ceil(F.col("n") / bound).cast("int").alias("splits")))
+        splits = F.coalesce("splits", F.lit(1))
+        a = a.join(crowded, spot, "left").withColumn("split", F.pmod(F.xxhash64(keys[0]), splits).cast("int")).drop("splits")
+        b = b.join(crowded, spot, "left").withColumn("split", F.explode(F.sequence(F.lit(0), splits - 1))).drop("splits")
+        spot = [*spot, "split"]
+    a, b = a.alias("a"), b.alias("b")
+    side = F.pow(F.lit(2.0), F.col("a.on")) * cell
+    own = (F.col("a.bx") == F.floor(F.greatest("a.minx", "b.minx") / side)) & (F.col("a.by") == F.floor(F.greatest("a.miny", "b.miny") / side))
+    larger = F.greatest("a.level", "b.level") == F.col("a.on")
+    meet = F.lit(True)
+    for c in spot:
+        meet = meet & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+    return a.join(b, meet).where(overlaps("a", "b") & own & larger).select(F.col(f"a.{keys[0]}"), F.col(f"b.{keys[1]}"))
 
 
 def select_intersecting(items: DataFrame, selector: DataFrame, cell: float) -> DataFrame:
     """Items whose box meets a selector's."""
-    hit = bbox_intersect_join(items, selector, cell).select("box_id")
+    hit = bbox_intersect_join(items, selector, cell).select("box_id").distinct()
     return items.join(hit, "box_id", "left_semi")
 
 

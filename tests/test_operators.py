@@ -214,10 +214,12 @@ def test_zonal_golden_proportions(spark):
     assert (r["t0_count"], r["t1_count"], r["na_count"], r["pixel_count"], r["t0_prop"], r["na_prop"]) == (2, 1, 1, 4, 0.5, 0.25)
 
 
-def test_box_join_equals_all_pairs(spark):
+@pytest.mark.parametrize("crowded", [10**9, 3])
+def test_box_join_equals_all_pairs(spark, monkeypatch, crowded):
+    monkeypatch.setattr(P, "CROWDED_BOXES", crowded)
     rng = np.random.default_rng(4)
-    make = lambda n: [(i, float(x), float(y), float(x + w), float(y + h)) for i, (x, y, w, h) in enumerate(rng.integers(0, 30, (n, 4)))]
-    a, b = make(40), make(50)
+    make = lambda n: [(i, float(x - 15), float(y), float(x - 15 + w * 9**k), float(y + h)) for i, (x, y, w, h, k) in enumerate(rng.integers(0, (30, 30, 30, 30, 3), (n, 5)))]
+    a, b = make(40), [*make(50), (50, 3.0, 3.0, 3.0, 3.0), (51, -1e6, -1e6, 1e6, 1e6)]
     box = "minx double, miny double, maxx double, maxy double"
     got = P.bbox_intersect_join(spark.createDataFrame(a, f"box_id int, {box}"), spark.createDataFrame(b, f"feature_id int, {box}"), 7.0).collect()
     want = {(p[0], q[0]) for p in a for q in b if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]}
