@@ -198,9 +198,9 @@ def D12_select_intersecting(t: Tables) -> DataFrame:
     return P.select_intersecting(a, b.where(F.element_at(F.split("feature_id", "_"), 2) < "01021"), 6000.0).select("box_id")
 
 
-@query("SELECT b.tile, b.field_id FROM {ring_boxes} b, (SELECT min(minx) AS x0, min(miny) AS y0, max(maxx) AS x1, max(maxy) AS y1 FROM {county_boxes} WHERE fips BETWEEN '01021' AND '01045') e WHERE b.minx <= x1 AND b.maxx >= x0 AND b.miny <= y1 AND b.maxy >= y0")
+@query("SELECT b.tile, b.field_id FROM {ring_boxes} b, (SELECT min(minx) AS x0, min(miny) AS y0, max(maxx) AS x1, max(maxy) AS y1 FROM {county_boxes} WHERE fips <= '01021') e WHERE b.minx <= x1 AND b.maxx >= x0 AND b.miny <= y1 AND b.maxy >= y0")
 def C10_bounds_prefilter(t: Tables) -> DataFrame:
-    some = t.county_boxes.where("fips BETWEEN '01021' AND '01045'")  # the other side of the operation, a region of counties
+    some = t.county_boxes.where("fips <= '01021'")  # the other side of the operation, a region of counties
     return P.bounds_prefilter(t.ring_boxes, some).select("tile", "field_id")
 
 

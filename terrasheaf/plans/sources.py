@@ -74,7 +74,7 @@ def A8_write_neighborhoods(t: Tables) -> DataFrame:
     return t.spark.read.schema(schema).parquet(path).select("focal_fips", "tile_field_ID", "year")
 
 
-@query("SELECT tile AS tile_coord, CAST(field_id AS VARCHAR) AS source_field_id, CASE WHEN field_id % 4 = 0 THEN 2 ELSE 1 END AS boundaries, CASE WHEN field_id % 4 = 0 THEN '2' ELSE '1' END AS boundary_count FROM {ring_boxes} WHERE field_id % 13 <> 0")
+@query("SELECT tile AS tile_coord, CAST(field_id AS VARCHAR) AS source_field_id, CAST(CASE WHEN field_id % 4 = 0 THEN 2 ELSE 1 END AS BIGINT) AS boundaries, CASE WHEN field_id % 4 = 0 THEN '2' ELSE '1' END AS boundary_count FROM {ring_boxes} WHERE field_id % 13 <> 0")
 def A9_write_field_tables(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "field-tables")
     boundary = B.field_boundaries(features(t), "src", "30m")
