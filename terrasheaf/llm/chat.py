@@ -11,7 +11,7 @@ from math import log2
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -59,23 +59,25 @@ def features(text: str) -> list[int]:
 
 
 def segments_of(rows: DataFrame) -> DataFrame:
-    """(row_id, part, parts, marker, and the features) of every segment of the texts in ``rows`` (row_id, text)."""
+    """The columns of ``rows`` but for its text, with part, parts, marker and the features of every segment of each text."""
     numbers = ["part", "parts", "marker", *FEATURES]
-    schema = pa.schema([("row_id", pa.string()), *((n, pa.int32()) for n in numbers)])
+    given = rows.drop("text")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, values = [], []
-            for row_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            at, values = [], []
+            for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 found = cut(text)
                 for k, (_, end, marker, says) in enumerate(found):
-                    ids.append(row_id)
+                    at.append(i)
                     said = text[says:end] if end == len(text) else text[says : max(says, end - 1)]  # without the line break at its end
                     values.append((k, len(found), marker, *features(said)))
             columns = list(zip(*values, strict=True)) if values else [()] * len(numbers)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), *(pa.array(c, pa.int32()) for c in columns)], schema=schema)
+            kept = batch.select(range(batch.num_columns - 1)).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, pa.int32()) for c in columns)], names=[*kept.schema.names, *numbers])
 
-    return rows.select("row_id", "text").mapInArrow(parse, ", ".join(["row_id string", *(f"{n} int" for n in numbers)]))
+    ddl = ", ".join([f"{n} {t}" for n, t in given.dtypes] + [f"{n} int" for n in numbers])
+    return rows.select(*given.columns, "text").mapInArrow(parse, ddl)
 
 
 class RoleModel:
@@ -94,19 +96,18 @@ class RoleModel:
         inner = own[:, 1:] + PRIOR
         self.first, self.inner = np.log(first / first.sum(axis=1, keepdims=True)), np.log(inner / inner.sum(axis=1, keepdims=True))
 
-    def emissions(self) -> list[Column]:
-        """The log probability of a segment in each state, from small arrays of constants. The first segment of a text begins a turn, the
-        others have a marker, which in one that continues a turn says nothing of the role."""
-        look = lambda table, at: F.element_at(F.array(*(F.lit(float(x)) for x in table)), at)
-        said = [sum((look(table[r], F.col(name) + 1) for name, table in self.show.items()), F.lit(0.0)) for r in range(3)]
-        begins = [said[r] + F.when(F.col("part") == 0, look(self.first[r], F.col("marker") + 1)).otherwise(look(self.inner[r], F.greatest("marker", F.lit(1)))) for r in range(3)]
-        goes_on = [F.when(F.col("part") == 0, F.lit(IMPOSSIBLE)).otherwise(said[r] + F.lit(float(-np.log(3)))) for r in range(3)]
-        return [e.alias(f"e{k}") for k, e in enumerate(begins + goes_on)]
+    def emissions(self, segments: pd.DataFrame) -> np.ndarray:
+        """The log probability of segments in each state. The first segment of a text begins a turn, the others have a marker, which in one
+        that continues a turn says nothing of the role."""
+        said = sum(table[:, segments[name].to_numpy()].T for name, table in self.show.items())
+        first, marker = segments["part"].to_numpy()[:, None] == 0, segments["marker"].to_numpy()
+        begins = said + np.where(first, self.first[:, marker].T, self.inner[:, np.maximum(marker, 1) - 1].T)
+        return np.hstack([begins, np.where(first, IMPOSSIBLE, said - np.log(3))])
 
 
 def learn(segments: DataFrame) -> RoleModel:
-    """Counts over (conv_id, turn, role, part, parts, marker, features): first turns, pairs of turns that follow each other, and what texts of
-    one segment show by role. All results are small tables of constants."""
+    """Counts over (conv_id, loose, turn, role, part, parts, marker, features): first turns, pairs of turns that follow each other, and what
+    texts of one segment show by role. All results are small tables of constants."""
     known = segments.where(F.col("role").isin(ROLES) & (F.col("part") == 0))
     names = ["marker", *FEATURES]
     pairs = known.where("parts = 1").select("role", F.explode(F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names))).alias("x"))
@@ -167,38 +168,37 @@ def in_blocks(rows: DataFrame) -> DataFrame:
     """Adds ``BLOCK``, which cut each conversation in order of (turn, row_id, part) into blocks of about ``BLOCK_ROWS`` segments.
 
     Turn numbers that go together by number do so if they are few segments; else turns are dealt by how many segments come before them among
-    those numbers, and a turn of more than a block is cut by the hash that ends row_id, whose order is row_id's. Texts of more than two
-    blocks come after all others of their turn and are cut by parts."""
+    those numbers, and a turn of more than a block is cut by the hash that begins row_id. Texts of more than two blocks come after all others of their turn and are cut by parts."""
     block = F.floor(F.col("turn") / BLOCK_TURNS).cast("long")
     counts = rows.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("__n")).withColumn("block", block)
     whole = Window.partitionBy("conv_id", "block")
     before = F.coalesce(F.sum("__n").over(whole.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     large = counts.select("conv_id", "turn", "__n", F.sum("__n").over(whole).alias("__all"), before.alias("__before")).where(F.col("__all") > 2 * BLOCK_ROWS).drop("__all")
-    hashed = F.conv(F.substring(F.substring_index("row_id", ":", -1), 1, 8), 16, 10).cast("long")
+    hashed = F.conv(F.hex(F.substring("row_id", 1, 4)), 16, 10).cast("long")
     giant = F.col("parts") > 2 * BLOCK_ROWS
     chunk = F.when(giant, F.lit(1 << 40)).when(F.col("__n") > BLOCK_ROWS, 1 + F.shiftright(hashed * F.ceil(F.col("__n") / BLOCK_ROWS), 32))
     placed = rows.join(large, ["conv_id", "turn"], "left")
     sub = F.coalesce(F.floor(F.col("__before") / BLOCK_ROWS), F.lit(0)).cast("long")
     piece = F.when(giant, F.floor(F.col("part") / BLOCK_ROWS).cast("long")).otherwise(0)
-    keys = {"block": block, "sub": sub, "chunk": F.coalesce(chunk, F.lit(0)).cast("long"), "giant": F.when(giant, F.col("row_id")).otherwise(""), "piece": piece.cast("long")}
+    keys = {"block": block, "sub": sub, "chunk": F.coalesce(chunk, F.lit(0)).cast("long"), "giant": F.when(giant, F.hex("row_id")).otherwise(""), "piece": piece.cast("long")}
     return placed.withColumns(keys).drop("__n", "__before")
 
 
 def recover_roles(segments: DataFrame, model: RoleModel) -> DataFrame:
-    """(row_id, part, state) of each segment (conv_id, turn, row_id, part, parts, marker, features) on the best path through its conversation.
+    """(row_id, n, part, state) of each segment (conv_id, turn, row_id, n, part, parts, marker, features) on the best path through its
+    conversation; n is handed on.
 
     Conversations are decoded in blocks (``in_blocks``), in three steps: each block's max-plus matrix, one small row for a block; each
     conversation's best way through its blocks' matrices; and each block's path between the states found for its ends. The result is the same
     as that of one pass; a task holds the segments of a batch or a block, whatever the turn numbers are, and one small row for each block of
     the conversation at hand.
     """
-    names = [f"e{k}" for k in range(6)]
-    rows = in_blocks(materialize(segments.select("row_id", "conv_id", "turn", "part", "parts", *model.emissions()), "segments"))
+    rows = in_blocks(segments)
     step, start = model.step, model.start
     order = ["turn", "row_id", "part"]
 
     def matrices_of(pdf: pd.DataFrame, starts: list[int], stops: list[int]) -> pd.DataFrame:
-        e = pdf[names].to_numpy()
+        e = model.emissions(pdf)
         firsts = pdf.iloc[starts]
         return pd.DataFrame({"conv_id": firsts["conv_id"].to_numpy(), **{k: firsts[k].to_numpy() for k in BLOCK}, "m": [block_matrix(e[a:b], step).ravel().tolist() for a, b in zip(starts, stops, strict=True)]})
 
@@ -208,13 +208,13 @@ def recover_roles(segments: DataFrame, model: RoleModel) -> DataFrame:
         return pd.DataFrame({"conv_id": pdf["conv_id"].to_numpy(), **{k: pdf[k].to_numpy() for k in BLOCK}, "first": [a for a, _ in found], "last": [b for _, b in found]})
 
     def paths_of(pdf: pd.DataFrame, starts: list[int], stops: list[int]) -> pd.DataFrame:
-        e, first, last = pdf[names].to_numpy(), pdf["first"].tolist(), pdf["last"].tolist()
-        return pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "part": pdf["part"].to_numpy(), "state": [x for a, b in zip(starts, stops, strict=True) for x in best_path(e[a:b], step, first[a], last[a])]})
+        e, first, last = model.emissions(pdf), pdf["first"].tolist(), pdf["last"].tolist()
+        return pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "n": pdf["n"].to_numpy(), "part": pdf["part"].to_numpy(), "state": [x for a, b in zip(starts, stops, strict=True) for x in best_path(e[a:b], step, first[a], last[a])]})
 
     keys, ddl = ["conv_id", *BLOCK], "conv_id string, block long, sub long, chunk long, giant string, piece long"
     matrices = in_groups(rows, keys, order, matrices_of, f"{ddl}, m array<double>")
     bounds = materialize(in_groups(matrices, ["conv_id"], BLOCK, ends_of, f"{ddl}, first int, last int"), "block-ends")
-    return in_groups(rows.join(bounds, keys), keys, order, paths_of, "row_id string, part int, state int")
+    return in_groups(rows.join(bounds, keys), keys, order, paths_of, "row_id binary, n long, part int, state int")
 
 
 def in_groups(df: DataFrame, keys: list[str], order: list[str], work: Callable[[pd.DataFrame, list[int], list[int]], pd.DataFrame], schema: str) -> DataFrame:
@@ -284,15 +284,16 @@ def format_chats(conversations: DataFrame, parts: int = 5, part: int = 0) -> Dat
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     numbered = dict(conversations.dtypes)["conv_id"] in ("tinyint", "smallint", "int", "bigint")
     rows = conversations.select(F.col("conv_id").cast("long" if numbered else "string").alias("id"), F.col("conv_id").cast("string").alias("conv_id"), F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), F.col("turn").cast("long").alias("given_turn"), F.col("role").cast("string").alias("role"), text.alias("text"))
-    row_id = F.concat_ws(":", F.coalesce("conv_id", F.lit("")), "turn", F.col("conv_id").isNull().cast("string"), F.sha2(F.col("text"), 256))
+    place = F.md5(F.concat_ws(":", F.coalesce("conv_id", F.lit("")), "turn", F.col("conv_id").isNull().cast("string")).cast("binary"))
+    row_id = F.unhex(F.concat(F.substring(F.sha2(F.col("text"), 256), 1, 32), F.substring(place, 1, 16)))
     held = F.crc32(F.coalesce("conv_id", F.lit("null")).cast("binary")) % parts == part
     rows = rows.select("*", row_id.alias("row_id"), held.alias("held_out"))
-    keyed = rows.select("row_id", F.coalesce("conv_id", "row_id").alias("conv_id"), F.col("conv_id").isNull().alias("loose"), "turn", "role", "held_out")
-    parsed = materialize(segments_of(rows).dropDuplicates(["row_id", "part"]), "parsed")
-    copies = materialize(keyed.groupBy("row_id", "conv_id", "loose", "turn", "role", "held_out").agg(F.count(F.lit(1)).alias("n")), "copies")
-    known = copies.where(~F.col("held_out")).join(parsed.where("part = 0"), "row_id")
-    model = learn(known)
-    ids = copies.groupBy("row_id", "conv_id", "turn").agg(F.sum("n").alias("n"))
-    found = recover_roles(parsed.join(ids.drop("n"), "row_id"), model)
-    states = found.groupBy("row_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("part", "state"))), lambda x: x["state"]).alias("states"))
-    return rendered(join_counted(rows, materialize(states.join(ids.select("row_id", "n"), "row_id"), "states"), "row_id", "n"))
+    keyed = rows.select("row_id", F.coalesce("conv_id", F.hex("row_id")).alias("conv_id"), F.col("conv_id").isNull().alias("loose"), "turn", "role", "held_out", "text")
+    parsed = materialize(segments_of(keyed), "parsed")
+    model = learn(parsed.where(~F.col("held_out")))
+    shown = ["conv_id", "turn", "parts", "marker", *FEATURES]
+    single = materialize(parsed.groupBy("row_id", "part").agg(F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in shown)), "segments")
+    found = recover_roles(single, model)
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("part", "state"))), lambda x: x["state"])
+    states = materialize(found.groupBy("row_id").agg(F.max("n").alias("n"), in_order.alias("states")), "states")
+    return rendered(join_counted(rows, states, "row_id", "n"))

@@ -496,11 +496,11 @@ def test_chat_roles_markers_and_blocks(spark):
 def test_blocks_are_bounded_by_segments_and_keep_the_order(spark, monkeypatch):
     monkeypatch.setattr(chat, "BLOCK_ROWS", 20)
     turns = [0] * 500 + [1, 2, 3] * 15 + list(range(4, 60)) + [60] * 90 + [2000] * 3
-    rows = [("7", t, f"7:{t}:{hashlib.sha256(str(k).encode()).hexdigest()}", 0, 1) for k, t in enumerate(turns)] + [("8", t, f"8:{t}:ab", 0, 1) for t in range(30)]
-    giants = [("7", t, f"7:{t}:{hashlib.sha256(x.encode()).hexdigest()}", k, 130) for t, x in ((2, "x"), (2, "y"), (70, "z"), (-1, "v")) for k in range(130)]
-    got = chat.in_blocks(spark.createDataFrame(rows + giants, "conv_id string, turn long, row_id string, part int, parts int")).collect()
+    rows = [("7", t, hashlib.sha256(str(k).encode()).digest(), 0, 1) for k, t in enumerate(turns)] + [("8", t, b"abcd", 0, 1) for t in range(30)]
+    giants = [("7", t, hashlib.sha256(x.encode()).digest(), k, 130) for t, x in ((2, "x"), (2, "y"), (70, "z"), (-1, "v")) for k in range(130)]
+    got = chat.in_blocks(spark.createDataFrame(rows + giants, "conv_id string, turn long, row_id binary, part int, parts int")).collect()
     key = lambda r: (r["conv_id"], *(r[k] for k in chat.BLOCK))
-    assert sorted((r["conv_id"], r["turn"], r["row_id"], r["part"], r["parts"]) for r in got) == sorted(rows + giants)
+    assert sorted((r["conv_id"], r["turn"], bytes(r["row_id"]), r["part"], r["parts"]) for r in got) == sorted(rows + giants)
     assert max(Counter(map(key, got)).values()) <= 2 * chat.BLOCK_ROWS
     keys = [key(r) for r in sorted(got, key=lambda r: (r["conv_id"], r["turn"], r["parts"] > 40, r["row_id"], r["part"]))]
     assert keys == sorted(keys)
