@@ -81,7 +81,10 @@ def D5_neighborhood_expand(t: Tables) -> DataFrame:
     return hood(t).select("focal_fips", "tile_field_ID", "year", "unscaled_yield", "FIPS")
 
 
-@query("SELECT focal_fips, count(*) AS rows FROM (SELECT focal_fips, m.tile_field_ID FROM {model} m JOIN (SELECT focal_fips, neighbor_fips FROM {edges} WHERE focal_fips IN (SELECT focal_fips FROM {focal}) UNION SELECT focal_fips, focal_fips FROM {focal}) e ON m.FIPS = e.neighbor_fips) GROUP BY 1")
+@query(
+    "SELECT focal_fips, count(*) AS rows FROM (SELECT focal_fips, m.tile_field_ID FROM {model} m JOIN (SELECT focal_fips, neighbor_fips FROM {edges} "
+    "WHERE focal_fips IN (SELECT focal_fips FROM {focal}) UNION SELECT focal_fips, focal_fips FROM {focal}) e ON m.FIPS = e.neighbor_fips) GROUP BY 1"
+)
 def D5_with_self(t: Tables) -> DataFrame:
     return N.neighborhood_expand(model(t), edges(t), include_self=True).groupBy("focal_fips").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -103,7 +106,10 @@ def E22_neighborhood_manifest(t: Tables) -> DataFrame:
     return manifest(t)
 
 
-@query(f"SELECT focal_fips, neighbor_count, corn_rows AS source_corn_rows, tillage_rows AS source_tillage_rows, joined_row_count, row_count AS output_row_count, year_min, year_max FROM ({MANIFEST})")
+@query(
+    "SELECT focal_fips, neighbor_count, corn_rows AS source_corn_rows, tillage_rows AS source_tillage_rows, joined_row_count, "
+    f"row_count AS output_row_count, year_min, year_max FROM ({MANIFEST})"
+)
 def E23_neighborhood_diagnostics(t: Tables) -> DataFrame:
     return N.neighborhood_diagnostics(manifest(t), ["corn_rows", "tillage_rows"])
 
@@ -118,7 +124,11 @@ def C1_year_range(t: Tables) -> DataFrame:
     return C.year_range(t.corn.select("tile_field_ID", "year", "unscaled_yield"), 1996, 1999)
 
 
-@query("SELECT tile_field_ID, year, annual_tillage, tillage_na_prop FROM (SELECT t.tile_field_ID, t.year, t.annual_tillage, w.tillage_na_prop FROM {tillage} t JOIN {tillage_wide} w ON t.tile_field_ID = w.tile_field_ID AND t.year = w.year) WHERE annual_tillage IS NOT NULL AND NOT tillage_na_prop > 0.3")
+@query(
+    "SELECT tile_field_ID, year, annual_tillage, tillage_na_prop FROM (SELECT t.tile_field_ID, t.year, t.annual_tillage, w.tillage_na_prop "
+    "FROM {tillage} t JOIN {tillage_wide} w ON t.tile_field_ID = w.tile_field_ID AND t.year = w.year) WHERE annual_tillage IS NOT NULL "
+    "AND NOT tillage_na_prop > 0.3"
+)
 def C2_na_coverage(t: Tables) -> DataFrame:
     rows = t.tillage.select("tile_field_ID", "year", "annual_tillage").join(t.tillage_wide.select("tile_field_ID", "year", "tillage_na_prop"), ["tile_field_ID", "year"])
     return C.na_coverage(rows, ["tile_field_ID", "year"], "annual_tillage", "tillage_na_prop", 0.3)
@@ -129,7 +139,11 @@ def C3_required_values(t: Tables) -> DataFrame:
     return C.required_values(joined(t), REQUIRED)
 
 
-@query("SELECT count(*) AS rows, count(*) FILTER (WHERE annual_tillage IS NULL OR vpdmax_7 IS NULL OR vpdmax_8 IS NULL OR NCCPI IS NULL OR unscaled_yield IS NULL) AS dropped FROM {joined}")
+@query(
+    "SELECT count(*) AS rows, "
+    "count(*) FILTER (WHERE annual_tillage IS NULL OR vpdmax_7 IS NULL OR vpdmax_8 IS NULL OR NCCPI IS NULL OR unscaled_yield IS NULL) AS dropped "
+    "FROM {joined}"
+)
 def C3_dropped_rows(t: Tables) -> DataFrame:
     return C.dropped_rows(joined(t), REQUIRED)
 
@@ -139,13 +153,19 @@ def C4_drop_incomplete_zonal(t: Tables) -> DataFrame:
     return C.required_values(t.tillage_wide.select("tile_field_ID", "year", "tillage_0_count"), ["tile_field_ID", "year"])
 
 
-@query("SELECT tile_field_id, mukey, overlap_area, nccpi3all, nccpi3corn FROM (SELECT m.*, v.nccpi3all, v.nccpi3corn FROM {field_mukey} m LEFT JOIN {valu1} v ON m.mukey = v.mukey) WHERE overlap_area > 0 AND (nccpi3all IS NOT NULL OR nccpi3corn IS NOT NULL)")
+@query(
+    "SELECT tile_field_id, mukey, overlap_area, nccpi3all, nccpi3corn FROM (SELECT m.*, v.nccpi3all, v.nccpi3corn FROM {field_mukey} m LEFT "
+    "JOIN {valu1} v ON m.mukey = v.mukey) WHERE overlap_area > 0 AND (nccpi3all IS NOT NULL OR nccpi3corn IS NOT NULL)"
+)
 def C9_positive_weight(t: Tables) -> DataFrame:
     rows = t.field_mukey.join(t.valu1, "mukey", "left").select("tile_field_id", "mukey", "overlap_area", "nccpi3all", "nccpi3corn")
     return S.positive_weight(rows, "overlap_area", ["nccpi3all", "nccpi3corn"])
 
 
-@query("SELECT tile_field_ID, year, annual_tillage, NCCPI, vpdmax_7, vpdmax_8 FROM {joined} WHERE annual_tillage IS NOT NULL AND NCCPI IS NOT NULL AND vpdmax_7 IS NOT NULL AND vpdmax_8 IS NOT NULL")
+@query(
+    "SELECT tile_field_ID, year, annual_tillage, NCCPI, vpdmax_7, vpdmax_8 FROM {joined} WHERE annual_tillage IS NOT NULL AND NCCPI IS NOT NULL "
+    "AND vpdmax_7 IS NOT NULL AND vpdmax_8 IS NOT NULL"
+)
 def C11_drop_na_model(t: Tables) -> DataFrame:
     return N.complete_cases(joined(t), COVARIATES).select("tile_field_ID", "year", *COVARIATES)
 
@@ -158,14 +178,20 @@ def E4_weighted_nccpi(t: Tables) -> DataFrame:
     return S.weighted_means(S.mukey_lookup(t.field_mukey, t.valu1), "tile_field_id", "overlap_area", S.VALUES)
 
 
-@query("SELECT tile_field_id, string_agg(CAST(mukey AS VARCHAR), ',' ORDER BY mukey) AS mukeys, sum(overlap_area) AS area, count(*) AS mukey_count FROM {field_mukey} GROUP BY 1")
+@query(
+    "SELECT tile_field_id, string_agg(CAST(mukey AS VARCHAR), ',' ORDER BY mukey) AS mukeys, sum(overlap_area) AS area, count(*) AS mukey_count "
+    "FROM {field_mukey} GROUP BY 1"
+)
 def B23_nest_by_field(t: Tables) -> DataFrame:
     rows = S.nest_by_field(t.field_mukey, "tile_field_id", "mukey", "cells", "overlap_area")
     area = F.aggregate(F.map_values("area_by_mukey"), F.lit(0.0), lambda a, x: a + x)
     return rows.select("tile_field_id", F.array_join(F.col("mukeys").cast("array<string>"), ",").alias("mukeys"), area.alias("area"), "mukey_count")
 
 
-@query("SELECT tile_field_id, mukey, overlap_area FROM (SELECT *, row_number() OVER (PARTITION BY tile_field_id ORDER BY overlap_area DESC, mukey) AS r FROM {field_mukey}) WHERE r = 1")
+@query(
+    "SELECT tile_field_id, mukey, overlap_area FROM (SELECT *, row_number() OVER (PARTITION BY tile_field_id ORDER BY overlap_area DESC, mukey) AS r "
+    "FROM {field_mukey}) WHERE r = 1"
+)
 def F10_dominant_mukey(t: Tables) -> DataFrame:
     return S.dominant_mukey(t.field_mukey, "tile_field_id")
 
@@ -195,12 +221,18 @@ def S4_distinct_edges(t: Tables) -> DataFrame:
     return N.distinct_edges(t.adjacency.unionByName(t.adjacency))
 
 
-@query("SELECT field_id, day, vpdmax_mean, line FROM (SELECT *, row_number() OVER (PARTITION BY tile_coord, field_id, day ORDER BY source DESC, line DESC) AS r FROM {monthly}) WHERE r = 1")
+@query(
+    "SELECT field_id, day, vpdmax_mean, line FROM (SELECT *, row_number() OVER (PARTITION BY tile_coord, field_id, day ORDER BY source DESC, "
+    "line DESC) AS r FROM {monthly}) WHERE r = 1"
+)
 def F7_last_write_wins(t: Tables) -> DataFrame:
     return C.last_write_wins(t.monthly.select("tile_coord", "field_id", "day", "vpdmax_mean", "source", "line"), ["tile_coord", "field_id", "day"], ["source", "line"]).select("field_id", "day", "vpdmax_mean", "line")
 
 
-@query("SELECT i.tile_field_ID, c.year, c.unscaled_yield, s.NCCPI, v.vpdmax_7 FROM {keys} i LEFT JOIN {corn} c ON i.tile_field_ID = c.tile_field_ID LEFT JOIN {soil} s ON i.tile_field_ID = s.tile_field_ID LEFT JOIN {vpd} v ON i.tile_field_ID = v.tile_field_ID AND c.year = v.year")
+@query(
+    "SELECT i.tile_field_ID, c.year, c.unscaled_yield, s.NCCPI, v.vpdmax_7 FROM {keys} i LEFT JOIN {corn} c ON i.tile_field_ID = c.tile_field_ID LEFT "
+    "JOIN {soil} s ON i.tile_field_ID = s.tile_field_ID LEFT JOIN {vpd} v ON i.tile_field_ID = v.tile_field_ID AND c.year = v.year"
+)
 def E39_field_covariates(t: Tables) -> DataFrame:
     rows = C.field_covariates(t.keys.select("tile_field_ID"), t.corn.select("tile_field_ID", "year", "unscaled_yield"), t.soil, t.vpd)
     return rows.select("tile_field_ID", "year", "unscaled_yield", "NCCPI", "vpdmax_7")
@@ -212,7 +244,10 @@ def B11_dominant_tillage(t: Tables) -> DataFrame:
     return t.tillage_wide.select("tile_field_ID", "year", K.dominant_tillage(c["0_prop"], c["1_prop"], c["0_count"], c["1_count"]).alias("annual_tillage"))
 
 
-@query("SELECT tile_field_ID, year, round(CASE WHEN tillage_0_prop + tillage_1_prop > 0 THEN tillage_1_prop / (tillage_0_prop + tillage_1_prop) END, 9) AS tillage_prop_01 FROM {tillage}")
+@query(
+    "SELECT tile_field_ID, year, round(CASE WHEN tillage_0_prop + tillage_1_prop > 0 THEN tillage_1_prop / (tillage_0_prop + tillage_1_prop) END, "
+    "9) AS tillage_prop_01 FROM {tillage}"
+)
 def B12_tillage_prop_01(t: Tables) -> DataFrame:
     return rounded(t.tillage.select("tile_field_ID", "year", K.tillage_prop_01(F.col("tillage_0_prop"), F.col("tillage_1_prop")).alias("tillage_prop_01")), 9)
 
@@ -225,18 +260,29 @@ def E28_scaling_factors(t: Tables) -> DataFrame:
     return rounded(N.scaling_factors(hood(t), COVARIATES))
 
 
-@query("SELECT focal_fips, 'NCCPI' AS term, round(3.0 * stddev_samp(NCCPI), 6) AS prior_mean, round(abs(3.0 * stddev_samp(NCCPI)), 6) AS prior_sd FROM {hood} GROUP BY 1 UNION ALL SELECT focal_fips, 'vpdmax_7', round(-0.5 * stddev_samp(vpdmax_7), 6), round(abs(-0.5 * stddev_samp(vpdmax_7)), 6) FROM {hood} GROUP BY 1 UNION ALL SELECT DISTINCT focal_fips, 'Intercept', CAST(2250 AS DOUBLE), CAST(500 AS DOUBLE) FROM {hood}")
+@query(
+    "SELECT focal_fips, 'NCCPI' AS term, round(3.0 * stddev_samp(NCCPI), 6) AS prior_mean, round(abs(3.0 * stddev_samp(NCCPI)), 6) AS prior_sd FROM {hood} "
+    "GROUP BY 1 UNION ALL SELECT focal_fips, 'vpdmax_7', round(-0.5 * stddev_samp(vpdmax_7), 6), round(abs(-0.5 * stddev_samp(vpdmax_7)), 6) FROM {hood} "
+    "GROUP BY 1 UNION ALL SELECT DISTINCT focal_fips, 'Intercept', CAST(2250 AS DOUBLE), CAST(500 AS DOUBLE) FROM {hood}"
+)
 def E29_prior_table(t: Tables) -> DataFrame:
     effects = t.spark.createDataFrame([("NCCPI", 3.0), ("vpdmax_7", -0.5)], "covariate string, effect double")
     return rounded(N.prior_table(N.scaling_factors(hood(t), COVARIATES), effects))
 
 
-@query("SELECT FIPS, CAST(sum(n) AS BIGINT) AS n, round(max(CASE WHEN year <> 1998 THEN vpd END), 6) AS max_vpd FROM (SELECT FIPS, year, count(*) AS n, avg(vpdmax_7) AS vpd FROM {joined} WHERE state IN ('S0', 'S1', 'S2') GROUP BY 1, 2) GROUP BY 1 HAVING sum(n) >= 20 AND max(CASE WHEN year <> 1998 THEN vpd END) > 21")
+@query(
+    "SELECT FIPS, CAST(sum(n) AS BIGINT) AS n, round(max(CASE WHEN year <> 1998 THEN vpd END), 6) AS max_vpd FROM (SELECT FIPS, year, count(*) AS n, "
+    "avg(vpdmax_7) AS vpd FROM {joined} WHERE state IN ('S0', 'S1', 'S2') GROUP BY 1, 2) GROUP BY 1 HAVING sum(n) >= 20 AND max(CASE "
+    "WHEN year <> 1998 THEN vpd END) > 21"
+)
 def E32_target_counties(t: Tables) -> DataFrame:
     return rounded(N.target_counties(joined(t), 20, ["S0", "S1", "S2"], 21, 1998))
 
 
-@query("SELECT focal_fips, tile_field_ID, year, round(avg(annual_tillage) OVER (PARTITION BY focal_fips, tile_field_ID), 6) AS annual_tillage_mean, round(annual_tillage - avg(annual_tillage) OVER (PARTITION BY focal_fips, tile_field_ID), 6) AS annual_tillage_within FROM {hood}")
+@query(
+    "SELECT focal_fips, tile_field_ID, year, round(avg(annual_tillage) OVER (PARTITION BY focal_fips, tile_field_ID), 6) AS annual_tillage_mean, "
+    "round(annual_tillage - avg(annual_tillage) OVER (PARTITION BY focal_fips, tile_field_ID), 6) AS annual_tillage_within FROM {hood}"
+)
 def F6_mean_within(t: Tables) -> DataFrame:
     rows = N.mean_within(hood(t).select("focal_fips", "tile_field_ID", "year", "annual_tillage"), "annual_tillage", ["focal_fips", "tile_field_ID"])
     return rounded(rows.drop("annual_tillage"))
@@ -246,7 +292,11 @@ def z(c: str) -> str:
     return f"(h.{c} - m_{c}) / nullif(s_{c}, 0)"
 
 
-@query(f"SELECT h.focal_fips, h.tile_field_ID, h.year, h.year - 2010 AS year_c, round({z('NCCPI')}, 6) AS z_NCCPI, round({z('annual_tillage')} * ({z('vpdmax_7')}), 6) AS z_annual_tillage_x_vpdmax_7 FROM {{hood}} h JOIN (SELECT focal_fips, {STATS} FROM {{hood}} GROUP BY 1) s ON h.focal_fips = s.focal_fips")
+@query(
+    f"SELECT h.focal_fips, h.tile_field_ID, h.year, h.year - 2010 AS year_c, round({z('NCCPI')}, 6) AS z_NCCPI, "
+    f"round({z('annual_tillage')} * ({z('vpdmax_7')}), 6) AS z_annual_tillage_x_vpdmax_7 FROM {{hood}} h JOIN (SELECT focal_fips, {STATS} FROM {{hood}} "
+    "GROUP BY 1) s ON h.focal_fips = s.focal_fips"
+)
 def F8_design_matrix(t: Tables) -> DataFrame:
     return rounded(N.design_matrix(hood(t), COVARIATES).select("focal_fips", "tile_field_ID", "year", "year_c", "z_NCCPI", "z_annual_tillage_x_vpdmax_7"))
 
@@ -266,11 +316,18 @@ def ols_sql(rows: str, xs: list[str], digits: int) -> str:
         beta[xs[k]] = "(" + " - ".join([f"max(b{k}_y)", *(f"{beta[xs[j]]} * max(b{k}_{xs[j]})" for j in range(k + 1, p))]) + ")"
     start = " - ".join(["max(m_y)", *(f"{beta[x]} * max(m_{x})" for x in xs)])
     terms = [("1", start), *beta.items()]
-    return f"WITH {', '.join(steps)} SELECT focal_fips, n, unnest([{', '.join(repr(t) for t, _ in terms)}]) AS term, unnest([{', '.join(f'round(e{i}, {digits})' for i in range(len(terms)))}]) AS estimate FROM (SELECT focal_fips, count(*) AS n, {', '.join(f'{e} AS e{i}' for i, (_, e) in enumerate(terms))} FROM s{p} GROUP BY 1)"
+    return (
+        f"WITH {', '.join(steps)} SELECT focal_fips, n, unnest([{', '.join(repr(t) for t, _ in terms)}]) AS term, "
+        f"unnest([{', '.join(f'round(e{i}, {digits})' for i in range(len(terms)))}]) AS estimate FROM (SELECT focal_fips, "
+        f"count(*) AS n, {', '.join(f'{e} AS e{i}' for i, (_, e) in enumerate(terms))} FROM s{p} GROUP BY 1)"
+    )
 
 
 SCALED = ["z_annual_tillage", "z_NCCPI", "z_vpdmax_7", "year_c"]
-DESIGN = f"SELECT h.focal_fips, unscaled_yield AS y, {', '.join(f'{z(c)} AS z_{c}' for c in ('annual_tillage', 'NCCPI', 'vpdmax_7'))}, CAST(h.year - 2010 AS DOUBLE) AS year_c FROM {{hood}} h JOIN (SELECT focal_fips, {STATS} FROM {{hood}} GROUP BY 1) s ON h.focal_fips = s.focal_fips"
+DESIGN = (
+    f"SELECT h.focal_fips, unscaled_yield AS y, {', '.join(f'{z(c)} AS z_{c}' for c in ('annual_tillage', 'NCCPI', 'vpdmax_7'))}, "
+    f"CAST(h.year - 2010 AS DOUBLE) AS year_c FROM {{hood}} h JOIN (SELECT focal_fips, {STATS} FROM {{hood}} GROUP BY 1) s ON h.focal_fips = s.focal_fips"
+)
 
 
 @query("SELECT * FROM (" + ols_sql(f"SELECT * FROM ({DESIGN}) WHERE z_annual_tillage IS NOT NULL AND z_NCCPI IS NOT NULL AND z_vpdmax_7 IS NOT NULL", SCALED, 3) + ")")
@@ -283,12 +340,19 @@ def J2_solve_normal(t: Tables) -> DataFrame:
     return rounded(N.neighborhood_ols(hood(t), "unscaled_yield", ["annual_tillage", "NCCPI"]), 0)
 
 
-@query("SELECT fit, variable, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd, round(quantile_cont(value, 0.05), 6) AS q5, round(quantile_cont(value, 0.95), 6) AS q95 FROM {draws} GROUP BY 1, 2")
+@query(
+    "SELECT fit, variable, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd, round(quantile_cont(value, 0.05), 6) AS q5, "
+    "round(quantile_cont(value, 0.95), 6) AS q95 FROM {draws} GROUP BY 1, 2"
+)
 def E30_draws_summary(t: Tables) -> DataFrame:
     return rounded(N.draws_summary(t.draws))
 
 
-@query("SELECT variable AS fips, max(iteration) AS completed_iter, max(iteration) + chain_max AS target_iter, CASE WHEN max(iteration) = 0 THEN 'pending' WHEN chain_max > 0 THEN 'needs_more' ELSE 'complete' END AS status FROM (SELECT concat(fit, '-', variable, '-', CAST(chain AS STRING)) AS variable, iteration, max(chain) OVER (PARTITION BY fit, variable, chain) AS chain_max FROM {draws}) GROUP BY variable, chain_max")
+@query(
+    "SELECT variable AS fips, max(iteration) AS completed_iter, max(iteration) + chain_max AS target_iter, CASE WHEN max(iteration) = 0 THEN 'pending' "
+    "WHEN chain_max > 0 THEN 'needs_more' ELSE 'complete' END AS status FROM (SELECT concat(fit, '-', variable, '-', CAST(chain AS STRING)) AS variable, "
+    "iteration, max(chain) OVER (PARTITION BY fit, variable, chain) AS chain_max FROM {draws}) GROUP BY variable, chain_max"
+)
 def E31_fit_manifest(t: Tables) -> DataFrame:
     name = F.concat_ws("-", "fit", "variable", F.col("chain").cast("string"))
     last = t.draws.groupBy(name.alias("fips"), "chain").agg(F.max("iteration").alias("completed_iter"))
@@ -297,7 +361,10 @@ def E31_fit_manifest(t: Tables) -> DataFrame:
     return N.fit_manifest(N.read_states(t.spark, path))
 
 
-@query("SELECT count(*) AS rows, count(*) FILTER (WHERE annual_tillage IS NULL) AS tie_or_missing, count(*) FILTER (WHERE tillage_0_prop > 0.5) AS mostly_0 FROM {tillage}")
+@query(
+    "SELECT count(*) AS rows, count(*) FILTER (WHERE annual_tillage IS NULL) AS tie_or_missing, count(*) FILTER (WHERE tillage_0_prop > 0.5) AS mostly_0 "
+    "FROM {tillage}"
+)
 def E24_job_summary(t: Tables) -> DataFrame:
     return Q.job_summary(t.tillage, {"tie_or_missing": F.col("annual_tillage").isNull(), "mostly_0": F.col("tillage_0_prop") > 0.5})
 
@@ -315,7 +382,11 @@ def F9_duplicate_rows(t: Tables) -> DataFrame:
     return Q.duplicate_rows(hood(t), ["tile_field_ID", "year"])
 
 
-@query("SELECT 'annual_tillage' AS column_name, count(*) FILTER (WHERE annual_tillage IS NULL) AS missing FROM {joined} UNION ALL SELECT 'vpdmax_7', count(*) FILTER (WHERE vpdmax_7 IS NULL) FROM {joined} UNION ALL SELECT 'vpdmax_8', count(*) FILTER (WHERE vpdmax_8 IS NULL) FROM {joined} UNION ALL SELECT 'county', count(*) FILTER (WHERE county IS NULL) FROM {joined}")
+@query(
+    "SELECT 'annual_tillage' AS column_name, count(*) FILTER (WHERE annual_tillage IS NULL) AS missing FROM {joined} UNION ALL SELECT 'vpdmax_7', "
+    "count(*) FILTER (WHERE vpdmax_7 IS NULL) FROM {joined} UNION ALL SELECT 'vpdmax_8', count(*) FILTER (WHERE vpdmax_8 IS NULL) FROM {joined} UNION ALL "
+    "SELECT 'county', count(*) FILTER (WHERE county IS NULL) FROM {joined}"
+)
 def I9_optional_missing(t: Tables) -> DataFrame:
     return Q.optional_missing(joined(t), ["annual_tillage", "vpdmax_7", "vpdmax_8", "county"])
 

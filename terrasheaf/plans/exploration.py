@@ -29,7 +29,11 @@ def long_sql(columns: list[str], names: list[str], table: str = "{shares}") -> s
     return " UNION ALL ".join(f"SELECT {keep}'{v}' AS variable, CAST({v} AS DOUBLE) AS value FROM {table}" for v in names)
 
 
-@query("SELECT tile_field_ID, year, round(tillage_na_prop, 9) AS tillage_na_prop, round(classified_share, 9) AS classified_share, round(tillage_1_prop / nullif(classified_share, 0), 9) AS high_share_among_classified, round(tillage_0_prop / nullif(classified_share, 0), 9) AS low_share_among_classified FROM {shares}")
+@query(
+    "SELECT tile_field_ID, year, round(tillage_na_prop, 9) AS tillage_na_prop, round(classified_share, 9) AS classified_share, "
+    "round(tillage_1_prop / nullif(classified_share, 0), 9) AS high_share_among_classified, round(tillage_0_prop / nullif(classified_share, 0), "
+    "9) AS low_share_among_classified FROM {shares}"
+)
 def B13_tillage_shares(t: Tables) -> DataFrame:
     return rounded(shares(t).select("tile_field_ID", "year", "tillage_na_prop", "classified_share", "high_share_among_classified", "low_share_among_classified"), 9)
 
@@ -37,7 +41,12 @@ def B13_tillage_shares(t: Tables) -> DataFrame:
 QUANTILES = ", ".join(f"round(quantile_cont(value, {p}), 6) AS {n}" for n, p in S.PROFILE.items())
 
 
-@query(f"SELECT variable, count(*) AS rows, count(value) AS non_null, count(*) - count(value) AS missing, round((count(*) - count(value)) / count(*), 6) AS missing_rate, count(DISTINCT value) AS distinct_values, round(avg(value), 6) AS mean, round(coalesce(stddev_samp(value), CASE WHEN count(value) = 1 THEN 0 END), 6) AS std, min(value) AS min, max(value) AS max, {QUANTILES} FROM (SELECT variable, round(value, 6) AS value FROM ({long_sql([], VARIABLES)})) GROUP BY 1")
+@query(
+    "SELECT variable, count(*) AS rows, count(value) AS non_null, count(*) - count(value) AS missing, round((count(*) - count(value)) / count(*), "
+    "6) AS missing_rate, count(DISTINCT value) AS distinct_values, round(avg(value), 6) AS mean, round(coalesce(stddev_samp(value), CASE WHEN "
+    f"count(value) = 1 THEN 0 END), 6) AS std, min(value) AS min, max(value) AS max, {QUANTILES} FROM (SELECT variable, round(value, 6) AS value "
+    f"FROM ({long_sql([], VARIABLES)})) GROUP BY 1"
+)
 def E14_numeric_profile(t: Tables) -> DataFrame:
     rows = shares(t).select(*(F.round(F.col(v).cast("double"), 6).alias(v) for v in VARIABLES))
     return rounded(S.numeric_profile(rows, VARIABLES))
@@ -47,13 +56,22 @@ def corr_sql(rows: str, keys: str, extra: str = "") -> str:
     """Pearson, Spearman and the line of (keys, x, y); guarded as the operator is."""
     ranked = f"SELECT *, rank() OVER (PARTITION BY {keys} ORDER BY x) + (count(*) OVER (PARTITION BY {keys}, x) - 1) / 2.0 AS rx, rank() OVER (PARTITION BY {keys} ORDER BY y) + (count(*) OVER (PARTITION BY {keys}, y) - 1) / 2.0 AS ry FROM ({rows}) WHERE x IS NOT NULL AND y IS NOT NULL"
     ok = "count(*) >= 3 AND min(x) < max(x) AND min(y) < max(y)"
-    return f"SELECT {keys}, count(*) AS n, CASE WHEN {ok} THEN corr(x, y) END AS r, CASE WHEN {ok} THEN corr(rx, ry) END AS s, CASE WHEN {ok} THEN regr_slope(y, x) END AS b, CASE WHEN {ok} THEN regr_intercept(y, x) END AS a, avg(x) AS mx, avg(y) AS my{extra} FROM ({ranked}) GROUP BY {keys}"
+    return (
+        f"SELECT {keys}, count(*) AS n, CASE WHEN {ok} THEN corr(x, y) END AS r, CASE WHEN {ok} THEN corr(rx, ry) END AS s, CASE WHEN {ok} THEN regr_slope(y, "
+        f"x) END AS b, CASE WHEN {ok} THEN regr_intercept(y, x) END AS a, avg(x) AS mx, avg(y) AS my{extra} FROM ({ranked}) GROUP BY {keys}"
+    )
 
 
 PAIRS = f"SELECT variable AS predictor, value AS x, unscaled_yield AS y FROM ({long_sql(['unscaled_yield'], PREDICTORS)})"
 
 
-@query(f"SELECT c.predictor, n, round(mx, 4) AS x_mean, round(my, 4) AS y_mean, round(r, 6) AS pearson_r, round(s, 6) AS spearman_r, round(b, 4) AS slope, round(a, 2) AS intercept, round(r * r, 6) AS r2, round(low_mean, 4) AS low_mean, round(high_mean, 4) AS high_mean FROM ({corr_sql(PAIRS, 'predictor')}) c JOIN (SELECT p.predictor, avg(y) FILTER (WHERE x <= q25) AS low_mean, avg(y) FILTER (WHERE x >= q75) AS high_mean FROM ({PAIRS}) p JOIN (SELECT predictor, quantile_cont(x, 0.25) AS q25, quantile_cont(x, 0.75) AS q75 FROM ({PAIRS}) WHERE x IS NOT NULL GROUP BY 1) q ON p.predictor = q.predictor GROUP BY 1) e ON c.predictor = e.predictor")
+@query(
+    "SELECT c.predictor, n, round(mx, 4) AS x_mean, round(my, 4) AS y_mean, round(r, 6) AS pearson_r, round(s, 6) AS spearman_r, round(b, 4) AS slope, "
+    "round(a, 2) AS intercept, round(r * r, 6) AS r2, round(low_mean, 4) AS low_mean, round(high_mean, 4) AS high_mean "
+    f"FROM ({corr_sql(PAIRS, 'predictor')}) c JOIN (SELECT p.predictor, avg(y) FILTER (WHERE x <= q25) AS low_mean, "
+    f"avg(y) FILTER (WHERE x >= q75) AS high_mean FROM ({PAIRS}) p JOIN (SELECT predictor, quantile_cont(x, 0.25) AS q25, quantile_cont(x, 0.75) AS q75 "
+    f"FROM ({PAIRS}) WHERE x IS NOT NULL GROUP BY 1) q ON p.predictor = q.predictor GROUP BY 1) e ON c.predictor = e.predictor"
+)
 def E15_yield_bivariate(t: Tables) -> DataFrame:
     df = S.yield_bivariate(shares(t), PREDICTORS).drop("pearson_p", "spearman_p")
     digits = {"x_mean": 4, "y_mean": 4, "slope": 4, "intercept": 2, "low_mean": 4, "high_mean": 4, "pearson_r": 6, "spearman_r": 6, "r2": 6}
@@ -66,7 +84,10 @@ def p_sql(r: str) -> str:
     return f"CASE WHEN {r} IS NULL OR n < 3 THEN NULL WHEN abs({r}) >= 1 THEN 0 ELSE round({part(f'asin(abs({r}))')} / {part('0')}, 6) END"
 
 
-@query(f"SELECT predictor, n, round(r, 6) AS pearson_r, round(s, 6) AS spearman_r, {p_sql('r')} AS pearson_p, {p_sql('s')} AS spearman_p FROM ({corr_sql(PAIRS, 'predictor')})")
+@query(
+    f"SELECT predictor, n, round(r, 6) AS pearson_r, round(s, 6) AS spearman_r, {p_sql('r')} AS pearson_p, {p_sql('s')} AS spearman_p "
+    f"FROM ({corr_sql(PAIRS, 'predictor')})"
+)
 def J1_corr_p_value(t: Tables) -> DataFrame:
     return rounded(S.yield_bivariate(shares(t), PREDICTORS).select("predictor", "n", "pearson_r", "pearson_p", "spearman_r", "spearman_p"))
 
@@ -74,7 +95,10 @@ def J1_corr_p_value(t: Tables) -> DataFrame:
 PAIRWISE = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y FROM {{shares}}" for a, b in combinations(VARIABLES, 2))
 
 
-@query(f"SELECT ka AS a, kb AS b, n, round(r, 6) AS pearson_r, round(s, 6) AS spearman_r FROM ({corr_sql(PAIRWISE.replace('AS a,', 'AS ka,').replace('AS b,', 'AS kb,'), 'ka, kb')})")
+@query(
+    "SELECT ka AS a, kb AS b, n, round(r, 6) AS pearson_r, round(s, 6) AS spearman_r "
+    f"FROM ({corr_sql(PAIRWISE.replace('AS a,', 'AS ka,').replace('AS b,', 'AS kb,'), 'ka, kb')})"
+)
 def E16_pairwise_corr(t: Tables) -> DataFrame:
     return rounded(S.pairwise_corr(shares(t), VARIABLES))
 
@@ -100,7 +124,10 @@ def E17_binned_yield(t: Tables) -> DataFrame:
     return df.select("predictor", "bin_order", "n", F.round("x_min", 6).alias("x_min"), F.round("x_max", 6).alias("x_max"), *(F.round(c, 4).alias(c) for c in ("x_mean", "y_mean", "y_median")))
 
 
-@query("SELECT annual_tillage, count(*) AS n, round(avg(unscaled_yield), 4) AS mean, round(coalesce(stddev_samp(unscaled_yield), 0), 4) AS std, round(quantile_cont(unscaled_yield, 0.5), 4) AS median FROM {joined} WHERE annual_tillage IS NOT NULL GROUP BY 1")
+@query(
+    "SELECT annual_tillage, count(*) AS n, round(avg(unscaled_yield), 4) AS mean, round(coalesce(stddev_samp(unscaled_yield), 0), 4) AS std, "
+    "round(quantile_cont(unscaled_yield, 0.5), 4) AS median FROM {joined} WHERE annual_tillage IS NOT NULL GROUP BY 1"
+)
 def E18_tillage_yield_summary(t: Tables) -> DataFrame:
     return rounded(S.group_summary(joined(t), "annual_tillage", "unscaled_yield"), 4)
 
@@ -108,7 +135,10 @@ def E18_tillage_yield_summary(t: Tables) -> DataFrame:
 MEANS = ["unscaled_yield", "NCCPI", "vpdmax_7", "vpdmax_8", "tillage_0_prop"]
 
 
-@query("SELECT focal_fips, count(*) AS rows, count(DISTINCT tile_field_ID) AS fields, count(DISTINCT (tile_field_ID, year)) AS field_years, count(DISTINCT FIPS) AS source_counties, min(year) AS year_min, max(year) AS year_max, " + ", ".join(f"round(avg({c}), 4) AS mean_{c}" for c in MEANS) + " FROM {hood} GROUP BY 1")
+@query(
+    "SELECT focal_fips, count(*) AS rows, count(DISTINCT tile_field_ID) AS fields, count(DISTINCT (tile_field_ID, year)) AS field_years, "
+    "count(DISTINCT FIPS) AS source_counties, min(year) AS year_min, max(year) AS year_max, "
++ ", ".join(f"round(avg({c}), 4) AS mean_{c}" for c in MEANS) + " FROM {hood} GROUP BY 1")
 def E19_county_profile(t: Tables) -> DataFrame:
     return rounded(S.county_profile(hood(t), MEANS), 4)
 
@@ -116,13 +146,22 @@ def E19_county_profile(t: Tables) -> DataFrame:
 BY_COUNTY = ["annual_tillage", "NCCPI", "vpdmax_7", "year"]
 
 
-@query(f"SELECT focal_fips, variable AS predictor, count(*) AS n, round(CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) END, 6) AS r, round(CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN regr_slope(y, x) END, 3) AS slope, round(CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN regr_intercept(y, x) END, 1) AS intercept, round(CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) * corr(x, y) END, 6) AS r2 FROM (SELECT focal_fips, variable, value AS x, unscaled_yield AS y FROM ({long_sql(['focal_fips', 'unscaled_yield'], BY_COUNTY, '{hood}')})) WHERE x IS NOT NULL GROUP BY 1, 2")
+@query(
+    "SELECT focal_fips, variable AS predictor, count(*) AS n, round(CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) END, 6) AS r, round(CASE "
+    "WHEN min(x) < max(x) AND min(y) < max(y) THEN regr_slope(y, x) END, 3) AS slope, round(CASE WHEN min(x) < max(x) AND min(y) < "
+    "max(y) THEN regr_intercept(y, x) END, 1) AS intercept, round(CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) * corr(x, y) END, 6) AS r2 "
+    f"FROM (SELECT focal_fips, variable, value AS x, unscaled_yield AS y FROM ({long_sql(['focal_fips', 'unscaled_yield'], BY_COUNTY, '{hood}')})) "
+    "WHERE x IS NOT NULL GROUP BY 1, 2"
+)
 def E20_county_bivariate(t: Tables) -> DataFrame:
     df = S.county_bivariate(hood(t), BY_COUNTY)
     return df.select("focal_fips", "predictor", "n", F.round("r", 6).alias("r"), F.round("slope", 3).alias("slope"), F.round("intercept", 1).alias("intercept"), F.round("r2", 6).alias("r2"))
 
 
-@query("SELECT count(*) AS conflicts FROM (SELECT tile_field_ID, year FROM {hood} GROUP BY 1, 2 HAVING count(DISTINCT unscaled_yield) > 1 OR count(DISTINCT focal_fips) > 1)")
+@query(
+    "SELECT count(*) AS conflicts FROM (SELECT tile_field_ID, year FROM {hood} GROUP BY 1, 2 HAVING count(DISTINCT unscaled_yield) > 1 OR "
+    "count(DISTINCT focal_fips) > 1)"
+)
 def E21_duplicate_conflicts(t: Tables) -> DataFrame:
     return S.duplicate_conflicts(hood(t), ["unscaled_yield", "focal_fips"])
 
@@ -133,13 +172,20 @@ def F1_dedupe_field_year(t: Tables) -> DataFrame:
     return S.dedupe_field_year(rows).select("tile_field_ID", "year", "focal_fips")
 
 
-@query("SELECT count(*) AS neighborhood_rows, count(DISTINCT focal_fips) AS focal_counties, min(year) AS year_min, max(year) AS year_max, count(DISTINCT (tile_field_ID, year)) AS unique_rows, count(DISTINCT tile_field_ID) AS unique_fields, round(count(*) / count(DISTINCT (tile_field_ID, year)), 6) AS duplication_factor FROM {hood}")
+@query(
+    "SELECT count(*) AS neighborhood_rows, count(DISTINCT focal_fips) AS focal_counties, min(year) AS year_min, max(year) AS year_max, "
+    "count(DISTINCT (tile_field_ID, year)) AS unique_rows, count(DISTINCT tile_field_ID) AS unique_fields, round(count(*) / count(DISTINCT (tile_field_ID, "
+    "year)), 6) AS duplication_factor FROM {hood}"
+)
 def E38_eda_summary(t: Tables) -> DataFrame:
     rows = hood(t).withColumn("path", F.lit("p"))
     return rounded(S.eda_summary(rows, S.dedupe_field_year(rows)))
 
 
-@query("SELECT state, vpdmax_7, rank() OVER (PARTITION BY state ORDER BY vpdmax_7) + (count(*) OVER (PARTITION BY state, vpdmax_7) - 1) / 2.0 AS rank, tile_field_ID, year FROM {joined} WHERE vpdmax_7 IS NOT NULL")
+@query(
+    "SELECT state, vpdmax_7, rank() OVER (PARTITION BY state ORDER BY vpdmax_7) + (count(*) OVER (PARTITION BY state, vpdmax_7) - 1) / 2.0 AS rank, "
+    "tile_field_ID, year FROM {joined} WHERE vpdmax_7 IS NOT NULL"
+)
 def F5_avg_rank(t: Tables) -> DataFrame:
     rows = stored(joined(t).select("state", "vpdmax_7", "tile_field_ID", "year").where("vpdmax_7 IS NOT NULL"), "rows")
     return join_counted(rows, stored(S.avg_rank(rows, "vpdmax_7", ["state"]), "ranks"), ["state", "vpdmax_7"], "n").drop("n")
@@ -150,12 +196,20 @@ def G2_strongest_signals(t: Tables) -> DataFrame:
     return rounded(S.strongest_signals(S.yield_bivariate(shares(t), PREDICTORS).select("predictor", "pearson_r"), 5, "pearson_r", ["predictor"]))
 
 
-@query("SELECT tile_field_ID, year, unscaled_yield FROM {joined} WHERE vpdmax_7 IS NOT NULL AND annual_tillage IS NOT NULL AND unscaled_yield IS NOT NULL ORDER BY md5(concat(tile_field_ID, '|', CAST(year AS VARCHAR), '|42')), tile_field_ID, year LIMIT 50000")
+@query(
+    "SELECT tile_field_ID, year, unscaled_yield FROM {joined} WHERE vpdmax_7 IS NOT NULL AND annual_tillage IS NOT NULL AND unscaled_yield IS NOT NULL "
+    "ORDER BY md5(concat(tile_field_ID, '|', CAST(year AS VARCHAR), '|42')), tile_field_ID, year LIMIT 50000"
+)
 def G3_plot_sample(t: Tables) -> DataFrame:
     return S.plot_sample(joined(t), ["unscaled_yield", "vpdmax_7", "annual_tillage"], ["tile_field_ID", "year"]).select("tile_field_ID", "year", "unscaled_yield")
 
 
-@query("SELECT annual_tillage, round(q[1], 4) AS q1, round(q[2], 4) AS median, round(q[3], 4) AS q3, round((SELECT min(unscaled_yield) FROM {joined} j WHERE j.annual_tillage = b.annual_tillage AND unscaled_yield >= q[1] - 1.5 * (q[3] - q[1])), 4) AS whisker_low, round((SELECT max(unscaled_yield) FROM {joined} j WHERE j.annual_tillage = b.annual_tillage AND unscaled_yield <= q[3] + 1.5 * (q[3] - q[1])), 4) AS whisker_high FROM (SELECT annual_tillage, quantile_cont(unscaled_yield, [0.25, 0.5, 0.75]) AS q FROM {joined} WHERE annual_tillage IS NOT NULL GROUP BY 1) b")
+@query(
+    "SELECT annual_tillage, round(q[1], 4) AS q1, round(q[2], 4) AS median, round(q[3], 4) AS q3, round((SELECT min(unscaled_yield) FROM {joined} j "
+    "WHERE j.annual_tillage = b.annual_tillage AND unscaled_yield >= q[1] - 1.5 * (q[3] - q[1])), 4) AS whisker_low, round((SELECT max(unscaled_yield) "
+    "FROM {joined} j WHERE j.annual_tillage = b.annual_tillage AND unscaled_yield <= q[3] + 1.5 * (q[3] - q[1])), 4) AS whisker_high "
+    "FROM (SELECT annual_tillage, quantile_cont(unscaled_yield, [0.25, 0.5, 0.75]) AS q FROM {joined} WHERE annual_tillage IS NOT NULL GROUP BY 1) b"
+)
 def E34_box_stats(t: Tables) -> DataFrame:
     return rounded(S.box_stats(joined(t), "annual_tillage", "unscaled_yield"), 4)
 

@@ -30,7 +30,10 @@ def rings(t: Tables) -> DataFrame:
 
 
 # A cell's centre lies in a box, or under the box's diagonal for a triangle.
-IN_RING = "(col + 0.5) * 30 > minx AND (col + 0.5) * 30 < maxx AND (row + 0.5) * 30 > miny AND (row + 0.5) * 30 < maxy AND (shape <> 2 OR ((col + 0.5) * 30 - minx) / (maxx - minx) + ((row + 0.5) * 30 - miny) / (maxy - miny) < 1)"
+IN_RING = (
+    "(col + 0.5) * 30 > minx AND (col + 0.5) * 30 < maxx AND (row + 0.5) * 30 > miny AND (row + 0.5) * 30 < maxy "
+    "AND (shape <> 2 OR ((col + 0.5) * 30 - minx) / (maxx - minx) + ((row + 0.5) * 30 - miny) / (maxy - miny) < 1)"
+)
 ZONES = f"SELECT b.tile, b.field_id, p.row, p.col, p.value FROM {{value_pixels}} p JOIN {{ring_boxes}} b ON p.tile = b.tile AND {IN_RING}"
 
 
@@ -49,19 +52,33 @@ def E2_zonal_mean_max(t: Tables) -> DataFrame:
     return Z.zonal_stats(rings(t), t.grids, t.value_pixels, ["tile", "field_id"], ("mean", "max"))
 
 
-@query("SELECT tile_field_ID, year, tillage_0_count AS t0_count, tillage_1_count AS t1_count, tillage_na_count AS na_count, pixel_count, tillage_0_prop AS t0_prop, tillage_1_prop AS t1_prop, tillage_na_prop AS na_prop FROM {tillage_wide}")
+@query(
+    "SELECT tile_field_ID, year, tillage_0_count AS t0_count, tillage_1_count AS t1_count, tillage_na_count AS na_count, pixel_count, "
+    "tillage_0_prop AS t0_prop, tillage_1_prop AS t1_prop, tillage_na_prop AS na_prop FROM {tillage_wide}"
+)
 def E3_zonal_value_counts(t: Tables) -> DataFrame:
     return Z.value_counts(t.lines, ["tile_field_ID", "year"], F.col("l_returnflag"), {"t0": "R", "t1": "A"})
 
 
-@query("SELECT c.tile, value AS field_id, pixel_count, CASE WHEN value IS NOT NULL THEN concat(c.tile, '_', CAST(value AS VARCHAR)) END AS primary_key, CASE WHEN value IS NULL THEN 'missing_raster' ELSE 'ok' END AS status FROM (SELECT DISTINCT tile FROM {cells} UNION SELECT 'h09v09') c LEFT JOIN (SELECT tile, value, count(*) AS pixel_count FROM {field_pixels} WHERE value > 0 GROUP BY 1, 2) p ON c.tile = p.tile")
+@query(
+    "SELECT c.tile, value AS field_id, pixel_count, CASE WHEN value IS NOT NULL THEN concat(c.tile, '_', CAST(value AS VARCHAR)) END AS primary_key, CASE "
+    "WHEN value IS NULL THEN 'missing_raster' ELSE 'ok' END AS status FROM (SELECT DISTINCT tile FROM {cells} UNION SELECT 'h09v09') c LEFT "
+    "JOIN (SELECT tile, value, count(*) AS pixel_count FROM {field_pixels} WHERE value > 0 GROUP BY 1, 2) p ON c.tile = p.tile"
+)
 def E5_field_pixel_counts(t: Tables) -> DataFrame:
     extra = t.grids.select(F.lit("h09v09").alias("tile")).distinct()
     return Z.field_pixel_counts(t.field_pixels, t.grids.select("tile").unionByName(extra))
 
 
-PAIR_COUNTS = "SELECT f.value AS field_id, c.value AS crop_id, 2010 AS year, count(*) AS pixel_count FROM {field_pixels} f JOIN {crop_pixels} c ON f.tile = c.tile AND f.row = c.row AND f.col = c.col WHERE f.value <> 0 AND c.value <> 0 GROUP BY 1, 2"
-SUMMARY = f"SELECT *, sum(pixel_count) OVER (PARTITION BY field_id, year) AS total, first_value(crop_id) OVER (PARTITION BY field_id, year ORDER BY pixel_count DESC, crop_id) AS top, first_value(pixel_count) OVER (PARTITION BY field_id, year ORDER BY pixel_count DESC, crop_id) AS top_n FROM ({PAIR_COUNTS})"
+PAIR_COUNTS = (
+    "SELECT f.value AS field_id, c.value AS crop_id, 2010 AS year, count(*) AS pixel_count FROM {field_pixels} f JOIN {crop_pixels} c ON f.tile = c.tile "
+    "AND f.row = c.row AND f.col = c.col WHERE f.value <> 0 AND c.value <> 0 GROUP BY 1, 2"
+)
+SUMMARY = (
+    "SELECT *, sum(pixel_count) OVER (PARTITION BY field_id, year) AS total, first_value(crop_id) OVER (PARTITION BY field_id, year "
+    "ORDER BY pixel_count DESC, crop_id) AS top, first_value(pixel_count) OVER (PARTITION BY field_id, year ORDER BY pixel_count DESC, crop_id) AS top_n "
+    f"FROM ({PAIR_COUNTS})"
+)
 
 
 def counts(t: Tables) -> DataFrame:
@@ -73,7 +90,10 @@ def E6_pair_counts(t: Tables) -> DataFrame:
     return counts(t)
 
 
-@query(f"SELECT field_id, year, crop_id, pixel_count, CAST(total AS BIGINT) AS total_field_pixels, round(pixel_count / total, 9) AS share, crop_id = top AS is_dominant, top AS dominant_crop_id, round(top_n / total, 9) AS dominant_crop_share FROM ({SUMMARY})")
+@query(
+    "SELECT field_id, year, crop_id, pixel_count, CAST(total AS BIGINT) AS total_field_pixels, round(pixel_count / total, 9) AS share, "
+    f"crop_id = top AS is_dominant, top AS dominant_crop_id, round(top_n / total, 9) AS dominant_crop_share FROM ({SUMMARY})"
+)
 def E7_crop_year_summary(t: Tables) -> DataFrame:
     return rounded(Y.crop_year_summary(counts(t)), 9)
 
@@ -88,7 +108,10 @@ def F4_share_of_field(t: Tables) -> DataFrame:
     return rounded(Y.share_of_field(counts(t)), 9)
 
 
-@query(f"SELECT c.field_id, c.crop_id, c.year, c.pixel_count, n.n_name AS crop_name, c.pixel_count * 900e0 AS area_m2, round(c.pixel_count * 900e0 / 4046.8564224, 6) AS acres FROM ({PAIR_COUNTS}) c LEFT JOIN {{nation}} n ON c.crop_id = n.n_nationkey")
+@query(
+    "SELECT c.field_id, c.crop_id, c.year, c.pixel_count, n.n_name AS crop_name, c.pixel_count * 900e0 AS area_m2, "
+    f"round(c.pixel_count * 900e0 / 4046.8564224, 6) AS acres FROM ({PAIR_COUNTS}) c LEFT JOIN {{nation}} n ON c.crop_id = n.n_nationkey"
+)
 def B26_crop_units(t: Tables) -> DataFrame:
     codes = t.nation.select(F.col("n_nationkey").cast("long").alias("crop_id"), F.col("n_name").alias("crop_name"))
     return rounded(Y.crop_units(counts(t), 900.0, codes)).select("field_id", "crop_id", "year", "pixel_count", "crop_name", "area_m2", "acres")
@@ -122,24 +145,37 @@ def E8_tile_mukeys(t: Tables) -> DataFrame:
     return Z.tile_mukeys(t.field_pixels)
 
 
-@query("SELECT m.tile_field_id, mukey, cells * 900e0 AS overlap_area, round(100 * cells * 900e0 / area, 6) AS pct_overlap FROM {field_mukey} m JOIN (SELECT tile_field_id, sum(cells) * 1000e0 AS area FROM {field_mukey} GROUP BY 1) a ON m.tile_field_id = a.tile_field_id")
+@query(
+    "SELECT m.tile_field_id, mukey, cells * 900e0 AS overlap_area, round(100 * cells * 900e0 / area, 6) AS pct_overlap FROM {field_mukey} m "
+    "JOIN (SELECT tile_field_id, sum(cells) * 1000e0 AS area FROM {field_mukey} GROUP BY 1) a ON m.tile_field_id = a.tile_field_id"
+)
 def E9_overlap_pct(t: Tables) -> DataFrame:
     areas = t.field_mukey.groupBy("tile_field_id").agg((F.sum("cells") * 1000.0).alias("area"))
     return rounded(Z.overlap_pct(t.field_mukey.select("tile_field_id", "mukey", "cells"), areas, 900.0, "tile_field_id"))
 
 
-@query("SELECT tile, value, count(DISTINCT (row, col)) AS cells, min(tile) AS first_tile, count(DISTINCT (row, col)) * 900e0 AS area FROM {field_pixels} WHERE value > 0 GROUP BY 1, 2")
+@query(
+    "SELECT tile, value, count(DISTINCT (row, col)) AS cells, min(tile) AS first_tile, count(DISTINCT (row, col)) * 900e0 AS area FROM {field_pixels} "
+    "WHERE value > 0 GROUP BY 1, 2"
+)
 def E10_dissolve_fields(t: Tables) -> DataFrame:
     rows = t.field_pixels.where("value > 0").withColumn("first_tile", F.col("tile"))
     return P.dissolve_fields(rows.unionByName(rows), ["tile", "value"], ["first_tile"], 900.0)
 
 
-@query("SELECT tile, value, count(*) AS cells, min(row) AS min_row, max(row) AS max_row, min(col) AS min_col, max(col) AS max_col FROM {field_pixels} WHERE value <> 0 GROUP BY 1, 2")
+@query(
+    "SELECT tile, value, count(*) AS cells, min(row) AS min_row, max(row) AS max_row, min(col) AS min_col, max(col) AS max_col FROM {field_pixels} "
+    "WHERE value <> 0 GROUP BY 1, 2"
+)
 def E12_field_cells(t: Tables) -> DataFrame:
     return R.field_cells(t.field_pixels)
 
 
-@query("SELECT tile_coord, field_id, CAST(substr(day, 1, 4) AS INT) AS year, arg_max(CASE WHEN substr(day, 5, 2) = '07' THEN vpdmax_mean END, CASE WHEN substr(day, 5, 2) = '07' THEN source * 100 + line END) AS vpdmax_7, arg_max(CASE WHEN substr(day, 5, 2) = '08' THEN vpdmax_mean END, CASE WHEN substr(day, 5, 2) = '08' THEN source * 100 + line END) AS vpdmax_8 FROM {monthly} WHERE substr(day, 5, 2) IN ('07', '08') GROUP BY 1, 2, 3")
+@query(
+    "SELECT tile_coord, field_id, CAST(substr(day, 1, 4) AS INT) AS year, arg_max(CASE WHEN substr(day, 5, 2) = '07' THEN vpdmax_mean END, CASE "
+    "WHEN substr(day, 5, 2) = '07' THEN source * 100 + line END) AS vpdmax_7, arg_max(CASE WHEN substr(day, 5, 2) = '08' THEN vpdmax_mean END, CASE "
+    "WHEN substr(day, 5, 2) = '08' THEN source * 100 + line END) AS vpdmax_8 FROM {monthly} WHERE substr(day, 5, 2) IN ('07', '08') GROUP BY 1, 2, 3"
+)
 def E27_vpd_pivot(t: Tables) -> DataFrame:
     return Z.vpd_pivot(t.monthly)
 
@@ -149,7 +185,12 @@ def E26_mosaic(t: Tables) -> DataFrame:
     return R.mosaic(t.value_pixels.withColumn("source_order", F.col("tile")))
 
 
-@query("SELECT z, CAST(floor(x / pow(2, 14 - z)) AS INT) AS x, CAST(floor(y / pow(2, 14 - z)) AS INT) AS y, count(*) AS cells FROM (SELECT CAST(floor((-98 + col * 0.01 + 180) / 360 * 16384) AS INT) AS x, CAST(floor((1 - ln(tan(radians(35 + row * 0.005)) + 1 / cos(radians(35 + row * 0.005))) / pi()) / 2 * 16384) AS INT) AS y FROM {value_pixels}) CROSS JOIN range(6, 15) r(z) GROUP BY 1, 2, 3")
+@query(
+    "SELECT z, CAST(floor(x / pow(2, 14 - z)) AS INT) AS x, CAST(floor(y / pow(2, 14 - z)) AS INT) AS y, count(*) AS cells "
+    "FROM (SELECT CAST(floor((-98 + col * 0.01 + 180) / 360 * 16384) AS INT) AS x, "
+    "CAST(floor((1 - ln(tan(radians(35 + row * 0.005)) + 1 / cos(radians(35 + row * 0.005))) / pi()) / 2 * 16384) AS INT) AS y FROM {value_pixels}) CROSS "
+    "JOIN range(6, 15) r(z) GROUP BY 1, 2, 3"
+)
 def E33_xyz_pyramid(t: Tables) -> DataFrame:
     points = t.value_pixels.select((F.lit(-98.0) + F.col("col") * 0.01).alias("lon"), (F.lit(35.0) + F.col("row") * 0.005).alias("lat"), "value")
     return R.xyz_pyramid(points).withColumn("z", F.col("z").cast("long"))
@@ -167,18 +208,28 @@ def A4_read_pixels(t: Tables) -> DataFrame:
     return read_pixels(t.field_pixels, t.grids).select("tile", "row", "col", "value")
 
 
-@query("SELECT f.tile, f.row, f.col, f.value AS field_id, c.value AS value FROM {field_pixels} f JOIN {crop_pixels} c ON f.tile = c.tile AND f.row = c.row AND f.col = c.col")
+@query(
+    "SELECT f.tile, f.row, f.col, f.value AS field_id, c.value AS value FROM {field_pixels} f JOIN {crop_pixels} c ON f.tile = c.tile AND f.row = c.row "
+    "AND f.col = c.col"
+)
 def D8_pixel_pair_join(t: Tables) -> DataFrame:
     return R.pixel_pair_join(t.field_pixels, t.crop_pixels, t.grids, t.grids)
 
 
-@query("SELECT g.tile, g.r AS row, g.c AS col, p.value FROM (SELECT tile, CAST(r AS INT) AS r, CAST(c AS INT) AS c FROM {grids} CROSS JOIN range(0, 666) a(r) CROSS JOIN range(0, 333) b(c)) g LEFT JOIN {field_pixels} p ON g.tile = p.tile AND p.row = CAST(floor((g.r + 0.5) * 90 / 30) AS INT) AND p.col = CAST(floor((g.c + 0.5) * 90 / 30) AS INT)")
+@query(
+    "SELECT g.tile, g.r AS row, g.c AS col, p.value FROM (SELECT tile, CAST(r AS INT) AS r, CAST(c AS INT) AS c FROM {grids} CROSS JOIN range(0, 666) a(r) "
+    "CROSS JOIN range(0, 333) b(c)) g LEFT JOIN {field_pixels} p ON g.tile = p.tile AND p.row = CAST(floor((g.r + 0.5) * 90 / 30) AS INT) "
+    "AND p.col = CAST(floor((g.c + 0.5) * 90 / 30) AS INT)"
+)
 def D9_align_to_grid(t: Tables) -> DataFrame:
     coarse = t.grids.select("tile", "x0", "y0", F.lit(90.0).alias("dx"), F.lit(90.0).alias("dy"), F.lit(333).alias("ncols"), F.lit(666).alias("nrows"))
     return R.align_to_grid(t.field_pixels, t.grids, coarse)
 
 
-BOX_PAIRS = "SELECT b.tile, b.field_id, c.fips FROM {ring_boxes} b JOIN {county_boxes} c ON b.tile = c.tile AND b.minx <= c.maxx AND c.minx <= b.maxx AND b.miny <= c.maxy AND c.miny <= b.maxy"
+BOX_PAIRS = (
+    "SELECT b.tile, b.field_id, c.fips FROM {ring_boxes} b JOIN {county_boxes} c ON b.tile = c.tile AND b.minx <= c.maxx AND c.minx <= b.maxx "
+    "AND b.miny <= c.maxy AND c.miny <= b.maxy"
+)
 
 
 def boxes(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -186,19 +237,28 @@ def boxes(t: Tables) -> tuple[DataFrame, DataFrame]:
     return t.ring_boxes.select(F.concat_ws("_", "tile", "field_id").alias("box_id"), *box), t.county_boxes.select(F.concat_ws("_", "tile", "fips").alias("feature_id"), *box)
 
 
-@query("SELECT DISTINCT concat(b.tile, '_', CAST(b.field_id AS VARCHAR)) AS box_id, concat(c.tile, '_', c.fips) AS feature_id FROM {ring_boxes} b JOIN {county_boxes} c ON b.minx <= c.maxx AND c.minx <= b.maxx AND b.miny <= c.maxy AND c.miny <= b.maxy")
+@query(
+    "SELECT DISTINCT concat(b.tile, '_', CAST(b.field_id AS VARCHAR)) AS box_id, concat(c.tile, '_', c.fips) AS feature_id FROM {ring_boxes} b "
+    "JOIN {county_boxes} c ON b.minx <= c.maxx AND c.minx <= b.maxx AND b.miny <= c.maxy AND c.miny <= b.maxy"
+)
 def D10_bbox_intersect_join(t: Tables) -> DataFrame:
     a, b = boxes(t)
     return P.bbox_intersect_join(a, b, 6000.0)
 
 
-@query("SELECT DISTINCT concat(b.tile, '_', CAST(b.field_id AS VARCHAR)) AS box_id FROM {ring_boxes} b JOIN {county_boxes} c ON c.fips < '01021' AND b.minx <= c.maxx AND c.minx <= b.maxx AND b.miny <= c.maxy AND c.miny <= b.maxy")
+@query(
+    "SELECT DISTINCT concat(b.tile, '_', CAST(b.field_id AS VARCHAR)) AS box_id FROM {ring_boxes} b JOIN {county_boxes} c ON c.fips < '01021' "
+    "AND b.minx <= c.maxx AND c.minx <= b.maxx AND b.miny <= c.maxy AND c.miny <= b.maxy"
+)
 def D12_select_intersecting(t: Tables) -> DataFrame:
     a, b = boxes(t)
     return P.select_intersecting(a, b.where(F.element_at(F.split("feature_id", "_"), 2) < "01021"), 6000.0).select("box_id")
 
 
-@query("SELECT b.tile, b.field_id FROM {ring_boxes} b, (SELECT min(minx) AS x0, min(miny) AS y0, max(maxx) AS x1, max(maxy) AS y1 FROM {county_boxes} WHERE fips <= '01021') e WHERE b.minx <= x1 AND b.maxx >= x0 AND b.miny <= y1 AND b.maxy >= y0")
+@query(
+    "SELECT b.tile, b.field_id FROM {ring_boxes} b, (SELECT min(minx) AS x0, min(miny) AS y0, max(maxx) AS x1, max(maxy) AS y1 FROM {county_boxes} "
+    "WHERE fips <= '01021') e WHERE b.minx <= x1 AND b.maxx >= x0 AND b.miny <= y1 AND b.maxy >= y0"
+)
 def C10_bounds_prefilter(t: Tables) -> DataFrame:
     some = t.county_boxes.where("fips <= '01021'")  # the other side of the operation, a region of counties
     return P.bounds_prefilter(t.ring_boxes, some).select("tile", "field_id")
@@ -213,7 +273,11 @@ def cells_sql(boxes: str, keys: str, inside: str) -> str:
 
 MINE = cells_sql("{ring_boxes}", "field_id", IN_RING)
 THEIRS = cells_sql("{county_boxes}", "fips", IN_RING.split(" AND (shape")[0])
-OVERLAY = f"SELECT s.tile, s.field_id, s.fips, s.n * 900e0 AS overlap_area, 100e0 * s.n / a.n AS pct FROM (SELECT m.tile, m.field_id, c.fips, count(*) AS n FROM ({MINE}) m JOIN ({THEIRS}) c ON m.tile = c.tile AND m.row = c.row AND m.col = c.col GROUP BY 1, 2, 3) s JOIN (SELECT tile, field_id, count(*) AS n FROM ({MINE}) GROUP BY 1, 2) a ON s.tile = a.tile AND s.field_id = a.field_id"
+OVERLAY = (
+    "SELECT s.tile, s.field_id, s.fips, s.n * 900e0 AS overlap_area, 100e0 * s.n / a.n AS pct FROM (SELECT m.tile, m.field_id, c.fips, count(*) AS n "
+    f"FROM ({MINE}) m JOIN ({THEIRS}) c ON m.tile = c.tile AND m.row = c.row AND m.col = c.col GROUP BY 1, 2, 3) s JOIN (SELECT tile, field_id, "
+    f"count(*) AS n FROM ({MINE}) GROUP BY 1, 2) a ON s.tile = a.tile AND s.field_id = a.field_id"
+)
 
 
 def overlay(t: Tables) -> DataFrame:
@@ -226,7 +290,10 @@ def D11_overlay_area(t: Tables) -> DataFrame:
     return rounded(overlay(t))
 
 
-@query(f"SELECT tile, field_id, arg_min(fips, (-overlap_area, fips)) AS FIPS, round(arg_min(pct, (-overlap_area, fips)), 6) AS county_overlap_pct, count(DISTINCT fips) AS county_match_count FROM ({OVERLAY}) GROUP BY 1, 2")
+@query(
+    "SELECT tile, field_id, arg_min(fips, (-overlap_area, fips)) AS FIPS, round(arg_min(pct, (-overlap_area, fips)), 6) AS county_overlap_pct, "
+    f"count(DISTINCT fips) AS county_match_count FROM ({OVERLAY}) GROUP BY 1, 2"
+)
 def F2_best_county(t: Tables) -> DataFrame:
     return rounded(P.best_county(overlay(t), ["tile", "field_id"]))
 
@@ -236,7 +303,10 @@ def E11_county_match_count(t: Tables) -> DataFrame:
     return P.county_match_count(overlay(t), ["tile", "field_id"])
 
 
-@query(f"SELECT b.tile, b.field_id, o.FIPS FROM {{ring_boxes}} b LEFT JOIN (SELECT tile, field_id, arg_min(fips, (-overlap_area, fips)) AS FIPS FROM ({OVERLAY}) GROUP BY 1, 2) o ON b.tile = o.tile AND b.field_id = o.field_id")
+@query(
+    f"SELECT b.tile, b.field_id, o.FIPS FROM {{ring_boxes}} b LEFT JOIN (SELECT tile, field_id, arg_min(fips, (-overlap_area, fips)) AS FIPS "
+    f"FROM ({OVERLAY}) GROUP BY 1, 2) o ON b.tile = o.tile AND b.field_id = o.field_id"
+)
 def D14_attach_county(t: Tables) -> DataFrame:
     return P.attach_county(t.ring_boxes.select("tile", "field_id"), P.best_county(overlay(t), ["tile", "field_id"]).select("tile", "field_id", "FIPS"), ["tile", "field_id"])
 
@@ -246,19 +316,28 @@ def D13_work_units(t: Tables) -> DataFrame:
     return Z.work_units(t.keys.select("tile_coord"), t.corn.select("year"))
 
 
-@query("SELECT tile, row, col, value FROM {field_pixels} WHERE (tile, value) IN (SELECT tile, value FROM {field_pixels} GROUP BY 1, 2 HAVING count(*) > 3 AND value % 2 = 1)")
+@query(
+    "SELECT tile, row, col, value FROM {field_pixels} WHERE (tile, value) IN (SELECT tile, value FROM {field_pixels} GROUP BY 1, 2 HAVING count(*) > 3 "
+    "AND value % 2 = 1)"
+)
 def D15_key_allowlist(t: Tables) -> DataFrame:
     keys = t.field_pixels.groupBy("tile", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 3 AND value % 2 = 1").select("tile", "value")
     return R.key_allowlist(t.field_pixels, keys).select("tile", "row", "col", "value")
 
 
-@query("SELECT tile, moved = x0 AS aligned, x0 < moved + ncols * dx AND moved < x0 + ncols * dx AS overlapping FROM (SELECT *, CASE tile WHEN 'h00v01' THEN 15.0 WHEN 'h00v02' THEN 60000.0 ELSE x0 END AS moved FROM {grids})")
+@query(
+    "SELECT tile, moved = x0 AS aligned, x0 < moved + ncols * dx AND moved < x0 + ncols * dx AS overlapping FROM (SELECT *, CASE tile "
+    "WHEN 'h00v01' THEN 15.0 WHEN 'h00v02' THEN 60000.0 ELSE x0 END AS moved FROM {grids})"
+)
 def I8_grid_check(t: Tables) -> DataFrame:
     moved = t.grids.withColumn("x0", F.when(F.col("tile") == "h00v01", 15.0).when(F.col("tile") == "h00v02", 60000.0).otherwise(F.col("x0")))
     return R.grid_check(t.grids, moved)
 
 
-@query("SELECT tile, min(value) AS min_value, max(value) AS max_value, count(*) AS cells, count(*) FILTER (WHERE value > 1500) AS over_limit, 2000 AS nrows, 1000 AS ncols, CAST(0 AS BIGINT) AS nodata FROM {field_pixels} GROUP BY 1")
+@query(
+    "SELECT tile, min(value) AS min_value, max(value) AS max_value, count(*) AS cells, count(*) FILTER (WHERE value > 1500) AS over_limit, 2000 AS nrows, "
+    "1000 AS ncols, CAST(0 AS BIGINT) AS nodata FROM {field_pixels} GROUP BY 1"
+)
 def I10_value_range(t: Tables) -> DataFrame:
     return R.value_range(t.field_pixels, t.grids, 1500)
 
@@ -283,7 +362,10 @@ def B22_value_mask(t: Tables) -> DataFrame:
     return t.field_pixels.select("tile", "row", "col", G.value_mask(F.col("value"), [1, 2, 3, 101], F.lit(0), invert=True).alias("mask"))
 
 
-@query("SELECT tile, row, col, round(radians(-98 + col * 0.01) * 6378137, 3) AS x, round(ln(tan(pi() / 4 + radians(35 + row * 0.005) / 2)) * 6378137, 3) AS y, round(-98 + col * 1e-2, 6) AS lon, round(35 + row * 5e-3, 6) AS lat FROM {cells}")
+@query(
+    "SELECT tile, row, col, round(radians(-98 + col * 0.01) * 6378137, 3) AS x, round(ln(tan(pi() / 4 + radians(35 + row * 0.005) / 2)) * 6378137, "
+    "3) AS y, round(-98 + col * 1e-2, 6) AS lon, round(35 + row * 5e-3, 6) AS lat FROM {cells}"
+)
 def B20_reproject_xy(t: Tables) -> DataFrame:
     lon, lat = F.lit(-98.0) + F.col("col") * 0.01, F.lit(35.0) + F.col("row") * 0.005
     x, y = G.reproject_xy(lon, lat, 4326, 3857)
@@ -292,7 +374,10 @@ def B20_reproject_xy(t: Tables) -> DataFrame:
     return t.cells.select("tile", "row", "col", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"), F.round(back[0], 6).alias("lon"), F.round(back[1], 6).alias("lat"))
 
 
-@query("SELECT tile, row, col, CAST(floor((-98 + col * 0.01 + 180) / 360 * 1024) AS INT) AS x, CAST(floor((1 - ln(tan(radians(35 + row * 0.005)) + 1 / cos(radians(35 + row * 0.005))) / pi()) / 2 * 1024) AS INT) AS y FROM {cells}")
+@query(
+    "SELECT tile, row, col, CAST(floor((-98 + col * 0.01 + 180) / 360 * 1024) AS INT) AS x, "
+    "CAST(floor((1 - ln(tan(radians(35 + row * 0.005)) + 1 / cos(radians(35 + row * 0.005))) / pi()) / 2 * 1024) AS INT) AS y FROM {cells}"
+)
 def B21_xyz_tile(t: Tables) -> DataFrame:
     x, y = G.xyz_tile(F.lit(-98.0) + F.col("col") * 0.01, F.lit(35.0) + F.col("row") * 0.005, F.lit(10))
     return t.cells.select("tile", "row", "col", x.alias("x"), y.alias("y"))
@@ -325,7 +410,10 @@ def features(t: Tables) -> DataFrame:
     return named.withColumn("tile_field_id", F.concat_ws("_", "tile_coord", "field_id"))
 
 
-FEATURES = "SELECT tile AS tile_coord, CASE WHEN field_id % 13 = 0 THEN '' ELSE CAST(field_id AS VARCHAR) END AS field_id, 'a' AS source_name FROM {ring_boxes} UNION ALL SELECT tile, CASE WHEN field_id % 13 = 0 THEN '' ELSE CAST(field_id AS VARCHAR) END, 'b' FROM {ring_boxes} WHERE field_id % 4 = 0"
+FEATURES = (
+    "SELECT tile AS tile_coord, CASE WHEN field_id % 13 = 0 THEN '' ELSE CAST(field_id AS VARCHAR) END AS field_id, 'a' AS source_name FROM {ring_boxes} "
+    "UNION ALL SELECT tile, CASE WHEN field_id % 13 = 0 THEN '' ELSE CAST(field_id AS VARCHAR) END, 'b' FROM {ring_boxes} WHERE field_id % 4 = 0"
+)
 
 
 @query(f"SELECT tile_coord, field_id, source_name FROM ({FEATURES}) WHERE field_id <> ''")
@@ -333,17 +421,28 @@ def C12_non_missing_id(t: Tables) -> DataFrame:
     return B.non_missing_id(features(t)).select("tile_coord", "field_id", "source_name")
 
 
-@query(f"SELECT tile_coord, field_id AS source_field_id, count(*) AS boundary_count, string_agg(DISTINCT source_name, ';' ORDER BY source_name) AS source_names FROM ({FEATURES}) WHERE field_id <> '' GROUP BY 1, 2")
+@query(
+    "SELECT tile_coord, field_id AS source_field_id, count(*) AS boundary_count, string_agg(DISTINCT source_name, ';' "
+    f"ORDER BY source_name) AS source_names FROM ({FEATURES}) WHERE field_id <> '' GROUP BY 1, 2"
+)
 def E13_field_index(t: Tables) -> DataFrame:
     return B.field_index(B.field_boundaries(features(t), "src", "30m")).select("tile_coord", "source_field_id", "boundary_count", "source_names")
 
 
-@query(f"SELECT count(*) AS rows, count(*) FILTER (WHERE nullif(trim(tile_coord), '') IS NULL) AS missing_tile, count(*) FILTER (WHERE nullif(trim(field_id), '') IS NULL) AS missing_field, count(*) FILTER (WHERE nullif(trim(concat(tile_coord, '_', field_id)), '') IS NULL) AS missing_id, count(DISTINCT tile_coord) AS tiles, count(DISTINCT (tile_coord, field_id)) AS ids FROM ({FEATURES})")
+@query(
+    "SELECT count(*) AS rows, count(*) FILTER (WHERE nullif(trim(tile_coord), '') IS NULL) AS missing_tile, count(*) FILTER (WHERE nullif(trim(field_id), "
+    "'') IS NULL) AS missing_field, count(*) FILTER (WHERE nullif(trim(concat(tile_coord, '_', field_id)), '') IS NULL) AS missing_id, "
+    f"count(DISTINCT tile_coord) AS tiles, count(DISTINCT (tile_coord, field_id)) AS ids FROM ({FEATURES})"
+)
 def E35_field_rollup_checks(t: Tables) -> DataFrame:
     return B.field_rollup_checks(features(t))
 
 
-RING_HASHES = "SELECT tile, field_id, sha256(array_to_string(list_transform(pts, lambda p: concat(CAST(CAST(p[1] AS DOUBLE) AS VARCHAR), ' ', CAST(CAST(p[2] AS DOUBLE) AS VARCHAR))), ',')) AS geometry_hash FROM (SELECT tile, field_id, CASE WHEN shape = 2 THEN [[minx, miny], [maxx, miny], [minx, maxy], [minx, miny]] ELSE [[minx, miny], [maxx, miny], [maxx, maxy], [minx, maxy], [minx, miny]] END AS pts FROM {ring_boxes})"
+RING_HASHES = (
+    "SELECT tile, field_id, sha256(array_to_string(list_transform(pts, lambda p: concat(CAST(CAST(p[1] AS DOUBLE) AS VARCHAR), ' ', "
+    "CAST(CAST(p[2] AS DOUBLE) AS VARCHAR))), ',')) AS geometry_hash FROM (SELECT tile, field_id, CASE WHEN shape = 2 THEN [[minx, miny], [maxx, miny], "
+    "[minx, maxy], [minx, miny]] ELSE [[minx, miny], [maxx, miny], [maxx, maxy], [minx, maxy], [minx, miny]] END AS pts FROM {ring_boxes})"
+)
 
 
 @query(RING_HASHES)

@@ -33,7 +33,10 @@ def A2_expand_globs(t: Tables) -> DataFrame:
     return t.spark.read.parquet(*files).select("tile_field_ID", "year")
 
 
-@query("SELECT tile_field_ID, year, unscaled_yield, CAST(NULL AS INT) AS annual_tillage FROM {corn} UNION ALL SELECT tile_field_ID, year, NULL, annual_tillage FROM {tillage}")
+@query(
+    "SELECT tile_field_ID, year, unscaled_yield, CAST(NULL AS INT) AS annual_tillage FROM {corn} UNION ALL SELECT tile_field_ID, year, NULL, "
+    "annual_tillage FROM {tillage}"
+)
 def A3_union_parts(t: Tables) -> DataFrame:
     return R.union_parts([t.corn.select("tile_field_ID", "year", "unscaled_yield"), t.tillage.select("tile_field_ID", "year", "annual_tillage")])
 
@@ -48,7 +51,10 @@ def exported(t: Tables) -> str:
     return path
 
 
-@query("SELECT tile AS tile_id, field_id, concat(tile, '_', CAST(field_id AS VARCHAR)) AS tile_field_id, CASE WHEN shape = 2 THEN 4 ELSE 5 END AS points FROM {ring_boxes}")
+@query(
+    "SELECT tile AS tile_id, field_id, concat(tile, '_', CAST(field_id AS VARCHAR)) AS tile_field_id, CASE WHEN shape = 2 THEN 4 ELSE 5 END AS points "
+    "FROM {ring_boxes}"
+)
 def A5_read_features(t: Tables) -> DataFrame:
     return R.read_features(t.spark, exported(t), PROPERTIES).select("tile_id", "field_id", "tile_field_id", F.size("ring").alias("points"))
 
@@ -74,7 +80,10 @@ def A8_write_neighborhoods(t: Tables) -> DataFrame:
     return t.spark.read.schema(schema).parquet(path).select("focal_fips", "tile_field_ID", "year")
 
 
-@query("SELECT tile AS tile_coord, CAST(field_id AS VARCHAR) AS source_field_id, CAST(CASE WHEN field_id % 4 = 0 THEN 2 ELSE 1 END AS BIGINT) AS boundaries, CASE WHEN field_id % 4 = 0 THEN '2' ELSE '1' END AS boundary_count FROM {ring_boxes} WHERE field_id % 13 <> 0")
+@query(
+    "SELECT tile AS tile_coord, CAST(field_id AS VARCHAR) AS source_field_id, CAST(CASE WHEN field_id % 4 = 0 THEN 2 ELSE 1 END AS BIGINT) AS boundaries, "
+    "CASE WHEN field_id % 4 = 0 THEN '2' ELSE '1' END AS boundary_count FROM {ring_boxes} WHERE field_id % 13 <> 0"
+)
 def A9_write_field_tables(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "field-tables")
     boundary = B.field_boundaries(features(t), "src", "30m")
@@ -84,7 +93,10 @@ def A9_write_field_tables(t: Tables) -> DataFrame:
     return t.spark.read.csv(f"{path}/field.csv", header=True).select(*keys, "boundary_count").join(rows, keys)
 
 
-@query("SELECT tile AS tile_id, CAST(field_id AS VARCHAR) AS field_id, concat(tile, '_', CAST(field_id AS VARCHAR)) AS primary_key, 'Feature' AS type, CASE WHEN shape = 2 THEN 4 ELSE 5 END AS points FROM {ring_boxes}")
+@query(
+    "SELECT tile AS tile_id, CAST(field_id AS VARCHAR) AS field_id, concat(tile, '_', CAST(field_id AS VARCHAR)) AS primary_key, 'Feature' AS type, CASE "
+    "WHEN shape = 2 THEN 4 ELSE 5 END AS points FROM {ring_boxes}"
+)
 def A10_export_features_ndjson(t: Tables) -> DataFrame:
     lines = t.spark.read.text(exported(t))
     of = lambda path: F.get_json_object("value", f"$.{path}")
@@ -139,7 +151,10 @@ def A15_unpack_soil_payload(t: Tables) -> DataFrame:
     return found.groupBy("payload_id").agg(F.count("values.mukey").alias("rows"), F.sum(F.col("values.nccpi").cast("long")).alias("size"))
 
 
-@query("SELECT CAST(mukey AS BIGINT) AS mukey, CAST(floor((row_number() OVER (ORDER BY mukey) - 1) / 500.0) AS BIGINT) AS batch FROM (SELECT DISTINCT mukey FROM {field_mukey})")
+@query(
+    "SELECT CAST(mukey AS BIGINT) AS mukey, CAST(floor((row_number() OVER (ORDER BY mukey) - 1) / 500.0) AS BIGINT) AS batch FROM (SELECT DISTINCT mukey "
+    "FROM {field_mukey})"
+)
 def A16_mukey_worklist(t: Tables) -> DataFrame:
     return R.mukey_worklist(t.field_mukey)
 
@@ -169,7 +184,11 @@ def I1_require_columns(t: Tables) -> DataFrame:
     return R.require_columns(t.corn, ["tile_field_ID", "YEAR"]).select("tile_field_ID", "year", "unscaled_yield")
 
 
-@query("SELECT tile_coord AS tile, year, count(*) AS rows, CAST(octet_length(encode(string_agg(line, '' ORDER BY line))) AS BIGINT) AS bytes, sha256(string_agg(line, '' ORDER BY line)) AS sha256, TRUE AS hash_matches FROM (SELECT tile_coord, year, concat(tile_field_ID, ',', CAST(pixel_count AS VARCHAR), chr(10)) AS line FROM {corn}) GROUP BY 1, 2")
+@query(
+    "SELECT tile_coord AS tile, year, count(*) AS rows, CAST(octet_length(encode(string_agg(line, '' ORDER BY line))) AS BIGINT) AS bytes, "
+    "sha256(string_agg(line, '' ORDER BY line)) AS sha256, TRUE AS hash_matches FROM (SELECT tile_coord, year, concat(tile_field_ID, ',', "
+    "CAST(pixel_count AS VARCHAR), chr(10)) AS line FROM {corn}) GROUP BY 1, 2"
+)
 def I6_delivery_manifest(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "delivery")
     lines = t.corn.select("tile_coord", "year", F.concat_ws(",", "tile_field_ID", "pixel_count").alias("value"))
@@ -221,7 +240,10 @@ def B7_normalize_id(t: Tables) -> DataFrame:
     return t.messy.select("c_custkey", K.normalize_id(F.col("raw_id")).alias("text"), K.normalize_id(F.col("raw_id"), "strict").alias("strict"))
 
 
-@query("SELECT c_custkey, CASE WHEN length(raw_month) = 6 AND try_cast(raw_month AS INT) IS NOT NULL THEN substr(raw_month, 1, 4) END AS year, CASE WHEN length(raw_month) = 6 AND try_cast(raw_month AS INT) IS NOT NULL THEN CAST(substr(raw_month, 5, 2) AS INT) END AS month FROM {messy}")
+@query(
+    "SELECT c_custkey, CASE WHEN length(raw_month) = 6 AND try_cast(raw_month AS INT) IS NOT NULL THEN substr(raw_month, 1, 4) END AS year, CASE "
+    "WHEN length(raw_month) = 6 AND try_cast(raw_month AS INT) IS NOT NULL THEN CAST(substr(raw_month, 5, 2) AS INT) END AS month FROM {messy}"
+)
 def B8_year_month(t: Tables) -> DataFrame:
     year, month = K.year_month(F.col("raw_month"))
     return t.messy.select("c_custkey", year.alias("year"), month.alias("month"))
@@ -242,7 +264,10 @@ def uuid_sql(namespace: str, name: str, columns: str, rows: str, alias: str) ->
     """``columns`` of ``rows`` and the version 5 UUID of ``name``."""
     digest = f"sha1(unhex('{namespace.replace('-', '')}') || encode({name}))"
     variant = "substr('89ab', CAST(('0x' || d[17:17]) AS INT) % 4 + 1, 1)"
-    return f"SELECT {columns}, concat(d[1:8], '-', d[9:12], '-5', d[14:16], '-', {variant}, d[18:20], '-', d[21:32]) AS {alias} FROM (SELECT *, {digest} AS d FROM {rows})"
+    return (
+        f"SELECT {columns}, concat(d[1:8], '-', d[9:12], '-5', d[14:16], '-', {variant}, d[18:20], '-', d[21:32]) AS {alias} FROM (SELECT *, {digest} AS d "
+        f"FROM {rows})"
+    )
 
 
 @query(uuid_sql(K.FIELD_NAMESPACE, "concat('src|', tile_coord, '|', field_ID)", "tile_field_ID", "{keys}", "field_uuid"))
@@ -250,7 +275,11 @@ def B14_uuid5(t: Tables) -> DataFrame:
     return t.keys.select("tile_field_ID", K.field_uuid(F.lit("src"), F.col("tile_coord"), F.col("field_ID")).alias("field_uuid"))
 
 
-BOUNDARY_ROWS = f"(SELECT b.tile AS tile_coord, b.field_id AS source_field_id, s.source_name, h.geometry_hash FROM {{ring_boxes}} b JOIN ({RING_HASHES}) h ON b.tile = h.tile AND b.field_id = h.field_id JOIN (SELECT 'a' AS source_name UNION ALL SELECT 'b') s ON s.source_name = 'a' OR b.field_id % 4 = 0 WHERE b.field_id % 13 <> 0)"
+BOUNDARY_ROWS = (
+    f"(SELECT b.tile AS tile_coord, b.field_id AS source_field_id, s.source_name, h.geometry_hash FROM {{ring_boxes}} b "
+    f"JOIN ({RING_HASHES}) h ON b.tile = h.tile AND b.field_id = h.field_id JOIN (SELECT 'a' AS source_name UNION ALL "
+    "SELECT 'b') s ON s.source_name = 'a' OR b.field_id % 4 = 0 WHERE b.field_id % 13 <> 0)"
+)
 BOUNDARY_NAME = "concat('src|30m|2008||', tile_coord, '|', CAST(source_field_id AS VARCHAR), '|', geometry_hash)"
 
 
@@ -260,7 +289,10 @@ def B14_boundary_uuid(t: Tables) -> DataFrame:
     return rows.select("tile_coord", F.col("source_field_id").cast("long").alias("source_field_id"), "source_name", "field_boundary_id")
 
 
-@query("SELECT c_custkey, nullif(substr(regexp_replace(upper(raw_tile), '[^A-Z0-9]', '', 'g'), 1, 2), '') AS symbol, nullif(regexp_replace(upper(raw_tile), '[^A-Z0-9]', '', 'g'), '') AS code FROM {messy}")
+@query(
+    "SELECT c_custkey, nullif(substr(regexp_replace(upper(raw_tile), '[^A-Z0-9]', '', 'g'), 1, 2), '') AS symbol, nullif(regexp_replace(upper(raw_tile), "
+    "'[^A-Z0-9]', '', 'g'), '') AS code FROM {messy}"
+)
 def B16_state_code(t: Tables) -> DataFrame:
     return t.messy.select("c_custkey", K.state_code(F.col("raw_tile"), "areasymbol").alias("symbol"), K.state_code(F.col("raw_tile")).alias("code"))
 
