@@ -21,10 +21,10 @@ from terrasheaf.llm.common import hash_memo, mixed, paired, runs, scratch_path,
 BEGIN = np.uint64(xxhash.xxh64_intdigest(b" begin"))
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))
 #: Bigrams that a task holds before it sends their counts on, and tokens that are scored at a time.
-FLUSH = 4_000_000
+FLUSH = 3_000_000
 SCORE_TOKENS = 1_000_000
 #: Bytes of training text for each shard of the model; a task holds what one shard's bigrams are in all blocks.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 
 BLOCK_SCHEMA = "shard int, kind string, a binary, b binary, c binary"
 #: Columns of the words' table beside its sorted hashes: occurrences, followers' occurrences, distinct followers seen once, twice and
@@ -116,14 +116,20 @@ def blocks(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["shard", "kind", "a", "b", "c"])
 
 
-def bigram_blocks(firsts: np.ndarray, seconds: np.ndarray, shards: int) -> pa.RecordBatch:
-    """A block for each shard of the bigrams' hashes: distinct bigrams in order of their first word, with counts."""
+def bigram_blocks(first_parts: list[np.ndarray], second_parts: list[np.ndarray], shards: int) -> pa.RecordBatch:
+    """A block for each shard of the bigrams' hashes: distinct bigrams in order of their first word, with counts. Empties the lists it is given,
+    so that their arrays are not held beside those made of them."""
+    firsts, seconds = np.concatenate(first_parts), np.concatenate(second_parts)
+    first_parts.clear()
+    second_parts.clear()
     keys = paired(firsts, seconds)
     order = np.argsort(keys)
     keys = keys[order]
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    counts = np.diff(np.concatenate([starts, [len(keys)]])).astype(np.uint64)
-    firsts, seconds, bounds = firsts[order][starts], seconds[order][starts], shard_bounds(keys[starts], shards)
+    starts = group_starts(keys)
+    counts = np.diff(np.append(starts, len(keys))).astype(np.uint64)
+    order = order[starts]
+    firsts, seconds, bounds = firsts[order], seconds[order], shard_bounds(keys[starts], shards)
+    del keys, order, starts
     rows = []
     for shard in range(shards):
         part = slice(bounds[shard], bounds[shard + 1])
@@ -153,12 +159,12 @@ def count_bigrams(texts: DataFrame, shards: int) -> DataFrame:
                     last = both[-1:]
                     held += len(words)
                     if held >= FLUSH:
-                        yield bigram_blocks(np.concatenate(firsts), np.concatenate(seconds), shards)
-                        firsts, seconds, held = [], [], 0
+                        yield bigram_blocks(firsts, seconds, shards)
+                        held = 0
                         memo.trim()
             memo.trim()
         if held:
-            yield bigram_blocks(np.concatenate(firsts), np.concatenate(seconds), shards)
+            yield bigram_blocks(firsts, seconds, shards)
 
     return texts.mapInArrow(count, BLOCK_SCHEMA)
 
@@ -264,12 +270,15 @@ def train(texts: DataFrame, shards: int | None = None) -> KneserNey:
             seconds.append(np.frombuffer(b, np.uint64))
             counts.append(unpacked_counts(c, len(seconds[-1])))
         first, second, count = map(np.concatenate, (firsts, seconds, counts))
+        del firsts, seconds, counts, group
         keys = paired(first, second)
         order = np.argsort(keys)
         keys = keys[order]
         starts = group_starts(keys)
         sums = np.add.reduceat(count[order], starts) if len(keys) else count
-        keys, first, second = keys[starts], first[order][starts], second[order][starts]
+        order = order[starts]
+        keys, first, second = keys[starts], first[order], second[order]
+        del count, order, starts
         over = np.flatnonzero(sums >= 255)
         large = np.stack([over.astype(np.uint64), sums[over]], 1).astype("<u8")
         Folder(uri).write(f"bigrams-{shard}", [keys.astype("<u8"), np.minimum(sums, 255).astype(np.uint8), large])
