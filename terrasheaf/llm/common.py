@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,3 +102,45 @@ def with_columns(batch: pa.RecordBatch, names: list[str], schema: pa.Schema, sta
     part = batch.slice(start, end - start)
     arrays = [part.column(part.schema.get_field_index(n)) if n in names else pa.array(columns[n], schema.field(n).type) for n in schema.names]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+class SharedFiles:
+    """Files of bytes in a folder that driver and executors share, by any address that Arrow's file systems know. Where the folder is mounted a
+    file is mapped, so that only the pages that are asked for are read; elsewhere it is read whole, and ``CACHE_BYTES`` of files are kept."""
+
+    CACHE_BYTES = 256 << 20
+
+    def __init__(self, uri: str):
+        self.uri, self._place, self._kept = uri, None, {}
+
+    def __getstate__(self):
+        return {"uri": self.uri, "_place": None, "_kept": {}}
+
+    def place(self) -> tuple[pafs.FileSystem, str]:
+        if self._place is None:
+            self._place = pafs.FileSystem.from_uri(self.uri)
+        return self._place
+
+    def write(self, name: str, data: bytes) -> None:
+        """Whole or not at all, so a task that runs twice does no harm."""
+        fs, path = self.place()
+        draft = f"{path}/.{name}-{uuid.uuid4().hex}"
+        fs.create_dir(path, recursive=True)
+        with fs.open_output_stream(draft) as out:
+            out.write(data)
+        fs.move(draft, f"{path}/{name}")
+
+    def read(self, name: str) -> np.ndarray:
+        """The bytes of a file."""
+        fs, path = self.place()
+        if name not in self._kept:
+            while self._kept and sum(x.nbytes for x in self._kept.values() if not isinstance(x, np.memmap)) > self.CACHE_BYTES:
+                self._kept.pop(next(iter(self._kept)))
+            if isinstance(fs, pafs.LocalFileSystem):
+                if len(self._kept) >= 512:  # a map may hold a file's descriptor
+                    self._kept.clear()
+                self._kept[name] = np.memmap(f"{path}/{name}", np.uint8, "r") if os.path.getsize(f"{path}/{name}") else np.zeros(0, np.uint8)
+            else:
+                with fs.open_input_file(f"{path}/{name}") as f:
+                    self._kept[name] = np.frombuffer(f.readall(), np.uint8)
+        return self._kept[name]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrasheaf.llm import chat, decontam, kneser_ney, packing, pii, repetition, secrets, simhash, tokens, toxicity
+from terrasheaf.llm import chat, decontam, kneser_ney, lines, packing, pii, repetition, secrets, simhash, tokens, toxicity
 from terrasheaf.runtime import ship
 
 
@@ -61,7 +62,15 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op1_personal_data, op2_lm_scores, op3_quality_rules, op4_pack, op5_decontaminate, op6_toxicity, op7_simhash_groups, op8_chat_format, op9_token_counts, op10_secrets]
+def op12_shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.drop_shared_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES = [
+    *(op1_personal_data, op2_lm_scores, op3_quality_rules, op4_pack, op5_decontaminate, op6_toxicity, op7_simhash_groups, op8_chat_format),
+    *(op9_token_counts, op10_secrets, op12_shared_lines),
+]
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -79,6 +88,14 @@ counts AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT d
 found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN counts c ON d.doc_id = c.doc_id LEFT JOIN found f ON d.doc_id = f.doc_id""",
+    "op12_shared_lines": """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+each AS (SELECT r, i, parts[i] AS line, translate(trim(parts[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM docs, unnest(generate_series(1, len(parts))) AS u(i)),
+shared AS (SELECT key FROM each WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+kept AS (SELECT r, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM each WHERE key NOT IN (SELECT key FROM shared) GROUP BY r)
+SELECT d.doc_id, CAST(len(parts) AS BIGINT) AS n_lines, len(parts) - coalesce(k.n, 0) AS n_dropped, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.r = k.r""",
 }
 
 

@@ -49,7 +49,7 @@ def test_stages_take_empty_tables(spark, tmp_path):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_near_duplicates_lose_no_text_with_equal_or_null_ids(spark, tmp_path):
