@@ -97,6 +97,14 @@ def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mixed(mixed(a) * np.uint64(0x9E3779B97F4A7C15) + b)
 
 
+def parts_of(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each distinct number with its positions."""
+    order = np.argsort(values, kind="stable")
+    starts = np.flatnonzero(np.diff(values[order], prepend=-1)) if len(values) else []
+    for low, high in zip(starts, [*starts[1:], len(order)], strict=False):
+        yield int(values[order[low]]), order[low:high]
+
+
 def with_columns(batch: pa.RecordBatch, names: list[str], schema: pa.Schema, start: int, end: int, **columns) -> pa.RecordBatch:
     """Rows ``start`` to ``end`` of ``batch``'s columns ``names``, with further columns."""
     part = batch.slice(start, end - start)

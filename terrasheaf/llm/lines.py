@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrasheaf.llm.common import SharedFiles, runs, scratch_path, texts_of, with_columns
+from terrasheaf.llm.common import SharedFiles, parts_of, runs, scratch_path, texts_of, with_columns
 
 WHITE = b" \t\n\r\x0b\x0c"
 #: A filter is cut into segments of so many bits, each a file; a key's bits lie in one block of a segment, which is a page of memory.
@@ -89,11 +89,8 @@ class Filter:
         """Which hashes may have been seen twice, the files asked one after the other."""
         out = np.zeros(len(hashes), bool)
         segment, places = spots(hashes, self.segments)
-        order = np.argsort(segment, kind="stable")
-        edges = np.flatnonzero(np.diff(segment[order], prepend=-1))
-        for low, high in zip(edges, np.append(edges[1:], len(order)), strict=True):
-            mine = order[low:high]
-            bits = self.files.read(f"twice-{segment[mine[0]]}")
+        for k, mine in parts_of(segment):
+            bits = self.files.read(f"twice-{k}")
             at = places[mine]
             out[mine] = ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(1)
         return out
@@ -102,12 +99,9 @@ class Filter:
         """For each hash its row among the confirmed keys of its segment, or -1, with the first occurrence: (found, first id, first line, unnamed)."""
         out = np.full((len(hashes), 4), -1, np.int64)
         asked = np.flatnonzero(self.suspects(hashes))
-        segment = spots(hashes[asked], self.segments)[0]
-        order = np.argsort(segment, kind="stable")
-        edges = np.flatnonzero(np.diff(segment[order], prepend=-1))
-        for low, high in zip(edges, np.append(edges[1:], len(order)), strict=True):
-            mine = asked[order[low:high]]
-            table = self.files.read(f"keys-{segment[order[low]]}").view("<i8").reshape(5, -1)
+        for k, at in parts_of(spots(hashes[asked], self.segments)[0]):
+            mine = asked[at]
+            table = self.files.read(f"keys-{k}").view("<i8").reshape(5, -1)
             known, want = table[0].view("<u8"), hashes[mine]
             at, end = np.searchsorted(known, want[:, 0]), np.searchsorted(known, want[:, 0], "right")
             hit = np.full(len(mine), -1)

@@ -81,3 +81,8 @@ def test_places_survive_the_shuffle_and_filters_lose_no_repeat():
     segment, at = lines.spots(hashes, segments)
     hit = np.array([twice[s][p].all() for s, p in zip(segment.tolist(), at, strict=True)])
     assert hit[8_000:12_000].all() and hit[:2].all() and hit.mean() < 0.25
+
+
+def test_texts_without_a_shared_line(spark):
+    docs = spark.createDataFrame([(k, f"a {k}\nb {k}") for k in range(5)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in lines.drop_shared_lines(docs).collect()) == [(k, 2, 0, f"a {k}\nb {k}") for k in range(5)]
