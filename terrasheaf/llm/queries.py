@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasheaf.llm import chat, decontam, kneser_ney, lines, packing, pii, repetition, secrets, simhash, tokens, toxicity
+from terrasheaf.llm import alignment, chat, decontam, kneser_ney, lines, packing, pii, repetition, secrets, simhash, tokens, toxicity
 from terrasheaf.runtime import ship
 
 
@@ -67,9 +67,14 @@ def op12_shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.align_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return rows.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))).drop("groups")
+
+
 QUERIES = [
     *(op1_personal_data, op2_lm_scores, op3_quality_rules, op4_pack, op5_decontaminate, op6_toxicity, op7_simhash_groups, op8_chat_format),
-    *(op9_token_counts, op10_secrets, op12_shared_lines),
+    *(op9_token_counts, op10_secrets, op12_shared_lines, op13_align_tokenizers),
 ]
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
