@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasheaf.llm import alignment, chat, decontam, kneser_ney, lines, packing, pii, repetition, secrets, simhash, tokens, toxicity
+from terrasheaf.llm import alignment, chat, decontam, kneser_ney, lines, packing, pii, repetition, secrets, simhash, tokens, toxicity, trie
 from terrasheaf.runtime import ship
 
 
@@ -62,6 +62,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.drop_shared_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -74,7 +78,7 @@ def op13_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [
     *(op1_personal_data, op2_lm_scores, op3_quality_rules, op4_pack, op5_decontaminate, op6_toxicity, op7_simhash_groups, op8_chat_format),
-    *(op9_token_counts, op10_secrets, op12_shared_lines, op13_align_tokenizers),
+    *(op9_token_counts, op10_secrets, op11_prefix_trie, op12_shared_lines, op13_align_tokenizers),
 ]
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -93,6 +97,29 @@ counts AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT d
 found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN counts c ON d.doc_id = c.doc_id LEFT JOIN found f ON d.doc_id = f.doc_id""",
+    # CRC-32 a bit at a time, for want of a function; a leaf counts for its smallest member, a node's saving for its own
+    "op11_prefix_trie": """
+WITH own AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - (conv_id % 100 + 100) % 100 AS base, count(*) AS n_own, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+    flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 6 AS h FROM own GROUP BY conv_id),
+lent AS (SELECT c.conv_id, c.h, least(c.h, coalesce(b.n_own, 0)) AS k FROM convs c LEFT JOIN convs b ON c.base = b.conv_id),
+turns AS (SELECT l.conv_id, o.pos AS d, role, text FROM lent l JOIN own o ON o.conv_id = l.conv_id - (l.conv_id % 100 + 100) % 100 AND o.pos <= l.k
+    UNION ALL SELECT l.conv_id, o.pos - l.h + l.k, role, text FROM lent l JOIN own o ON o.conv_id = l.conv_id AND o.pos > l.h),
+chains AS (SELECT conv_id, d, length(text) AS chars, max(d) OVER (PARTITION BY conv_id) AS l,
+    md5(string_agg(md5(concat(length(role), ':', role, text)), '') OVER (PARTITION BY conv_id ORDER BY d)) AS node,
+    md5(coalesce(string_agg(md5(concat(length(role), ':', role, text)), '') OVER (PARTITION BY conv_id ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '')) AS up FROM turns),
+nodes AS (SELECT d, node, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = l) AS ends FROM chains GROUP BY d, node),
+kids AS (SELECT up, d - 1 AS d, count(*) AS n FROM nodes GROUP BY 1, 2),
+known AS (SELECT a.*, coalesce(k.n, 0) AS n_children, CASE WHEN a.d > 1 THEN p.conv_id END AS parent FROM nodes a LEFT JOIN kids k ON a.node = k.up AND a.d = k.d LEFT JOIN nodes p ON a.up = p.node AND a.d - 1 = p.d),
+worth AS (SELECT c.conv_id, c.d, c.node, CAST(a.conv_id = c.conv_id AND a.n_children = 0 AS BIGINT) AS leaf, CASE WHEN a.conv_id = c.conv_id THEN (a.n_convs - 1) * a.chars ELSE 0 END AS saved FROM chains c JOIN known a ON c.d = a.d AND c.node = a.node),
+below AS (SELECT d, node, sum(leaf) OVER w AS leaves, sum(saved) OVER w AS saved FROM worth WINDOW w AS (PARTITION BY conv_id ORDER BY d ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+sums AS (SELECT d, node, CAST(sum(leaves) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM below GROUP BY 1, 2),
+root AS (SELECT min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE conv_id NOT IN (SELECT conv_id FROM turns)) AS ends FROM convs)
+SELECT conv_id, CAST(0 AS BIGINT) AS depth, CAST(NULL AS BIGINT) AS parent_conv_id, n_convs, (SELECT count(*) FROM nodes WHERE d = 1) AS n_children,
+    greatest((SELECT CAST(sum(n_leaves) AS BIGINT) FROM sums WHERE d = 1), 1) AS n_leaves, coalesce((SELECT CAST(sum(saved_tokens) AS BIGINT) FROM sums WHERE d = 1), 0) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256 FROM root
+UNION ALL SELECT a.conv_id, a.d, coalesce(a.parent, (SELECT conv_id FROM root)), n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ends, '')) FROM known a JOIN sums s ON a.d = s.d AND a.node = s.node""",
     "op12_shared_lines": """
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 each AS (SELECT r, i, parts[i] AS line, translate(trim(parts[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
