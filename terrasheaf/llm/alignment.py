@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 import sys
-from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +51,7 @@ class Aligner:
             self.bytes_a[i] = bytes(map(shown.get, token)) if all(c in shown for c in token) else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.size_a, self.size_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
         self.space = self.b.piece_to_id("▁")
         before = self.a.pre_tokenizer.pre_tokenize_str(" a  b\n\n c1 d ")
         plain = self.a.normalizer is None and [s for s, _ in before] == ["Ġa", "Ġ", "Ġb", "ĊĊ", "Ġc", "1", "Ġd", "Ġ"]
@@ -75,42 +75,57 @@ class Aligner:
             else:
                 yield part[1:].split(" ")
 
-    def align(self, words: list[str]) -> list[tuple[list[int], list[int], list[tuple[int, int, int, int]]] | None]:
-        """For each word the ids of both and its groups (from, to, from, to); None where the tokens' bytes are not the word's."""
+    def align(self, words: list[str]) -> Aligned:
+        """Both tokenizers' ids of all words, and the groups that they make."""
+        true = [bool(w or self.splits) for w in words]
         encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
         firsts = [e.ids for e in encode([" " + w for w in words], add_special_tokens=False)]
-        seconds = [b or [self.space] for b in self.b.encode(words, num_threads=1)]
-        return [(a, b, self.groups(a, b)) if self.true(w, a, b) else None for w, a, b in zip(words, firsts, seconds, strict=True)]
-
-    def true(self, word: str, a: list[int], b: list[int]) -> bool:
-        want = b" " + word.encode()
-        return b"".join(map(self.bytes_a.__getitem__, a)) == want == b"".join(map(self.bytes_b.__getitem__, b))
-
-    def groups(self, a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
-        if len(a) == len(b) == 1:
-            return [(0, 1, 0, 1)]
-        out, from_a, from_b, to_a, to_b, end_a, end_b = [], 0, 0, 1, 1, self.size_a[a[0]], self.size_b[b[0]]
-        while True:
-            if end_a == end_b:
-                out.append((from_a, to_a, from_b, to_b))
-                if to_a == len(a):
-                    return out
-                from_a, from_b = to_a, to_b
-                end_a += self.size_a[a[to_a]]
-                end_b += self.size_b[b[to_b]]
-                to_a += 1
-                to_b += 1
-            elif end_a < end_b:
-                end_a += self.size_a[a[to_a]]
-                to_a += 1
+        seconds = self.b.encode(words, num_threads=1)
+        for k, w in enumerate(words):
+            if self.splits:  # then only what stands for a space can be told from one no more
+                true[k] = "▁" not in w
+                if not w:
+                    seconds[k] = [self.space]
             else:
-                end_b += self.size_b[b[to_b]]
-                to_b += 1
-
-    def pairs(self, a: list[int], b: list[int], groups: list[tuple[int, int, int, int]]) -> array:
-        """The links' id pairs as numbers; in each group the last tokens end together, and no others do."""
-        n = len(self.bytes_b)
-        return array("Q", [a[x - 1] * n + b[y - 1] for _, x, _, y in groups])
+                want = b" " + w.encode()
+                true[k] = b"".join(map(self.bytes_a.__getitem__, firsts[k])) == want == b"".join(map(self.bytes_b.__getitem__, seconds[k]))
+        return Aligned(self, firsts, seconds, true)
+
+
+class Aligned:
+    """Words' tokens in one row, cut into groups where tokens of both end. As the tokens of a word have as many bytes on either side, the ends
+    of all words' tokens can be compared at once."""
+
+    def __init__(self, both: Aligner, firsts: list[list[int]], seconds: list[list[int]], true: list[bool]):
+        self.true = true
+        flat = lambda lists: np.fromiter(chain.from_iterable(x for x, ok in zip(lists, true, strict=True) if ok), np.int64)
+        self.a, self.b = flat(firsts), flat(seconds)
+        ends_a, ends_b = np.cumsum(both.size_a[self.a]), np.cumsum(both.size_b[self.b])
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        self.last_a, self.last_b = np.searchsorted(ends_a, common), np.searchsorted(ends_b, common)
+        # in each group the last tokens end together, and no others do
+        self.pairs = (self.a[self.last_a] * len(both.bytes_b) + self.b[self.last_b]).astype(np.uint64)
+        self.sizes_a = np.fromiter((len(x) if ok else 0 for x, ok in zip(firsts, true, strict=True)), np.int64, len(true))
+        self.sizes_b = np.fromiter((len(x) if ok else 0 for x, ok in zip(seconds, true, strict=True)), np.int64, len(true))
+        ends = np.cumsum(self.sizes_a)
+        #: Where each word's groups begin, and after them the end.
+        self.starts = np.concatenate([[0], np.searchsorted(self.last_a, ends - 1, "right")])
+        self.starts[1:][ends == 0] = 0
+
+    def per_word(self, values: np.ndarray) -> np.ndarray:
+        """Sums over each word's groups."""
+        total = np.concatenate([[0], np.cumsum(values)])
+        return total[self.starts[1:]] - total[self.starts[:-1]]
+
+    def texts(self) -> list[str]:
+        """Each word's groups as text."""
+        a, b = [str(x) for x in self.a.tolist()], [str(x) for x in self.b.tolist()]
+        groups, i, j = [], 0, 0
+        for x, y in zip((self.last_a + 1).tolist(), (self.last_b + 1).tolist(), strict=True):
+            groups.append(f"{a[i]}|{b[j]}" if x == i + 1 and y == j + 1 else f"{','.join(a[i:x])}|{','.join(b[j:y])}")
+            i, j = x, y
+        starts = self.starts.tolist()
+        return [";".join(groups[i:j]) for i, j in zip(starts, starts[1:])]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -123,11 +138,19 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 
 
 class Memo:
-    """What is known of words. Values come from ``made`` (words -> values) for all new words of a slice at once."""
+    """What is known of words. Values come from ``made`` (words -> values, None for words without tokens) for all new words of a slice at once."""
 
     def __init__(self, made: Callable[[list[str]], list]):
         self.made, self.known, self.bad = made, {}, set()
 
+    @staticmethod
+    def of(name: tuple, made: Callable[[list[str]], list]) -> Memo:
+        """This worker's memo of the given name, which later tasks of the same pass find; that of another pass goes."""
+        if name not in _memos:
+            _memos.clear()
+            _memos[name] = Memo(made)
+        return _memos[name]
+
     def add(self, lists: list[list[str]]) -> None:
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
@@ -146,6 +169,9 @@ class Memo:
                     self.bad.discard(w)
 
 
+_memos: dict[tuple, Memo] = {}
+
+
 def key_range(keys: np.ndarray) -> np.ndarray:
     return (mixed(keys) >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64)
 
@@ -275,7 +301,13 @@ def count_pairs(texts: DataFrame, path_a: str, path_b: str) -> PairCounts:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(path_a, path_b)
-        memo = Memo(lambda words: [None if x is None else both.pairs(*x).tobytes() for x in both.align(words)])
+
+        def pairs(words: list[str]) -> list[bytes | None]:
+            found = both.align(words)
+            data, at = found.pairs.tobytes(), (found.starts * 8).tolist()
+            return [data[i:j] if ok else None for i, j, ok in zip(at, at[1:], found.true)]
+
+        memo = Memo.of((files.uri, "pairs"), pairs)
         node, parts, held = TaskContext.get().partitionId(), [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))], 0
 
         def blocks() -> pa.RecordBatch:
@@ -397,21 +429,13 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_i
 
         def known(words: list[str]) -> list[tuple | None]:
             found = both.align(words)
-            pairs = [b"" if x is None else both.pairs(*x).tobytes() for x in found]
-            sums, best = counts.look_up(np.frombuffer(b"".join(pairs), np.uint64), ids_b)
-            at, out = 0, []
-            for x, p in zip(found, pairs, strict=True):
-                n = len(p) >> 3
-                if x is None:
-                    out.append(None)
-                else:
-                    a, b, groups = x
-                    text = ";".join(f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}" for i, j, k, m in groups)
-                    out.append((len(a), len(b), n, n, int(best[at : at + n].sum()), int(sums[at : at + n].sum()), text))
-                at += n
-            return out
-
-        memo = Memo(known)
+            sums, best = counts.look_up(found.pairs, ids_b)
+            ones = np.ones(len(sums), np.int64)
+            n = found.per_word(ones).tolist()
+            columns = (found.sizes_a.tolist(), found.sizes_b.tolist(), n, n, found.per_word(best).tolist(), found.per_word(sums.astype(np.int64)).tolist(), found.texts())
+            return [x if ok else None for ok, x in zip(found.true, zip(*columns, strict=True), strict=True)]
+
+        memo = Memo.of((counts.files.uri, "rows"), known)
 
         def row(parts: Iterator[list[str]]) -> tuple:
             """The sums over a text's words and its groups."""
