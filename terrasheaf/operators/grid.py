@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrasheaf.functions import geometry as G
+from terrasheaf.operators.spans import span_cells
 
 CELL = ["tile", "row", "col"]
 
@@ -20,12 +21,11 @@ def cell_centre(row: Column, col: Column) -> tuple[Column, Column]:
     return F.col("x0") + (col + 0.5) * F.col("dx"), F.col("y0") + (row + 0.5) * F.col("dy")
 
 
-def rasterize(rings: DataFrame, grids: DataFrame, keep: list[str], overlay: str = "mask", order: str | None = None) -> DataFrame:
-    """(tile, row, col and ``keep``): the cells whose centre lies in a ring. In ``mask`` form a cell may belong to several rings; in ``burn``
-    form the ring that is last in ``order`` takes it.
+def ring_spans(rings: DataFrame, grids: DataFrame, keep: list[str]) -> DataFrame:
+    """(tile, row, low, high and ``keep``): the stretches of each row whose cells' centres lie in a ring.
 
-    A ring is exploded to the rows of its bounding box, a row to the stretches between the ring's crossings with the row's centre line, and
-    only the cells of those stretches become rows: no cell is tested one by one, and no ring meets cells far from it."""
+    A ring is exploded to the rows of its bounding box, a row to the stretches between the ring's crossings with the row's centre line: no
+    cell is tested one by one, and no ring meets cells far from it."""
     box = rings.join(grids, "tile").withColumn("box", G.ring_bbox(F.col("ring")))
     index = lambda v, zero, step, n: F.greatest(F.lit(0), F.least(n - 1, F.floor((v - zero) / step).cast("int")))
     r0, r1 = (index(F.col(f"box.{a}"), F.col("y0"), F.col("dy"), F.col("nrows")) for a in ("miny", "maxy"))
@@ -43,7 +43,13 @@ def rasterize(rings: DataFrame, grids: DataFrame, keep: list[str], overlay: str
 
     pairs = F.when(F.size("cross") >= 2, F.transform(F.sequence(F.lit(0), F.floor(F.size("cross") / 2).cast("int") - 1), stretch))
     spans = rows.withColumn("span", F.explode(pairs)).where("span.low <= span.high")
-    hit = spans.withColumn("col", F.explode(F.sequence("span.low", "span.high")))
+    return spans.select("tile", "row", F.col("span.low").alias("low"), F.col("span.high").alias("high"), *(k for k in keep if k != "tile"))
+
+
+def rasterize(rings: DataFrame, grids: DataFrame, keep: list[str], overlay: str = "mask", order: str | None = None) -> DataFrame:
+    """(tile, row, col and ``keep``): the cells whose centre lies in a ring, a row for each. In ``mask`` form a cell may belong to several rings;
+    in ``burn`` form the ring that is last in ``order`` takes it."""
+    hit = ring_spans(rings, grids, keep).withColumn("col", F.explode(F.sequence("low", "high")))
     if overlay == "mask":
         return hit.select(*CELL, *keep)
     top = hit.groupBy(*CELL).agg(F.max_by(F.struct(*keep), F.col(order)).alias("k"))
@@ -51,8 +57,9 @@ def rasterize(rings: DataFrame, grids: DataFrame, keep: list[str], overlay: str
 
 
 def zonal_join(rings: DataFrame, grids: DataFrame, pixels: DataFrame, keep: list[str]) -> DataFrame:
-    """Each ring's cells with the pixels' values."""
-    return rasterize(rings, grids, keep).join(pixels, CELL)
+    """(tile, row, col, ``keep``, value): each ring's cells with the pixels' values. Spans meet blocks of pixels, so cells without a pixel are
+    never rows."""
+    return span_cells(ring_spans(rings, grids, keep), pixels, keep)
 
 
 def grid_check(a: DataFrame, b: DataFrame) -> DataFrame:

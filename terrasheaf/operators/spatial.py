@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from terrasheaf.functions.geometry import ring_bbox
 from terrasheaf.functions.keys import state_code
-from terrasheaf.operators.grid import CELL, rasterize
+from terrasheaf.operators.grid import ring_spans
+from terrasheaf.operators.spans import shared_cells
 from terrasheaf.runtime import stored
 
 BOX = ["minx", "miny", "maxx", "maxy"]
@@ -91,10 +92,12 @@ def tile_scope(df: DataFrame, scope: DataFrame) -> DataFrame:
 
 def overlay_area(fields: DataFrame, others: DataFrame, grids: DataFrame, field_key: str, other_key: str) -> DataFrame:
     """(field, other, overlap_area, pct): areas shared by rings of two tables, measured in cells of one grid. The error of an area is at most
-    its perimeter times the cell size."""
-    mine, theirs = rasterize(fields, grids, [field_key]), rasterize(others, grids, [other_key])
-    shared = mine.join(theirs, CELL).groupBy("tile", field_key, other_key).agg(F.count(F.lit(1)).alias("cells"))
-    size = mine.groupBy("tile", field_key).agg(F.count(F.lit(1)).alias("all_cells"))
+    its perimeter times the cell size.
+
+    Both become spans of their rows; a sweep over the spans of some rows gives what each two share, so rows grow with perimeters."""
+    mine, theirs = ring_spans(fields, grids, [field_key]), ring_spans(others, grids, [other_key])
+    shared = shared_cells(mine, theirs, field_key, other_key)
+    size = mine.groupBy("tile", field_key).agg(F.sum(F.col("high") - F.col("low") + 1).alias("all_cells"))
     area = F.abs(F.col("dx") * F.col("dy"))
     return shared.join(size, ["tile", field_key]).join(grids, "tile").select("tile", field_key, other_key, (F.col("cells") * area).alias("overlap_area"), (100.0 * F.col("cells") / F.col("all_cells")).alias("pct"))
 

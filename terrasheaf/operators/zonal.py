@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrasheaf.functions.keys import year_month
-from terrasheaf.operators.grid import zonal_join
+from terrasheaf.operators.grid import ring_spans
+from terrasheaf.operators.spans import span_statistics
 
 
 def zonal_columns(df: DataFrame, spec: list[tuple[str, str, object]]) -> DataFrame:
@@ -25,10 +26,12 @@ def work_units(tiles: DataFrame, periods: DataFrame) -> DataFrame:
 
 
 def zonal_stats(rings: DataFrame, grids: DataFrame, pixels: DataFrame, keys: list[str], stats: tuple[str, ...] = ("mean",), digits: int = 6) -> DataFrame:
-    """Mean (and max) of the pixels in each ring with their number, by ``keys``; rings without a pixel are left out."""
-    made = {"mean": F.round(F.avg("value"), digits).alias("mean"), "max": F.round(F.max("value"), digits).alias("max")}
-    extra = [k for k in keys if k not in pixels.columns and k != "tile"]
-    return zonal_join(rings, grids, pixels, extra).groupBy(*keys).agg(*(made[s] for s in stats), F.count(F.lit(1)).alias("pixel_count"))
+    """Mean (and max) of the pixels in each ring with their number, by ``keys`` (tile and columns of ``rings``); rings without a pixel are left
+    out, a null value counts as a pixel only. Sums are two look-ups for each row of a ring in the running sums of its block of pixels."""
+    sums = span_statistics(ring_spans(rings, grids, keys), pixels, keys, "max" in stats)
+    top = F.when(F.col("known") > 0, F.col("top")).cast(dict(pixels.dtypes)["value"])
+    made = {"mean": F.round(F.try_divide(F.col("s"), F.col("known")), digits).alias("mean"), "max": F.round(top, digits).alias("max")}
+    return sums.select(*keys, *(made[s] for s in stats), F.col("n").alias("pixel_count"))
 
 
 def value_counts(rows: DataFrame, keys: list[str], value: Column, values: dict[str, object]) -> DataFrame:

@@ -14,9 +14,9 @@ _shipped: set[str] = set()
 _own_dirs: dict[str, str] = {}
 
 
-#: A key that more than this share of all rows hold is heavy, so there are fewer heavy keys than its inverse; one of fewer rows than the other
-#: number never is.
-HEAVY_SHARE, HEAVY_ROWS = 1 / 1000, 100_000
+#: A key that more than this share of all rows hold is heavy, so there are fewer heavy keys than its inverse and a table of them is small; one
+#: of fewer rows than the other number never is.
+HEAVY_SHARE, HEAVY_ROWS = 1 / 100_000, 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,8 +47,8 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
 def join_counted(rows: DataFrame, table: DataFrame, keys: str | list[str], count: str) -> DataFrame:
     """``rows`` with the columns of ``table``, which has one row for every key in ``rows`` and says in ``count`` how many rows hold it.
 
-    Heavy keys, a thousand at most whatever the data, are broadcast and joined where their rows are; only the others are shuffled, so no
-    task gets more than a thousandth of all rows for one key. Rows with a null in a key are left out. Both are read twice if there are heavy
+    Heavy keys, a hundred thousand at most whatever the data, are broadcast and joined where their rows are; only the others are shuffled, so
+    one key brings a task no more than ``HEAVY_ROWS`` rows, or ten million of a trillion. Rows with a null in a key are left out. Both are read twice if there are heavy
     keys, and should be stored tables."""
     keys = [keys] if isinstance(keys, str) else keys
     total, largest = table.agg(F.sum(count), F.max(count)).first()
@@ -61,6 +61,25 @@ def join_counted(rows: DataFrame, table: DataFrame, keys: str | list[str], count
     return there.unionByName(rest)
 
 
+def split_crowded(a: DataFrame, b: DataFrame, keys: list[str], most: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both tables with ``keys`` and, where a key has more than ``most`` rows in ``a`` (a stored table), a part: its rows in ``a`` are dealt to
+    parts of about ``most``, and its rows in ``b`` go to each of them. Returns the tables and the keys to group or join them by.
+
+    Crowded keys are broadcast; as few as a hundred thousand can be, since ``most`` rises to that share of all rows."""
+    counts = a.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
+    most = max(most, int((total or 0) * HEAVY_SHARE))
+    if (largest or 0) <= most:
+        return a, b, keys
+    part = f"__part{len(keys)}"
+    crowded = F.broadcast(counts.where(F.col("__n") > most).select(*keys, F.ceil(F.col("__n") / most).alias("__splits")))
+    splits = F.coalesce("__splits", F.lit(1).cast("long"))
+    own = [c for c in a.columns if c not in keys]
+    dealt = a.join(crowded, keys, "left").withColumn(part, F.pmod(F.xxhash64(*own) if own else F.monotonically_increasing_id(), splits)).drop("__splits")
+    copied = b.join(crowded, keys, "left").withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), splits - 1))).drop("__splits")
+    return dealt, copied, [*keys, part]
+
+
 def ship(spark: SparkSession) -> None:
     """Lets Python workers import this package, once for each application; a cluster that has it installed loses nothing."""
     app = spark.sparkContext.applicationId
