@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import sys
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -26,6 +26,9 @@ KEPT_WORDS, KEPT_CHARS = 400_000, 80
 #: Characters of a text that are split into words at a time, bytes of texts likewise, and distinct pairs that a task holds before it sends them.
 PART_CHARS, SLICE_BYTES, FLUSH = 1 << 20, 4 << 20, 2_000_000
 
+#: Words that are encoded in a row.
+JOINED = 64
+
 #: A space after something that isn't white space, where no token of either side goes across; other white space before a space.
 BORDER = re.compile(r"(?<=\S)(?= )")
 ODD = [chr(c) + " " for c in range(sys.maxunicode + 1) if chr(c).isspace()]
@@ -76,41 +79,57 @@ class Aligner:
                 yield part[1:].split(" ")
 
     def align(self, words: list[str]) -> Aligned:
-        """Both tokenizers' ids of all words, and the groups that they make."""
-        true = [bool(w or self.splits) for w in words]
+        """Both tokenizers' ids of all words, and the groups that they make. Words that end in no white space are encoded ``JOINED`` at a time, in
+        a row, as they would stand in a text."""
+        plain = [k for k, w in enumerate(words) if self.splits and w and not w[-1].isspace() and "▁" not in w]
+        taken = set(plain)
+        odd = [k for k, w in enumerate(words) if k not in taken and not (self.splits and "▁" in w)]
         encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        firsts = [e.ids for e in encode([" " + w for w in words], add_special_tokens=False)]
-        seconds = self.b.encode(words, num_threads=1)
-        for k, w in enumerate(words):
-            if self.splits:  # then only what stands for a space can be told from one no more
-                true[k] = "▁" not in w
-                if not w:
-                    seconds[k] = [self.space]
-            else:
-                want = b" " + w.encode()
-                true[k] = b"".join(map(self.bytes_a.__getitem__, firsts[k])) == want == b"".join(map(self.bytes_b.__getitem__, seconds[k]))
-        return Aligned(self, firsts, seconds, true)
+
+        def encoded(rows: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+            firsts = [e.ids for e in encode([" " + r for r in rows], add_special_tokens=False)]
+            seconds = self.b.encode(rows, num_threads=1)
+            return firsts, [b or [self.space] * (not r) for r, b in zip(rows, seconds, strict=True)] if self.splits else seconds
+
+        rows = [" ".join(words[k] for k in plain[i : i + JOINED]) for i in range(0, len(plain), JOINED)] + [words[k] for k in odd]
+        firsts, seconds = encoded(rows)
+        size = sum(1 + len(r.encode()) for r in rows)
+        if not self.splits or any(int(n[list(chain.from_iterable(x))].sum()) != size for n, x in ((self.size_a, firsts), (self.size_b, seconds))):
+            plain, odd = [], plain + odd  # one by one, as some have tokens of other bytes
+            firsts, seconds = encoded([words[k] for k in odd])
+            true = [self.true(words[k], a, b) for k, a, b in zip(odd, firsts, seconds, strict=True)]
+            odd, firsts, seconds = ([x for x, ok in zip(lists, true, strict=True) if ok] for lists in (odd, firsts, seconds))
+        return Aligned(self, words, plain + odd, firsts, seconds)
+
+    def true(self, text: str, a: list[int], b: list[int]) -> bool:
+        return b"".join(map(self.bytes_a.__getitem__, a)) == b" " + text.encode() == b"".join(map(self.bytes_b.__getitem__, b))
 
 
 class Aligned:
-    """Words' tokens in one row, cut into groups where tokens of both end. As the tokens of a word have as many bytes on either side, the ends
-    of all words' tokens can be compared at once."""
+    """The tokens of words ``order`` in one row, cut into groups where tokens of both end. As a word's tokens have as many bytes on either side,
+    the ends of all words' tokens can be compared at once. The words that are not in ``order`` have no tokens."""
 
-    def __init__(self, both: Aligner, firsts: list[list[int]], seconds: list[list[int]], true: list[bool]):
-        self.true = true
-        flat = lambda lists: np.fromiter(chain.from_iterable(x for x, ok in zip(lists, true, strict=True) if ok), np.int64)
-        self.a, self.b = flat(firsts), flat(seconds)
+    def __init__(self, both: Aligner, words: list[str], order: list[int], firsts: list[list[int]], seconds: list[list[int]]):
+        self.count, self.order = len(words), order
+        self.a, self.b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (firsts, seconds))
         ends_a, ends_b = np.cumsum(both.size_a[self.a]), np.cumsum(both.size_b[self.b])
-        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        self.last_a, self.last_b = np.searchsorted(ends_a, common), np.searchsorted(ends_b, common)
+        at = np.searchsorted(ends_b, ends_a)
+        self.last_a = np.flatnonzero(ends_b[at] == ends_a) if len(ends_b) else at
+        self.last_b = at[self.last_a]
         # in each group the last tokens end together, and no others do
         self.pairs = (self.a[self.last_a] * len(both.bytes_b) + self.b[self.last_b]).astype(np.uint64)
-        self.sizes_a = np.fromiter((len(x) if ok else 0 for x, ok in zip(firsts, true, strict=True)), np.int64, len(true))
-        self.sizes_b = np.fromiter((len(x) if ok else 0 for x, ok in zip(seconds, true, strict=True)), np.int64, len(true))
-        ends = np.cumsum(self.sizes_a)
+        ends = np.cumsum(np.fromiter((1 + len(words[k].encode()) for k in order), np.int64, len(order)))
+        cut = lambda all_ends: np.concatenate([[0], np.searchsorted(all_ends, ends, "right")])
+        self.sizes_a, self.sizes_b = np.diff(cut(ends_a)), np.diff(cut(ends_b))
         #: Where each word's groups begin, and after them the end.
-        self.starts = np.concatenate([[0], np.searchsorted(self.last_a, ends - 1, "right")])
-        self.starts[1:][ends == 0] = 0
+        self.starts = cut(ends_a[self.last_a])
+
+    def spread(self, values: Iterable) -> list:
+        """Values of the words that have tokens, in the order of all words; None for the others."""
+        out = [None] * self.count
+        for k, value in zip(self.order, values, strict=True):
+            out[k] = value
+        return out
 
     def per_word(self, values: np.ndarray) -> np.ndarray:
         """Sums over each word's groups."""
@@ -305,7 +324,7 @@ def count_pairs(texts: DataFrame, path_a: str, path_b: str) -> PairCounts:
         def pairs(words: list[str]) -> list[bytes | None]:
             found = both.align(words)
             data, at = found.pairs.tobytes(), (found.starts * 8).tolist()
-            return [data[i:j] if ok else None for i, j, ok in zip(at, at[1:], found.true)]
+            return found.spread([data[i:j] for i, j in zip(at, at[1:])])
 
         memo = Memo.of((files.uri, "pairs"), pairs)
         node, parts, held = TaskContext.get().partitionId(), [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))], 0
@@ -433,7 +452,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_i
             ones = np.ones(len(sums), np.int64)
             n = found.per_word(ones).tolist()
             columns = (found.sizes_a.tolist(), found.sizes_b.tolist(), n, n, found.per_word(best).tolist(), found.per_word(sums.astype(np.int64)).tolist(), found.texts())
-            return [x if ok else None for ok, x in zip(found.true, zip(*columns, strict=True), strict=True)]
+            return found.spread(list(zip(*columns, strict=True)))
 
         memo = Memo.of((counts.files.uri, "rows"), known)
 
