@@ -39,6 +39,18 @@ def covariate_join(corn: DataFrame, tillage: DataFrame, vpd: DataFrame, soil: Da
     return corn.join(tillage, FIELD_YEAR).join(vpd, FIELD_YEAR).join(soil, "tile_field_ID").join(county, "tile_field_ID")
 
 
+def copartitioned_join(corn: DataFrame, tillage: DataFrame, vpd: DataFrame, soil: DataFrame, county: DataFrame) -> DataFrame:
+    """``covariate_join`` of tables that lie in as many buckets of the field each (``runtime.bucketed``): no table is shuffled.
+
+    Spark reuses such buckets only for joins on the field alone, so years are compared in the condition, of which a field has a few dozen."""
+
+    def in_year(left: DataFrame, right: DataFrame) -> DataFrame:
+        same = (F.col("l.tile_field_ID") == F.col("r.tile_field_ID")) & (F.col("l.year") - F.col("r.year") == 0)
+        return left.alias("l").join(right.alias("r"), same).select("l.*", *(f"r.{c}" for c in right.columns if c not in FIELD_YEAR))
+
+    return in_year(in_year(corn, tillage), vpd).join(soil, "tile_field_ID").join(county, "tile_field_ID")
+
+
 def coverage_funnel(corn: DataFrame, tillage: DataFrame, vpd: DataFrame, soil: DataFrame, county: DataFrame) -> DataFrame:
     """One row: corn rows, how many are lost at each join in turn, and how many are left."""
     mark = lambda df, keys, name: df.select(*keys).distinct().withColumn(name, F.lit(True))

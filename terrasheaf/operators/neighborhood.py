@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,23 +101,68 @@ def design_matrix(rows: DataFrame, covariates: list[str], base_year: int = 2010)
     return done.withColumns({f"z_{first}_x_{c}": F.col(f"z_{first}") * F.col(f"z_{c}") for c in others}).drop(*(f"{n}_{c}" for n in "ms" for c in covariates))
 
 
+#: Triangles that are joined at a time, and neighbourhoods whose triangles a task holds.
+FAN, HELD = 32, 10_000
+
+
+def triangle(blocks: list[np.ndarray]) -> np.ndarray:
+    """The triangular factor of matrices on top of each other; with fewer rows than columns, filled up with zeros."""
+    stacked = np.concatenate(blocks)
+    r = np.linalg.qr(stacked, mode="r")
+    return np.concatenate([r, np.zeros((stacked.shape[1] - len(r), stacked.shape[1]))])
+
+
 def neighborhood_ols(design: DataFrame, y: str, xs: list[str]) -> DataFrame:
-    """Least squares per neighbourhood: cross products are summed by Spark, and only a matrix of the size of ``xs`` is solved per group."""
-    terms = {"1": F.lit(1.0)} | {x: F.col(x).cast("double") for x in xs}
-    names = list(terms)
-    full = design.dropna(subset=[y, *xs])
-    sums = [F.sum(terms[a] * terms[b]).alias(f"s{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i <= j]
-    sums += [F.sum(terms[a] * F.col(y)).alias(f"y{i}") for i, a in enumerate(names)]
-    grouped = full.groupBy("focal_fips").agg(*sums, F.count(F.lit(1)).alias("n"))
-    p = len(names)
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf.iloc[0]
-        xtx = np.array([[r[f"s{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)], float)
-        beta = np.linalg.lstsq(xtx, np.array([r[f"y{i}"] for i in range(p)], float), rcond=None)[0]
-        return pd.DataFrame({"focal_fips": [r["focal_fips"]] * p, "term": names, "estimate": beta, "n": [int(r["n"])] * p})
-
-    return grouped.groupBy("focal_fips").applyInPandas(solve, "focal_fips string, term string, estimate double, n long")
+    """Least squares per neighbourhood: (focal_fips, term, estimate, n), with term 1 for the intercept.
+
+    A tall, narrow QR factorisation: each task reduces its rows of a neighbourhood to the triangle of [1, xs, y], and triangles are joined to
+    one in a tree, ``FAN`` at a time; its upper left part has the singular values of the matrix itself, where cross products would have their
+    squares. Collinear columns get the solution of least norm. Rows with a null or NaN are left out."""
+    names = ["1", *xs]
+    columns = [F.lit(1.0).alias("x0"), *(F.col(x).cast("double").alias(f"x{k}") for k, x in enumerate(xs, 1)), F.col(y).cast("double").alias("y")]
+    rows = design.dropna(subset=["focal_fips", y, *xs]).select(F.col("focal_fips").cast("string").alias("focal_fips"), *columns)
+    width = len(names) + 1
+    schema = "focal_fips string, node long, n long, r binary"
+
+    def sent(held: dict[str, tuple[int, np.ndarray]], node: int) -> pa.RecordBatch:
+        data = [list(held), [node] * len(held), [n for n, _ in held.values()], [r.tobytes() for _, r in held.values()]]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(data, (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["focal_fips", "node", "n", "r"])
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, held = TaskContext.get().partitionId(), {}
+        for batch in batches:
+            keys = batch.column(0).dictionary_encode()
+            matrix = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(1, width + 1)], 1)
+            code = keys.indices.to_numpy()
+            order = np.argsort(code, kind="stable")
+            ends = np.searchsorted(code[order], np.arange(len(keys.dictionary) + 1))
+            for k, key in enumerate(keys.dictionary.to_pylist()):
+                n, r = held.get(key, (0, np.zeros((0, width))))
+                held[key] = n + int(ends[k + 1] - ends[k]), triangle([r, matrix[order[ends[k] : ends[k + 1]]]])
+            if len(held) > HELD:
+                yield sent(held, node)
+                held = {}
+        yield sent(held, node)
+
+    def joined(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        n = sum(group.column("n").to_pylist())
+        r = triangle([np.frombuffer(x.as_py()).reshape(width, width) for x in group.column("r")])
+        return pa.Table.from_batches([sent({key[0].as_py(): (n, r)}, key[1].as_py())])
+
+    parts = stored(rows.mapInArrow(reduced, schema), "triangles")
+    nodes = 1 + (parts.agg(F.max("node")).first()[0] or 0)
+    while nodes > 1:
+        nodes = -(-nodes // FAN)
+        parts = parts.withColumn("node", F.floor(F.col("node") / FAN)).groupBy("focal_fips", "node").applyInArrow(joined, schema)
+        if nodes > 1:
+            parts = stored(parts, "triangles")
+
+    def solved(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        r = triangle([np.frombuffer(x.as_py()).reshape(width, width) for x in group.column("r")])
+        beta = np.linalg.lstsq(r[:-1, :-1], r[:-1, -1], rcond=None)[0]
+        return pa.table({"focal_fips": [key[0].as_py()] * len(names), "term": names, "estimate": beta, "n": [sum(group.column("n").to_pylist())] * len(names)})
+
+    return parts.groupBy("focal_fips").applyInArrow(solved, "focal_fips string, term string, estimate double, n long")
 
 
 def draws_summary(draws: DataFrame, probs: tuple[float, float] = (0.05, 0.95)) -> DataFrame:

@@ -17,21 +17,29 @@ from terrasheaf.functions.keys import tillage_shares
 from terrasheaf.runtime import join_counted, stored
 
 
-def cumulative(df: DataFrame, keys: list[str], x: str) -> DataFrame:
-    """(keys, x, n, before): each distinct non-null value of ``x``, how often it occurs in its group and how many smaller ones there are.
+def ranged(counts: DataFrame, keys: list[str], x: str, names: list[str]) -> DataFrame:
+    """(keys, x, names, and before_<name> for each): how much of each count lies at smaller values of ``x`` in the group. ``counts`` has one row
+    for each value.
 
-    The distinct values are dealt to ranges of (keys, x) by Spark's range partitioning, as many as the session has shuffle partitions for
-    them: a group with many values gets many ranges and small groups share one. The ranges are stored, so they stay what they are when a
-    task runs again, and summed up one by one."""
-    counts = df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count(F.lit(1)).alias("n"))
+    The values are dealt to ranges of (keys, x) by Spark's range partitioning, as many as the session has shuffle partitions for them: a group
+    with many values gets many ranges and small groups share one. The ranges are stored, so they stay what they are when a task runs again,
+    and summed up one by one."""
     dealt = stored(counts.repartitionByRange(*keys, x).withColumn("__range", F.spark_partition_id()), "ranges")
-    totals = dealt.groupBy(*keys, "__range").agg(F.sum("n").alias("__n"))
+    totals = dealt.groupBy(*keys, "__range").agg(*(F.sum(n).alias(f"__{n}") for n in names))
     earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.withColumn("__start", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
+    starts = totals.select(*keys, "__range", *(F.coalesce(F.sum(f"__{n}").over(earlier), F.lit(0)).alias(f"__start_{n}") for n in names))
     inside = Window.partitionBy(*keys, "__range").orderBy(x).rowsBetween(Window.unboundedPreceding, -1)
-    placed = dealt.withColumn("__inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    joined = placed.join(starts, [*keys, "__range"])
-    return joined.select(*keys, x, "n", (F.col("__start") + F.col("__inside")).alias("before"))
+    placed = dealt.withColumns({f"__inside_{n}": F.coalesce(F.sum(n).over(inside), F.lit(0)) for n in names})
+    at = [F.col(f"{t}.{k}").eqNullSafe(F.col(f"b.{k}")) for t in "a" for k in [*keys, "__range"]]
+    joined = placed.alias("a").join(starts.alias("b"), at)
+    return joined.select(*(f"a.{c}" for c in [*keys, x, *names]), *((F.col(f"__start_{n}") + F.col(f"__inside_{n}")).alias(f"before_{n}") for n in names))
+
+
+def cumulative(df: DataFrame, keys: list[str], x: str) -> DataFrame:
+    """(keys, x, n, before): each distinct non-null value of ``x``, how often it occurs in its group and how many smaller ones there are. A null
+    key is a group of its own."""
+    counts = df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count(F.lit(1)).alias("n"))
+    return ranged(counts, keys, x, ["n"]).withColumnRenamed("before_n", "before")
 
 
 def average_rank() -> Column:
@@ -59,8 +67,67 @@ def quantiles_of(ranked: DataFrame, keys: list[str], x: str, probs: dict[str, fl
     return done.select(*keys, *((F.col(f"{n}__lo") + (F.col(f"{n}__hi") - F.col(f"{n}__lo")) * F.col(f"{n}__part")).alias(n) for n in probs))
 
 
-def quantiles(df: DataFrame, keys: list[str], x: str, probs: dict[str, float]) -> DataFrame:
-    return quantiles_of(stored(cumulative(df, keys, x), "ranked"), keys, x, probs)
+def with_rank(rows: DataFrame, x: str, keys: list[str], name: str = "rank") -> DataFrame:
+    """The rows of a stored table whose ``x`` is not null, with its rank in their group; a null key is a group too."""
+    named = {f"__k{i}": F.to_json(F.struct(F.col(k))) for i, k in enumerate(keys)}  # a struct's text is never null
+    ranks = stored(avg_rank(rows, x, keys, name).withColumns(named).drop(*keys), "ranks")
+    return join_counted(rows.where(F.col(x).isNotNull()).withColumns(named), ranks, [*named, x], "n").drop(*named, "n")
+
+
+#: Buckets that a group's values are counted in, on either of two passes.
+BUCKETS = 1024
+
+
+def bucket(x: Column, low: Column, high: Column) -> Column:
+    """Which of ``BUCKETS`` equal parts of (low, high) a value lies in; infinite ends are buckets of their own, NaN comes last."""
+    part = F.least(F.lit(BUCKETS - 1), F.floor((x - low) / (high - low) * BUCKETS).cast("int"))
+    wide = (high - low) == math.inf
+    return F.when(F.isnan(x), BUCKETS).when(low == high, 0).when(wide & (x == low), 0).when(wide & (x == high), BUCKETS - 1).when(wide, 1).otherwise(part)
+
+
+def quantiles(df: DataFrame, keys: list[str], x: str, probs: dict[str, float | Column]) -> DataFrame:
+    """Exact quantiles per group of a stored table, by linear interpolation between the two values nearest to (n - 1) * p. A probability may be a
+    column of ``keys``; a null one gives null. NaN is the largest value, as everywhere in Spark; a null key is a group.
+
+    By selection, not by sorting: the values of a group are counted in ``BUCKETS`` buckets between its ends, the buckets that hold a wanted
+    position are counted in as many again, and only values that share the last bucket are put in order. Counts are summed up before they are
+    shuffled, so a group may hold most rows."""
+    spot = {name: (F.col("total") - 1) * p for name, p in probs.items()}
+    wanted = F.array_distinct(F.array_compact(F.array(*(f(p).cast("long") for p in spot.values() for f in (F.floor, F.ceil)))))
+    v = df.where(F.col(x).isNotNull()).select(*keys, F.col(x).cast("double").alias("v"))
+    plain = F.when(~F.isnan("v"), F.col("v"))
+    ends = stored(v.groupBy(*keys).agg(F.min(plain).alias("low"), F.max(plain).alias("high"), F.count(F.lit(1)).alias("total")), "ends")
+
+    def with_ends(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+        match = F.lit(True)
+        for k in on:
+            match = match & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+        more = [c for c in table.columns if c not in on]
+        return rows.alias("l").join(table.alias("r") if on else F.broadcast(table).alias("r"), match).select("l.*", *(f"r.{c}" for c in more))
+
+    def chosen(rows: DataFrame, by: list[str], new: str) -> DataFrame:
+        """The buckets ``new`` within ``by`` that hold a wanted position, with their own ends and the positions."""
+        counts = rows.withColumn(new, bucket(F.col("v"), F.col("low"), F.col("high"))).groupBy(*by, new).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low_"), F.max("v").alias("high_"), F.first("total").alias("total"), F.first("start").alias("start"))
+        earlier = Window.partitionBy(*by).orderBy(new).rowsBetween(Window.unboundedPreceding, -1)
+        placed = counts.withColumn("start", F.col("start") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        ours = placed.withColumn("spots", F.filter(wanted, lambda t: (t >= F.col("start")) & (t < F.col("start") + F.col("n"))))
+        return stored(ours.where(F.size("spots") > 0).select(*by, new, F.col("low_").alias("low"), F.col("high_").alias("high"), "total", "start", "spots"), "buckets")
+
+    rows = with_ends(v, ends, keys).withColumn("start", F.lit(0).cast("long"))
+    first = chosen(rows, keys, "b1")
+    open_ = first.where("low < high").drop("spots")
+    inner = with_ends(rows.withColumn("b1", bucket(F.col("v"), F.col("low"), F.col("high"))).select(*keys, "b1", "v"), open_, [*keys, "b1"])
+    second = chosen(inner, [*keys, "b1"], "b2")
+    last = second.where("low < high").drop("spots")
+    left = with_ends(inner.withColumn("b2", bucket(F.col("v"), F.col("low"), F.col("high"))).select(*keys, "b1", "b2", "v"), last.select(*keys, "b1", "b2", "total", "start"), [*keys, "b1", "b2"])
+    order = cumulative(left, [*keys, "b1", "b2", "total", "start"], "v").select(*keys, "total", (F.col("start") + F.col("before")).alias("start"), "n", "v")
+    sorted_ = order.select(*keys, "total", "v", F.explode(F.filter(wanted, lambda t: (t >= F.col("start")) & (t < F.col("start") + F.col("n")))).alias("spot"))
+    alone = [t.where("low = high").select(*keys, "total", F.col("low").alias("v"), F.explode("spots").alias("spot")) for t in (first, second)]
+    found = sorted_.unionByName(alone[0]).unionByName(alone[1])
+    at = lambda f, p: F.max(F.when(F.col("spot") == f(p).cast("long"), F.col("v")))
+    done = found.groupBy(*keys).agg(*(c for n, p in spot.items() for c in (at(F.floor, p).alias(f"{n}__lo"), at(F.ceil, p).alias(f"{n}__hi"), F.max(p - F.floor(p)).alias(f"{n}__part"))))
+    between = lambda n: F.when(F.col(f"{n}__part") == 0, F.col(f"{n}__lo")).otherwise(F.col(f"{n}__lo") + (F.col(f"{n}__hi") - F.col(f"{n}__lo")) * F.col(f"{n}__part"))
+    return done.select(*keys, *(between(n).alias(n) for n in probs))
 
 
 def unpivot(df: DataFrame, keep: list[str], variables: list[str]) -> DataFrame:
@@ -86,10 +153,9 @@ def numeric_profile(df: DataFrame, variables: list[str]) -> DataFrame:
     """Per variable: rows, non-null and missing rows, distinct values, mean, deviation (0 for one value), extremes and quantiles."""
     long = stored(unpivot(df, [], variables), "profile")
     v = F.col("value")
-    ranked = stored(cumulative(long, ["variable"], "value"), "ranked")
     base = long.groupBy("variable").agg(F.count(F.lit(1)).alias("rows"), F.count(v).alias("non_null"), F.count_if(v.isNull()).alias("missing"), F.avg(v).alias("mean"), F.coalesce(F.stddev_samp(v), F.when(F.count(v) == 1, 0.0)).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
-    distinct = ranked.groupBy("variable").agg(F.count(F.lit(1)).alias("distinct_values"))
-    done = base.join(distinct, "variable", "left").join(quantiles_of(ranked, ["variable"], "value", PROFILE), "variable", "left")
+    distinct = long.dropna().distinct().groupBy("variable").agg(F.count(F.lit(1)).alias("distinct_values"))
+    done = base.join(distinct, "variable", "left").join(quantiles(long, ["variable"], "value", PROFILE), "variable", "left")
     return done.withColumn("missing_rate", F.col("missing") / F.col("rows")).fillna({"distinct_values": 0})
 
 
@@ -161,12 +227,45 @@ def yield_bivariate(df: DataFrame, predictors: list[str], y: str = "unscaled_yie
     return done.withColumns({"pearson_p": corr_p_value(F.col("pearson_r"), F.col("n")), "spearman_p": corr_p_value(F.col("spearman_r"), F.col("n"))})
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson's of the rows that have both; null where one does not vary. The moments of a constant are exactly zero."""
+    x_too, y_too = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.nullif(F.stddev_pop(x_too) * F.stddev_pop(y_too), F.lit(0.0)))
+
+
 def pairwise_corr(df: DataFrame, variables: list[str]) -> DataFrame:
-    """Both correlations of every two variables over the rows that have both."""
-    value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-    entries = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value(a).alias("x"), value(b).alias("y")) for a, b in combinations(variables, 2)))
-    pairs = stored(df.select(F.explode(entries).alias("e")).select("e.*").dropna(), "pairs")
-    return correlations(pairs, ["a", "b"]).select("a", "b", "n", "pearson_r", "spearman_r")
+    """Both correlations of every two variables over the rows that have both: (a, b, n, pearson_r, spearman_r); pairs without such rows are left
+    out.
+
+    Rows are written once, not once for each pair. Pearson's come from one aggregate of co-moments. For Spearman's a variable is ranked among
+    the rows that have the other one, and partners that are missing in the same rows share a ranking: values are counted for all rankings of
+    all variables in one pass, and each row gets its ranks back by one join."""
+    size = len(variables)
+    values = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"v{k}") for k, c in enumerate(variables)]
+    pattern = sum((F.when(F.col(f"v{k}").isNotNull(), 1 << k).otherwise(0) for k in range(size)), F.lit(0).cast("long"))
+    rows = stored(df.select(*values).withColumns({"row": F.monotonically_increasing_id(), "pattern": pattern}), "rows")
+    known = {r["pattern"]: r["n"] for r in rows.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()}  # 2 ** size rows at most
+    both = {(i, j): frozenset(p for p in known if p >> i & 1 and p >> j & 1) for i in range(size) for j in range(size) if i != j}
+    sets = {i: list(dict.fromkeys(both[i, j] for j in range(size) if i != j and both[i, j])) for i in range(size)}
+    pairs = [(i, j) for i, j in combinations(range(size), 2) if both[i, j]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "a string, b string, n long, pearson_r double, spearman_r double")
+    width = max(map(len, sets.values()))
+    member = [(i, p, *(int(k < len(sets[i]) and p in sets[i][k]) for k in range(width))) for i in range(size) for p in known if p >> i & 1]
+    names = [f"n{k}" for k in range(width)]
+    of = df.sparkSession.createDataFrame(member, "variable int, pattern long, " + ", ".join(f"m{k} int" for k in range(width)))
+    long = rows.select("row", "pattern", F.explode(F.array(*(F.struct(F.lit(k).alias("variable"), F.col(f"v{k}").alias("value")) for k in range(size)))).alias("e")).select("row", "pattern", "e.*").where("value IS NOT NULL")
+    counts = long.join(F.broadcast(of), ["variable", "pattern"]).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"), *(F.sum(f"m{k}").alias(n) for k, n in enumerate(names)))
+    ranks = stored(ranged(counts, ["variable"], "value", ["n", *names]).select("variable", "value", "n", F.array(*(F.col(f"before_{n}") + (F.col(n) + 1) / 2 for n in names)).alias("ranks")), "ranks")
+    ranked = join_counted(long.select("row", "variable", "value"), ranks, ["variable", "value"], "n")
+    wide = ranked.groupBy("row").agg(*(F.max(F.when(F.col("variable") == k, F.col("ranks"))).alias(f"r{k}") for k in range(size)))
+    place = lambda i, j: sets[i].index(both[i, j])
+    pearson = rows.agg(*(correlation(F.col(f"v{i}"), F.col(f"v{j}")).alias(f"p{i}_{j}") for i, j in pairs))
+    spearman = wide.agg(*(correlation(F.col(f"r{i}")[place(i, j)], F.col(f"r{j}")[place(j, i)]).alias(f"s{i}_{j}") for i, j in pairs))
+    least = lambda n, r: F.col(r) if n >= 3 else F.lit(None).cast("double")
+    total = {(i, j): sum(known[p] for p in both[i, j]) for i, j in pairs}
+    made = F.array(*(F.struct(F.lit(variables[i]).alias("a"), F.lit(variables[j]).alias("b"), F.lit(total[i, j]).cast("long").alias("n"), least(total[i, j], f"p{i}_{j}").alias("pearson_r"), least(total[i, j], f"s{i}_{j}").alias("spearman_r")) for i, j in pairs))
+    return pearson.crossJoin(F.broadcast(spearman)).select(F.explode(made).alias("e")).select("e.*")
 
 
 def binned_yield(df: DataFrame, predictors: list[str], bins: int = 10, y: str = "unscaled_yield", by_value: tuple[str, ...] = ("annual_tillage",)) -> DataFrame:
@@ -178,11 +277,11 @@ def binned_yield(df: DataFrame, predictors: list[str], bins: int = 10, y: str =
     keys = ["predictor"]
     pairs = unpivot(df.withColumn("y", F.nanvl(F.col(y).cast("double"), F.lit(None).cast("double"))), ["y"], predictors)
     pairs = stored(pairs.select(F.col("variable").alias("predictor"), F.col("value").alias("x"), "y").dropna(), "pairs")
-    ranked = stored(cumulative(pairs, keys, "x"), "ranked")
-    few = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("__few"))
-    cut = F.least(F.lit(bins), F.col("__few"))
-    probs = {f"e{k}": F.when(F.lit(k) <= cut, F.lit(k) / cut) for k in range(bins + 1)}
-    edges = quantiles_of(ranked.join(few, keys), keys, "x", probs).select(*keys, F.array_sort(F.array_distinct(F.array_compact(F.array(*probs)))).alias("edges"))
+    few = pairs.select(*keys, "x").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("__few"))
+    few = stored(few.withColumn("__cut", F.least(F.lit(bins), F.col("__few"))), "few")  # one row a predictor
+    probs = {f"e{k}": F.when(F.lit(k) <= F.col("__cut"), F.lit(k) / F.col("__cut")) for k in range(bins + 1)}
+    cut = pairs.join(F.broadcast(few.select(*keys, "__cut")), keys)
+    edges = quantiles(cut, [*keys, "__cut"], "x", probs).select(*keys, F.array_sort(F.array_distinct(F.array_compact(F.array(*probs)))).alias("edges"))
     single = (F.col("__few") <= 2) | F.col("predictor").isin(*by_value)
     made = few.join(edges, keys).select("predictor", single.alias("single"), "edges")  # one row a predictor
     number = F.size(F.filter(F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0))), lambda e: e < F.col("x"))) + 1

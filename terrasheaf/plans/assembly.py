@@ -19,9 +19,7 @@ COVARIATES = ["annual_tillage", "NCCPI", "vpdmax_7", "vpdmax_8"]
 
 
 def joined(t: Tables) -> DataFrame:
-    corn = t.corn.select("tile_field_ID", "year", "unscaled_yield")
-    t.keep("lines")  # tillage, climate and soil all read them
-    return C.covariate_join(corn, t.tillage, t.vpd, t.soil, t.county)
+    return C.covariate_join(t.corn.select("tile_field_ID", "year", "unscaled_yield"), t.tillage, t.vpd, t.soil, t.county)
 
 
 def model(t: Tables) -> DataFrame:
@@ -49,6 +47,13 @@ def D1_covariate_join(t: Tables) -> DataFrame:
     return joined(t)
 
 
+@query("SELECT * FROM {joined}")
+def D1_copartitioned_join(t: Tables) -> DataFrame:
+    """The same from tables that lie in buckets of the field."""
+    t.keep_by("tile_field_ID", "corn", "tillage", "vpd", "soil", "county")
+    return C.copartitioned_join(t.corn.select("tile_field_ID", "year", "unscaled_yield"), t.tillage, t.vpd, t.soil, t.county)
+
+
 @query("""SELECT count(*) AS corn_rows, count(*) FILTER (WHERE t IS NULL) AS missing_tillage, count(*) FILTER (WHERE t IS NOT NULL AND v IS NULL) AS missing_vpd,
 count(*) FILTER (WHERE t IS NOT NULL AND v IS NOT NULL AND s IS NULL) AS missing_soil, count(*) FILTER (WHERE t IS NOT NULL AND v IS NOT NULL AND s IS NOT NULL AND k IS NULL) AS missing_county,
 count(*) FILTER (WHERE t IS NOT NULL AND v IS NOT NULL AND s IS NOT NULL AND k IS NOT NULL) AS joined_rows
@@ -98,7 +103,7 @@ CROSS JOIN (SELECT (SELECT count(*) FROM {corn}) AS corn_rows, (SELECT count(*)
 
 def manifest(t: Tables) -> DataFrame:
     counts = t.corn.agg(F.count(F.lit(1)).alias("corn_rows")).crossJoin(t.tillage.agg(F.count(F.lit(1)).alias("tillage_rows")))
-    return N.neighborhood_manifest(model(t), edges(t), counts)
+    return N.neighborhood_manifest(C.required_values(joined(t), REQUIRED), edges(t), counts)  # which reads its rows once
 
 
 @query(MANIFEST)

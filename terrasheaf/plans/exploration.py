@@ -12,28 +12,31 @@ from terrasheaf.operators import stats as S
 from terrasheaf.plans.assembly import hood, joined, rounded
 from terrasheaf.plans.registry import query
 from terrasheaf.plans.standins import Tables
-from terrasheaf.runtime import join_counted, stored
+from terrasheaf.runtime import stored
 
-VARIABLES = ["unscaled_yield", "annual_tillage", "NCCPI", "nccpi3corn", "vpdmax_7", "vpdmax_8", "tillage_0_prop", "tillage_1_prop", "tillage_na_prop", "classified_share", "year"]
+VARIABLES = [
+    *("unscaled_yield", "annual_tillage", "NCCPI", "nccpi3corn", "vpdmax_7", "vpdmax_8", "tillage_0_prop", "tillage_1_prop", "tillage_na_prop"),
+    *("classified_share", "high_share_among_classified", "low_share_among_classified", "year"),
+]
 PREDICTORS = VARIABLES[1:]
 
 
-def shares(t: Tables) -> DataFrame:
-    """The joined table with its shares, rounded so that equal ones are equal in any engine."""
-    df = S.with_shares(joined(t))
+def rounded_shares(rows: DataFrame) -> DataFrame:
+    """Rows with their shares, rounded so that equal ones are equal in any engine."""
+    df = S.with_shares(rows)
     return df.withColumns({c: F.round(c, 9) for c in ("tillage_na_prop", "classified_share", "high_share_among_classified", "low_share_among_classified")})
 
 
+def shares(t: Tables) -> DataFrame:
+    return rounded_shares(joined(t))
+
+
 def long_sql(columns: list[str], names: list[str], table: str = "{shares}") -> str:
     keep = "".join(f"{c}, " for c in columns)
     return " UNION ALL ".join(f"SELECT {keep}'{v}' AS variable, CAST({v} AS DOUBLE) AS value FROM {table}" for v in names)
 
 
-@query(
-    "SELECT tile_field_ID, year, round(tillage_na_prop, 9) AS tillage_na_prop, round(classified_share, 9) AS classified_share, "
-    "round(tillage_1_prop / nullif(classified_share, 0), 9) AS high_share_among_classified, round(tillage_0_prop / nullif(classified_share, 0), "
-    "9) AS low_share_among_classified FROM {shares}"
-)
+@query("SELECT tile_field_ID, year, tillage_na_prop, classified_share, high_share_among_classified, low_share_among_classified FROM {shares}")
 def B13_tillage_shares(t: Tables) -> DataFrame:
     return rounded(shares(t).select("tile_field_ID", "year", "tillage_na_prop", "classified_share", "high_share_among_classified", "low_share_among_classified"), 9)
 
@@ -111,9 +114,11 @@ spots AS (SELECT predictor, k, s, (len(s) - 1) * (i / q) AS spot FROM cuts),
 e AS (SELECT predictor, k <= 2 OR predictor = 'annual_tillage' AS single,
     list_sort(list(DISTINCT s[CAST(floor(spot) AS INT) + 1] + (s[CAST(ceil(spot) AS INT) + 1] - s[CAST(floor(spot) AS INT) + 1]) * (spot - floor(spot)))) AS edges
     FROM spots GROUP BY predictor, k),
-b AS (SELECT p.predictor, single, x, y, CASE WHEN single THEN x ELSE 1 + len(list_filter(edges[2:-2], lambda v: v < x)) END AS bin
+b AS (SELECT p.predictor, single, edges, x, y, CASE WHEN single THEN x ELSE 1 + len(list_filter(edges[2:-2], lambda v: v < x)) END AS bin
     FROM p JOIN e ON p.predictor = e.predictor)
 SELECT predictor, CASE WHEN single THEN bin ELSE dense_rank() OVER (PARTITION BY predictor ORDER BY bin) END AS bin_order, count(*) AS n,
+    round(CASE WHEN single THEN bin ELSE coalesce(any_value(edges)[CAST(bin AS INT)], any_value(edges)[1]) END, 6) AS bin_low,
+    round(CASE WHEN single THEN bin ELSE coalesce(any_value(edges)[CAST(bin AS INT) + 1], any_value(edges)[1]) END, 6) AS bin_high,
     round(min(x), 6) AS x_min, round(max(x), 6) AS x_max, round(avg(x), 4) AS x_mean, round(avg(y), 4) AS y_mean, round(quantile_cont(y, 0.5), 4) AS y_median
 FROM b GROUP BY predictor, single, bin"""
 
@@ -121,7 +126,7 @@ FROM b GROUP BY predictor, single, bin"""
 @query(f"SELECT * FROM ({BINNED})")
 def E17_binned_yield(t: Tables) -> DataFrame:
     df = S.binned_yield(shares(t), PREDICTORS)
-    return df.select("predictor", "bin_order", "n", F.round("x_min", 6).alias("x_min"), F.round("x_max", 6).alias("x_max"), *(F.round(c, 4).alias(c) for c in ("x_mean", "y_mean", "y_median")))
+    return df.select("predictor", "bin_order", "n", *(F.round(c, 6).alias(c) for c in ("bin_low", "bin_high", "x_min", "x_max")), *(F.round(c, 4).alias(c) for c in ("x_mean", "y_mean", "y_median")))
 
 
 @query(
@@ -143,18 +148,15 @@ def E19_county_profile(t: Tables) -> DataFrame:
     return rounded(S.county_profile(hood(t), MEANS), 4)
 
 
-BY_COUNTY = ["annual_tillage", "NCCPI", "vpdmax_7", "year"]
-
-
 @query(
     "SELECT focal_fips, variable AS predictor, count(*) AS n, round(CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) END, 6) AS r, round(CASE "
     "WHEN min(x) < max(x) AND min(y) < max(y) THEN regr_slope(y, x) END, 3) AS slope, round(CASE WHEN min(x) < max(x) AND min(y) < "
     "max(y) THEN regr_intercept(y, x) END, 1) AS intercept, round(CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) * corr(x, y) END, 6) AS r2 "
-    f"FROM (SELECT focal_fips, variable, value AS x, unscaled_yield AS y FROM ({long_sql(['focal_fips', 'unscaled_yield'], BY_COUNTY, '{hood}')})) "
+    f"FROM (SELECT focal_fips, variable, value AS x, unscaled_yield AS y FROM ({long_sql(['focal_fips', 'unscaled_yield'], PREDICTORS, '{hood_shares}')})) "
     "WHERE x IS NOT NULL GROUP BY 1, 2"
 )
 def E20_county_bivariate(t: Tables) -> DataFrame:
-    df = S.county_bivariate(hood(t), BY_COUNTY)
+    df = S.county_bivariate(rounded_shares(hood(t)), PREDICTORS)
     return df.select("focal_fips", "predictor", "n", F.round("r", 6).alias("r"), F.round("slope", 3).alias("slope"), F.round("intercept", 1).alias("intercept"), F.round("r2", 6).alias("r2"))
 
 
@@ -187,8 +189,8 @@ def E38_eda_summary(t: Tables) -> DataFrame:
     "tile_field_ID, year FROM {joined} WHERE vpdmax_7 IS NOT NULL"
 )
 def F5_avg_rank(t: Tables) -> DataFrame:
-    rows = stored(joined(t).select("state", "vpdmax_7", "tile_field_ID", "year").where("vpdmax_7 IS NOT NULL"), "rows")
-    return join_counted(rows, stored(S.avg_rank(rows, "vpdmax_7", ["state"]), "ranks"), ["state", "vpdmax_7"], "n").drop("n")
+    rows = stored(joined(t).select("state", "vpdmax_7", "tile_field_ID", "year"), "rows")
+    return S.with_rank(rows, "vpdmax_7", ["state"])
 
 
 @query(f"SELECT predictor, round(r, 6) AS pearson_r FROM ({corr_sql(PAIRS, 'predictor')}) WHERE r IS NOT NULL ORDER BY abs(r) DESC, predictor LIMIT 5")

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrasheaf.functions import geometry as G
+from terrasheaf.functions.keys import FIELD_NAMESPACE
 from terrasheaf.operators import cropyear as Y
 from terrasheaf.operators import fields as B
 from terrasheaf.operators import grid as R
 from terrasheaf.operators import spatial as P
 from terrasheaf.operators import zonal as Z
 from terrasheaf.plans.assembly import rounded
-from terrasheaf.plans.registry import query
+from terrasheaf.plans.registry import query, uuid_sql
 from terrasheaf.plans.standins import Tables
 from terrasheaf.runtime import stored
 
@@ -421,12 +422,12 @@ def C12_non_missing_id(t: Tables) -> DataFrame:
     return B.non_missing_id(features(t)).select("tile_coord", "field_id", "source_name")
 
 
-@query(
-    "SELECT tile_coord, field_id AS source_field_id, count(*) AS boundary_count, string_agg(DISTINCT source_name, ';' "
-    f"ORDER BY source_name) AS source_names FROM ({FEATURES}) WHERE field_id <> '' GROUP BY 1, 2"
-)
+FIELDS = f"(SELECT tile_coord, field_id AS source_field_id, count(*) AS boundary_count, string_agg(DISTINCT source_name, ';' ORDER BY source_name) AS source_names FROM ({FEATURES}) WHERE field_id <> '' GROUP BY 1, 2)"
+
+
+@query(uuid_sql(FIELD_NAMESPACE, "concat('src|', tile_coord, '|', source_field_id)", "'src' AS source, tile_coord, source_field_id, boundary_count, source_names", FIELDS, "field_id"))
 def E13_field_index(t: Tables) -> DataFrame:
-    return B.field_index(B.field_boundaries(features(t), "src", "30m")).select("tile_coord", "source_field_id", "boundary_count", "source_names")
+    return B.field_index(B.field_boundaries(features(t), "src", "30m"))
 
 
 @query(

@@ -12,7 +12,7 @@ from terrasheaf.operators import cropyear as Y
 from terrasheaf.operators import fields as B
 from terrasheaf.plans.assembly import hood
 from terrasheaf.plans.grids import RING_HASHES, features, rings
-from terrasheaf.plans.registry import query
+from terrasheaf.plans.registry import query, uuid_sql
 from terrasheaf.plans.standins import Tables
 from terrasheaf.runtime import scratch_path, stored
 from terrasheaf.sources import tables as R
@@ -260,16 +260,6 @@ def B10_annual_tillage(t: Tables) -> DataFrame:
     return t.tillage.select("tile_field_ID", "year", K.annual_tillage(F.coalesce(F.col("annual_tillage").cast("string"), F.lit(" "))).alias("annual_tillage"))
 
 
-def uuid_sql(namespace: str, name: str, columns: str, rows: str, alias: str) -> str:
-    """``columns`` of ``rows`` and the version 5 UUID of ``name``."""
-    digest = f"sha1(unhex('{namespace.replace('-', '')}') || encode({name}))"
-    variant = "substr('89ab', CAST(('0x' || d[17:17]) AS INT) % 4 + 1, 1)"
-    return (
-        f"SELECT {columns}, concat(d[1:8], '-', d[9:12], '-5', d[14:16], '-', {variant}, d[18:20], '-', d[21:32]) AS {alias} FROM (SELECT *, {digest} AS d "
-        f"FROM {rows})"
-    )
-
-
 @query(uuid_sql(K.FIELD_NAMESPACE, "concat('src|', tile_coord, '|', field_ID)", "tile_field_ID", "{keys}", "field_uuid"))
 def B14_uuid5(t: Tables) -> DataFrame:
     return t.keys.select("tile_field_ID", K.field_uuid(F.lit("src"), F.col("tile_coord"), F.col("field_ID")).alias("field_uuid"))

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrasheaf.runtime import stored
+from terrasheaf.runtime import bucketed, stored
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -86,7 +86,11 @@ STANDINS = {
     "hood": "SELECT e.focal_fips, m.* FROM {model} m JOIN {edges} e ON m.FIPS = e.neighbor_fips JOIN {focal} f ON e.focal_fips = f.focal_fips",
     "shares": 
         "SELECT *, round(greatest(0.0, 1 - coalesce(tillage_0_prop, 0.0) - coalesce(tillage_1_prop, 0.0)), 9) AS tillage_na_prop, "
-        "round(coalesce(tillage_0_prop, 0.0) + coalesce(tillage_1_prop, 0.0), 9) AS classified_share FROM {joined}"
+        "round(coalesce(tillage_0_prop, 0.0) + coalesce(tillage_1_prop, 0.0), 9) AS classified_share, "
+        "round(tillage_1_prop / nullif(coalesce(tillage_0_prop, 0.0) + coalesce(tillage_1_prop, 0.0), 0), 9) AS high_share_among_classified, "
+        "round(tillage_0_prop / nullif(coalesce(tillage_0_prop, 0.0) + coalesce(tillage_1_prop, 0.0), 0), 9) AS low_share_among_classified FROM {joined}"
+    ,
+    "hood_shares": "SELECT h.focal_fips, s.* FROM {hood} h JOIN {shares} s ON h.tile_field_ID = s.tile_field_ID AND h.year = s.year"
     ,
     "cells": 
         "SELECT concat('h00v0', CAST(l_suppkey % 3 AS STRING)) AS tile, CAST(l_partkey % 2000 AS INT) AS row, CAST(l_orderkey % 1000 AS INT) AS col, "
@@ -141,6 +145,13 @@ class Tables:
             self._kept.add(name)
             self._made[name] = stored(getattr(self, name), name)
 
+    def keep_by(self, key: str, *names: str) -> None:
+        """Stores derived tables in buckets of one key, by which a query then joins them without an exchange."""
+        for name in names:
+            if name not in self._kept:
+                self._kept.add(name)
+                self._made[name] = bucketed(getattr(self, name), name, [key])
+
     def sql(self, text: str) -> DataFrame:
         names = sorted(set(re.findall(r"\{(\w+)\}", text)))
         return self.spark.sql(text, **{n: getattr(self, n) for n in names})

@@ -44,6 +44,21 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, tag: str, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """The table written to the shared folder in buckets of ``keys`` and read back. Tables with as many buckets of the same keys are joined and
+    grouped by them (and by more columns) where they lie, without an exchange.
+
+    There is a file for each bucket, and a bucket is one task's, so the number of buckets (the session's shuffle partitions by default) has to
+    grow with the data, and no key may hold many rows. The session's catalogue knows the table only while it is written."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, name = scratch_path(spark, tag), f"written_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # of an external table this leaves the files
+    return table
+
+
 def join_counted(rows: DataFrame, table: DataFrame, keys: str | list[str], count: str) -> DataFrame:
     """``rows`` with the columns of ``table``, which has one row for every key in ``rows`` and says in ``count`` how many rows hold it.
 
