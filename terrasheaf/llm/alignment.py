@@ -160,7 +160,7 @@ class Memo:
     """What is known of words. Values come from ``made`` (words -> values, None for words without tokens) for all new words of a slice at once."""
 
     def __init__(self, made: Callable[[list[str]], list]):
-        self.made, self.known, self.bad = made, {}, set()
+        self.made, self.known, self.bad, self.often = made, {}, set(), set()
 
     @staticmethod
     def of(name: tuple, made: Callable[[list[str]], list]) -> Memo:
@@ -171,10 +171,18 @@ class Memo:
         return _memos[name]
 
     def add(self, lists: list[list[str]]) -> None:
+        """Learns the words of a slice. Of too many words those stay that came again in a later slice than their first."""
         if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-            self.bad.clear()
-        new = [w for w in set().union(*lists) if w not in self.known]
+            kept = self.often if len(self.often) <= KEPT_WORDS // 2 else set()
+            self.known = {w: self.known[w] for w in kept if w in self.known}
+            self.bad.intersection_update(self.known)
+            self.often = set()
+        found = set().union(*lists)
+        self.often.update(w for w in found if w in self.known)
+        self.learn(found)
+
+    def learn(self, words: Iterable[str]) -> None:
+        new = [w for w in words if w not in self.known]
         for word, value in zip(new, self.made(new) if new else [], strict=True):
             self.known[word] = value
             if value is None:
@@ -355,7 +363,7 @@ def count_pairs(texts: DataFrame, path_a: str, path_b: str) -> PairCounts:
                         if true:
                             seen.update(own)
                 if seen:
-                    memo.add([list(seen)])
+                    memo.learn(seen)
                     each = [memo.known[w] for w in seen]
                     sizes = np.fromiter(map(len, each), np.int64, len(each)) >> 3
                     parts.append(summed(np.frombuffer(b"".join(each), np.uint64), np.repeat(np.fromiter(seen.values(), np.uint64, len(seen)), sizes)))
