@@ -21,7 +21,7 @@ KINDS = ["email", "ip", "card", "phone"]
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
@@ -374,7 +374,7 @@ def fold_digits(text: Rewritten) -> Rewritten:
 ODD = re.compile("[" + re.escape("".join([*LOOKALIKES, *MARKS, *INVISIBLE])) + "！-～٠-٩۰-۹०-९\U0001d400-\U0001d7ff\u2100-\u214f]")
 DISGUISES = re.compile(
     rf"{ENTITY_AT}|{ENTITY_DOT}|[ ]@|@[ ]|@[A-Za-z0-9.-]+[ ]\.[ ]|[-_ ](?:dot|punkt|punto|point)[-_ ]"
-    r"|[-_ ](?:at|arroba|arobase)[-_ ]+(?:(?![-_](?:at|arroba|arobase)[-_])[A-Za-z0-9-])++(?:\.|[ ]\.[ ])[A-Za-z0-9-]"
+    r"|[-_ ](?:at|arroba|arobase)[-_ ]++(?:(?![-_](?:at|arroba|arobase)[-_])[A-Za-z0-9-])++(?:\.|[ ]\.[ ])[A-Za-z0-9-]"
     r"|[\[({<][ ]*+(?:at|@|arroba|arobase|dot|\.|punkt|punto|point)[ ]*+[\])}>]",
     re.IGNORECASE,
 )
