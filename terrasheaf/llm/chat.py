@@ -20,13 +20,13 @@ from terrasheaf.llm.common import join_counted, materialize
 ROLES = ["system", "user", "assistant"]
 # Speaker markers at the start of a line, by role.
 MARKERS = {
-    "system": r"<\|system\|>|\[system\]|#+[ \t]*system[ \t]*:?|system[ \t]*(?:prompt|message)?[ \t]*:",
-    "user": r"<\|(?:user|prompter)\|>|\[(?:user|inst)\]|#+[ \t]*(?:human|user|instruction|question)[ \t]*:?|(?:user|human|customer|question|q|me)[ \t]*:",
-    "assistant": r"<\|assistant\|>|\[(?:assistant|/inst)\]|#+[ \t]*(?:assistant|response|answer)[ \t]*:?|(?:assistant|ai|bot|agent|gpt|answer|a)[ \t]*:",
+    "system": r"<\|system\|>|\[system\]|#++[ \t]*+system[ \t]*+:?|system[ \t]*+(?:(?:prompt|message)[ \t]*+)?:",
+    "user": r"<\|(?:user|prompter)\|>|\[(?:user|inst)\]|#++[ \t]*+(?:human|user|instruction|question)[ \t]*+:?|(?:user|human|customer|question|q|me)[ \t]*+:",
+    "assistant": r"<\|assistant\|>|\[(?:assistant|/inst)\]|#++[ \t]*+(?:assistant|response|answer)[ \t]*+:?|(?:assistant|ai|bot|agent|gpt|answer|a)[ \t]*+:",
 }
-MARKED = re.compile(r"^[ \t]*(?:" + "|".join(f"(?P<{role}>{pattern})" for role, pattern in MARKERS.items()) + r")\s*", re.IGNORECASE | re.MULTILINE)
+MARKED = re.compile(r"^[ \t]*+(?:" + "|".join(f"(?P<{role}>{pattern})" for role, pattern in MARKERS.items()) + r")\s*", re.IGNORECASE | re.MULTILINE)
 FENCE = re.compile(r"^[ \t]*```", re.MULTILINE)
-ASKS, LISTED, CODE = re.compile(r"\?\s*\Z"), re.compile(r"^\s*(?:[-*•]|\d+[.)])\s", re.MULTILINE), re.compile(r"```|^ {4}\S", re.MULTILINE)
+ASKS, LISTED, CODE = re.compile(r"\?\s*\Z"), re.compile(r"^[^\S\n]*+(?:[-*•]|\d++[.)])\s", re.MULTILINE), re.compile(r"```|^ {4}\S", re.MULTILINE)
 #: How often, before any counting, a marker is taken to have been seen with its role, and any value with any role; the chance that a marked
 #: line within a text only quotes a marker, and that the next turn's role is not what is usual.
 MARKER_PRIOR, PRIOR, QUOTED, UNUSUAL = 1_000_000.0, 0.5, 0.01, 0.02
