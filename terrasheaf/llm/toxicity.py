@@ -30,6 +30,8 @@ IDS = 1 + len(PREFIXES)
 #: Labelled rows of each label that training uses at most, taken by a hash of the id, and the bytes of text that these have at most.
 MAX_TRAIN_ROWS = 2000
 MAX_TRAIN_BYTES = 64 << 20
+#: A text of more than this part of the bytes is not learnt from.
+LONG_SHARE = 64
 #: Passes over the rows, the share of a text's distinct words that each pass leaves out, and the size of steps.
 EPOCHS, DROPPED, RATE, TABLE_RATE = 6, 0.3, 0.15, 1.5
 THRESHOLD = 0.7
@@ -239,17 +241,20 @@ def held_out_rows(id_col: str = "doc_id", parts: int = 3, part: int = 1) -> Colu
 
 def training_rows(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN_ROWS, parts: int = 3, part: int = 1, max_bytes: int = MAX_TRAIN_BYTES) -> list:
     """At most ``bound`` labelled rows of each label outside the held-out part, the first by a hash of their id, one row for each id, and of
-    these as many as have ``max_bytes`` of text. The sum of bytes runs over those few rows only."""
+    these as many as have ``max_bytes`` of text. Texts of more than one part in ``LONG_SHARE`` of that are passed over, so a huge one costs no
+    other its place. The sum runs over the sizes of those few rows; texts are fetched afterwards."""
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     marks = marks.where(~held_out_rows("doc_id", parts, part)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     first = lambda y: marks.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     chosen = first(0).unionByName(first(1))
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), lang.alias("lang"))
-    found = rows.join(F.broadcast(chosen), "doc_id")  # 2 * bound ids are broadcast
-    single = found.groupBy("doc_id").agg(F.min_by(F.struct("text", "lang", "toxic"), F.struct(F.xxhash64("text"), "lang")).alias("r"), F.lit(0)).select("doc_id", "r.*")
-    so_far = F.sum(F.octet_length("text").cast("long")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return single.withColumn("__bytes", so_far).where(F.col("__bytes") <= max_bytes).collect()  # one row an id
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), lang.alias("lang")).withColumn("hash", F.xxhash64("text"))
+    sized = rows.withColumn("size", F.octet_length("text").cast("long")).where(F.col("size") <= max_bytes // LONG_SHARE)
+    single = sized.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("hash", "size", "toxic")).alias("r")).select("doc_id", "r.*")  # 2 * bound ids are broadcast
+    so_far = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    taken = single.withColumn("bytes", so_far).where(F.col("bytes") <= max_bytes).select("doc_id", "hash", "toxic")
+    return rows.join(F.broadcast(taken), ["doc_id", "hash"]).groupBy("doc_id", "hash", "toxic").agg(F.min("lang").alias("lang"), F.min("text").alias("text")).collect()  # one row an id
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN_ROWS, parts: int = 3, part: int = 1) -> DataFrame:
