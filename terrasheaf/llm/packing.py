@@ -76,10 +76,27 @@ class Packer:
             if self.filled == self.target:
                 yield from self.close()
 
+    def bundles(self) -> list[list[int]]:
+        """The open pieces as items to deal: pieces of less than a part in ``GROUP_WINDOWS`` of a window join others of their kind up to that size,
+        so a group has ``GROUP_WINDOWS`` squared items and some, however small its pieces are."""
+        least = self.capacity // GROUP_WINDOWS
+        out, small, size = [], [], 0
+        for i, (_, _, ids, _) in enumerate(self.open):
+            if len(ids) >= least:
+                out.append([i])
+                continue
+            if small and size + len(ids) > least:
+                out.append(small)
+                small, size = [], 0
+            small.append(i)
+            size += len(ids)
+        return out + [small] * bool(small)
+
     def close(self) -> Iterator[tuple]:
-        for window in windows([len(p[2]) for p in self.open], self.capacity):
+        items = self.bundles()
+        for window in windows([sum(len(self.open[i][2]) for i in item) for item in items], self.capacity):
             offset = 0
-            for i in sorted(window):
+            for i in sorted(i for k in window for i in items[k]):
                 doc_id, start, piece, total = self.open[i]
                 yield self.row(doc_id, start, piece, total, self.next_sequence, offset)
                 offset += len(piece)
