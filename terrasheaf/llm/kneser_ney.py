@@ -25,6 +25,8 @@ FLUSH = 3_000_000
 SCORE_TOKENS = 1_000_000
 #: Bytes of training text for each shard of the model; a task holds what one shard's bigrams are in all blocks.
 SHARD_BYTES = 16 << 20
+#: Files that a worker keeps mapped.
+MAPS = 8_000
 
 BLOCK_SCHEMA = "shard int, kind string, a binary, b binary, c binary"
 #: Columns of the words' table beside its sorted hashes: occurrences, followers' occurrences, distinct followers seen once, twice and
@@ -102,7 +104,7 @@ class Folder:
     def mapped(self, file: str, kinds: list[str]) -> list[np.ndarray]:
         path = f"{self.path}/{self.name(file)}" if self.mounted else SparkFiles.get(self.name(file))
         with open(path, "rb") as f:
-            data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+            data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False)  # a map that holds no descriptor
         sizes, at, out = np.frombuffer(data, "<u8", len(kinds)).tolist(), 8 * len(kinds), []
         for kind, size in zip(kinds, sizes, strict=True):
             out.append(np.frombuffer(data, kind, size // np.dtype(kind).itemsize, at))
@@ -198,23 +200,25 @@ class KneserNey:
     def __getstate__(self):
         return self.__dict__ | {"arrays": None}
 
-    def load(self) -> None:
-        """Maps every shard; pages that a task reads are the only ones in memory."""
-        if self.arrays is None:
-            folder = Folder(self.uri)
-            self.arrays = []
-            for shard in range(self.shards):
-                keys, small, large = folder.mapped(f"bigrams-{shard}", ["<u8", "u1", "<u8"])
-                words, *columns = folder.mapped(f"words-{shard}", ["<u8", *(kind for _, kind in WORD_COLUMNS)])
-                self.arrays.append((keys, small, large.reshape(-1, 2), words, dict(zip([n for n, _ in WORD_COLUMNS], columns, strict=True))))
+    def mapped(self, kind: str, shard: int) -> list[np.ndarray]:
+        """A shard's arrays, mapped when they are first asked for; pages that a task reads are the only ones in memory. Maps are dropped beyond
+        ``MAPS``, since a process may have some ten thousands."""
+        if self.arrays is None or len(self.arrays) >= MAPS:
+            self.arrays = {}
+        if (kind, shard) not in self.arrays:
+            kinds = ["<u8", "u1", "<u8"] if kind == "bigrams" else ["<u8", *(k for _, k in WORD_COLUMNS)]
+            self.arrays[kind, shard] = Folder(self.uri).mapped(f"{kind}-{shard}", kinds)
+        return self.arrays[kind, shard]
 
     def bigram_counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts of sorted bigram hashes."""
         out = np.zeros(len(keys), np.int64)
         bounds = shard_bounds(keys, self.shards)
-        for shard, (known, small, large, _, _) in enumerate(self.arrays):
+        for shard in np.flatnonzero(np.diff(bounds)).tolist():
             asked = keys[bounds[shard] : bounds[shard + 1]]
-            if len(asked) and len(known):
+            known, small, large = self.mapped("bigrams", shard)
+            large = large.reshape(-1, 2)
+            if len(known):
                 at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
                 found = np.where(known[at] == asked, small[at], 0).astype(np.int64)
                 if len(large) and (over := np.flatnonzero(found == 255)).size:
@@ -226,18 +230,18 @@ class KneserNey:
         """The words' columns for sorted distinct hashes; zeros for unknown words."""
         out = {name: np.zeros(len(keys), np.float64) for name, _ in WORD_COLUMNS}
         bounds = shard_bounds(keys, self.shards)
-        for shard, (_, _, _, known, columns) in enumerate(self.arrays):
+        for shard in np.flatnonzero(np.diff(bounds)).tolist():
             asked = keys[bounds[shard] : bounds[shard + 1]]
-            if len(asked) and len(known):
+            known, *columns = self.mapped("words", shard)
+            if len(known):
                 at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
                 hit = known[at] == asked
-                for name, column in columns.items():
+                for (name, _), column in zip(WORD_COLUMNS, columns, strict=True):
                     out[name][bounds[shard] : bounds[shard + 1]] = np.where(hit, column[at], 0)
         return out
 
     def log10(self, firsts: np.ndarray, seconds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For tokens ``seconds`` after ``firsts``: log10 of the model's probability, and the token's own training count."""
-        self.load()
         words, place = np.unique(np.concatenate([firsts, seconds]), return_inverse=True)
         table = self.word_table(words)
         keys = paired(firsts, seconds)
