@@ -103,6 +103,17 @@ def xyz_tile(lon: Column, lat: Column, zoom: Column) -> tuple[Column, Column]:
     return fit((lon + 180) / 360 * n), fit((1 - F.ln(F.tan(r) + 1 / F.cos(r)) / math.pi) / 2 * n)
 
 
+def morton(x: Column, y: Column, bits: int) -> Column:
+    """The bits of a tile's column and row in turn, so that a tile's number is how those of all tiles within it begin."""
+    bit = lambda v, k, to: F.shiftleft(F.shiftright(v.cast("long"), k).bitwiseAND(F.lit(1).cast("long")), to)
+    return sum((bit(x, k, 2 * k) + bit(y, k, 2 * k + 1) for k in range(bits)), F.lit(0).cast("long"))
+
+
+def from_morton(key: Column, bits: int) -> tuple[Column, Column]:
+    bit = lambda k, to: F.shiftleft(F.shiftright(key, k).bitwiseAND(F.lit(1).cast("long")), to)
+    return tuple(sum((bit(2 * k + odd, k) for k in range(bits)), F.lit(0).cast("long")).cast("int") for odd in (0, 1))
+
+
 def value_mask(value: Column, values: list[int], nodata: Column, invert: bool = False) -> Column:
     """255 for cells whose value is in (or, inverted, not in) the set, else 0; cells without data stay so."""
     hit = value.isin(values)

@@ -69,6 +69,11 @@ def merge_checks(parts: list[DataFrame], units: DataFrame, key: list[str]) -> Da
     return rows.crossJoin(F.broadcast(missing)).crossJoin(F.broadcast(outside))
 
 
+def in_delivery(files: DataFrame, column: str = "path") -> DataFrame:
+    """Files of a partitioned delivery by the folders that name their partitions, which are the same in every run."""
+    return files.withColumn(column, F.regexp_extract(column, "((?:/[^/=]+=[^/]*)+)/[^/]*$", 1))
+
+
 def delivery_manifest(files: DataFrame, rows: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """Path, rows, bytes and SHA-256 of each delivered file (a binaryFile table; ``rows`` has one row, with the file's path, for each of a
     file's rows). Against an ``expected`` manifest also whether the hash is the expected one, with missing and unexpected files as false."""

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrasheaf.functions import geometry as G
 from terrasheaf.operators.spans import span_cells
+from terrasheaf.runtime import stored
 
 CELL = ["tile", "row", "col"]
 
@@ -115,16 +120,64 @@ def mosaic(pixels: DataFrame, order: str = "source_order") -> DataFrame:
     return pixels.where("value IS NOT NULL").groupBy("row", "col").agg(F.min_by("value", order).alias("value"))
 
 
+#: Tiles whose counts a task holds before it sends them on.
+HELD_TILES = 1_000_000
+
+
+def counted_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each key occurs, summed up before the shuffle."""
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        found, n = np.unique(batch.column(0).to_numpy(), return_counts=True)
+        keys, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([counts, n]), len(keys)).astype(np.int64)
+        if len(keys) > HELD_TILES:
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "n"])
+            keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "n"])
+
+
 def xyz_pyramid(points: DataFrame, zmin: int = 6, zmax: int = 14) -> DataFrame:
     """(z, x, y, cells): how many cells with data each Web-Mercator tile covers, for all zoom levels; ``points`` has lon, lat and value.
 
-    Cells are counted at the finest level first, and all levels are summed from those counts, so the table is read once and only its tiles,
-    once for each level, are shuffled again."""
-    x, y = G.xyz_tile(F.col("lon"), F.col("lat"), F.lit(zmax))
-    finest = points.where("value IS NOT NULL").groupBy(x.alias("x"), y.alias("y")).agg(F.count(F.lit(1)).alias("cells"))
-    levels = finest.withColumn("z", F.explode(F.sequence(F.lit(zmin), F.lit(zmax))))
-    up = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.lit(zmax) - F.col("z"))).cast("int")
-    return levels.select("z", up("x").alias("x"), up("y").alias("y"), "cells").groupBy("z", "x", "y").agg(F.sum("cells").alias("cells"))
+    Tiles of the finest level are counted in each task and put in the order of their Morton numbers, of which a coarser tile's is how its
+    tiles' begin. One pass over each range of numbers then sums up all levels; only the first and last tile of each level in a range may go
+    on in another, and only these are summed up again."""
+    key = G.morton(*G.xyz_tile(F.col("lon"), F.col("lat"), F.lit(zmax)), zmax)
+    finest = points.where("value IS NOT NULL").select(key.alias("key")).mapInArrow(counted_tiles, "key long, n long")
+
+    def rolled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = list(range(zmin, zmax + 1))
+        open_: dict[int, tuple[int, int, bool]] = {}  # the tile at hand, its cells so far, and whether it is the range's first
+
+        def rows(z: int, tiles: list, cells: list, edges: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([z] * len(tiles), pa.int32()), pa.array(tiles, pa.int64()), pa.array(cells, pa.int64()), pa.array(edges, pa.bool_())], names=["z", "key", "cells", "edge"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for z in levels:
+                tiles = keys >> 2 * (zmax - z)
+                starts = np.flatnonzero(np.concatenate([[True], tiles[1:] != tiles[:-1]]))
+                names, sums = tiles[starts].tolist(), np.add.reduceat(n, starts).tolist()
+                edges = [z not in open_] + [False] * (len(names) - 1)
+                if z in open_:
+                    tile, cells, first = open_[z]
+                    if tile == names[0]:
+                        sums[0] += cells
+                        edges[0] = first
+                    else:
+                        names, sums, edges = [tile, *names], [cells, *sums], [first, *edges]
+                open_[z] = names[-1], sums[-1], edges[-1]
+                yield rows(z, names[:-1], sums[:-1], edges[:-1])
+        for z, (tile, cells, _) in open_.items():
+            yield rows(z, [tile], [cells], [True])
+
+    found = stored(finest.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(rolled, "z int, key long, cells long, edge boolean"), "tiles")
+    joined = found.where("edge").groupBy("z", "key").agg(F.sum("cells").alias("cells"))
+    x, y = G.from_morton(F.col("key"), zmax)
+    return found.where("NOT edge").select("z", "key", "cells").unionByName(joined).select("z", x.alias("x"), y.alias("y"), "cells")
 
 
 def value_range(pixels: DataFrame, grids: DataFrame, limit: int = 65_535) -> DataFrame:

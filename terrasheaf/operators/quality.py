@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def assert_unique(df: DataFrame, key: list[str]) -> DataFrame:
@@ -14,6 +15,20 @@ def assert_unique(df: DataFrame, key: list[str]) -> DataFrame:
     return df
 
 
+def unique_or_error(df: DataFrame, key: list[str]) -> DataFrame:
+    """The table itself, checked by the job that reads it: a key that occurs twice ends that job with an error. A null is a value like others."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*key))
+    told = F.raise_error(F.concat(F.lit("duplicate key "), F.to_json(F.struct(*key))))
+    return df.withColumn("__n", n).where(F.when(F.col("__n") > 1, told.cast("boolean")).otherwise(F.lit(True))).drop("__n")
+
+
+def observed(df: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """The table, and what will be known of it once a job has read it through: ``rows`` and how many rows each condition holds for. The figures
+    come out of that job and cost no pass of their own."""
+    watch = Observation()
+    return df.observe(watch, F.count(F.lit(1)).alias("rows"), *(F.count_if(c).alias(n) for n, c in metrics.items())), watch
+
+
 def duplicate_rows(df: DataFrame, key: list[str]) -> DataFrame:
     """Rows beyond the first of each key."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))

@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrasheaf.functions.geometry import ring_bbox
 from terrasheaf.functions.keys import state_code
 from terrasheaf.operators.grid import ring_spans
-from terrasheaf.operators.spans import shared_cells
-from terrasheaf.runtime import stored
+from terrasheaf.operators.spans import overlaps, shared_cells
+from terrasheaf.runtime import split_crowded
 
 BOX = ["minx", "miny", "maxx", "maxy"]
 
 
-def overlaps(a: str, b: str) -> Column:
-    c = lambda t, n: F.col(f"{t}.{n}")
-    return (c(a, "minx") <= c(b, "maxx")) & (c(b, "minx") <= c(a, "maxx")) & (c(a, "miny") <= c(b, "maxy")) & (c(b, "miny") <= c(a, "maxy"))
-
-
-#: A cell is crowded if it holds more than this share of all boxes, so there are fewer such cells than its inverse; one of fewer boxes than the
-#: other number never is.
-CROWDED_SHARE, CROWDED_BOXES = 1 / 1000, 100_000
+#: A cell with more boxes or features than this is split between tasks, and a task takes so many rows of cells at a time.
+CROWDED_BOXES, TASK_BOXES = 100_000, 200_000
 
 
 def bbox_intersect_join(boxes: DataFrame, features: DataFrame, cell: float, keys: tuple[str, str] = ("box_id", "feature_id")) -> DataFrame:
@@ -29,12 +25,12 @@ def bbox_intersect_join(boxes: DataFrame, features: DataFrame, cell: float, keys
 
     Both sides are dealt to the cells of a pyramid of grids, the finest of ``cell``: a box to those it meets on the level of its own size, four
     at most, and to those of larger levels that the other side has. Two boxes meet on the larger one's level, in the one cell that holds the
-    lower left corner of what both share, so nothing needs to be made distinct afterwards. The boxes of a crowded cell are split between tasks,
-    and the features there go to all of these."""
+    lower left corner of what both share, so nothing needs to be made distinct afterwards. A task takes whole cells and sweeps over each from
+    left to right, so it compares only boxes that share some of the x axis. A crowded cell is split by its boxes and by its features."""
     size = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")) / cell
     level = F.when(size > 1, F.ceil(F.log2(size))).otherwise(0).cast("int")
-    sides = [stored(df.where(" AND ".join(f"{c} IS NOT NULL" for c in BOX)).withColumn("level", level), "boxes") for df in (boxes, features)]
-    known = [sorted(r["level"] for r in df.select("level").distinct().collect()) for df in sides]  # as many as powers of two between box sizes
+    sides = [df.where(" AND ".join(f"{c} IS NOT NULL" for c in BOX)).select(F.col(k).alias("key"), *(F.col(c).cast("double").alias(c) for c in BOX), level.alias("level")) for df, k in zip((boxes, features), keys, strict=True)]
+    levels = sides[0].select("level", F.lit(0).alias("side")).unionByName(sides[1].select("level", F.lit(1).alias("side"))).distinct().collect()  # as many as powers of two between box sizes
 
     def dealt(df: DataFrame, others: list[int]) -> DataFrame:
         on = F.array_distinct(F.concat(F.array("level"), F.filter(F.array(*map(F.lit, others)).cast("array<int>"), lambda x: x > F.col("level"))))
@@ -44,24 +40,38 @@ def bbox_intersect_join(boxes: DataFrame, features: DataFrame, cell: float, keys
         return rows.withColumn("by", F.explode(F.sequence(index("miny"), index("maxy")))).drop("side")
 
     spot = ["on", "bx", "by"]
-    a, b = dealt(sides[0], known[1]), dealt(sides[1], known[0])
-    counts = stored(a.groupBy(*spot).agg(F.count(F.lit(1)).alias("n")), "cells")
-    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
-    bound = max((total or 0) * CROWDED_SHARE, CROWDED_BOXES)
-    if (largest or 0) > bound:
-        crowded = F.broadcast(counts.where(F.col("n") > bound).select(*spot, F.ceil(F.col("n") / bound).cast("int").alias("splits")))
-        splits = F.coalesce("splits", F.lit(1))
-        a = a.join(crowded, spot, "left").withColumn("split", F.pmod(F.xxhash64(keys[0]), splits).cast("int")).drop("splits")
-        b = b.join(crowded, spot, "left").withColumn("split", F.explode(F.sequence(F.lit(0), splits - 1))).drop("splits")
-        spot = [*spot, "split"]
-    a, b = a.alias("a"), b.alias("b")
-    side = F.pow(F.lit(2.0), F.col("a.on")) * cell
-    own = (F.col("a.bx") == F.floor(F.greatest("a.minx", "b.minx") / side)) & (F.col("a.by") == F.floor(F.greatest("a.miny", "b.miny") / side))
-    larger = F.greatest("a.level", "b.level") == F.col("a.on")
-    meet = F.lit(True)
-    for c in spot:
-        meet = meet & (F.col(f"a.{c}") == F.col(f"b.{c}"))
-    return a.join(b, meet).where(overlaps("a", "b") & own & larger).select(F.col(f"a.{keys[0]}"), F.col(f"b.{keys[1]}"))
+    a, b = (dealt(df, sorted(r["level"] for r in levels if r["side"] == 1 - k)) for k, df in enumerate(sides))
+    one, none = F.lit(1).alias("n"), F.lit(0).alias("m")
+    counts = a.select(*spot, one, none).unionByName(b.select(*spot, F.lit(0).alias("n"), F.lit(1).alias("m"))).groupBy(*spot).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    total, most = counts.agg(F.sum(F.col("n") + F.col("m")), F.max(F.greatest("n", "m"))).first()
+    by = spot
+    if (most or 0) > CROWDED_BOXES:
+        a, b, by = split_crowded(a, b, by, CROWDED_BOXES)
+        b, a, by = split_crowded(b, a, by, CROWDED_BOXES)
+    buckets = 1 + (total or 0) // TASK_BOXES
+    a, b = (df.select(*by, "key", *BOX, "level", F.pmod(F.xxhash64(*by), F.lit(buckets)).alias("bucket")) for df in (a, b))
+    names = list(keys)
+
+    def swept(here: pa.Table, there: pa.Table) -> pa.Table:
+        x, y = ({c: t.column(c).to_numpy() for c in t.column_names if c != "key"} for t in (here, there))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        if here.num_rows and there.num_rows:
+            cells = np.concatenate([np.stack([t[c] for c in by], 1) for t in (x, y)]).astype(np.int64)
+            code = np.unique(cells, axis=0, return_inverse=True)[1].reshape(-1)
+            edges = np.unique(np.concatenate([t[c] for t in (x, y) for c in ("minx", "maxx")]))
+            rank = lambda v: np.searchsorted(edges, v)
+            n = here.num_rows
+            for i, j, _ in overlaps(code[:n], rank(x["minx"]), rank(x["maxx"]), code[n:], rank(y["minx"]), rank(y["maxx"])):
+                side = 2.0 ** x["on"][i] * cell
+                corner = [np.floor(np.maximum(x[c][i], y[c][j]) / side) for c in ("minx", "miny")]
+                ours = (corner[0] == x["bx"][i]) & (corner[1] == x["by"][i]) & (np.maximum(x["level"][i], y["level"][j]) == x["on"][i])
+                ours &= (x["miny"][i] <= y["maxy"][j]) & (y["miny"][j] <= x["maxy"][i])
+                found.append((i[ours], j[ours]))
+        i, j = (np.concatenate(v) for v in zip(*found, strict=True))
+        return pa.table([here.column("key").take(pa.array(i)), there.column("key").take(pa.array(j))], names=names)
+
+    schema = ", ".join(f"`{k}` {dict(df.dtypes)[k]}" for k, df in zip(keys, (boxes, features), strict=True))
+    return a.groupBy("bucket").cogroup(b.groupBy("bucket")).applyInArrow(swept, schema)
 
 
 def select_intersecting(items: DataFrame, selector: DataFrame, cell: float) -> DataFrame:

@@ -398,7 +398,7 @@ def I9_optional_missing(t: Tables) -> DataFrame:
 
 @query("SELECT tile_field_ID, year, unscaled_yield FROM {corn}")
 def I2_assert_unique(t: Tables) -> DataFrame:
-    return Q.assert_unique(t.corn, ["tile_field_ID", "year"]).select("tile_field_ID", "year", "unscaled_yield")
+    return Q.unique_or_error(t.corn, ["tile_field_ID", "year"]).select("tile_field_ID", "year", "unscaled_yield")
 
 
 @query("""SELECT e.year, coalesce(rows, 0) AS rows, coalesce(duplicate_keys, 0) AS duplicate_keys, coalesce(missing, 0) AS missing, coalesce(out_of_range, 0) AS out_of_range, coalesce(rows, 0) > 0 AS present FROM (SELECT CAST(y AS INT) AS year FROM range(1994, 2003) r(y)) e

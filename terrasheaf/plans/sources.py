@@ -184,20 +184,26 @@ def I1_require_columns(t: Tables) -> DataFrame:
     return R.require_columns(t.corn, ["tile_field_ID", "YEAR"]).select("tile_field_ID", "year", "unscaled_yield")
 
 
+# a later run, in which 1997 has changed and 1995 is missing, against the manifest of an earlier one
 @query(
-    "SELECT tile_coord AS tile, year, count(*) AS rows, CAST(octet_length(encode(string_agg(line, '' ORDER BY line))) AS BIGINT) AS bytes, "
-    "sha256(string_agg(line, '' ORDER BY line)) AS sha256, TRUE AS hash_matches FROM (SELECT tile_coord, year, concat(tile_field_ID, ',', "
-    "CAST(pixel_count AS VARCHAR), chr(10)) AS line FROM {corn}) GROUP BY 1, 2"
+    "SELECT tile_coord AS tile, year, CASE WHEN year <> 1995 THEN count(*) END AS rows, CASE WHEN year <> 1995 THEN CAST(octet_length(encode(string_agg("
+    "line, '' ORDER BY line))) AS BIGINT) END AS bytes, CASE WHEN year <> 1995 THEN sha256(string_agg(line, '' ORDER BY line)) END AS sha256, year NOT IN (1995, 1997) AS hash_matches "
+    "FROM (SELECT tile_coord, year, concat(tile_field_ID, ',', CAST(pixel_count + CASE WHEN year = 1997 THEN 1 ELSE 0 END AS VARCHAR), chr(10)) AS line FROM {corn}) GROUP BY 1, 2"
 )
 def I6_delivery_manifest(t: Tables) -> DataFrame:
-    path = scratch_path(t.spark, "delivery")
-    lines = t.corn.select("tile_coord", "year", F.concat_ws(",", "tile_field_ID", "pixel_count").alias("value"))
-    lines.repartition("tile_coord", "year").sortWithinPartitions("tile_coord", "year", "value").write.partitionBy("tile_coord", "year").text(path)
-    files = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").load(path)
-    rows = t.spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("path"))
-    sent = stored(Y.delivery_manifest(files, rows), "manifest")
-    found = Y.delivery_manifest(files, rows, sent)
-    return found.select(tile_from_text(F.col("path")).alias("tile"), F.regexp_extract("path", "year=([0-9]+)/", 1).cast("int").alias("year"), "rows", "bytes", "sha256", "hash_matches")
+    def delivered(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        path = scratch_path(t.spark, "delivery")
+        lines = rows.select("tile_coord", "year", F.concat_ws(",", "tile_field_ID", "pixel_count").alias("value"))
+        lines = lines.repartition("tile_coord", "year").sortWithinPartitions("tile_coord", "year", "value")
+        R.staged(path, lambda draft: lines.write.partitionBy("tile_coord", "year").text(draft))
+        files = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").load(path)
+        counted = t.spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("path"))
+        return Y.in_delivery(files), Y.in_delivery(counted)
+
+    earlier = stored(Y.delivery_manifest(*delivered(t.corn)), "manifest")
+    later = t.corn.where("year <> 1995").withColumn("pixel_count", F.col("pixel_count") + (F.col("year") == 1997).cast("int"))
+    found = Y.delivery_manifest(*delivered(later), earlier)
+    return found.select(tile_from_text(F.col("path")).alias("tile"), F.regexp_extract("path", "year=([0-9]+)", 1).cast("int").alias("year"), "rows", "bytes", "sha256", "hash_matches")
 
 
 @query("SELECT c_custkey, nullif(trim(raw_id), '') AS id FROM {messy}")

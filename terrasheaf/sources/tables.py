@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Callable
 
+import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrasheaf.functions.keys import blank_to_null, tile_from_text
+from terrasheaf.operators.quality import observed
 from terrasheaf.operators.stats import cumulative
 
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
@@ -70,9 +74,10 @@ def read_features(spark: SparkSession, paths: str | list[str], properties: T.Str
     outer = F.try_element_at(F.col("geometry.coordinates"), F.lit(1))
     ring = F.transform(outer, lambda p: F.struct(F.element_at(p, 1).alias("x"), F.element_at(p, 2).alias("y")))
     rows = df.select("properties.*", "crs", ring.alias("ring")).where(F.size("ring") >= 4)
-    state = rows.agg(F.count(F.lit(1)).alias("n"), F.count("crs").alias("with_crs")).first()
-    if not state["n"] or require_crs and state["with_crs"] < state["n"]:
-        raise ValueError("no features" if not state["n"] else "a feature has no CRS")
+    if rows.isEmpty():
+        raise ValueError("no features")
+    if require_crs:  # found out by the job that reads the features
+        rows = rows.where(F.when(F.col("crs").isNull(), F.raise_error("a feature has no CRS").cast("boolean")).otherwise(F.lit(True)))
     return rows
 
 
@@ -90,16 +95,57 @@ def focal_from_path(spark: SparkSession, root: str) -> DataFrame:
     return df.select("*", F.nullif(found, F.lit("")).alias("focal_fips"))
 
 
+def staged(path: str, write: Callable[[str], None]) -> None:
+    """A delivery that is whole or not made: ``write`` fills a folder beside ``path``, which then takes its place by renaming; what was there goes
+    last. If writing fails, or the renaming, the old delivery is as it was."""
+    fs, place = pafs.FileSystem.from_uri(path)
+    place, mark = place.rstrip("/"), uuid.uuid4().hex
+    draft, old = f"{place}.draft-{mark}", f"{place}.old-{mark}"
+    exists = lambda p: fs.get_file_info(p).type != pafs.FileType.NotFound
+    try:
+        write(f"{path.rstrip('/')}.draft-{mark}")
+    except BaseException:
+        if exists(draft):
+            fs.delete_dir(draft)
+        raise
+    there = exists(place)
+    if there:
+        fs.move(place, old)
+    try:
+        fs.move(draft, place)
+    except BaseException:
+        if there:
+            fs.move(old, place)
+        raise
+    if there:
+        fs.delete_dir(old)
+
+
 def write_neighborhoods(df: DataFrame, path: str) -> None:
-    """One folder for each focal county that has rows. Partitions are evened out before, so a hot county is spread over several files."""
-    df.hint("rebalance", "focal_fips").write.partitionBy("focal_fips").mode("overwrite").parquet(path)
+    """One folder for each focal county that has rows, as a staged delivery. Partitions are evened out before, so a hot county is spread over
+    several files."""
+    staged(path, lambda draft: df.hint("rebalance", "focal_fips").write.partitionBy("focal_fips").parquet(draft))
+
+
+def replace_neighborhoods(df: DataFrame, path: str) -> None:
+    """Puts the counties of ``df`` in the place of what a delivery has of them; its other counties stay as they are."""
+    df.hint("rebalance", "focal_fips").write.partitionBy("focal_fips").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def write_field_tables(field: DataFrame, boundary: DataFrame, path: str) -> None:
-    """Both tables as Parquet, and as CSV without geometry."""
-    for name, df in (("field", field), ("field_boundary", boundary)):
-        df.write.mode("overwrite").parquet(f"{path}/{name}.parquet")
-        df.drop("ring", "geometry").write.mode("overwrite").csv(f"{path}/{name}.csv", header=True)
+def write_field_tables(field: DataFrame, boundary: DataFrame, path: str) -> dict[str, int]:
+    """Both tables as Parquet, and as CSV without geometry, in one staged delivery. Returns how many rows each has, counted while they are
+    written."""
+    rows = {}
+
+    def write(draft: str) -> None:
+        for name, df in (("field", field), ("field_boundary", boundary)):
+            watched, seen = observed(df, {})
+            watched.write.parquet(f"{draft}/{name}.parquet")
+            df.sparkSession.read.schema(df.schema).parquet(f"{draft}/{name}.parquet").drop("ring", "geometry").write.csv(f"{draft}/{name}.csv", header=True)
+            rows[name] = seen.get["rows"]
+
+    staged(path, write)
+    return rows
 
 
 def feature_json(df: DataFrame, properties: list[str]) -> Column:

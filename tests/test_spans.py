@@ -114,3 +114,18 @@ def test_empty_sides(spark):
     assert Z.zonal_stats(frames[0].limit(0), frames[1], frames[2], ["tile", "id"]).collect() == []
     assert Z.zonal_stats(frames[0], frames[1], frames[2].limit(0), ["tile", "id"]).collect() == []
     assert P.overlay_area(frames[0], frames[0].limit(0).withColumnRenamed("id", "other"), frames[1], "id", "other").collect() == []
+
+
+def test_all_levels_of_a_pyramid_from_one_order(spark):
+    rng = np.random.default_rng(7)
+    rows = [(float(a), float(b), None if k % 9 == 0 else 1.0) for k, (a, b) in enumerate(np.concatenate([rng.uniform((-180, -80), (180, 80), (300, 2)), rng.uniform((-98, 40), (-97, 41), (600, 2)), [[-97.5, 40.5]] * 50]))]
+    points = spark.createDataFrame(rows, "lon double, lat double, value double").repartition(6)
+    got = sorted(map(tuple, R.xyz_pyramid(points, 3, 9).collect()))
+    want = {}
+    for z in range(3, 10):
+        x, y = R.G.xyz_tile(F.col("lon"), F.col("lat"), F.lit(9))
+        for r in points.where("value IS NOT NULL").select(x.alias("x"), y.alias("y")).collect():
+            k = (z, r["x"] >> 9 - z, r["y"] >> 9 - z)
+            want[k] = want.get(k, 0) + 1
+    assert got == sorted((*k, n) for k, n in want.items())
+    assert R.xyz_pyramid(points.limit(0), 3, 9).collect() == []
