@@ -18,6 +18,8 @@ WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
 #: Windows that are broadcast at once, some tens of MB; a larger benchmark is worked off in blocks of as many.
 BLOCK_WINDOWS = 200_000
+#: Blocks that are searched for in one stage.
+STAGE_BLOCKS = 4
 
 #: Lower-cases A-Z and turns every byte that is not part of a word into a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -201,6 +203,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_c
                         yield with_columns(batch, [c for c in batch.schema.names if c not in ("__hits", "__items")], batch.schema, start, end, __hits=all_spans, __items=[sorted(s) for s in all_items])
 
         carried = carried.mapInArrow(match, final if last else ddl)
+        if not last and k % STAGE_BLOCKS == STAGE_BLOCKS - 1:
+            carried = materialize(carried, "searched")
     return carried
 
 
@@ -219,7 +223,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Windows are distinct word sequences, each with all its items. Shingles are ordered by how rare they are in all documents, and each
     window joins on its rarest. Only windows are broadcast, ``block_windows`` at most at a time; documents are read twice for each block
-    and never shuffled. Null or empty text has no words; items without words or with a null id never occur; repeated documents stay and
+    and never shuffled. ``STAGE_BLOCKS`` blocks are searched for in one stage, each by a Python worker of its own; then what was found is
+    stored with the documents. Null or empty text has no words; items without words or with a null id never occur; repeated documents stay and
     repeated items count once; an empty benchmark finds nothing; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
