@@ -11,7 +11,7 @@ import tracemalloc
 import numpy as np
 import pytest
 
-from terrasheaf.llm import alignment, chat, kneser_ney, packing, pii, tokens, toxicity
+from terrasheaf.llm import alignment, chat, decontam, kneser_ney, packing, pii, tokens, toxicity
 
 PATTERNS = {f"{m.__name__.rsplit('.', 1)[1]}.{n}": p for m in (pii, chat, tokens, alignment) for n, p in vars(m).items() if isinstance(p, re.Pattern)}
 #: Patterns that are tried at given places only.
@@ -108,3 +108,13 @@ def test_more_shards_than_descriptors_give_the_same_scores(spark):
         resource.setrlimit(resource.RLIMIT_NOFILE, (soft, hard))
     assert np.allclose(a[0], b[0], rtol=1e-12, atol=0) and np.array_equal(a[1], b[1])
     assert len(many.arrays) == 300
+
+
+def test_many_blocks_of_windows_find_what_one_does(spark):
+    rnd = random.Random(4)
+    prose = lambda n: " ".join(rnd.choice("abcdefgh") + str(rnd.randint(0, 40)) for _ in range(n))
+    items = [(k, prose(30)) for k in range(6)]
+    docs = [(k, prose(40) + " " + " ".join(rnd.choice(items)[1].split()[5:25]) + " " + prose(20)) for k in range(30)] + [(99, None)]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one, many = (sorted(map(tuple, decontam.decontaminate(*frames, block_windows=n).collect())) for n in (10**6, 12))
+    assert one == many and sum(r[-1] for r in one) == 30
