@@ -148,16 +148,27 @@ def E19_county_profile(t: Tables) -> DataFrame:
     return rounded(S.county_profile(hood(t), MEANS), 4)
 
 
+def digits_sql(x: str) -> str:
+    """Six digits of a number; a predictor that hardly varies has slopes of many millions, which no fixed number of decimals fits."""
+    size = f"pow(10e0, floor(log10(abs({x}))))"
+    return f"CASE WHEN {x} = 0 THEN 0e0 ELSE round(round({x} / {size}, 5) * {size}, 6) END"
+
+
+def six_digits(c: str) -> F.Column:
+    size = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(F.col(c)))))
+    return F.when(F.col(c) == 0, 0.0).otherwise(F.round(F.round(F.col(c) / size, 5) * size, 6)).alias(c)
+
+
 @query(
-    "SELECT focal_fips, variable AS predictor, count(*) AS n, round(CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) END, 6) AS r, round(CASE "
-    "WHEN min(x) < max(x) AND min(y) < max(y) THEN regr_slope(y, x) END, 3) AS slope, round(CASE WHEN min(x) < max(x) AND min(y) < "
-    "max(y) THEN regr_intercept(y, x) END, 1) AS intercept, round(CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) * corr(x, y) END, 6) AS r2 "
+    f"SELECT focal_fips, predictor, n, round(r, 6) AS r, {digits_sql('slope')} AS slope, {digits_sql('intercept')} AS intercept, round(r * r, 6) AS r2 "
+    "FROM (SELECT focal_fips, variable AS predictor, count(*) AS n, CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) END AS r, CASE "
+    "WHEN min(x) < max(x) AND min(y) < max(y) THEN regr_slope(y, x) END AS slope, CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN regr_intercept(y, x) END AS intercept "
     f"FROM (SELECT focal_fips, variable, value AS x, unscaled_yield AS y FROM ({long_sql(['focal_fips', 'unscaled_yield'], PREDICTORS, '{hood_shares}')})) "
-    "WHERE x IS NOT NULL GROUP BY 1, 2"
+    "WHERE x IS NOT NULL GROUP BY 1, 2)"
 )
 def E20_county_bivariate(t: Tables) -> DataFrame:
     df = S.county_bivariate(rounded_shares(hood(t)), PREDICTORS)
-    return df.select("focal_fips", "predictor", "n", F.round("r", 6).alias("r"), F.round("slope", 3).alias("slope"), F.round("intercept", 1).alias("intercept"), F.round("r2", 6).alias("r2"))
+    return df.select("focal_fips", "predictor", "n", F.round("r", 6).alias("r"), six_digits("slope"), six_digits("intercept"), F.round("r2", 6).alias("r2"))
 
 
 @query(
