@@ -234,6 +234,7 @@ BOX_PAIRS = (
 
 
 def boxes(t: Tables) -> tuple[DataFrame, DataFrame]:
+    t.keep("blocks")  # both sides and each pass over them derive from it
     box = ["minx", "miny", "maxx", "maxy"]
     return t.ring_boxes.select(F.concat_ws("_", "tile", "field_id").alias("box_id"), *box), t.county_boxes.select(F.concat_ws("_", "tile", "fips").alias("feature_id"), *box)
 
