@@ -49,7 +49,7 @@ def test_soil_rounds_halves_alike_in_any_order(spark: SparkSession):
         assert {r[0]: r[1] for r in found} == want
 
 
-@pytest.mark.parametrize("name", ["D10_bbox_intersect_join", "D12_select_intersecting"])
+@pytest.mark.parametrize("name", ["D10_bbox_intersect_join", "D12_select_intersecting", "D6_manifest_join"])
 def test_derived_tables_are_stored(spark: SparkSession, name: str):
     """What the query joins was derived once, so its last plan does not go back to the lines."""
     assert not [f for f in registry.queries()[name](spark, DATA).inputFiles() if "lineitem" in f]
