@@ -132,3 +132,55 @@ def test_copartitioned_tables_join_without_an_exchange(spark):
         assert not [x for x in spark.catalog.listTables() if x.name.startswith("written_")]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_moments_of_pairs_equal_numpy(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"a": 1e9 + rng.normal(size=5000), "b": rng.normal(size=5000), "c": np.full(5000, 0.1), "d": rng.normal(size=5000)})
+    pdf.loc[rng.random(5000) < 0.4, "b"] = None
+    pdf.loc[7, "d"] = math.inf
+    pairs = [("a", "b"), ("b", "c"), ("a", "d")]
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None).values.tolist(), "a double, b double, c double, d double").repartition(7)
+    got = {r["pair"]: r for r in T.moments(df, pairs).collect()}
+    for k, (x, y) in enumerate(pairs[:2]):
+        full = pdf[[x, y]].dropna()
+        assert got[k]["n"] == len(full) and (got[k]["x_low"], got[k]["x_high"]) == (full[x].min(), full[x].max())
+        dx, dy = full[x] - math.fsum(full[x]) / len(full), full[y] - math.fsum(full[y]) / len(full)
+        assert got[k]["xx"] == pytest.approx((dx * dx).sum(), rel=1e-7) and got[k]["x_mean"] == pytest.approx(full[x].mean(), rel=1e-13)
+        assert got[k]["xy"] == pytest.approx((dx * dy).sum(), rel=1e-6, abs=1e-9)
+    assert got[1]["yy"] == 0.0  # of a constant exactly
+    assert got[2]["n"] == 5000 and math.isnan(got[2]["yy"])  # an infinite value spoils its own pair only
+    assert T.moments(df.where("a < 0"), pairs).collect() == []
+
+
+@pytest.mark.parametrize("listed, heavy", [(100_000, 100_000), (2, 100_000), (2, 30)])
+def test_ranks_are_the_same_whether_broadcast_or_looked_up(spark, monkeypatch, listed, heavy):
+    from terrasheaf import runtime
+
+    monkeypatch.setattr(T, "LISTED", listed)
+    monkeypatch.setattr(runtime, "HEAVY_ROWS", heavy)
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"unscaled_yield": rng.integers(0, 200, 400).astype(float), "p": rng.normal(size=400), "q": rng.integers(0, 3, 400).astype(float), "z": np.zeros(400)})
+    pdf.loc[rng.random(400) < 0.5, "p"] = 0.0  # heavy
+    pdf.loc[rng.random(400) < 0.3, "p"] = None
+    pdf.loc[rng.random(400) < 0.2, "q"] = None
+    pdf.loc[rng.random(400) < 0.1, "unscaled_yield"] = None
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None).values.tolist(), ", ".join(f"{c} double" for c in pdf)).repartition(5)
+    for r in T.pairwise_corr(df, list(pdf)).collect():
+        full = pdf[[r["a"], r["b"]]].dropna()
+        assert r["n"] == len(full)
+        if "z" in (r["a"], r["b"]):
+            assert r["pearson_r"] is None and r["spearman_r"] is None
+            continue
+        assert r["pearson_r"] == pytest.approx(full.corr().iloc[0, 1], abs=1e-12)
+        assert r["spearman_r"] == pytest.approx(full.rank().corr().iloc[0, 1], abs=1e-12)
+    got = {r["predictor"]: r for r in T.yield_bivariate(df, ["p", "q", "z"]).collect()}
+    assert set(got) == {"p", "q", "z"} and got["z"]["slope"] is None and got["z"]["pearson_p"] is None
+    for c in "pq":
+        full = pdf[[c, "unscaled_yield"]].dropna()
+        slope, intercept = np.polyfit(full[c], full["unscaled_yield"], 1)
+        assert (got[c]["slope"], got[c]["intercept"]) == pytest.approx((slope, intercept))
+        assert got[c]["spearman_r"] == pytest.approx(full.rank().corr().iloc[0, 1], abs=1e-12)
+        cut = np.quantile(full[c], [0.25, 0.75])
+        ends = [full["unscaled_yield"][m].mean() for m in (full[c] <= cut[0], full[c] >= cut[1])]
+        assert [got[c]["low_mean"], got[c]["high_mean"]] == pytest.approx(ends)
