@@ -6,6 +6,7 @@ import re
 import sys
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -31,6 +32,9 @@ JOINED = 64
 
 #: A space after something that isn't white space, where no token of either side goes across; other white space before a space.
 BORDER = re.compile(r"(?<=\S)(?= )")
+#: What ends a run of letters, of characters that all tables of Unicode class alike.
+AFTER = frozenset(chr(c) for c in range(128) if chr(c) != " " and not chr(c).isalpha())
+LATER = re.compile("[{0}](?<=[A-Za-zÀ-ÖØ-öø-ÿ][{0}])".format(re.escape("".join(sorted(AFTER)))))
 ODD = [chr(c) + " " for c in range(sys.maxunicode + 1) if chr(c).isspace()]
 BLOCK_SCHEMA = "range long, node long, keys binary, counts binary"
 
@@ -40,10 +44,15 @@ class Aligner:
 
     A word is what stands between two borders, without its first space. The first tokenizer splits there before it merges, and the second
     has no piece with a space after another character, so a text's tokens are its words' tokens in a row and every border ends tokens of
-    both. Files for which this does not hold (``splits``) get whole texts as single words."""
+    both. Files for which this does not hold (``splits``) get whole texts as single words.
+
+    A unit is a word, cut again where letters end: there the first tokenizer's pattern splits, and no piece of the second goes on (``cuts``).
+    The units of a word after its first have an "a" before them, which stands for the letters and is left out of what they give. There are
+    far fewer different units than words."""
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.a, self.b = load_tokenizer(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.a.encode_special_tokens = True
@@ -62,9 +71,18 @@ class Aligner:
         tried = ("ﬁ ", "é", "　  x", "①Å")
         same = all(b"".join(self.bytes_b[i] for i in self.b.encode(t)) == b" " + t.encode() for t in tried)
         self.splits = plain and same and not inside and bytes(self.bytes_b[self.space]) == b" "
-
-    def words(self, text: str) -> Iterator[list[str]]:
-        """The words of a text in lists, a part of it at a time."""
+        pre, added = self.a.pre_tokenizer, self.a.get_added_tokens_decoder().values()
+        known = type(pre) is ByteLevel and pre.use_regex and not pre.add_prefix_space and all(t.special for t in added)
+        whole = [p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
+        self.cuts = self.splits and known and not any(map(LATER.search, whole))
+
+    @cached_property
+    def shown(self) -> dict[str, np.ndarray]:
+        """All ids as text, before each separator."""
+        return {end: np.array([f"{i}{end}" for i in range(max(len(self.bytes_a), len(self.bytes_b)))], object) for end in ",|;\n"}
+
+    def words(self, text: str, units: bool = False) -> Iterator[list[str]]:
+        """The words (or ``units``) of a text in lists, a part of it at a time."""
         text, start = " " + text, 0
         if not self.splits:
             yield [text[1:]]
@@ -73,13 +91,15 @@ class Aligner:
             end = BORDER.search(text, start + PART_CHARS) if len(text) - start > PART_CHARS + 1 else None
             part = text[start : end.start()] if end else text[start:]
             start += len(part)
+            if units and self.cuts:
+                part = LATER.sub(r" a\g<0>", part)
             if "  " in part or any(x in part for x in ODD[:-1]):
                 yield [w[1:] for w in BORDER.split(part)]
             else:
                 yield part[1:].split(" ")
 
-    def align(self, words: list[str]) -> Aligned:
-        """Both tokenizers' ids of all words, and the groups that they make. Words that end in no white space are encoded ``JOINED`` at a time, in
+    def align(self, words: list[str], units: bool = False) -> Aligned:
+        """Both tokenizers' ids of all words (or ``units``), and the groups that they make. Words that end in no white space are encoded ``JOINED`` at a time, in
         a row, as they would stand in a text."""
         plain = [k for k, w in enumerate(words) if self.splits and w and not w[-1].isspace() and "▁" not in w]
         taken = set(plain)
@@ -99,7 +119,9 @@ class Aligner:
             firsts, seconds = encoded([words[k] for k in odd])
             true = [self.true(words[k], a, b) for k, a, b in zip(odd, firsts, seconds, strict=True)]
             odd, firsts, seconds = ([x for x, ok in zip(lists, true, strict=True) if ok] for lists in (odd, firsts, seconds))
-        return Aligned(self, words, plain + odd, firsts, seconds)
+        order = plain + odd
+        cut = [w[:1] == "a" and w[1:2] in AFTER for w in map(words.__getitem__, order)] if units and self.cuts else [False] * len(order)
+        return Aligned(self, words, order, firsts, seconds, cut)
 
     def true(self, text: str, a: list[int], b: list[int]) -> bool:
         return b"".join(map(self.bytes_a.__getitem__, a)) == b" " + text.encode() == b"".join(map(self.bytes_b.__getitem__, b))
@@ -107,22 +129,25 @@ class Aligner:
 
 class Aligned:
     """The tokens of words ``order`` in one row, cut into groups where tokens of both end. As a word's tokens have as many bytes on either side,
-    the ends of all words' tokens can be compared at once. The words that are not in ``order`` have no tokens."""
+    the ends of all words' tokens can be compared at once. The words that are not in ``order`` have no tokens; those that are ``cut`` leave out
+    the letter that they begin with and the space before it."""
 
-    def __init__(self, both: Aligner, words: list[str], order: list[int], firsts: list[list[int]], seconds: list[list[int]]):
-        self.count, self.order = len(words), order
-        self.a, self.b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (firsts, seconds))
+    def __init__(self, both: Aligner, words: list[str], order: list[int], firsts: list[list[int]], seconds: list[list[int]], cut: list[bool]):
+        self.both, self.count, self.order = both, len(words), order
+        self.a, self.b = (np.fromiter(chain.from_iterable(x), np.int64, sum(map(len, x))) for x in (firsts, seconds))
         ends_a, ends_b = np.cumsum(both.size_a[self.a]), np.cumsum(both.size_b[self.b])
         at = np.searchsorted(ends_b, ends_a)
         self.last_a = np.flatnonzero(ends_b[at] == ends_a) if len(ends_b) else at
         self.last_b = at[self.last_a]
         # in each group the last tokens end together, and no others do
         self.pairs = (self.a[self.last_a] * len(both.bytes_b) + self.b[self.last_b]).astype(np.uint64)
-        ends = np.cumsum(np.fromiter((1 + len(words[k].encode()) for k in order), np.int64, len(order)))
-        cut = lambda all_ends: np.concatenate([[0], np.searchsorted(all_ends, ends, "right")])
-        self.sizes_a, self.sizes_b = np.diff(cut(ends_a)), np.diff(cut(ends_b))
-        #: Where each word's groups begin, and after them the end.
-        self.starts = cut(ends_a[self.last_a])
+        sizes = 1 + np.fromiter(map(len, map(str.encode, map(words.__getitem__, order))), np.int64, len(order))
+        ends = np.cumsum(sizes)
+        begins = ends - sizes + 2 * np.array(cut, np.int64)
+        before = lambda all_ends: [np.searchsorted(all_ends, x, "right") for x in (begins, ends)]
+        self.sizes_a, self.sizes_b = (high - low for low, high in map(before, (ends_a, ends_b)))
+        #: Each word's groups, from and to.
+        self.starts, self.stops = before(ends_a[self.last_a])
 
     def spread(self, values: Iterable) -> list:
         """Values of the words that have tokens, in the order of all words; None for the others."""
@@ -134,17 +159,22 @@ class Aligned:
     def per_word(self, values: np.ndarray) -> np.ndarray:
         """Sums over each word's groups."""
         total = np.concatenate([[0], np.cumsum(values)])
-        return total[self.starts[1:]] - total[self.starts[:-1]]
+        return total[self.stops] - total[self.starts]
 
     def texts(self) -> list[str]:
-        """Each word's groups as text."""
-        a, b = [str(x) for x in self.a.tolist()], [str(x) for x in self.b.tolist()]
-        groups, i, j = [], 0, 0
-        for x, y in zip((self.last_a + 1).tolist(), (self.last_b + 1).tolist(), strict=True):
-            groups.append(f"{a[i]}|{b[j]}" if x == i + 1 and y == j + 1 else f"{','.join(a[i:x])}|{','.join(b[j:y])}")
-            i, j = x, y
-        starts = self.starts.tolist()
-        return [";".join(groups[i:j]) for i, j in zip(starts, starts[1:])]
+        """Each word's groups as text: all tokens in the order of the groups, each with what follows it, in one row with a line for each word."""
+        groups, ends = np.arange(len(self.pairs)), self.last_b[self.stops - 1]
+        of_a, of_b = (np.repeat(groups, np.diff(last, prepend=-1)) for last in (self.last_a, self.last_b))
+        at_a = np.arange(len(of_a)) + np.concatenate([[0], self.last_b + 1])[of_a]
+        at_b = np.arange(len(of_b)) + self.last_a[of_b] + 1
+        shown, out = self.both.shown, np.empty(len(of_a) + len(of_b), object)
+        out[at_a], out[at_b] = shown[","][self.a], shown[","][self.b]
+        out[at_a[self.last_a]], out[at_b[self.last_b]] = shown["|"][self.a[self.last_a]], shown[";"][self.b[self.last_b]]
+        out[at_b[ends]] = shown["\n"][self.b[ends]]
+        inside = np.cumsum(np.bincount(self.starts, minlength=len(groups) + 1) - np.bincount(self.stops, minlength=len(groups) + 1))[:-1] > 0
+        kept = np.empty(len(out), bool)
+        kept[at_a], kept[at_b] = inside[of_a], inside[of_b]
+        return "".join(out[kept].tolist()).split("\n")[:-1]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -160,7 +190,7 @@ class Memo:
     """What is known of words. Values come from ``made`` (words -> values, None for words without tokens) for all new words of a slice at once."""
 
     def __init__(self, made: Callable[[list[str]], list]):
-        self.made, self.known, self.bad, self.often = made, {}, set(), set()
+        self.made, self.known, self.bad, self.often, self.long = made, {}, set(), set(), []
 
     @staticmethod
     def of(name: tuple, made: Callable[[list[str]], list]) -> Memo:
@@ -178,22 +208,21 @@ class Memo:
             self.bad.intersection_update(self.known)
             self.often = set()
         found = set().union(*lists)
-        self.often.update(w for w in found if w in self.known)
+        self.often.update(found.intersection(self.known))
         self.learn(found)
 
     def learn(self, words: Iterable[str]) -> None:
         new = [w for w in words if w not in self.known]
-        for word, value in zip(new, self.made(new) if new else [], strict=True):
-            self.known[word] = value
-            if value is None:
-                self.bad.add(word)
+        values = self.made(new) if new else []
+        self.known.update(zip(new, values, strict=True))
+        self.long += [w for w in new if len(w) > KEPT_CHARS]
+        self.bad.update(w for w, value in zip(new, values, strict=True) if value is None)
 
-    def drop_long(self, lists: list[list[str]]) -> None:
-        for words in lists:
-            for w in words:
-                if len(w) > KEPT_CHARS:
-                    self.known.pop(w, None)
-                    self.bad.discard(w)
+    def drop_long(self) -> None:
+        for w in self.long:
+            self.known.pop(w, None)
+            self.bad.discard(w)
+        self.long = []
 
 
 _memos: dict[tuple, Memo] = {}
@@ -330,9 +359,9 @@ def count_pairs(texts: DataFrame, path_a: str, path_b: str) -> PairCounts:
         both = aligner(path_a, path_b)
 
         def pairs(words: list[str]) -> list[bytes | None]:
-            found = both.align(words)
-            data, at = found.pairs.tobytes(), (found.starts * 8).tolist()
-            return found.spread([data[i:j] for i, j in zip(at, at[1:])])
+            found = both.align(words, units=True)
+            data = found.pairs.tobytes()
+            return found.spread([data[i:j] for i, j in zip((found.starts * 8).tolist(), (found.stops * 8).tolist(), strict=True)])
 
         memo = Memo.of((files.uri, "pairs"), pairs)
         node, parts, held = TaskContext.get().partitionId(), [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))], 0
@@ -368,7 +397,7 @@ def count_pairs(texts: DataFrame, path_a: str, path_b: str) -> PairCounts:
                     sizes = np.fromiter(map(len, each), np.int64, len(each)) >> 3
                     parts.append(summed(np.frombuffer(b"".join(each), np.uint64), np.repeat(np.fromiter(seen.values(), np.uint64, len(seen)), sizes)))
                     held += len(parts[-1][0])
-                    memo.drop_long([list(seen)])
+                    memo.drop_long()
                 if held >= FLUSH:
                     parts = [summed(*map(np.concatenate, zip(*parts, strict=True)))]
                     held = 0
@@ -428,11 +457,11 @@ def count_pairs(texts: DataFrame, path_a: str, path_b: str) -> PairCounts:
 
 
 def sliced(both: Aligner, docs: list[bytes]) -> Iterator[list[list[str]] | Iterator[list[str]]]:
-    """The words of texts: of all short ones in a list of lists, of each long one (over ``PART_CHARS`` bytes) as lists to come."""
-    yield [words for t in docs if t and len(t) <= PART_CHARS for words in both.words(t.decode())]
+    """The units of texts: of all short ones in a list of lists, of each long one (over ``PART_CHARS`` bytes) as lists to come."""
+    yield [words for t in docs if t and len(t) <= PART_CHARS for words in both.words(t.decode(), units=True)]
     for t in docs:
         if len(t) > PART_CHARS:
-            yield both.words(t.decode())
+            yield both.words(t.decode(), units=True)
 
 
 def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -455,25 +484,25 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_i
         ids_b = both.b.get_piece_size()
 
         def known(words: list[str]) -> list[tuple | None]:
-            found = both.align(words)
+            found = both.align(words, units=True)
             sums, best = counts.look_up(found.pairs, ids_b)
-            ones = np.ones(len(sums), np.int64)
-            n = found.per_word(ones).tolist()
-            columns = (found.sizes_a.tolist(), found.sizes_b.tolist(), n, n, found.per_word(best).tolist(), found.per_word(sums.astype(np.int64)).tolist(), found.texts())
-            return found.spread(list(zip(*columns, strict=True)))
+            columns = (found.sizes_a, found.sizes_b, found.stops - found.starts, found.per_word(best), found.per_word(sums.astype(np.int64)))
+            data = np.stack(columns, axis=1).astype(np.int64).tobytes()
+            return found.spread(zip([data[i : i + 40] for i in range(0, len(data), 40)], found.texts(), strict=True))
 
         memo = Memo.of((counts.files.uri, "rows"), known)
 
         def row(parts: Iterator[list[str]]) -> tuple:
             """The sums over a text's words and its groups."""
-            total, texts = [0] * 6, []
+            total, texts = np.zeros(5, np.int64), []
             for words in parts:
                 if not memo.bad.isdisjoint(words):
                     return (0, 0, 0, 0, 0, 0, "")
-                *columns, groups = zip(*map(memo.known.__getitem__, words), strict=True)
-                total = [x + sum(c) for x, c in zip(total, columns, strict=True)]
+                values, groups = zip(*map(memo.known.__getitem__, words), strict=True)
+                total += np.frombuffer(b"".join(values), np.int64).reshape(-1, 5).sum(axis=0)
                 texts.append(";".join(groups))
-            return (*total, ";".join(texts))
+            n_a, n_b, n, *rest = total.tolist()  # each group has one link
+            return (n_a, n_b, n, n, *rest, ";".join(texts))
 
         def filled(parts: Iterator[list[str]]) -> Iterator[list[str]]:
             for words in parts:
@@ -486,8 +515,8 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_i
                 short, *long = sliced(both, docs[start:end])
                 memo.add(short)
                 one = iter([row([words]) for words in short])
-                memo.drop_long(short)
                 many = iter([row(filled(parts)) for parts in long])
+                memo.drop_long()
                 out = [(next(one) if len(t) <= PART_CHARS else next(many)) if t else (0, 0, 0, 0, 0, 0, "") for t in docs[start:end]]
                 yield with_columns(batch, ["doc_id"], schema, start, end, **dict(zip([*numbers, "groups"], zip(*out, strict=True), strict=True)))
 

@@ -110,3 +110,52 @@ def test_minimal_perfect_hash(tmp_path, n):
     assert np.array_equal(np.sort(table.verified(keys)), np.arange(len(keys)))
     others = np.setdiff1d(rnd.integers(0, 1 << 31, 1000).astype(np.uint64), keys)
     assert (table.verified(others) == -1).all()
+
+
+def test_units_give_what_whole_texts_give():
+    both = alignment.aligner(A, B)
+    assert both.cuts
+    rnd = random.Random(4)
+    more = [*ALPHABET, "don't", "'re", "é'", "a", "a.", "a1", "z.\nThe", "\n", "&&&", "a.b.c", "_", "²", "́", "\x7f", "ʰ", "×", ".\r"]
+    for _ in range(4000):
+        text = "".join(rnd.choice(more) for _ in range(rnd.randint(1, 14)))
+        units, want = sum(both.words(text, units=True), []), whole(both, text)
+        found = both.align(units, units=True)
+        assert (want is None) == (len(found.order) < len(units)), repr(text)
+        if want:
+            assert (found.sizes_a.sum(), found.sizes_b.sum()) == (len(want[0]), len(want[1])), repr(text)
+            assert ";".join(found.spread(found.texts())) == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in want[2]), repr(text)
+
+
+def test_what_follows_a_word_does_not_make_it_new():
+    both = alignment.aligner(A, B)
+    words = ["qu" + x + y for x in "bcdfghjklm" for y in "aeiouäöüßé"]
+    docs = [" ".join(w + end for w in words).encode() for end in ("", ".", ",", ").", "&&&", "***", "$$$", ".\nThe", "'", "!", "?")]
+    made = []
+    memo = alignment.Memo(lambda new: made.extend(new) or [b""] * len(new))
+    for doc in docs:
+        for group in alignment.sliced(both, [doc]):
+            memo.add(group if isinstance(group, list) else list(group))
+    assert len(made) == len(set(made)) <= len(words) + len(docs)
+
+
+def test_other_files_are_not_cut_where_letters_end(spark, tmp_path):
+    import io
+
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    rows = [(1, "ab. abab. ab, ba."), (2, "ab.ab b. b"), (3, None), (4, "ab.\nab")]
+    added = Tokenizer.from_file(A)
+    added.add_tokens(["b."])
+    added.save(str(tmp_path / "a.json"))
+    model = io.BytesIO()
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(["ab. ab. abab. ba. ab,"] * 50), model_writer=model, model_type="bpe", vocab_size=272, byte_fallback=True,
+        split_by_unicode_script=False, normalization_rule_name="identity", remove_extra_whitespaces=False, hard_vocab_limit=False, minloglevel=2,
+    )
+    (tmp_path / "b.model").write_bytes(model.getvalue())
+    for a, b in ((str(tmp_path / "a.json"), B), (A, str(tmp_path / "b.model"))):
+        both = alignment.aligner(a, b)
+        assert not both.cuts
+        assert sorted(map(tuple, alignment.align_tokens(spark.createDataFrame(rows, "doc_id long, text string"), a, b).collect())) == brute(both, rows)
