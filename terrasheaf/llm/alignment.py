@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import sys
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Collection, Iterable, Iterator
 from functools import cached_property
 from itertools import chain
 
@@ -200,23 +200,25 @@ class Memo:
             _memos[name] = Memo(made)
         return _memos[name]
 
-    def add(self, lists: list[list[str]]) -> None:
-        """Learns the words of a slice. Of too many words those stay that came again in a later slice than their first."""
+    def add(self, found: Collection[str]) -> None:
+        """Learns the distinct words of a slice. Of too many words those stay that came again in a later slice than their first."""
         if len(self.known) > KEPT_WORDS:
             kept = self.often if len(self.often) <= KEPT_WORDS // 2 else set()
             self.known = {w: self.known[w] for w in kept if w in self.known}
             self.bad.intersection_update(self.known)
             self.often = set()
-        found = set().union(*lists)
-        self.often.update(found.intersection(self.known))
-        self.learn(found)
+        new = self.learn(found)
+        self.often.update(found if not new else set(found).difference(new))
 
-    def learn(self, words: Iterable[str]) -> None:
+    def learn(self, words: Iterable[str]) -> list[str]:
+        """Learns the words that are not known, and returns them."""
         new = [w for w in words if w not in self.known]
         values = self.made(new) if new else []
         self.known.update(zip(new, values, strict=True))
         self.long += [w for w in new if len(w) > KEPT_CHARS]
-        self.bad.update(w for w, value in zip(new, values, strict=True) if value is None)
+        if None in values:
+            self.bad.update(w for w, value in zip(new, values, strict=True) if value is None)
+        return new
 
     def drop_long(self) -> None:
         for w in self.long:
@@ -376,23 +378,22 @@ def count_pairs(texts: DataFrame, path_a: str, path_b: str) -> PairCounts:
         for batch in batches:
             docs = texts_of(batch, "text")
             for start, end in runs(docs, SLICE_BYTES):
-                seen: Counter[str] = Counter()
-                for group in sliced(both, docs[start:end]):
-                    if isinstance(group, list):
-                        memo.add(group)
-                        for words in group:
-                            if memo.bad.isdisjoint(words):
-                                seen.update(words)
-                    else:  # a long text: its parts count if all of them are true
-                        own, true = Counter(), True
-                        for words in group:
-                            memo.add([words])
-                            true = true and memo.bad.isdisjoint(words)
-                            own.update(words)
-                        if true:
-                            seen.update(own)
+                short, *long = sliced(both, docs[start:end])
+                seen = Counter(chain.from_iterable(short))
+                memo.add(seen)
+                if not memo.bad.isdisjoint(seen):
+                    seen = Counter(chain.from_iterable(words for words in short if memo.bad.isdisjoint(words)))
+                for group in long:  # the parts of a long text count if all of them are true
+                    own, true = Counter(), True
+                    for words in group:
+                        memo.add(set(words))
+                        true = true and memo.bad.isdisjoint(words)
+                        own.update(words)
+                    if true:
+                        seen.update(own)
                 if seen:
-                    memo.learn(seen)
+                    if long:
+                        memo.learn(seen)
                     each = [memo.known[w] for w in seen]
                     sizes = np.fromiter(map(len, each), np.int64, len(each)) >> 3
                     parts.append(summed(np.frombuffer(b"".join(each), np.uint64), np.repeat(np.fromiter(seen.values(), np.uint64, len(seen)), sizes)))
@@ -496,24 +497,24 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_i
             """The sums over a text's words and its groups."""
             total, texts = np.zeros(5, np.int64), []
             for words in parts:
-                if not memo.bad.isdisjoint(words):
+                if memo.bad and not memo.bad.isdisjoint(words):
                     return (0, 0, 0, 0, 0, 0, "")
-                values, groups = zip(*map(memo.known.__getitem__, words), strict=True)
-                total += np.frombuffer(b"".join(values), np.int64).reshape(-1, 5).sum(axis=0)
-                texts.append(";".join(groups))
+                values = [memo.known[w] for w in words]
+                total += np.frombuffer(b"".join([v[0] for v in values]), np.int64).reshape(-1, 5).sum(axis=0)
+                texts.append(";".join([v[1] for v in values]))
             n_a, n_b, n, *rest = total.tolist()  # each group has one link
             return (n_a, n_b, n, n, *rest, ";".join(texts))
 
         def filled(parts: Iterator[list[str]]) -> Iterator[list[str]]:
             for words in parts:
-                memo.add([words])
+                memo.add(set(words))
                 yield words
 
         for batch in batches:
             docs = texts_of(batch, "text")
             for start, end in runs(docs, SLICE_BYTES):
                 short, *long = sliced(both, docs[start:end])
-                memo.add(short)
+                memo.add(set().union(*short))
                 one = iter([row([words]) for words in short])
                 many = iter([row(filled(parts)) for parts in long])
                 memo.drop_long()
